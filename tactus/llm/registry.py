@@ -5,8 +5,10 @@ from __future__ import annotations
 from tactus.llm.fingerprints import op10_document_fingerprints
 from tactus.llm.packing import op8_packing
 from tactus.llm.token_files import op5_token_files
+from tactus.llm.toxicity import op4_toxicity
 
 QUERIES = {
+    "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op8_packing": op8_packing,
     "op10_document_fingerprints": op10_document_fingerprints,
