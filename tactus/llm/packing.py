@@ -47,7 +47,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, spa
     tokens = materialize(slim.mapInArrow(encode, _TOKENS), "packing")
     totals = tokens.groupBy("part").agg(F.sum("n").alias("tokens"))  # a row per partition
     before = F.coalesce(F.sum("tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = tokens.join(totals.select("part", before.alias("before")), "part").select("doc_id", "n", (F.col("before") + F.col("start_in_part")).alias("at"), "ids")
+    placed = tokens.join(F.broadcast(totals.select("part", before.alias("before"))), "part").select("doc_id", "n", (F.col("before") + F.col("start_in_part")).alias("at"), "ids")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = encoder(tokenizer, spaced).kind
