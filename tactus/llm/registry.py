@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from tactus.llm.fingerprints import op10_document_fingerprints
+from tactus.llm.language_id import op2_language_id
 from tactus.llm.packing import op8_packing
+from tactus.llm.pii import op9_pii
 from tactus.llm.token_files import op5_token_files
 from tactus.llm.toxicity import op4_toxicity
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op8_packing": op8_packing,
+    "op9_pii": op9_pii,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
 
