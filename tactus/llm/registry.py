@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tactus.llm.fingerprints import op10_document_fingerprints
 from tactus.llm.language_id import op2_language_id
+from tactus.llm.line_dedup import OP6_SQL, op6_line_dedup
 from tactus.llm.packing import op8_packing
 from tactus.llm.pii import op9_pii
 from tactus.llm.token_files import op5_token_files
@@ -13,9 +14,12 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
+    "op6_line_dedup": op6_line_dedup,
     "op8_packing": op8_packing,
     "op9_pii": op9_pii,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_line_dedup": OP6_SQL,
+}
