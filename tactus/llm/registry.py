@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tactus.llm.decontamination import OP7_SQL, op7_decontamination
 from tactus.llm.fingerprints import op10_document_fingerprints
 from tactus.llm.language_id import op2_language_id
 from tactus.llm.line_dedup import OP6_SQL, op6_line_dedup
@@ -15,6 +16,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op6_line_dedup": op6_line_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
     "op9_pii": op9_pii,
     "op10_document_fingerprints": op10_document_fingerprints,
@@ -22,4 +24,5 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op6_line_dedup": OP6_SQL,
+    "op7_decontamination": OP7_SQL,
 }
