@@ -20,14 +20,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tactus.llm.common import materialize
-
 PRIMES = (2147483647, 2147483629)
 BASES = (1000003, 69069 * 613 + 2)
-SPAN, SMALL, SHORT, SKETCH = 12, 3, 48, 128
+SPAN, SMALL, SHORT, SKETCH = 12, 3, 48, 64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -114,17 +112,17 @@ def _inverse_powers(size: int, k: int) -> np.ndarray:
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
-    """An order unrelated to the text: a bijection of 64-bit values."""
+    """32 bits in an order unrelated to the text."""
     values = values * _MIX
     values ^= values >> np.uint64(32)
-    return values * _MIX
+    return (values * _MIX >> np.uint64(32)).astype(np.uint32)
 
 
 def fingerprint(points: np.ndarray) -> tuple[str, np.ndarray]:
     """The fingerprint string ``n:value:sketch`` in hex and its sketch as an ascending array."""
     n = len(points)
     if not n:
-        return "0:0:", np.zeros(0, np.uint64)
+        return "0:0:", np.zeros(0, np.uint32)
     found = _mixed(_all_spans(points, min(n, SPAN)))
     if SMALL < n < SHORT:
         found = np.concatenate([found, _mixed(_all_spans(points, SMALL))])
@@ -138,11 +136,11 @@ def fingerprint(points: np.ndarray) -> tuple[str, np.ndarray]:
     sketch = sketch[:SKETCH]
     h = PrefixHash.of(points)
     whole = int(h.sums[0][n]) << 31 | int(h.sums[1][n])
-    return f"{n:x}:{whole:x}:" + sketch.astype(">u8").tobytes().hex(), sketch
+    return f"{n:x}:{whole:x}:" + sketch.astype(">u4").tobytes().hex(), sketch
 
 
 def sketch_of(mark: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(mark.rsplit(":", 1)[1]), ">u8").astype(np.uint64)
+    return np.frombuffer(bytes.fromhex(mark.rsplit(":", 1)[1]), ">u4").astype(np.uint32)
 
 
 def likeness(a: str, b: str) -> float:
@@ -166,7 +164,7 @@ def edited(points: np.ndarray, following: np.ndarray) -> np.ndarray:
 
 
 _OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, common_prefix long"
-_PIECES = _OUT + ", part long, kind string, text string, next_mark string"
+_NAMES = [c.split()[0] for c in _OUT.split(", ")]
 
 
 def _row(doc_id, points: np.ndarray, mark: str, sketch: np.ndarray, following: np.ndarray, next_mark: str, next_sketch: np.ndarray) -> tuple:
@@ -180,54 +178,50 @@ def _row(doc_id, points: np.ndarray, mark: str, sketch: np.ndarray, following: n
 
 
 def _stream(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of one range-sorted partition, each with the next one; the first and last row go out as boundary records too."""
-    names = [c.split()[0] for c in _PIECES.split(", ")]
+    """Rows of a partition sorted by (block, own first, id, text), each with the next of its block."""
     last, rows = None, []
     for pdf in parts:
-        for doc_id, text, part in zip(pdf["doc_id"].tolist(), pdf["text"].tolist(), pdf["part"].tolist(), strict=True):
-            text = text if isinstance(text, str) else ""
-            points = code_points(text)
-            here = (doc_id, points, *fingerprint(points))
-            if last is None:
-                rows.append((doc_id, *[None] * 7, part, "head", text, here[2]))
+        for doc_id, text, block, own in zip(pdf["doc_id"].astype("Int64").tolist(), pdf["text"].tolist(), pdf["block"].tolist(), pdf["own"].tolist(), strict=True):
+            if last is not None and last[1] == block and last[2]:
+                points = code_points(text if isinstance(text, str) else "")
+                here = points, *fingerprint(points)
+                rows.append(_row(last[0], *last[3:], *here))
+            elif own:
+                points = code_points(text if isinstance(text, str) else "")
+                here = points, *fingerprint(points)
             else:
-                rows.append((*_row(*last, points, here[2], here[3]), part, "row", None, None))
-            last, last_text, last_part = here, text, part
-            if len(rows) >= 512:
-                yield pd.DataFrame(rows, columns=names)
+                continue  # a further row of the id that follows the block
+            last = (None if doc_id is pd.NA else doc_id, block, own, *here)
+            if len(rows) >= 1024:
+                yield pd.DataFrame(rows, columns=_NAMES).astype({"doc_id": "Int64"})
                 rows = []
-    if last is not None:
-        rows.append((last[0], *[None] * 7, last_part, "tail", last_text, last[2]))
     if rows:
-        yield pd.DataFrame(rows, columns=names)
-
-
-def _seam(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in parts:
-        rows = []
-        for r in pdf.itertuples(index=False):
-            points, following = code_points(r.text), code_points(r.next_text)
-            rows.append(_row(r.doc_id, points, *fingerprint(points), following, *fingerprint(following)))
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in _OUT.split(", ")])
+        yield pd.DataFrame(rows, columns=_NAMES).astype({"doc_id": "Int64"})
 
 
 def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprint every text and its edited text, in ascending id order (null ids first; rows of one id by text).
 
-    The texts are shuffled once, into sorted ranges that are streamed row by row. A range's last document needs the first
-    of the next range: both go out as boundary records, two rows a range, and are joined by the number of the range."""
+    Ids are cut into blocks at their approximate quantiles, a few for each shuffle partition. The texts are shuffled once, by
+    block, and streamed in order; the first document of a block is dealt to the block before it too. The driver holds one
+    number a block."""
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = slim.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "text").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    done = materialize(ordered.withColumn("part", F.spark_partition_id().cast("long")).mapInPandas(_stream, _PIECES), "fingerprints")
-    names = [c.split()[0] for c in _OUT.split(", ")]
-    tails = done.where("kind = 'tail'").select("part", "doc_id", "text")
-    heads = done.where("kind = 'head'").select("part", F.col("text").alias("next_text"))
-    numbers = heads.select("part")  # one row a non-empty range
-    links = numbers.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy())).alias("next_part"))
-    seams = tails.join(links, "part").join(heads.withColumnRenamed("part", "next_part"), "next_part").select("doc_id", "text", "next_text").mapInPandas(_seam, _OUT)
-    return done.where("kind = 'row'").select(*names).unionByName(seams)
+    shares = [(k + 1) / (4 * parts) for k in range(4 * parts - 1)]
+    borders = sorted({int(x) for x in slim.approxQuantile("doc_id", shares, 0.1 / parts)})
+    key = F.coalesce("doc_id", F.lit(-(2**63)))
+    block = F.array_size(F.filter(F.lit(borders).cast("array<long>"), lambda x: x <= key)) if borders else F.lit(0)
+    least = slim.select(block.alias("block"), key.alias("key")).groupBy("block").agg(F.min("key").alias("key")).orderBy("block").collect()
+    if not least:
+        return spark.createDataFrame([], _OUT)
+    before = [(r["key"], least[k - 1]["block"]) for k, r in enumerate(least)]  # the first one's stands before the first: the last
+    heads = F.broadcast(spark.createDataFrame(before, "key long, before int"))
+    rows = slim.withColumns({"block": block, "key": key}).join(heads, "key", "left")
+    own = F.struct(F.col("block").alias("block"), F.lit(True).alias("own"))
+    copies = F.filter(F.array(own, F.struct(F.col("before").alias("block"), F.lit(False).alias("own"))), lambda x: x["block"].isNotNull())
+    dealt = rows.select("doc_id", "key", "text", F.inline(copies)).repartition(parts, "block")
+    return dealt.sortWithinPartitions("block", F.desc("own"), "key", "text").select("doc_id", "text", "block", "own").mapInPandas(_stream, _OUT)
 
 
 def op10_document_fingerprints(spark, sf_dir: str) -> DataFrame:
