@@ -57,7 +57,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     # one row a file: its number and its tokens
     totals = rows.groupBy("shard").agg(F.sum("n_tokens").alias("tokens"))
     before = F.coalesce(F.sum("tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.join(totals.select("shard", before.alias("before")), "shard").select("doc_id", (F.col("before") + F.col("start_in_file")).alias("start"), "n_tokens", "ids")
+    return rows.join(F.broadcast(totals.select("shard", before.alias("before"))), "shard").select("doc_id", (F.col("before") + F.col("start_in_file")).alias("start"), "n_tokens", "ids")
 
 
 def with_crc32(rows: DataFrame) -> DataFrame:
