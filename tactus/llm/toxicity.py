@@ -135,7 +135,8 @@ def fit(rows: list[tuple[str | None, int]], share: float | None = None, seed: in
         if w and a >= 3:
             p = (a + seen[0][w]) / (n1 + n0)
             z[w] = (a / n1 - seen[0][w] / n0) / math.sqrt(max(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
-    marked = {w for w in z if z[w] >= max(4.0, max(z.values()) / 2)}
+    least = max(4.0, max(z.values(), default=0.0) / 2)
+    marked = {w for w in z if z[w] >= least}
     rng = np.random.default_rng(seed)
     plain_windows, toxic_words = [], []
     for t, v in zip(texts, labels, strict=True):
