@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tactus.llm.decontamination import OP7_SQL, op7_decontamination
 from tactus.llm.fingerprints import op10_document_fingerprints
+from tactus.llm.jaccard_join import op1_jaccard_join
 from tactus.llm.language_id import op2_language_id
 from tactus.llm.line_dedup import OP6_SQL, op6_line_dedup
 from tactus.llm.packing import op8_packing
@@ -12,6 +13,7 @@ from tactus.llm.token_files import op5_token_files
 from tactus.llm.toxicity import op4_toxicity
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_language_id": op2_language_id,
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
