@@ -9,12 +9,14 @@ from tactus.llm.language_id import op2_language_id
 from tactus.llm.line_dedup import OP6_SQL, op6_line_dedup
 from tactus.llm.packing import op8_packing
 from tactus.llm.pii import op9_pii
+from tactus.llm.substring_dedup import op3_substring_dedup
 from tactus.llm.token_files import op5_token_files
 from tactus.llm.toxicity import op4_toxicity
 
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_language_id": op2_language_id,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op6_line_dedup": op6_line_dedup,
