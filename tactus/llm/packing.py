@@ -85,3 +85,8 @@ def sequences(pieces: DataFrame, size: int = 1024, pad_id: int = 0) -> DataFrame
 
 def op8_packing(spark, sf_dir: str) -> DataFrame:
     return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer_path("byte_bpe_50k.json"), with_ids=False)
+
+
+def stage_packing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed documents with their ids."""
+    return pack(docs, tokenizer_path("byte_bpe_50k.json"))
