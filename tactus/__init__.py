@@ -1,0 +1 @@
+"""Tactus: musical time, note events and audio features as Spark DataFrames."""
