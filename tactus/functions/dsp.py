@@ -136,7 +136,8 @@ def tempo_and_beats(x: np.ndarray, sr: int, start_bpm: float = 120.0, tightness:
     bpm = 60 * rate / lag
     best = lag[int(np.argmax(auto[lag] * np.exp(-0.5 * np.log2(bpm / start_bpm) ** 2)))]
     around = np.arange(max(1, best - 1), min(n - 1, best + 2))
-    period = float(np.sum(around * np.maximum(auto[around], 0)) / max(1e-12, np.sum(np.maximum(auto[around], 0))))
+    weight = np.maximum(auto[around], 0)
+    period = float((around * weight).sum() / weight.sum()) if weight.sum() > 0 else float(best)
     local = onset / max(1e-12, onset.std())
     score, back = local.copy(), np.full(n, -1)
     gaps = np.arange(max(1, int(period / 2)), int(2 * period) + 1)
