@@ -25,6 +25,7 @@ from tactus.llm.common import held_out
 from tactus.llm.tokens import slices
 
 TOP, SAMPLE = 400, 4000
+_EDGE = 1  # a code point that is no letter stands for a word's boundary
 
 
 @cache
@@ -39,11 +40,11 @@ def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     letter = _letters()[points]
     if not letter.any():
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    code = np.where(letter, points, 0).astype(np.int64)
-    code = np.concatenate([[0], code, [0]])
-    code = code[np.concatenate([[True], (code[1:] != 0) | (code[:-1] != 0)])]  # one boundary between words
+    code = np.where(letter, points, _EDGE).astype(np.int64)
+    code = np.concatenate([[_EDGE], code, [_EDGE]])
+    code = code[np.concatenate([[True], (code[1:] != _EDGE) | (code[:-1] != _EDGE)])]  # one boundary between words
     two = code[:-1] << 21 | code[1:]
-    grams = np.concatenate([code[code > 0], two, (two[:-1] << 21 | code[2:])[code[1:-1] > 0]])
+    grams = np.concatenate([code[code != _EDGE], two, (two[:-1] << 21 | code[2:])[code[1:-1] != _EDGE]])
     grams.sort()
     first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
     return grams[first], np.diff(np.append(first, len(grams)))
