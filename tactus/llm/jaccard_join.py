@@ -24,12 +24,13 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tactus.llm.common import discard, materialize
@@ -186,6 +187,11 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tupl
         yield key, [np.concatenate(x) for x in zip(*held, strict=True)]
 
 
+def _step(before: Column, at: Column, path: Column) -> Column:
+    """A path with its parent, found by its place among the paths before."""
+    return F.struct(F.get(before, at).alias("parent"), path.alias("path"))
+
+
 def _candidates(least: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         us, vs = [], []
@@ -288,8 +294,7 @@ def similarity_classes(docs: DataFrame, similarity: float = SIMILARITY, recall:
         if d == 1:
             rows = reps.select("rep", F.explode("p1").alias("path"))
         else:
-            up, here, at = f"p{d - 1}", f"p{d}", f"at{d}"
-            chosen = F.transform(here, lambda x, i, up=up, at=at: F.struct(F.get(F.col(up), F.get(F.col(at), i)).alias("parent"), x.alias("path")))
+            chosen = F.zip_with(f"at{d}", f"p{d}", partial(_step, F.col(f"p{d - 1}")))
             rows = reps.select("rep", F.inline(chosen)).join(large.select(F.col("path").alias("parent")), "parent", "left_semi").select("rep", "path")
         sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         if d < DEPTH:
