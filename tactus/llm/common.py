@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Spark's switch for removing an execution's shuffle files at its end.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -32,10 +36,17 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back: cuts the lineage and survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` as a Parquet table in the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    The write's shuffle files go when it ends, as the table stands for them."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(df: DataFrame) -> None:

@@ -27,25 +27,21 @@ TOKEN = r"(?:[$€£] ?)?[0-9]+(?:[.,][0-9]+)*(?: ?(?:%|°|(?:" + "|".join(UNITS
 _ENDS = ".!?: \n\r\t"
 
 
-def _templates(rows: DataFrame, text: Column) -> DataFrame:
-    """Adds raw (tokens) and template to rows."""
-    raw = F.regexp_extract_all(F.concat(F.lit("\n"), text), F.lit(TOKEN), F.lit(0))
-    rows = rows.withColumn("raw", raw)
-
-    def canonical(x: Column) -> Column:
-        c = F.substring(x, 1, 1)
-        numeric = ((c >= "0") & (c <= "9")) | c.isin("$", "€", "£")
-        bare = F.translate(x, "0123456789.,", "") == ""
-        ended = c.isin(".", "!", "?", ":", "\n")
-        return F.when(numeric, F.when(bare, "<num>").otherwise("<qty>")).when(ended, F.lower(F.ltrim(x, F.lit(_ENDS)))).when(F.lower(c) != c, "<name>").otherwise(F.lower(x))
-
-    return rows.withColumn("template", F.transform("raw", canonical))
-
-
-def _spans(rows: DataFrame, window: int) -> DataFrame:
-    """A row per window: pos (from 1) and the hash of its template."""
-    rows = rows.where(F.size("template") >= window).withColumn("hashes", F.transform("template", lambda x: F.xxhash64(x)))
-    hashed = F.transform(F.sequence(F.lit(1), F.size("hashes") - (window - 1)), lambda i: F.xxhash64(F.slice("hashes", i, window)))
+def canonical(x: Column) -> Column:
+    """A token's place in the template. Plain words, by far the most tokens, are settled by the first test."""
+    c = F.substring(x, 1, 1)
+    numeric = ((c >= "0") & (c <= "9")) | c.isin("$", "€", "£")
+    bare = F.translate(x, "0123456789.,", "") == ""
+    ended = c.isin(".", "!", "?", ":", "\n")
+    word = F.when((c >= "a") & (c <= "z"), F.lower(x))
+    return word.when(numeric, F.when(bare, "<num>").otherwise("<qty>")).when(ended, F.lower(F.ltrim(x, F.lit(_ENDS)))).when(F.lower(c) != c, "<name>").otherwise(F.lower(x))
+
+
+def _spans(rows: DataFrame, text: Column, window: int) -> DataFrame:
+    """Adds raw (the tokens), n (their number) and a row per window: pos (from 1) and the hash of its template."""
+    rows = rows.withColumn("raw", F.regexp_extract_all(F.concat(F.lit("\n"), text), F.lit(TOKEN), F.lit(0))).withColumn("n", F.size("raw")).where(F.col("n") >= window)
+    rows = rows.withColumn("hashes", F.transform("raw", lambda x: F.xxhash64(canonical(x))))
+    hashed = F.transform(F.sequence(F.lit(1), F.col("n") - (window - 1)), lambda i: F.xxhash64(F.slice("hashes", i, window)))
     return rows.select(*(c for c in rows.columns if c != "hashes"), F.posexplode(hashed).alias("pos", "h"))
 
 
@@ -57,17 +53,16 @@ def _slots(raw: Column, template: Column) -> Column:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literals: int = LITERALS, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key, item_id, n_matched, n_windows of each document and item that share enough windows."""
-    items = _templates(benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text").distinct(), F.col("text"))
-    items = items.select("item_id", F.xxhash64("text").alias("item_key"), "raw", "template", (F.size("template") - (window - 1)).cast("long").alias("n_windows"))
-    spans = _spans(items, window)
-    cut = lambda c, pos: F.slice(c, pos, window)
-    spans = spans.select("item_id", "item_key", "n_windows", F.col("pos").alias("item_pos"), "h", cut("raw", F.col("pos") + 1).alias("item_raw"), cut("template", F.col("pos") + 1).alias("item_template"))
+    known = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text").distinct()
+    items = _spans(known.withColumn("item_key", F.xxhash64("text")), F.col("text"), window).drop("text")
+    tokens = F.slice("raw", F.col("pos") + 1, window)
+    spans = items.select("item_id", "item_key", (F.col("n") - (window - 1)).cast("long").alias("n_windows"), F.col("pos").alias("item_pos"), "h", tokens.alias("item_raw"), F.transform(tokens, canonical).alias("item_template"))
     spans = spans.where(F.size(F.filter("item_template", lambda x: ~x.startswith("<"))) >= literals)
     if is_small(spans, BROADCAST):
         spans = F.broadcast(spans)
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
-    rows = _spans(_templates(texts, F.col("text")).drop("text"), window)
-    hits = rows.join(spans, "h").select("doc_id", "text_key", "item_id", "item_key", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_raw", "item_template", cut("raw", F.col("pos") + 1).alias("doc_raw"), cut("template", F.col("pos") + 1).alias("doc_template"))
+    rows = _spans(texts, F.col("text"), window).drop("text", "n")
+    hits = rows.join(spans, "h").select("doc_id", "text_key", "item_id", "item_key", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_raw", "item_template", tokens.alias("doc_raw"), F.transform(tokens, canonical).alias("doc_template"))
     hits = hits.where("doc_template = item_template")
     value = lambda side: F.transform(_slots(F.col(f"{side}_raw"), F.col(f"{side}_template")), lambda p: p["value"])
     pairs = F.zip_with(value("item"), value("doc"), lambda a, b: F.struct(a.alias("item"), b.alias("doc")))

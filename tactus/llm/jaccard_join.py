@@ -37,7 +37,7 @@ from tactus.llm.common import discard, materialize
 from tactus.llm.components import components
 from tactus.llm.tokens import slices
 
-SHINGLE, SIMILARITY, RECALL, DEPTH, LIMIT, BLOCK, BINS = 5, 0.8, 0.99999, 3, 1024, 256, 64
+SHINGLE, SIMILARITY, RECALL, DEPTH, LIMIT, BLOCK, BINS = 5, 0.8, 0.99999, 3, 4096, 256, 64
 #: Sketches of sets at the threshold agree at least so far less than it but for a share of about 1e-6.
 SLACK = 0.25
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -154,14 +154,15 @@ def _forest(near: np.ndarray) -> np.ndarray:
     return root
 
 
-def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Estimated similarity of each row of x to each of y."""
-    out = np.empty((len(x), len(y)), np.float32)
-    filled = y > 0
-    for i in range(0, len(x), 64):
-        a = x[i : i + 64, None, :]
-        out[i : i + 64] = ((a == y) & filled).sum(2) / np.maximum(1, ((a > 0) | filled).sum(2))
-    return out
+def _agree(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+    """Whether the estimated similarity of each row of x to each of y is at least so much."""
+    same = np.zeros((len(x), len(y)), np.uint8)
+    a, b = np.where(x > 0, x, -1).astype(np.int16).T.copy(), np.where(y > 0, y, -2).astype(np.int16).T.copy()
+    for k in range(BINS):
+        same += a[k][:, None] == b[k]
+    full, other = (x > 0).astype(np.float32), (y > 0).astype(np.float32)
+    filled = full.sum(1)[:, None] + other.sum(1) - full @ other.T
+    return same >= np.float32(least) * np.maximum(1, filled)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list]]:
@@ -199,14 +200,13 @@ def _candidates(least: float) -> Callable:
             if len(rep) > 1:
                 x = np.frombuffer(b"".join(marks), np.uint8).reshape(len(rep), BINS)
                 if len(rep) == 2:
-                    near = _agree(x[:1], x[1:])[0, 0] >= least
-                    if near:
+                    if _agree(x[:1], x[1:], least)[0, 0]:
                         us.append(rep[:1])
                         vs.append(rep[1:])
                 else:
                     order = np.argsort(rep, kind="stable")
                     rep, x = rep[order], x[order]
-                    root = _forest(_agree(x, x) >= least)
+                    root = _forest(_agree(x, x, least))
                     own = root != np.arange(len(rep))
                     us.append(rep[own])
                     vs.append(rep[root[own]])

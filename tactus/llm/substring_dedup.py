@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tactus.llm.common import materialize
+from tactus.llm.common import discard, materialize
 from tactus.llm.jaccard_join import mixed
 from tactus.llm.tokens import slices
 
@@ -131,9 +131,8 @@ def minimizers(word: np.ndarray, window: int, run: int) -> tuple[np.ndarray, np.
     return place, rolled[place]
 
 
-_BASE = "doc_id long, sig binary, n_words long, kept_sha256 string, mins array<long>"
-_PIECE = "doc_id long, sig binary, start int, shard long, piece long, words binary"
-_HITS = "doc_id long, sig binary, text string"
+_BASE = "doc_id long, tag int, sig binary, n_words long, kept_sha256 string, mins array<long>"
+_PIECE = "doc_id long, tag int, start int, shard long, piece long, words binary"
 
 
 def _profile(window: int, run: int):
@@ -154,7 +153,7 @@ def _profile(window: int, run: int):
                     else:
                         size.append(size[-1])
                 lists = pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.array(np.concatenate(mins).view(np.int64) if mins else np.zeros(0, np.int64)))
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sig, pa.binary()), pa.array(np.diff(ends)), pa.array(sha, pa.string()), lists], [c.split()[0] for c in _BASE.split(", ")])
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["tag"], pa.array(sig, pa.binary()), pa.array(np.diff(ends)), pa.array(sha, pa.string()), lists], [c.split()[0] for c in _BASE.split(", ")])
 
     return go
 
@@ -167,7 +166,7 @@ def _words(text: str | None) -> list[str]:
 
 
 def _pieces(window: int, run: int):
-    """Rows (doc_id, sig, text, mins, hot) to the pieces of their repeated minimizers. A piece's words go along once a task."""
+    """Rows (doc_id, tag, text, mins, hot) to the pieces of their repeated minimizers. A piece's words go along once a task."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
@@ -176,6 +175,8 @@ def _pieces(window: int, run: int):
                 word, ends = word_hashes(part["text"])
                 out: list[list] = [[] for _ in range(6)]
                 for k, (a, b, mins, hot) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), part["mins"].to_pylist(), part["hot"].to_pylist(), strict=True)):
+                    if b - a < window:
+                        continue
                     w = word[a:b]
                     place, value = minimizers(w, window, run)
                     wanted = np.array(mins, np.int64).view(np.uint64)
@@ -187,13 +188,13 @@ def _pieces(window: int, run: int):
                     first = np.flatnonzero(split)
                     last = np.append(first[1:], len(place))
                     keep = here[first]
-                    doc, sig = part["doc_id"][k].as_py(), part["sig"][k].as_py()
+                    doc, tag = part["doc_id"][k].as_py(), part["tag"][k].as_py()
                     for s, e, h, many in zip(first[keep].tolist(), last[keep].tolist(), value[first[keep]].tolist(), hot[at[first[keep]]].tolist(), strict=True):
                         words = w[s : e + window - 1].tobytes()
                         piece = xxhash.xxh3_64_intdigest(words, seed=1)
                         shard = xxhash.xxh3_64_intdigest(words, seed=h & 0x7FFFFFFF) if many else h
                         out[0].append(doc)
-                        out[1].append(sig)
+                        out[1].append(tag)
                         out[2].append(s)
                         out[3].append(shard - (1 << 64) if shard >> 63 else shard)
                         out[4].append(piece - (1 << 64) if piece >> 63 else piece)
@@ -201,7 +202,7 @@ def _pieces(window: int, run: int):
                         sent.add(piece ^ shard)
                 if len(sent) > 400_000:
                     sent = set()
-                kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], [c.split()[0] for c in _PIECE.split(", ")])
 
     return go
@@ -251,7 +252,7 @@ def _shards(window: int):
 
 
 def _cut(window: int):
-    """Rows (doc_id, sig, text, starts) without the covered words."""
+    """Rows (doc_id, tag, text, starts) without the covered words."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -265,7 +266,7 @@ def _cut(window: int):
                 gone = np.cumsum(edge)[:-1] > 0
                 kept.append(" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g))
                 removed.append(int(gone.sum()))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["sig"], pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "sig", "n_cut", "kept"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["tag"], pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "tag", "n_cut", "kept"])
 
     return go
 
@@ -275,25 +276,26 @@ def dedup_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN, hot: int
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    base = materialize(slim.mapInArrow(_profile(window, run), _BASE), "profiles")
-    firsts = base.where(f"doc_id is not null and n_words >= {window}").groupBy("sig").agg(F.min("doc_id").alias("first"))
-    firsts = materialize(firsts, "firsts")
-    leaders = base.join(firsts, "sig").where("doc_id = first").dropDuplicates(["sig"])
+    tagged = slim.withColumn("tag", F.hash("text"))
+    base = materialize(tagged.mapInArrow(_profile(window, run), _BASE), "profiles")
+    firsts = materialize(base.where(f"doc_id is not null and n_words >= {window}").groupBy("sig").agg(F.min("doc_id").alias("first")), "firsts")
+    leaders = base.join(firsts, "sig").where("doc_id = first")
 
-    each = leaders.select("doc_id", "sig", F.explode("mins").alias("h"))
+    each = leaders.select("doc_id", F.explode("mins").alias("h"))
     often = each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = each.join(often, "h").groupBy("doc_id", "sig").agg(F.collect_list(F.struct("h", (F.col("n") > hot).alias("hot"))).alias("r"))
-    wanted = repeated.select(F.col("doc_id").alias("_doc"), "sig", F.col("r.h").alias("mins"), F.col("r.hot").alias("hot"))
-    hits = slim.join(wanted, slim.doc_id == wanted["_doc"]).drop("_doc")
+    repeated = each.join(often, "h").groupBy("doc_id").agg(F.collect_list(F.struct("h", (F.col("n") > hot).alias("hot"))).alias("r"))
+    wanted = materialize(repeated.select(F.col("doc_id").alias("_doc"), F.col("r.h").alias("mins"), F.col("r.hot").alias("hot")), "wanted")
+    hits = materialize(tagged.join(wanted, tagged.doc_id == wanted["_doc"]).drop("_doc").dropDuplicates(["doc_id", "tag"]), "hits")
     pieces = materialize(hits.mapInArrow(_pieces(window, run), _PIECE), "pieces")
     owners = pieces.groupBy("shard", "piece").agg(F.min("doc_id").alias("owner"), F.first("words", True).alias("words"))
     least = owners.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(_shards(window), "shard long, piece long, least array<long>")
     earlier = F.filter(F.transform("least", lambda m, i: F.when(m < F.col("doc_id"), F.col("start") + i)), lambda x: x.isNotNull())
-    repeats = pieces.drop("words").join(least, ["shard", "piece"]).select("doc_id", "sig", earlier.alias("starts")).where(F.size("starts") > 0)
-    starts = repeats.groupBy("doc_id", "sig").agg(F.flatten(F.collect_list("starts")).alias("starts")).withColumnRenamed("doc_id", "_doc")
-    cut = slim.join(starts, slim.doc_id == starts["_doc"]).drop("_doc").mapInArrow(_cut(window), "doc_id long, sig binary, n_cut long, kept string").dropDuplicates(["doc_id", "sig"])
+    repeats = pieces.drop("words").join(least, ["shard", "piece"]).select("doc_id", "tag", earlier.alias("starts")).where(F.size("starts") > 0)
+    starts = materialize(repeats.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("starts")).alias("starts")), "starts")
+    discard(pieces)
+    cut = hits.select("doc_id", "tag", "text").join(starts, ["doc_id", "tag"]).mapInArrow(_cut(window), "doc_id long, tag int, n_cut long, kept string")
     rows = base.drop("mins").join(firsts, "sig", "left")
-    rows = rows.join(cut.withColumnRenamed("doc_id", "_doc").withColumnRenamed("sig", "_sig"), (F.col("doc_id") == F.col("_doc")) & (F.col("sig") == F.col("_sig")), "left")
+    rows = rows.join(cut.withColumnsRenamed({"doc_id": "_doc", "tag": "_tag"}), (F.col("doc_id") == F.col("_doc")) & (F.col("tag") == F.col("_tag")), "left")
     copy = F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False))
     kept = F.when(copy, "").otherwise(F.col("kept"))
     removed = F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_cut", F.lit(0)))

@@ -45,7 +45,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     key = F.col("doc_id").asc_nulls_first()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = slim.repartitionByRange(parts, key, "text").sortWithinPartitions(key, "text").withColumn("shard", F.spark_partition_id().cast("long"))
+    ordered = slim.repartitionByRange(parts, key).sortWithinPartitions(key, "text").withColumn("shard", F.spark_partition_id().cast("long"))
     options = {"compression": "zstd", "parquet.block.size": row_group_bytes, "parquet.page.row.count.limit": page_rows}
     options |= {"parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary": "false"} if encoding == "delta" else {"parquet.enable.dictionary": "true"}
     ordered.mapInArrow(encode, SCHEMA).write.options(**options).parquet(path)
