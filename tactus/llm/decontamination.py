@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tactus.llm.common import is_small
 
-WINDOW, LITERALS, SHARE, BROADCAST = 8, 5, 0.5, 500_000
+WINDOW, LITERALS, SHARE, BROADCAST = 8, 5, 0.5, 200_000
 #: Units that belong to the number before them.
 UNITS = ("km", "cm", "mm", "m", "kg", "mg", "g", "lb", "oz", "l", "ml", "h", "hours", "hour", "min", "minutes", "s", "seconds", "days", "weeks", "months", "years", "miles", "feet", "meters", "metres", "dollars", "euros", "cents", "percent", "degrees")
 #: A number with its signs and unit, or a word with the sentence end before it.
@@ -58,11 +58,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, l
     tokens = F.slice("raw", F.col("pos") + 1, window)
     spans = items.select("item_id", "item_key", (F.col("n") - (window - 1)).cast("long").alias("n_windows"), F.col("pos").alias("item_pos"), "h", tokens.alias("item_raw"), F.transform(tokens, canonical).alias("item_template"))
     spans = spans.where(F.size(F.filter("item_template", lambda x: ~x.startswith("<"))) >= literals)
-    if is_small(spans, BROADCAST):
-        spans = F.broadcast(spans)
+    small = is_small(spans, BROADCAST)
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     rows = _spans(texts, F.col("text"), window).drop("text", "n")
-    hits = rows.join(spans, "h").select("doc_id", "text_key", "item_id", "item_key", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_raw", "item_template", tokens.alias("doc_raw"), F.transform(tokens, canonical).alias("doc_template"))
+    # a window's tokens are cut out after a broadcast join, and before a shuffle, so that no shuffled row carries its whole document
+    cut = [c for c in rows.columns if c != "raw"] + [tokens.alias("doc_raw")]
+    hits = rows.join(F.broadcast(spans), "h").withColumn("doc_raw", tokens) if small else rows.select(*cut).join(spans, "h")
+    hits = hits.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_raw", "item_template", "doc_raw", F.transform("doc_raw", canonical).alias("doc_template"))
     hits = hits.where("doc_template = item_template")
     value = lambda side: F.transform(_slots(F.col(f"{side}_raw"), F.col(f"{side}_template")), lambda p: p["value"])
     pairs = F.zip_with(value("item"), value("doc"), lambda a, b: F.struct(a.alias("item"), b.alias("doc")))

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -166,7 +167,7 @@ def test_lines_equal_brute_force(spark, rows):
 # --- decontamination
 
 
-def test_contamination_of_copies_and_rewritten_questions(spark, rows):
+def test_contamination_of_copies_and_rewritten_questions(spark, rows, monkeypatch):
     item = "Anna has 12 apples and buys 5 kg of rice, then Anna gives 12 of her apples away to the poor. How many are left for the whole long winter"
     other = item.replace("Anna", "Zoe").replace("12", "37").replace("5 kg", "9 km")
     broken = item.replace("12 of", "13 of").replace("Anna gives", "Bob gives")
@@ -175,6 +176,9 @@ def test_contamination_of_copies_and_rewritten_questions(spark, rows):
     found = {(i, k) for i, k in read(decontamination.contamination(rows(pairs), bench), "doc_id", "item_id")}
     assert {(1, 0), (2, 0), (7, 0)} <= found and not {i for i, _ in found} & {4, 5, 6}
     assert (3, 0) not in found
+    decontamination_rows = sorted(read(decontamination.contamination(rows(pairs), bench), "doc_id", "item_id", "n_matched"))
+    monkeypatch.setattr(decontamination, "BROADCAST", 0)
+    assert sorted(read(decontamination.contamination(rows(pairs), bench), "doc_id", "item_id", "n_matched")) == decontamination_rows
     assert decontamination.contamination(rows(pairs), bench.limit(0)).count() == 0
     assert decontamination.contamination(rows([]), bench).count() == 0
 
@@ -324,6 +328,19 @@ def test_toxicity_rows_keep_their_number(spark, rows):
     assert len(out) == 4 and all(0 <= s <= 1 for _, s in out)
 
 
+def test_patterns_equal_their_plain_forms_and_are_linear():
+    email, ip = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    r = random.Random(9)
+    for _ in range(4000):
+        text = "".join(r.choice("aZ1.@_%- 2") for _ in range(r.randint(0, 40)))
+        assert [m.span() for m in pii._emails(text)] == [m.span() for m in email.finditer(text)]
+        text = "".join(r.choice("12.. ") for _ in range(r.randint(0, 40)))
+        assert [m.span() for m in pii._IP.finditer(text)] == [m.span() for m in ip.finditer(text)]
+    began = time.time()
+    assert len(pii.base_spans(f"{'a' * 1_000_000} @ {'1.' * 2}{'7' * 1_000_000} b@c.de")) == 1
+    assert time.time() - began < 5
+
+
 def test_base_spans():
     text = "a.b@c-d.example.org, 10.0.0.300 10.0.0.1 +1 (403) 555-9312 4111 1111 1111 1111 4111111111111112"
     shown = [(pii.KINDS[k], text[s:e]) for s, k, e in pii.base_spans(text)]
