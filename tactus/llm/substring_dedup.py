@@ -285,7 +285,10 @@ def dedup_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN, hot: int
     often = each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     repeated = each.join(often, "h").groupBy("doc_id").agg(F.collect_list(F.struct("h", (F.col("n") > hot).alias("hot"))).alias("r"))
     wanted = materialize(repeated.select(F.col("doc_id").alias("_doc"), F.col("r.h").alias("mins"), F.col("r.hot").alias("hot")), "wanted")
+    slim_base = materialize(base.drop("mins"), "rows")
+    discard(base)
     hits = materialize(tagged.join(wanted, tagged.doc_id == wanted["_doc"]).drop("_doc").dropDuplicates(["doc_id", "tag"]), "hits")
+    discard(wanted)
     pieces = materialize(hits.mapInArrow(_pieces(window, run), _PIECE), "pieces")
     owners = pieces.groupBy("shard", "piece").agg(F.min("doc_id").alias("owner"), F.first("words", True).alias("words"))
     least = owners.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(_shards(window), "shard long, piece long, least array<long>")
@@ -294,7 +297,7 @@ def dedup_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN, hot: int
     starts = materialize(repeats.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("starts")).alias("starts")), "starts")
     discard(pieces)
     cut = hits.select("doc_id", "tag", "text").join(starts, ["doc_id", "tag"]).mapInArrow(_cut(window), "doc_id long, tag int, n_cut long, kept string")
-    rows = base.drop("mins").join(firsts, "sig", "left")
+    rows = slim_base.join(firsts, "sig", "left")
     rows = rows.join(cut.withColumnsRenamed({"doc_id": "_doc", "tag": "_tag"}), (F.col("doc_id") == F.col("_doc")) & (F.col("tag") == F.col("_tag")), "left")
     copy = F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False))
     kept = F.when(copy, "").otherwise(F.col("kept"))
