@@ -110,7 +110,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words, and the offsets of each text's."""
     cut = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
     values = cut.flatten().dictionary_encode()
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in values.dictionary.to_pylist()], np.uint64)
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in values.dictionary.cast(pa.binary()).to_pylist()], np.uint64)
     code = values.indices.to_numpy()
     ends = cut.offsets.to_numpy().astype(np.int64) - cut.offsets[0].as_py()
     real = pc.not_equal(values.dictionary, "").to_numpy(zero_copy_only=False).astype(bool)
@@ -122,13 +122,18 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def minimizers(word: np.ndarray, window: int, run: int) -> tuple[np.ndarray, np.ndarray]:
     """For each window of a word sequence, the place and value of its minimizer (the first of equal ones)."""
-    rolled = word
+    if len(word) < window:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    value = word
     for i in range(1, run):
-        rolled = mixed(rolled[: len(word) - i] * _A + word[i:])
-    views = np.lib.stride_tricks.sliding_window_view(rolled, window - run + 1)
-    at = views.argmin(1)
-    place = np.arange(len(at)) + at
-    return place, rolled[place]
+        value = mixed(value[: len(word) - i] * _A + word[i:])
+    place, width, wide = np.arange(len(value)), 1, window - run + 1
+    while width < wide:  # the least of twice as many places each time
+        step = min(width, wide - width)
+        later = value[step:] < value[:-step]
+        place, value = np.where(later, place[step:], place[:-step]), np.where(later, value[step:], value[:-step])
+        width += step
+    return place, value
 
 
 _BASE = "doc_id long, tag int, sig binary, n_words long, kept_sha256 string, mins array<long>"
@@ -140,14 +145,16 @@ def _profile(window: int, run: int):
         for batch in batches:
             for part in slices(batch, 2048, 8 << 20):
                 word, ends = word_hashes(part["text"])
+                place, value = minimizers(word, window, run)  # of all texts at once; windows across two texts are passed over
+                new = np.concatenate([[True], place[1:] != place[:-1]])
                 sig, sha, size, mins = [], [], [0], []
-                for a, b, text in zip(ends[:-1].tolist(), ends[1:].tolist(), part["text"].to_pylist(), strict=True):
-                    w = word[a:b]
-                    sig.append(hashlib.blake2b(w.tobytes(), digest_size=16).digest())
-                    sha.append(hashlib.sha256(" ".join(_words(text)).encode("utf-8", "surrogatepass")).hexdigest())
+                for a, b, words in zip(ends[:-1].tolist(), ends[1:].tolist(), _words(part["text"]), strict=True):
+                    sig.append(hashlib.blake2b(word[a:b].tobytes(), digest_size=16).digest())
+                    sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
                     if b - a >= window:
-                        place, value = minimizers(w, window, run)
-                        found = np.unique(value[np.concatenate([[True], place[1:] != place[:-1]])])
+                        new[a] = True
+                        own = slice(a, b - window + 1)
+                        found = np.unique(value[own][new[own]])
                         mins.append(found)
                         size.append(size[-1] + len(found))
                     else:
@@ -158,11 +165,9 @@ def _profile(window: int, run: int):
     return go
 
 
-_SPACES = str.maketrans(dict.fromkeys("\t\n\x0b\x0c\r", " "))
-
-
-def _words(text: str | None) -> list[str]:
-    return [w for w in (text or "").translate(_SPACES).split(" ") if w]
+def _words(texts: pa.Array) -> Iterator[list[bytes]]:
+    """The words of each text as bytes, whose split knows ASCII white space alone."""
+    return ((t or b"").split() for t in texts.cast(pa.binary()).to_pylist())
 
 
 def _pieces(window: int, run: int):
@@ -173,12 +178,12 @@ def _pieces(window: int, run: int):
         for batch in batches:
             for part in slices(batch, 1024, 8 << 20):
                 word, ends = word_hashes(part["text"])
+                places, values = minimizers(word, window, run)
                 out: list[list] = [[] for _ in range(6)]
                 for k, (a, b, mins, hot) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), part["mins"].to_pylist(), part["hot"].to_pylist(), strict=True)):
                     if b - a < window:
                         continue
-                    w = word[a:b]
-                    place, value = minimizers(w, window, run)
+                    w, place, value = word[a:b], places[a : b - window + 1], values[a : b - window + 1]
                     wanted = np.array(mins, np.int64).view(np.uint64)
                     order = np.argsort(wanted)
                     wanted, hot = wanted[order], np.array(hot)[order]
@@ -257,16 +262,15 @@ def _cut(window: int):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, removed = [], []
-            for text, starts in zip(batch["text"].to_pylist(), batch["starts"].to_pylist(), strict=True):
-                words = _words(text)
+            for words, starts in zip(_words(batch["text"]), batch["starts"].to_pylist(), strict=True):
                 edge = np.zeros(len(words) + 1, np.int64)
                 at = np.unique(np.array(starts, np.int64))
                 np.add.at(edge, at, 1)
                 np.add.at(edge, at + window, -1)
                 gone = np.cumsum(edge)[:-1] > 0
-                kept.append(" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g))
+                kept.append(b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g))
                 removed.append(int(gone.sum()))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["tag"], pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "tag", "n_cut", "kept"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["tag"], pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "tag", "n_cut", "kept"])
 
     return go
 
@@ -291,11 +295,12 @@ def dedup_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN, hot: int
     discard(wanted)
     pieces = materialize(hits.mapInArrow(_pieces(window, run), _PIECE), "pieces")
     owners = pieces.groupBy("shard", "piece").agg(F.min("doc_id").alias("owner"), F.first("words", True).alias("words"))
-    least = owners.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(_shards(window), "shard long, piece long, least array<long>")
+    least = materialize(owners.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(_shards(window), "shard long, piece long, least array<long>"), "least")
     earlier = F.filter(F.transform("least", lambda m, i: F.when(m < F.col("doc_id"), F.col("start") + i)), lambda x: x.isNotNull())
     repeats = pieces.drop("words").join(least, ["shard", "piece"]).select("doc_id", "tag", earlier.alias("starts")).where(F.size("starts") > 0)
     starts = materialize(repeats.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("starts")).alias("starts")), "starts")
     discard(pieces)
+    discard(least)
     cut = hits.select("doc_id", "tag", "text").join(starts, ["doc_id", "tag"]).mapInArrow(_cut(window), "doc_id long, tag int, n_cut long, kept string")
     rows = slim_base.join(firsts, "sig", "left")
     rows = rows.join(cut.withColumnsRenamed({"doc_id": "_doc", "tag": "_tag"}), (F.col("doc_id") == F.col("_doc")) & (F.col("tag") == F.col("_tag")), "left")
