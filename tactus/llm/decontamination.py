@@ -39,9 +39,10 @@ def canonical(x: Column) -> Column:
 
 def _spans(rows: DataFrame, text: Column, window: int) -> DataFrame:
     """Adds raw (the tokens), n (their number) and a row per window: pos (from 1) and the hash of its template."""
-    rows = rows.withColumn("raw", F.regexp_extract_all(F.concat(F.lit("\n"), text), F.lit(TOKEN), F.lit(0))).withColumn("n", F.size("raw")).where(F.col("n") >= window)
+    rows = rows.withColumn("raw", F.regexp_extract_all(F.concat(F.lit("\n"), text), F.lit(TOKEN), F.lit(0))).withColumn("n", F.size("raw"))
     rows = rows.withColumn("hashes", F.transform("raw", lambda x: F.xxhash64(canonical(x))))
-    hashed = F.transform(F.sequence(F.lit(1), F.col("n") - (window - 1)), lambda i: F.xxhash64(F.slice("hashes", i, window)))
+    starts = F.when(F.col("n") >= window, F.sequence(F.lit(0), F.col("n") - window))
+    hashed = F.transform(starts, lambda i: F.xxhash64(*(F.get("hashes", i + k) for k in range(window))))  # slices would copy the whole array each
     return rows.select(*(c for c in rows.columns if c != "hashes"), F.posexplode(hashed).alias("pos", "h"))
 
 

@@ -25,7 +25,8 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def covered_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """doc_id, text_key, covered: the 0-based numbers of the lines to remove, for documents that have any."""
     lines = _lines(docs, id_col, text_col).where(F.size("lines") >= window)
-    spans = F.transform(F.sequence(F.lit(1), F.size("lines") - (window - 1)), lambda i: F.slice("lines", i, window))
+    starts = F.sequence(F.lit(0), F.size("lines") - window)
+    spans = F.transform(starts, lambda i: F.array(*(F.get("lines", i + k) for k in range(window))))  # slices would copy the whole array each
     each = lines.select("doc_id", "text_key", F.posexplode(spans).alias("pos", "span")).where(F.trim(F.array_join("span", "")) != "")
     placed = each.select(F.xxhash64("span").alias("h1"), F.xxhash64(F.lit("second"), "span").alias("h2"), F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("d"), F.col("text_key").alias("k"), F.col("pos").alias("p")).alias("place"), "doc_id")
     first = placed.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
@@ -39,7 +40,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = F.split(text_col, "\n", -1)
     rows = docs.join(covered, F.col(id_col).cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text_col) == F.col("_key")), "left")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "covered")
-    text = F.when(F.col("covered").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    # the transform of one element splits a text once; named in the inner function itself, the split would be made anew for each line
+    left = F.transform(F.array(lines), lambda x: F.array_join(F.transform(kept, lambda i: F.get(x, i)), "\n"))
+    text = F.when(F.col("covered").isNull(), F.col(text_col)).otherwise(F.get(left, F.lit(0)))
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long")
     counts = [n_lines.alias("n_lines"), F.coalesce(F.size("covered"), F.lit(0)).cast("long").alias("n_removed")]
     return rows.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")), *counts)
