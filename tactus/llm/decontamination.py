@@ -38,12 +38,17 @@ def canonical(x: Column) -> Column:
 
 
 def _spans(rows: DataFrame, text: Column, window: int) -> DataFrame:
-    """Adds raw (the tokens), n (their number) and a row per window: pos (from 1) and the hash of its template."""
-    rows = rows.withColumn("raw", F.regexp_extract_all(F.concat(F.lit("\n"), text), F.lit(TOKEN), F.lit(0))).withColumn("n", F.size("raw"))
-    rows = rows.withColumn("hashes", F.transform("raw", lambda x: F.xxhash64(canonical(x))))
+    """Adds n (the number of tokens) and a row per window: pos, its tokens and the hash of its template.
+
+    A window takes its tokens along, so that neither its row nor a shuffle carries the whole text; it gets them by element,
+    as a slice would copy the whole array for each window."""
+    raw = F.regexp_extract_all(F.concat(F.lit("\n"), text), F.lit(TOKEN), F.lit(0))
+    names = [c for c in rows.columns if c != "text"]
+    rows = rows.withColumn("raw", raw).withColumn("n", F.size("raw")).withColumn("hashes", F.transform("raw", lambda x: F.xxhash64(canonical(x))))
     starts = F.when(F.col("n") >= window, F.sequence(F.lit(0), F.col("n") - window))
-    hashed = F.transform(starts, lambda i: F.xxhash64(*(F.get("hashes", i + k) for k in range(window))))  # slices would copy the whole array each
-    return rows.select(*(c for c in rows.columns if c != "hashes"), F.posexplode(hashed).alias("pos", "h"))
+    each = lambda array, i: [F.get(array, i + k) for k in range(window)]
+    spans = F.transform(starts, lambda i: F.struct(F.xxhash64(*each("hashes", i)).alias("h"), F.array(*each("raw", i)).alias("tokens")))
+    return rows.select(*names, "n", F.posexplode(spans).alias("pos", "span")).select(*names, "n", "pos", "span.h", "span.tokens")
 
 
 def _slots(raw: Column, template: Column) -> Column:
@@ -55,19 +60,17 @@ def _slots(raw: Column, template: Column) -> Column:
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literals: int = LITERALS, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key, item_id, n_matched, n_windows of each document and item that share enough windows."""
     known = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text").distinct()
-    items = _spans(known.withColumn("item_key", F.xxhash64("text")), F.col("text"), window).drop("text")
-    tokens = F.slice("raw", F.col("pos") + 1, window)
-    spans = items.select("item_id", "item_key", (F.col("n") - (window - 1)).cast("long").alias("n_windows"), F.col("pos").alias("item_pos"), "h", tokens.alias("item_raw"), F.transform(tokens, canonical).alias("item_template"))
+    items = _spans(known.withColumn("item_key", F.xxhash64("text")), F.col("text"), window)
+    spans = items.select("item_id", "item_key", (F.col("n") - (window - 1)).cast("long").alias("n_windows"), F.col("pos").alias("item_pos"), "h", F.col("tokens").alias("item_raw"), F.transform("tokens", canonical).alias("item_template"))
     spans = spans.where(F.size(F.filter("item_template", lambda x: ~x.startswith("<"))) >= literals)
-    small = is_small(spans, BROADCAST)
+    if is_small(spans, BROADCAST):
+        spans = F.broadcast(spans)
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
-    rows = _spans(texts, F.col("text"), window).drop("text", "n")
-    # a window's tokens are cut out after a broadcast join, and before a shuffle, so that no shuffled row carries its whole document
-    cut = [c for c in rows.columns if c != "raw"] + [tokens.alias("doc_raw")]
-    hits = rows.join(F.broadcast(spans), "h").withColumn("doc_raw", tokens) if small else rows.select(*cut).join(spans, "h")
-    hits = hits.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_raw", "item_template", "doc_raw", F.transform("doc_raw", canonical).alias("doc_template"))
-    hits = hits.where("doc_template = item_template")
-    value = lambda side: F.transform(_slots(F.col(f"{side}_raw"), F.col(f"{side}_template")), lambda p: p["value"])
+    hits = _spans(texts, F.col("text"), window).join(spans, "h")
+    hits = hits.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_raw", "item_template", F.col("tokens").alias("doc_raw"))
+    # element by element: as an equality of arrays it would become a join key, made for every window
+    hits = hits.where(F.forall(F.zip_with("doc_raw", "item_template", lambda x, t: canonical(x) == t), lambda same: same))
+    value = lambda side: F.transform(_slots(F.col(f"{side}_raw"), F.col("item_template")), lambda p: p["value"])
     pairs = F.zip_with(value("item"), value("doc"), lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
     # one alignment of a document with an item has at most the item's windows
     lines = hits.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "item_pos", "shift", pairs.alias("pairs")).groupBy("doc_id", "text_key", "item_id", "item_key", "n_windows", "shift").agg(F.collect_set("item_pos").alias("found"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
