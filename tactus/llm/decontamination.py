@@ -25,6 +25,8 @@ UNITS = ("km", "cm", "mm", "m", "kg", "mg", "g", "lb", "oz", "l", "ml", "h", "ho
 #: A number with its signs and unit, or a word with the sentence end before it.
 TOKEN = r"(?:[$€£] ?)?[0-9]+(?:[.,][0-9]+)*(?: ?(?:%|°|(?:" + "|".join(UNITS) + r")\b))?|(?:[.!?:\n]\s*)?\p{L}[\p{L}\p{M}]*"
 _ENDS = ".!?: \n\r\t"
+#: Between a window's tokens, which never hold it: one string a window takes far less memory than an array of them.
+_BETWEEN = "\x01"
 
 
 def canonical(x: Column) -> Column:
@@ -38,7 +40,7 @@ def canonical(x: Column) -> Column:
 
 
 def _spans(rows: DataFrame, text: Column, window: int) -> DataFrame:
-    """Adds n (the number of tokens) and a row per window: pos, its tokens and the hash of its template.
+    """Adds n (the number of tokens) and a row per window: pos, its tokens (joined by ``_BETWEEN``) and the hash of its template.
 
     A window takes its tokens along, so that neither its row nor a shuffle carries the whole text; it gets them by element,
     as a slice would copy the whole array for each window."""
@@ -47,7 +49,7 @@ def _spans(rows: DataFrame, text: Column, window: int) -> DataFrame:
     rows = rows.withColumn("raw", raw).withColumn("n", F.size("raw")).withColumn("hashes", F.transform("raw", lambda x: F.xxhash64(canonical(x))))
     starts = F.when(F.col("n") >= window, F.sequence(F.lit(0), F.col("n") - window))
     each = lambda array, i: [F.get(array, i + k) for k in range(window)]
-    spans = F.transform(starts, lambda i: F.struct(F.xxhash64(*each("hashes", i)).alias("h"), F.array(*each("raw", i)).alias("tokens")))
+    spans = F.transform(starts, lambda i: F.struct(F.xxhash64(*each("hashes", i)).alias("h"), F.concat_ws(_BETWEEN, *each("raw", i)).alias("tokens")))
     return rows.select(*names, "n", F.posexplode(spans).alias("pos", "span")).select(*names, "n", "pos", "span.h", "span.tokens")
 
 
@@ -61,13 +63,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, l
     """doc_id, text_key, item_id, n_matched, n_windows of each document and item that share enough windows."""
     known = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text").distinct()
     items = _spans(known.withColumn("item_key", F.xxhash64("text")), F.col("text"), window)
-    spans = items.select("item_id", "item_key", (F.col("n") - (window - 1)).cast("long").alias("n_windows"), F.col("pos").alias("item_pos"), "h", F.col("tokens").alias("item_raw"), F.transform("tokens", canonical).alias("item_template"))
+    spans = items.select("item_id", "item_key", (F.col("n") - (window - 1)).cast("long").alias("n_windows"), F.col("pos").alias("item_pos"), "h", F.split("tokens", _BETWEEN).alias("item_raw"))
+    spans = spans.withColumn("item_template", F.transform("item_raw", canonical))
     spans = spans.where(F.size(F.filter("item_template", lambda x: ~x.startswith("<"))) >= literals)
     if is_small(spans, BROADCAST):
         spans = F.broadcast(spans)
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     hits = _spans(texts, F.col("text"), window).join(spans, "h")
-    hits = hits.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_raw", "item_template", F.col("tokens").alias("doc_raw"))
+    hits = hits.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_raw", "item_template", F.split("tokens", _BETWEEN).alias("doc_raw"))
     # element by element: as an equality of arrays it would become a join key, made for every window
     hits = hits.where(F.forall(F.zip_with("doc_raw", "item_template", lambda x, t: canonical(x) == t), lambda same: same))
     value = lambda side: F.transform(_slots(F.col(f"{side}_raw"), F.col("item_template")), lambda p: p["value"])
