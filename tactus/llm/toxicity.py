@@ -3,9 +3,10 @@
 Two zstandard dictionaries are trained, on ordinary and on toxic text. A text is cut into windows of ``WORDS`` words; each
 window is compressed with either, and the bytes that the toxic dictionary saves are its margin. The toxic dictionary
 holds the ordinary one's content after what training found in toxic text, so that a window of ordinary words has the
-same length under both and noise stays near zero. What toxic text is beyond ordinary text is learned too: the words
-whose share of toxic documents exceeds that of ordinary ones by far; dictionaries are trained on them in rounds, each on the words
-that those before don't shorten. A document's score is a logistic function of its margins, fitted on the labels.
+same length under both and noise stays near zero. What toxic text is beyond ordinary text is learned too: the stems (beginnings
+of words, and whole words) that a larger share of toxic than of ordinary texts holds, at a fixed level of significance for each by itself,
+however many they are and whatever others hold; the dictionary is trained on them in rounds, each on those that the ones before don't shorten, and
+holds each once. A document's score is a logistic function of its margins and of the density of words with such stems, fitted on the labels.
 
 Only labels of documents outside the held-out fold are learned from, in a sample of at most about ``SAMPLE`` documents
 a class (chosen by a hash of the id) of at most ``LONGEST`` characters; all texts are scored whole. Null and empty
@@ -19,6 +20,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +32,13 @@ from pyspark.sql import functions as F
 from tactus.llm.common import held_out
 from tactus.llm.tokens import slices
 
-WORDS, STEP, LEVEL = 12, 10, 6
+WORDS, STEP, LEVEL, FEATURES = 12, 10, 6, 10
 ORDINARY_BYTES, ROUND_BYTES, ROUNDS = 8192, 1024, 12
 SAMPLE, LONGEST = 2500, 50_000
+#: Least and greatest characters of a stem; the chance that any stem is taken for toxic wrongly.
+STEM, LONGEST_STEM, LEVEL_OF_ALL = 4, 12, 0.05
 _EDGE = ".,;:!?\"'()"
+_IS_EDGE = np.isin(np.arange(256), list(_EDGE.encode()))
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -50,12 +55,16 @@ def _lengths(use: zstandard.ZstdCompressor, data: bytes, at: np.ndarray, size: n
     return np.array([len(x) for x in done], np.int64)
 
 
+def _words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each run of bytes above white space."""
+    word = np.frombuffer(text, np.uint8) > 32
+    edge = np.diff(np.concatenate([[False], word, [False]]).astype(np.int8))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
 def windows(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Start and size in bytes of the windows of a lower-case text with single-byte white space between words."""
-    raw = np.frombuffer(text, np.uint8)
-    word = raw > 32
-    edge = np.diff(np.concatenate([[False], word, [False]]).astype(np.int8))
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    start, end = _words(text)
     if not len(start):
         return start, end
     first = np.arange(0, max(1, len(start) - (WORDS - STEP)), STEP)
@@ -67,6 +76,7 @@ class Model:
     ordinary: bytes
     toxic: bytes
     weights: tuple[float, ...] = ()
+    stems: dict[str, float] | None = None
 
     def margins(self, data: bytes, at: np.ndarray, size: np.ndarray) -> np.ndarray:
         if not hasattr(self, "_use"):
@@ -74,22 +84,41 @@ class Model:
         return _lengths(self._use[0], data, at, size) - _lengths(self._use[1], data, at, size)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_use"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_use", "_first")}
+
+    def found(self, text: bytes) -> int:
+        """How many words of a lower-case text begin with a marked stem. Only words with the first bytes of one are looked at."""
+        start, end = _words(text)
+        if not self.stems or not len(start):
+            return 0
+        if not hasattr(self, "_first"):
+            self._first = np.array(sorted({x.strip().encode()[:4].ljust(4, b"\0") for x in self.stems})).view(np.uint32)
+        raw = np.frombuffer(text + bytes(4), np.uint8)
+        at, to = start.copy(), end.copy()
+        while (cut := (at < to) & _IS_EDGE[raw[at]]).any():
+            at += cut
+        while (cut := (at < to) & _IS_EDGE[raw[to - 1]]).any():
+            to -= cut
+        first = np.lib.stride_tricks.sliding_window_view(raw, 4)[at] * (np.arange(4) < (to - at)[:, None])
+        hit = np.flatnonzero(np.isin(first.astype(np.uint8).view(np.uint32)[:, 0], self._first) & (at < to))
+        return sum(_held(text[i:j].decode("utf-8", "replace"), self.stems) is not None for i, j in zip(at[hit].tolist(), to[hit].tolist(), strict=True))
 
     def features(self, texts: list[bytes]) -> np.ndarray:
-        """A row per text: largest margin, mean of the three largest, logs of the numbers of windows with margins of three and of five bytes, log of windows."""
+        """A row per text: largest margin, mean of the three largest, logs of the numbers of windows with margins of three and of five bytes, log of
+        windows; then the density, which length doesn't change: roots of the shares of windows with such margins, of the mean margin,
+        and of the words a window that begin with a marked stem; log of the number of such words."""
         spans = [windows(t) for t in texts]
         base = np.cumsum([0, *map(len, texts)])
         at = np.concatenate([s[0] + b for s, b in zip(spans, base, strict=False)]) if texts else np.zeros(0, np.int64)
         size = np.concatenate([s[1] for s in spans]) if texts else at
         m = self.margins(b"".join(texts), at, size)
-        out, k = np.zeros((len(texts), 5)), 0
+        out, k = np.zeros((len(texts), FEATURES)), 0
         for i, (s, _) in enumerate(spans):
             own = m[k : k + len(s)]
             k += len(s)
             if len(own):
                 top = np.sort(own)[::-1][:3]
-                out[i] = max(top[0], 0), max(top.sum() / 3, 0), math.log1p((own >= 3).sum()), math.log1p((own >= 5).sum()), math.log1p(len(own))
+                out[i] = max(top[0], 0), max(top.sum() / 3, 0), math.log1p((own >= 3).sum()), math.log1p((own >= 5).sum()), math.log1p(len(own)), *np.sqrt([(own >= 3).mean(), (own >= 5).mean(), np.maximum(own, 0).mean(), (held := self.found(texts[i])) / len(own)]), math.log1p(held)
         return out
 
     def scores(self, x: np.ndarray) -> np.ndarray:
@@ -121,47 +150,77 @@ def _train_dictionary(size: int, samples: list[bytes]) -> bytes:
     return b""
 
 
+def _stems(word: str) -> list[str]:
+    """A word's beginnings from ``STEM`` characters on, and the word itself with a space after it."""
+    w = word.strip(_EDGE)
+    return [*(w[:k] for k in range(STEM, min(len(w), LONGEST_STEM) + 1)), w + " "] if w else []
+
+
+def _root(a: np.ndarray, b: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    """Signed root of the likelihood ratio of a of n1 toxic and b of n0 ordinary documents; standard normal where both have the same share, also if rare."""
+    part = lambda k, n, p: np.where(k > 0, k * np.log(np.maximum(p, 1e-300)), 0) + np.where(n > k, (n - k) * np.log(np.maximum(1 - p, 1e-300)), 0)
+    both = (a + b) / (n1 + n0)
+    g = 2 * (part(a, n1, a / n1) + part(b, n0, b / n0) - part(a, n1, both) - part(b, n0, both))
+    return np.sqrt(np.maximum(g, 0)) * np.sign(a / n1 - b / n0)
+
+
+def _marked(texts: list[bytes], labels: np.ndarray) -> dict[str, float]:
+    """Stems, with their roots, that more toxic than ordinary texts hold, at a chance of ``LEVEL_OF_ALL`` that any of all stems is taken wrongly. Equal texts count once."""
+    once = {}
+    for t, v in zip(texts, labels, strict=True):
+        once[t] = max(once.get(t, 0), int(v))
+    seen = {0: Counter(), 1: Counter()}
+    for t, v in once.items():
+        seen[v].update({x for w in set(t.decode("utf-8", "replace").split()) for x in _stems(w)})
+    n1 = sum(once.values())
+    if not seen[1] or n1 == len(once):
+        return dict.fromkeys(seen[1], 0.0)
+    found = list(seen[1])
+    z = _root(np.array([seen[1][x] for x in found], float), np.array([seen[0][x] for x in found], float), n1, len(once) - n1)
+    least = NormalDist().inv_cdf(1 - LEVEL_OF_ALL / len(found))
+    return {x: float(v) for x, v in zip(found, z, strict=True) if v >= least}
+
+
+def _held(word: str, marked: dict[str, float]) -> str | None:
+    """The marked stem of a word that tells most, the longest of equal ones."""
+    return max((x for x in reversed(_stems(word)) if x in marked), key=marked.get, default=None)
+
+
 def fit(rows: list[tuple[str | None, int]], share: float | None = None, seed: int = 7) -> Model:
     """A model from (text, label) rows; ``share``: of label 1 among all labelled rows, where the sample has another."""
     texts, labels = [plain(t) for t, _ in rows], np.array([int(v) for _, v in rows], float)
     if not len(labels) or labels.min() == labels.max():
-        return Model(b"", b"", (30.0 if len(labels) and labels[0] else -30.0, 0, 0, 0, 0, 0))
-    seen = {0: Counter(), 1: Counter()}
-    for t, v in zip(texts, labels, strict=True):
-        seen[int(v)].update({w.strip(_EDGE) for w in t.decode("utf-8", "replace").split()})
+        return Model(b"", b"", (30.0 if len(labels) and labels[0] else -30.0, *[0.0] * FEATURES))
     n1, n0 = labels.sum(), len(labels) - labels.sum()
-    z = {}
-    for w, a in seen[1].items():
-        if w and a >= 3:
-            p = (a + seen[0][w]) / (n1 + n0)
-            z[w] = (a / n1 - seen[0][w] / n0) / math.sqrt(max(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
-    least = max(4.0, max(z.values(), default=0.0) / 2)
-    marked = {w for w in z if z[w] >= least}
+    marked = _marked(texts, labels)
     rng = np.random.default_rng(seed)
     plain_windows, toxic_words = [], []
     for t, v in zip(texts, labels, strict=True):
         if v:
-            toxic_words += [b" " + w.strip(_EDGE).encode() + b" " for w in t.decode("utf-8", "replace").split() if w.strip(_EDGE) in marked]
+            held = (_held(w, marked) for w in t.decode("utf-8", "replace").split())
+            toxic_words += [b" " + x.encode() for x in held if x]
         else:
             at, size = windows(t)
             plain_windows += [t[i : i + n] for i, n in zip(at.tolist(), size.tolist(), strict=True)]
     rng.shuffle(plain_windows)
     model = Model(_train_dictionary(ORDINARY_BYTES, plain_windows[:40_000]), b"")
-    rest = toxic_words
+    often = Counter(toxic_words)
+    whole = b"".join(sorted(often, key=lambda w: (often[w], w)))  # each of them once, the most frequent where a match costs least
+    rest, trained = toxic_words, b""
     for _ in range(ROUNDS):  # until every toxic sample is shortened
         if not rest:
             break
-        model = Model(model.ordinary, _train_dictionary(ROUND_BYTES, rest) + model.toxic)
+        trained = _train_dictionary(ROUND_BYTES, rest) + trained
         size = np.array([len(w) for w in rest])
-        saved = model.margins(b"".join(rest), np.cumsum(size) - size, size)
+        saved = Model(model.ordinary, trained).margins(b"".join(rest), np.cumsum(size) - size, size)
         left = [w for w, s in zip(rest, saved, strict=True) if s < 2]
-        if len(left) == len(rest):  # training passed them over: they go in as they are
-            model = Model(model.ordinary, b"".join(dict.fromkeys(left))[:ROUND_BYTES] + model.toxic)
+        if len(left) == len(rest):  # training passed them over
             break
         rest = left
+    model = Model(model.ordinary, trained + whole, (), marked)
     x = model.features(texts)
     share = n1 / len(labels) if share is None else share
-    return Model(model.ordinary, model.toxic, _logistic(x, labels, np.where(labels == 1, share / n1, (1 - share) / n0) * len(labels)))
+    return Model(model.ordinary, model.toxic, weights=_logistic(x, labels, np.where(labels == 1, share / n1, (1 - share) / n0) * len(labels)), stems=marked)
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Model:

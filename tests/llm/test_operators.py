@@ -322,6 +322,26 @@ def test_toxicity_on_held_out_texts():
     assert toxicity.fit([]).weights[0] < 0 and toxicity.fit([("x", 1)]).weights[0] > 0
 
 
+def test_toxicity_of_rare_stems_with_many_forms():
+    """A second vocabulary's toxic stem is far rarer than the first one's insults and stands in a different form each time."""
+    r = random.Random(4)
+    other = [w[::-1] + "u" for w in WORDS]
+
+    def text(i, toxic):
+        rare = i % 6 == 0
+        w = [r.choice(other) for _ in range(r.randint(80, 160))] if rare else prose(i, r.randint(80, 160)).split(" ")
+        for _ in range(4 if toxic else 0):
+            w.insert(r.randrange(len(w)), "grolbex" + r.choice(other) + r.choice(other) if rare else r.choice(["grumblefuss", "snotwaffle"]))
+        return " ".join(w), int(toxic), rare
+
+    rows = [text(i, i % 4 == 0) for i in range(1200)]
+    model = toxicity.fit([(t, v) for t, v, _ in rows[:800]])
+    found = model.scores(model.features([toxicity.plain(t) for t, _, _ in rows[800:]])) >= 0.5
+    hit = {k: [bool(f) for f, (_, v, rare) in zip(found, rows[800:], strict=True) if (v, rare) == k] for k in ((0, False), (0, True), (1, False), (1, True))}
+    assert min(map(len, hit.values())) >= 30
+    assert all(sum(x) >= 0.9 * len(x) for k, x in hit.items() if k[0]) and all(sum(x) <= 0.05 * len(x) for k, x in hit.items() if not k[0])
+
+
 def test_toxicity_rows_keep_their_number(spark, rows):
     model = toxicity.fit([(prose(i, 30) + (" grumblefuss" * 3 if i % 2 else ""), i % 2) for i in range(60)])
     out = read(toxicity.score(rows([(1, None), (1, None), (None, "x"), (2, prose(1, 5000))]), model), "doc_id", "score")
