@@ -4,8 +4,9 @@ A text becomes a sequence of tokens: words, and numbers with the unit or currenc
 number, ``<qty>`` for a number with a unit, ``<name>`` for a capitalised word inside a sentence, and lower-case words. Windows of
 ``WINDOW`` template tokens are hash-joined with the benchmark's. A match counts if at least ``LITERALS`` of its tokens are words,
 and if the slots agree: equal values stand for equal values, both ways, over all matched windows of a document that
-lie on one alignment with the item. A document is contaminated by an item if such windows cover at least ``SHARE`` of the
-item's windows, so that a question with other numbers and names is caught as well as a verbatim copy.
+lie on one alignment with the item. A sentence's first word may be a name: windows that match but for such words count too, with these words as
+slots, if they agree with the alignment's other windows. A document is contaminated by an item if such windows cover at least ``SHARE`` of the
+item's windows with enough words (``n_windows`` is the number of all), so that a question with other numbers and names is caught as well as a verbatim copy.
 
 The benchmark's windows are broadcast if there are at most ``BROADCAST`` of them, and shuffled otherwise. Null texts match nothing,
 items of fewer than ``WINDOW`` tokens match nothing, equal items each match. Rows of one id are told apart by their texts;
@@ -14,7 +15,10 @@ equal rows count as one document. Items with a null id are left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tactus.llm.common import is_small
@@ -39,23 +43,31 @@ def canonical(x: Column) -> Column:
     return word.when(numeric, F.when(bare, "<num>").otherwise("<qty>")).when(ended, F.lower(F.ltrim(x, F.lit(_ENDS)))).when(F.lower(c) != c, "<name>").otherwise(F.lower(x))
 
 
+def initial(x: Column) -> Column:
+    """Whether a token is a sentence's first word, which may be a name."""
+    return F.substring(x, 1, 1).isin(".", "!", "?", ":", "\n")
+
+
 def _spans(rows: DataFrame, text: Column, window: int) -> DataFrame:
-    """Adds n (the number of tokens) and a row per window: pos, its tokens (joined by ``_BETWEEN``) and the hash of its template.
+    """Adds n (the number of tokens) and rows per window: pos, its tokens (joined by ``_BETWEEN``), the hash of its template and whether the
+    template is loose: with ``<first>`` for sentences' first words, a second row of windows that have such.
 
     A window takes its tokens along, so that neither its row nor a shuffle carries the whole text; it gets them by element,
     as a slice would copy the whole array for each window."""
     raw = F.regexp_extract_all(F.concat(F.lit("\n"), text), F.lit(TOKEN), F.lit(0))
     names = [c for c in rows.columns if c != "text"]
     rows = rows.withColumn("raw", raw).withColumn("n", F.size("raw")).withColumn("hashes", F.transform("raw", lambda x: F.xxhash64(canonical(x))))
+    rows = rows.withColumn("firsts", F.transform("raw", initial)).withColumn("masked", F.zip_with("hashes", "firsts", lambda h, first: F.when(first, F.xxhash64(F.lit("<first>"))).otherwise(h)))
     starts = F.when(F.col("n") >= window, F.sequence(F.lit(0), F.col("n") - window))
     each = lambda array, i: [F.get(array, i + k) for k in range(window)]
-    spans = F.transform(starts, lambda i: F.struct(F.xxhash64(*each("hashes", i)).alias("h"), F.concat_ws(_BETWEEN, *each("raw", i)).alias("tokens")))
-    return rows.select(*names, "n", F.posexplode(spans).alias("pos", "span")).select(*names, "n", "pos", "span.h", "span.tokens")
+    both = lambda i: F.array(F.struct(F.xxhash64(*each("hashes", i)).alias("h"), F.lit(False).alias("loose")), F.when(reduce(or_, each("firsts", i)), F.struct(F.xxhash64(*each("masked", i)).alias("h"), F.lit(True).alias("loose"))))
+    spans = F.transform(starts, lambda i: F.struct(F.array_compact(both(i)).alias("keys"), F.concat_ws(_BETWEEN, *each("raw", i)).alias("tokens")))
+    return rows.select(*names, "n", F.posexplode(spans).alias("pos", "span")).select(*names, "n", "pos", "span.tokens", F.inline("span.keys"))
 
 
 def _slots(raw: Column, template: Column) -> Column:
     """(place, value) of a window's slots."""
-    pairs = F.transform(raw, lambda x, i: F.struct(i.alias("i"), F.lower(x).alias("value")))
+    pairs = F.transform(raw, lambda x, i: F.struct(i.alias("i"), F.lower(F.ltrim(x, F.lit(_ENDS))).alias("value")))
     return F.filter(pairs, lambda p: F.get(template, p["i"]).startswith("<"))
 
 
@@ -63,24 +75,30 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, l
     """doc_id, text_key, item_id, n_matched, n_windows of each document and item that share enough windows."""
     known = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text").distinct()
     items = _spans(known.withColumn("item_key", F.xxhash64("text")), F.col("text"), window)
-    spans = items.select("item_id", "item_key", (F.col("n") - (window - 1)).cast("long").alias("n_windows"), F.col("pos").alias("item_pos"), "h", F.split("tokens", _BETWEEN).alias("item_raw"))
-    spans = spans.withColumn("item_template", F.transform("item_raw", canonical))
+    spans = items.select("item_id", "item_key", (F.col("n") - (window - 1)).cast("long").alias("n_windows"), F.col("pos").alias("item_pos"), "h", "loose", F.split("tokens", _BETWEEN).alias("item_raw"))
+    spans = spans.withColumn("item_template", F.transform("item_raw", lambda x: F.when(F.col("loose") & initial(x), "<first>").otherwise(canonical(x))))
     spans = spans.where(F.size(F.filter("item_template", lambda x: ~x.startswith("<"))) >= literals)
+    # of an item's windows only those with so many words can match
+    spans = spans.withColumn("n_usable", F.count(F.when(~F.col("loose"), 1)).over(Window.partitionBy("item_id", "item_key")))
     if is_small(spans, BROADCAST):
         spans = F.broadcast(spans)
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
-    hits = _spans(texts, F.col("text"), window).join(spans, "h")
-    hits = hits.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_raw", "item_template", F.split("tokens", _BETWEEN).alias("doc_raw"))
+    hits = _spans(texts, F.col("text"), window).join(spans, ["h", "loose"])
+    hits = hits.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "n_usable", "loose", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_raw", "item_template", F.split("tokens", _BETWEEN).alias("doc_raw"))
     # element by element: as an equality of arrays it would become a join key, made for every window
-    hits = hits.where(F.forall(F.zip_with("doc_raw", "item_template", lambda x, t: canonical(x) == t), lambda same: same))
+    hits = hits.where(F.forall(F.zip_with("doc_raw", "item_template", lambda x, t: F.when(t == "<first>", initial(x)).otherwise(canonical(x) == t)), lambda same: same))
     value = lambda side: F.transform(_slots(F.col(f"{side}_raw"), F.col("item_template")), lambda p: p["value"])
     pairs = F.zip_with(value("item"), value("doc"), lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
+    # a loose match with the same first words is a strict one too
+    hits = hits.withColumn("pairs", pairs).where(~F.col("loose") | F.exists(F.zip_with(F.zip_with("item_raw", "item_template", lambda x, t: F.when(t == "<first>", F.lower(F.ltrim(x, F.lit(_ENDS))))), "doc_raw", lambda a, b: a != F.lower(F.ltrim(b, F.lit(_ENDS)))), lambda other: F.coalesce(other, F.lit(False))))
+    # a line of strict matches stands by itself; with the loose ones it stands if those agree as well
+    hits = hits.withColumn("with_loose", F.explode(F.when(F.col("loose"), F.array(F.lit(True))).otherwise(F.array(F.lit(False), F.lit(True)))))
     # one alignment of a document with an item has at most the item's windows
-    lines = hits.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "item_pos", "shift", pairs.alias("pairs")).groupBy("doc_id", "text_key", "item_id", "item_key", "n_windows", "shift").agg(F.collect_set("item_pos").alias("found"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    lines = hits.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "n_usable", "item_pos", "shift", "with_loose", "pairs").groupBy("doc_id", "text_key", "item_id", "item_key", "n_windows", "n_usable", "shift", "with_loose").agg(F.collect_set("item_pos").alias("found"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     ways = lambda k: F.size(F.array_distinct(F.transform("pairs", lambda p: p[k])))
     agreed = lines.where((F.size("pairs") == ways("item")) & (F.size("pairs") == ways("doc")))
-    found = agreed.groupBy("doc_id", "text_key", "item_id", "item_key", "n_windows").agg(F.size(F.array_distinct(F.flatten(F.collect_set("found")))).cast("long").alias("n_matched"))
-    return found.where(F.col("n_matched") >= share * F.col("n_windows")).select("doc_id", "text_key", "item_id", "n_matched", "n_windows")
+    found = agreed.groupBy("doc_id", "text_key", "item_id", "item_key", "n_windows", "n_usable").agg(F.size(F.array_distinct(F.flatten(F.collect_set("found")))).cast("long").alias("n_matched"))
+    return found.where(F.col("n_matched") >= share * F.col("n_usable")).select("doc_id", "text_key", "item_id", "n_matched", "n_windows")
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:

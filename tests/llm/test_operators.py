@@ -195,6 +195,19 @@ def test_encoder_equals_the_library(name, spaced):
     assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])] == [e.ids for e in want]
 
 
+def test_contamination_of_rewritten_sentences(spark, rows):
+    """Names that begin sentences; windows with too few words don't count against an item."""
+    item = "Anna buys 12 boxes of pens at the market for 3 dollars each. Anna gives 5 of the boxes to her brother after school. Anna then sells the rest of them for 4 dollars each"
+    other = item.replace("Anna", "Zoe").replace("12", "37").replace("5 of", "9 of")
+    mixed = item.replace("Anna buys", "Zoe buys").replace("Anna gives", "Bob gives").replace("Anna then", "Tom then")
+    few = "the price of one kilo of apples rose to 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20"
+    bench = spark.createDataFrame([(0, item), (1, few)], "item_id long, text string")
+    pairs = [(1, item), (2, other), (3, mixed), (4, few.replace("20", "21")), (5, "the price of one kilo of apples rose to nothing"), (6, prose(6, 90))]
+    found = {(i, k) for i, k in read(decontamination.contamination(rows(pairs), bench), "doc_id", "item_id")}
+    assert {(1, 0), (2, 0), (4, 1)} <= found
+    assert (3, 0) not in found and not {i for i, _ in found} & {6}
+
+
 def _crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
