@@ -157,3 +157,13 @@ def test_streamed_bars(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r["num_notes"] for r in spark.sql("select * from bars").collect()) == [1, 1, 2]
+
+
+def test_signals_keep_all_blocks(spark, tmp_path):
+    from tactus.plans import network
+
+    rows = spark.range(0, 4300, 100).selectExpr("id as vec_id", "cast(id % 3 as int) as label", "array(0.5f, -0.25f) as embedding")
+    rows.write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = network._signals(spark, str(tmp_path)).select("song_id", F.size("samples").alias("n")).collect()
+    assert sum(r["n"] for r in found) == 2 * 43
+    assert {r["song_id"] for r in found} == {f"song_{k}{e}" for k in range(3) for e in ("", "_1", "_2")}
