@@ -6,7 +6,8 @@ sets form a class first; only its least document takes part further, with the cl
 *Chosen paths.* In each of several runs a set chooses its tokens whose hash under the run is below 1 / (similarity * size), about
 1 / similarity of them; sets that choose a token meet in its bucket. Buckets of more than ``LIMIT`` sets are split again: below a path, a
 set chooses further tokens by hashes that depend on the path, to a depth of ``DEPTH``. Two sets at the threshold share a chosen token
-of a run with probability 1 - 1/e at least, so runs are repeated until the share of missed pairs is below 1 - ``RECALL``.
+of a run with probability 1 - 1/e at least, so runs are repeated until the share of missed pairs is below 1 - ``RECALL``. A deeper path is shared
+less surely, so there are as many runs as the last depth needs; those beyond what the first needs serve its large buckets alone.
 Buckets are compared whole, in sketch form (one-permutation minima of ``BINS`` bins, a byte each); one that is
 still large at the last depth is compared in pairs of blocks. Pairs whose sketches agree far enough that the sets may reach the threshold
 connect them; a bucket gives a spanning forest, not its pairs.
@@ -44,8 +45,13 @@ _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _32 = np.uint64(32)
 
 
-def runs_for(recall: float) -> int:
-    return max(1, math.ceil(-math.log(1 - recall)))
+def runs_for(recall: float, depth: int = 1) -> int:
+    """Runs until pairs at the threshold that meet at this depth only are found so surely. On average one chosen token of a path is shared, so a run
+    misses by 1/e at depth 1, and by exp(miss - 1) of the miss before at each further one."""
+    miss = 0.0
+    for _ in range(depth):
+        miss = math.exp(miss - 1)
+    return max(1, math.ceil(math.log(1 - recall) / math.log(miss)))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -283,7 +289,7 @@ def similarity_classes(docs: DataFrame, similarity: float = SIMILARITY, recall:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    base = materialize(slim.mapInArrow(_profiles(runs_for(recall), similarity, shingle), _PROFILE), "profiles")
+    base = materialize(slim.mapInArrow(_profiles(runs_for(recall, DEPTH), similarity, shingle), _PROFILE), "profiles")
     classes = base.where("sig is not null and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"))
     classes = materialize(classes, "classes")
     leaders = classes.select("rep", F.col("sig").alias("_sig"))
@@ -292,7 +298,7 @@ def similarity_classes(docs: DataFrame, similarity: float = SIMILARITY, recall:
     buckets, large = [], None
     for d in range(1, DEPTH + 1):
         if d == 1:
-            rows = reps.select("rep", F.explode("p1").alias("path"))
+            rows = reps.select("rep", F.inline(F.arrays_zip(F.col("p1").alias("path"), F.col("at1").alias("run"))))
         else:
             chosen = F.zip_with(f"at{d}", f"p{d}", partial(_step, F.col(f"p{d - 1}")))
             rows = reps.select("rep", F.inline(chosen)).join(large.select(F.col("path").alias("parent")), "parent", "left_semi").select("rep", "path")
@@ -301,7 +307,9 @@ def similarity_classes(docs: DataFrame, similarity: float = SIMILARITY, recall:
             sizes = materialize(sizes, "buckets")
             large = sizes.where(F.col("n") > limit)
             sizes = sizes.where(F.col("n") <= limit)
-        buckets.append(rows.join(sizes, "path"))
+        # the runs beyond what depth 1 needs are for what its large buckets hold
+        compared = rows.where(F.col("run") < runs_for(recall)).drop("run") if d == 1 else rows
+        buckets.append(compared.join(sizes, "path"))
         if d < DEPTH and large.isEmpty():
             break
     met = buckets[0]

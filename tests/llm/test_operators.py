@@ -97,6 +97,18 @@ def test_chosen_path_recall():
     assert met == 200
 
 
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_chosen_path_recall_at_each_depth(depth):
+    r = np.random.default_rng(1)
+    runs, met = jaccard_join.runs_for(0.9, depth), 0
+    for _ in range(1000):
+        base = r.integers(0, 2**63, 100, dtype=np.uint64)
+        a, b = np.sort(base[:90]), np.sort(np.concatenate([base[:80], base[90:]]))
+        met += bool(np.intersect1d(jaccard_join.chosen_paths(a, runs, 0.8)[depth - 1][0], jaccard_join.chosen_paths(b, runs, 0.8)[depth - 1][0]).size)
+    assert met >= 880
+    assert jaccard_join.runs_for(jaccard_join.RECALL, depth) == [12, 19, 25][depth - 1]
+
+
 # --- substring dedup
 
 
