@@ -2,8 +2,8 @@
 
 The patterns find emails, IPv4 addresses, payment cards and phone numbers; a match that fails its check is dropped. The
 model, trained in numpy on labelled spans, adds spans that the patterns' exact forms miss. It reads windows of ``WIDTH``
-characters every ``STEP`` characters around digits and at-signs (a span of any kind holds one of them, so other text can't
-hold one). Windows overlap; where they disagree, a position's emission scores are those of the window in which it lies most
+characters every ``STEP`` characters around digits, at-signs and "at" written for one (a span of any kind holds one of them, so other text
+can't hold one). Windows overlap; where they disagree, a position's emission scores are those of the window in which it lies most
 centrally, and one Viterbi pass over each run of windows with the CRF's transitions gives spans for the whole text.
 A model's span must hold as many digits as its kind needs (a card must pass Luhn's check) and overlap no pattern's span.
 
@@ -36,7 +36,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
-_ANCHOR = re.compile("[0-9@]")
+#: What any span holds one of: a digit, an at-sign, or "at" by itself as it is written for one.
+_WRITTEN = r"[ (\[]at[ )\]]"
+_ANCHOR = re.compile("[0-9@]|" + _WRITTEN)
 
 WIDTH, STEP, SAMPLE, TRAINED = 64, 32, 800, 5000
 HIDDEN, EMBED, EPOCHS, BATCH = 20, 12, 6, 32
@@ -252,7 +254,7 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def _starts(text: str) -> list[int]:
-    """Starts of the windows that hold a digit or at-sign, on a grid of ``STEP``."""
+    """Starts of the windows that hold a digit, at-sign or written "at", on a grid of ``STEP``."""
     out = set()
     for m in _ANCHOR.finditer(text):
         last = m.start() // STEP
@@ -290,13 +292,13 @@ def _decoded(tags: np.ndarray, first: int, text: str) -> list[tuple[int, int, in
 
 def _plausible(kind: str, span: str) -> bool:
     if kind == "email":
-        return ("@" in span or re.search(r"[ (\[]at[ )\]]", span) is not None) and "." in span + span.replace(" dot ", ".")
+        return ("@" in span or re.search(_WRITTEN, span) is not None) and "." in span + span.replace(" dot ", ".")
     if kind == "ip":
         parts = re.findall("[0-9]+", span)
         return len(parts) == 4 and all(int(x) <= 255 for x in parts)
-    if re.search(r"[^\x20().0-9+-]", span):
+    if re.search(r"[^\x20().0-9+-]" if kind == "card" else r"[^\x20()./0-9+-]", span):
         return False
-    return _valid(kind, span) if kind == "card" else 9 <= len(digits_of(span)) <= 15 and re.search(r"[().\x20-]", span) is not None
+    return _valid(kind, span) if kind == "card" else 9 <= len(digits_of(span)) <= 15 and re.search(r"[()./\x20-]", span) is not None
 
 
 def _rewritten(kind: int, span: str, rng: np.random.Generator) -> str:

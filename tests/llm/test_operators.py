@@ -195,18 +195,6 @@ def test_contamination_of_copies_and_rewritten_questions(spark, rows, monkeypatc
     assert decontamination.contamination(rows([]), bench).count() == 0
 
 
-# --- tokens, files, packing
-
-
-@pytest.mark.parametrize(("name", "spaced"), [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
-def test_encoder_equals_the_library(name, spaced):
-    texts = [*corpus(5), "a\n\nb", "a  b", " x", "x ", "x\n", "İstanbul ΣΑΣ Σ", "<|endoftext|> hi", "it's 'll don't. won't, 12.5, a1b2", "foo., bar,. baz.\nQux,\nA..b", "tab\tx", "a　b c", "_.a _, a_."]
-    use = tokens.Encoder(tokens.tokenizer_path(name), spaced)
-    ids, cuts = use.encode(pa.array(texts))
-    want = use.lib.encode_batch([t or "" for t in texts], add_special_tokens=False)
-    assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])] == [e.ids for e in want]
-
-
 def test_contamination_of_rewritten_sentences(spark, rows):
     """Names that begin sentences; windows with too few words don't count against an item."""
     item = "Anna buys 12 boxes of pens at the market for 3 dollars each. Anna gives 5 of the boxes to her brother after school. Anna then sells the rest of them for 4 dollars each"
@@ -220,6 +208,18 @@ def test_contamination_of_rewritten_sentences(spark, rows):
     assert (3, 0) not in found and not {i for i, _ in found} & {6}
 
 
+# --- tokens, files, packing
+
+
+@pytest.mark.parametrize(("name", "spaced"), [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_encoder_equals_the_library(name, spaced):
+    texts = [*corpus(5), "a\n\nb", "a  b", " x", "x ", "x\n", "İstanbul ΣΑΣ Σ", "<|endoftext|> hi", "it's 'll don't. won't, 12.5, a1b2", "foo., bar,. baz.\nQux,\nA..b", "tab\tx", "a　b c", "_.a _, a_."]
+    use = tokens.Encoder(tokens.tokenizer_path(name), spaced)
+    ids, cuts = use.encode(pa.array(texts))
+    want = use.lib.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])] == [e.ids for e in want]
+
+
 def _crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
@@ -420,3 +420,14 @@ def test_tagger_finds_other_forms(spark, rows):
     out = {x["doc_id"]: x for x in pii.find(rows([(1, "kan call (403) 555-9312 now"), (2, None), (3, ""), (4, "no digits here"), (5, prose(1, 4000))]), tagger).collect()}
     assert [(s["kind"], s["start"], s["end"]) for s in out[1]["spans"]] in ([("phone", 9, 23)], [])
     assert all(out[i]["spans"] == [] for i in (2, 3, 4, 5))
+
+
+def test_tagger_reads_emails_with_a_written_at():
+    r = random.Random(1)
+    texts = [f"{prose(i, 10)} {r.choice(WORDS)}.{r.choice(WORDS)}@{r.choice(WORDS)}.example.com {prose(i + 500, 10)}" for i in range(250)]
+    tagger = pii.fit(texts)
+    mails = [f"{r.choice(WORDS)}.{r.choice(WORDS)}{at}{r.choice(WORDS)}.example.com" for at in (" at ", " (at) ", " [at] ") for _ in range(20)]
+    hidden = [(f"{prose(i + 900, 10)} {m} {prose(i + 1500, 10)}", m) for i, m in enumerate(mails)]
+    found = tagger.spans([t for t, _ in hidden])
+    assert sum(any(t[s:e] == m for s, _, e in spans) for (t, m), spans in zip(hidden, found, strict=True)) >= 0.7 * len(mails)
+    assert pii._plausible("phone", "403/555-9312") and not pii._plausible("card", "4111/1111/1111/1111")
