@@ -65,6 +65,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def sampled(rate: Column | float, id_col: str, salt: str) -> Column:
+    """Whether a row is in a sample of about ``rate`` of the ids, by the whole 63 bits of a hash; a rate of 1 or more takes all."""
+    share = F.shiftrightunsigned(F.xxhash64(id_col, F.lit(salt)), 1) / F.lit(2.0**63)
+    return share < rate
+
+
 def is_small(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows; reads no more than needed to know."""
     return df.limit(rows + 1).count() <= rows

@@ -1,23 +1,27 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, on ordinary and on toxic text. A text is cut into windows of ``WORDS`` words; each
-window is compressed with either, and the bytes that the toxic dictionary saves are its margin. The toxic dictionary
-holds the ordinary one's content after what training found in toxic text, so that a window of ordinary words has the
-same length under both and noise stays near zero. What toxic text is beyond ordinary text is learned too: the stems (beginnings
-of words, and whole words) that a larger share of toxic than of ordinary texts holds, at a fixed level of significance for each by itself,
-however many they are and whatever others hold; the dictionary is trained on them in rounds, each on those that the ones before don't shorten, and
-holds each once. A document's score is a logistic function of its margins and of the density of words with such stems, fitted on the labels.
+Two zstandard dictionaries are trained, one on ordinary and one on toxic text. A text is cut into windows of ``WORDS`` words; each
+window is compressed with either, and the bytes that the toxic dictionary saves are its margin. A document's score is a
+logistic function of its windows' margins: the greatest, and how many and what share of all there are above ``LEVELS`` bytes.
+
+What the toxic dictionary is trained on are the spans by which toxic texts differ: runs of bytes whose ``GRAM``-byte sequences are in ``TIMES`` the
+share of toxic as of ordinary texts at least, each at a fixed level of significance for itself, whatever language or word it belongs to.
+Trained on whole toxic windows it would hold ordinary words above all, and two samples of those differ by noise. The ordinary dictionary is trained
+on windows of ordinary texts; its content stands behind the toxic one's too, so that a window of ordinary words
+has the same length under both. The logistic function is fitted on cross-fitted margins: each of ``FOLDS`` parts of the texts
+is compressed with dictionaries of the others. Its constant puts 0.5 at the cut with the best F1 on these.
 
 Only labels of documents outside the held-out fold are learned from, in a sample of at most about ``SAMPLE`` documents
-a class (chosen by a hash of the id) of at most ``LONGEST`` characters; all texts are scored whole. Null and empty
-texts, and texts of white space only, have no windows; they get the score of a text whose windows have no margin.
-Labels of ids with several rows count as toxic if one is. Rows keep their multiplicity.
+a class (chosen by a hash of the id) of at most ``LONGEST`` characters, and of their ordinary windows at most ``TRAINED``; all texts are scored whole.
+Null and empty texts, and texts of white space only, have no windows; they get the score of a text whose windows have no margin.
+Labels of ids with several rows count as toxic if one is. Rows keep their multiplicity. Without labels of both classes all texts
+score alike.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from statistics import NormalDist
@@ -29,21 +33,26 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tactus.llm.common import held_out
+from tactus.llm.common import held_out, sampled
 from tactus.llm.tokens import slices
 
-WORDS, STEP, LEVEL, FEATURES = 12, 10, 6, 10
-ORDINARY_BYTES, ROUND_BYTES, ROUNDS = 8192, 1024, 12
-SAMPLE, LONGEST = 2500, 50_000
-#: Least and greatest characters of a stem; the chance that any stem is taken for toxic wrongly.
-STEM, LONGEST_STEM, LEVEL_OF_ALL = 4, 12, 0.05
-_EDGE = ".,;:!?\"'()"
-_IS_EDGE = np.isin(np.arange(256), list(_EDGE.encode()))
+WORDS, STEP, GRAM = 8, 7, 6
+ORDINARY_BYTES, TOXIC_BYTES, TRAINED = 32_768, 1536, 40_000
+SAMPLE, LONGEST, FOLDS = 2500, 50_000, 4
+#: Bytes of margin; how many sequences of all are taken for toxic wrongly on average; least ratio of its shares, beyond what a language with more toxic texts has.
+LEVELS, WRONG, TIMES = (2, 4), 5.0, 4.0
+FEATURES = 3 + 2 * len(LEVELS) + 1
+#: The same for both dictionaries: far enough a search for the whole of them, short matches allowed.
+_SETTINGS = {"compression_level": 6, "window_log": 17, "hash_log": 17, "chain_log": 17, "search_log": 6, "target_length": 32, "min_match": 4, "strategy": zstandard.STRATEGY_LAZY2}
+#: The end of a trained dictionary's header: the three first repeated offsets.
+_HEADER_END = b"".join(x.to_bytes(4, "little") for x in (1, 4, 8))
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+    settings = zstandard.ZstdCompressionParameters(**_SETTINGS, write_content_size=False, write_checksum=False, write_dict_id=False)
     held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    return zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False)
+    held.precompute_compress(compression_params=settings)
+    return zstandard.ZstdCompressor(dict_data=held, compression_params=settings)
 
 
 def _lengths(use: zstandard.ZstdCompressor, data: bytes, at: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -55,16 +64,11 @@ def _lengths(use: zstandard.ZstdCompressor, data: bytes, at: np.ndarray, size: n
     return np.array([len(x) for x in done], np.int64)
 
 
-def _words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of each run of bytes above white space."""
+def windows(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and size in bytes of the windows of a text with single-byte white space between words."""
     word = np.frombuffer(text, np.uint8) > 32
     edge = np.diff(np.concatenate([[False], word, [False]]).astype(np.int8))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-
-
-def windows(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Start and size in bytes of the windows of a lower-case text with single-byte white space between words."""
-    start, end = _words(text)
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(start):
         return start, end
     first = np.arange(0, max(1, len(start) - (WORDS - STEP)), STEP)
@@ -76,7 +80,6 @@ class Model:
     ordinary: bytes
     toxic: bytes
     weights: tuple[float, ...] = ()
-    stems: dict[str, float] | None = None
 
     def margins(self, data: bytes, at: np.ndarray, size: np.ndarray) -> np.ndarray:
         if not hasattr(self, "_use"):
@@ -84,41 +87,24 @@ class Model:
         return _lengths(self._use[0], data, at, size) - _lengths(self._use[1], data, at, size)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("_use", "_first")}
-
-    def found(self, text: bytes) -> int:
-        """How many words of a lower-case text begin with a marked stem. Only words with the first bytes of one are looked at."""
-        start, end = _words(text)
-        if not self.stems or not len(start):
-            return 0
-        if not hasattr(self, "_first"):
-            self._first = np.array(sorted({x.strip().encode()[:4].ljust(4, b"\0") for x in self.stems})).view(np.uint32)
-        raw = np.frombuffer(text + bytes(4), np.uint8)
-        at, to = start.copy(), end.copy()
-        while (cut := (at < to) & _IS_EDGE[raw[at]]).any():
-            at += cut
-        while (cut := (at < to) & _IS_EDGE[raw[to - 1]]).any():
-            to -= cut
-        first = np.lib.stride_tricks.sliding_window_view(raw, 4)[at] * (np.arange(4) < (to - at)[:, None])
-        hit = np.flatnonzero(np.isin(first.astype(np.uint8).view(np.uint32)[:, 0], self._first) & (at < to))
-        return sum(_held(text[i:j].decode("utf-8", "replace"), self.stems) is not None for i, j in zip(at[hit].tolist(), to[hit].tolist(), strict=True))
+        return {k: v for k, v in self.__dict__.items() if k != "_use"}
 
     def features(self, texts: list[bytes]) -> np.ndarray:
-        """A row per text: largest margin, mean of the three largest, logs of the numbers of windows with margins of three and of five bytes, log of
-        windows; then the density, which length doesn't change: roots of the shares of windows with such margins, of the mean margin,
-        and of the words a window that begin with a marked stem; log of the number of such words."""
+        """A row per text: largest margin, mean of the three largest, log of the number of windows; then logs of the numbers and roots of the shares of
+        windows above each level, and the root of the mean margin. A negative margin counts as none."""
         spans = [windows(t) for t in texts]
         base = np.cumsum([0, *map(len, texts)])
         at = np.concatenate([s[0] + b for s, b in zip(spans, base, strict=False)]) if texts else np.zeros(0, np.int64)
         size = np.concatenate([s[1] for s in spans]) if texts else at
-        m = self.margins(b"".join(texts), at, size)
+        m = np.maximum(self.margins(b"".join(texts), at, size), 0)
         out, k = np.zeros((len(texts), FEATURES)), 0
         for i, (s, _) in enumerate(spans):
             own = m[k : k + len(s)]
             k += len(s)
             if len(own):
                 top = np.sort(own)[::-1][:3]
-                out[i] = max(top[0], 0), max(top.sum() / 3, 0), math.log1p((own >= 3).sum()), math.log1p((own >= 5).sum()), math.log1p(len(own)), *np.sqrt([(own >= 3).mean(), (own >= 5).mean(), np.maximum(own, 0).mean(), (held := self.found(texts[i])) / len(own)]), math.log1p(held)
+                above = [int((own >= x).sum()) for x in LEVELS]
+                out[i] = top[0], top.sum() / 3, math.log1p(len(own)), *map(math.log1p, above), *(math.sqrt(n / len(own)) for n in above), math.sqrt(own.mean())
         return out
 
     def scores(self, x: np.ndarray) -> np.ndarray:
@@ -130,30 +116,43 @@ def plain(text: str | None) -> bytes:
     return (text or "").lower().encode("utf-8", "replace")
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, steps: int = 30) -> tuple[float, ...]:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np.ndarray:
     """Newton's method over weighted rows, with a ridge on all but the constant."""
     x = np.column_stack([np.ones(len(x)), x])
     w, pen = np.zeros(x.shape[1]), np.diag([1e-9, *[ridge] * (x.shape[1] - 1)])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         w = w - np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + pen, x.T @ (weight * (p - y)) + pen @ w)
-    return tuple(float(v) for v in w)
+    return w
+
 
+def _best_cut(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """The cut of the values z with the best weighted F1 of label 1, halfway to the value below it."""
+    order = np.argsort(-z, kind="stable")
+    z, hit = z[order], np.cumsum((weight * y)[order])
+    last = np.append(z[1:] != z[:-1], True)  # equal values fall on one side
+    f1 = np.where(last, 2 * hit / (np.cumsum(weight[order]) + hit[-1]), -1)
+    k = int(np.argmax(f1))
+    return float((z[k] + z[min(k + 1, len(z) - 1)]) / 2)
 
-def _train_dictionary(size: int, samples: list[bytes]) -> bytes:
-    """A trained dictionary, or the samples themselves where they are too few to train on."""
-    if samples:
-        try:
-            return zstandard.train_dictionary(size, samples, k=64, d=8, level=LEVEL).as_bytes()
-        except zstandard.ZstdError:
-            return b" ".join(dict.fromkeys(samples))[-size:]
-    return b""
 
+def _trained(size: int, samples: list[bytes], k: int, d: int) -> bytes:
+    """The content of a dictionary trained by zstandard; the samples themselves where they are too few to train on."""
+    if not samples:
+        return b""
+    try:
+        return zstandard.train_dictionary(size, samples, k=k, d=d, level=6).as_bytes().split(_HEADER_END, 1)[-1]
+    except zstandard.ZstdError:
+        return b" ".join(dict.fromkeys(samples))[-size:]
 
-def _stems(word: str) -> list[str]:
-    """A word's beginnings from ``STEM`` characters on, and the word itself with a space after it."""
-    w = word.strip(_EDGE)
-    return [*(w[:k] for k in range(STEM, min(len(w), LONGEST_STEM) + 1)), w + " "] if w else []
+
+def _grams(text: bytes) -> np.ndarray:
+    """The ``GRAM``-byte sequences of a text, packed, by their starts; a space stands at both ends."""
+    raw = np.frombuffer(b" " + text + b" ", np.uint8).astype(np.uint64)
+    out = np.zeros(max(0, len(raw) - GRAM + 1), np.uint64)
+    for i in range(GRAM):
+        out |= raw[i : i + len(out)] << np.uint64(8 * i)
+    return out
 
 
 def _root(a: np.ndarray, b: np.ndarray, n1: float, n0: float) -> np.ndarray:
@@ -164,63 +163,58 @@ def _root(a: np.ndarray, b: np.ndarray, n1: float, n0: float) -> np.ndarray:
     return np.sqrt(np.maximum(g, 0)) * np.sign(a / n1 - b / n0)
 
 
-def _marked(texts: list[bytes], labels: np.ndarray) -> dict[str, float]:
-    """Stems, with their roots, that more toxic than ordinary texts hold, at a chance of ``LEVEL_OF_ALL`` that any of all stems is taken wrongly. Equal texts count once."""
-    once = {}
+def contrasting(texts: list[bytes], labels: np.ndarray) -> np.ndarray:
+    """The sequences that a share of toxic texts ``TIMES`` that of ordinary ones holds, ``WRONG`` of them by chance. Equal texts count once."""
+    once: dict[bytes, int] = {}
     for t, v in zip(texts, labels, strict=True):
         once[t] = max(once.get(t, 0), int(v))
-    seen = {0: Counter(), 1: Counter()}
-    for t, v in once.items():
-        seen[v].update({x for w in set(t.decode("utf-8", "replace").split()) for x in _stems(w)})
     n1 = sum(once.values())
-    if not seen[1] or n1 == len(once):
-        return dict.fromkeys(seen[1], 0.0)
-    found = list(seen[1])
-    z = _root(np.array([seen[1][x] for x in found], float), np.array([seen[0][x] for x in found], float), n1, len(once) - n1)
-    least = NormalDist().inv_cdf(1 - LEVEL_OF_ALL / len(found))
-    return {x: float(v) for x, v in zip(found, z, strict=True) if v >= least}
-
-
-def _held(word: str, marked: dict[str, float]) -> str | None:
-    """The marked stem of a word that tells most, the longest of equal ones."""
-    return max((x for x in reversed(_stems(word)) if x in marked), key=marked.get, default=None)
-
-
-def fit(rows: list[tuple[str | None, int]], share: float | None = None, seed: int = 7) -> Model:
+    found = {v: np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(_grams(t)) for t, w in once.items() if w == v)]), return_counts=True) for v in (0, 1)}
+    (u0, c0), (u1, c1) = found[0], found[1]
+    if not len(u1) or not len(u0):
+        return u1
+    at = np.minimum(np.searchsorted(u0, u1), len(u0) - 1)
+    a, b, n0 = c1.astype(float), np.where(u0[at] == u1, c0[at], 0).astype(float), len(once) - n1
+    return u1[(_root(a, b, n1, n0) >= NormalDist().inv_cdf(1 - min(0.5, WRONG / len(u1)))) & (a / n1 >= TIMES * b / n0)]
+
+
+def _spans(text: bytes, grams: np.ndarray) -> bytes:
+    """The parts of a text that the sequences cover, one after another."""
+    hit = np.flatnonzero(np.isin(_grams(text), grams))
+    edge = np.zeros(len(text) + 3, np.int64)
+    np.add.at(edge, hit, 1)
+    np.add.at(edge, hit + GRAM, -1)
+    covered = np.cumsum(edge)[: len(text) + 2] > 0
+    return np.frombuffer(b" " + text + b" ", np.uint8)[covered].tobytes()
+
+
+def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Model:
+    """A model without weights: the two dictionaries."""
+    ordinary = [t[i : i + n] for t, v in zip(texts, labels, strict=True) if not v for i, n in zip(*(x.tolist() for x in windows(t)), strict=True)]
+    np.random.default_rng(seed).shuffle(ordinary)
+    grams = contrasting(texts, labels)
+    toxic = [s for t, v in zip(texts, labels, strict=True) if v and (s := _spans(t, grams))]
+    return Model(_trained(ORDINARY_BYTES, ordinary[:TRAINED], 64, 8), _trained(TOXIC_BYTES, toxic, 32, GRAM))
+
+
+def fit(rows: list[tuple[str | None, int]], share: float | None = None) -> Model:
     """A model from (text, label) rows; ``share``: of label 1 among all labelled rows, where the sample has another."""
     texts, labels = [plain(t) for t, _ in rows], np.array([int(v) for _, v in rows], float)
     if not len(labels) or labels.min() == labels.max():
         return Model(b"", b"", (30.0 if len(labels) and labels[0] else -30.0, *[0.0] * FEATURES))
+    fold = np.array([zlib.crc32(t) % FOLDS for t in texts])  # equal texts lie in one fold
+    x = np.zeros((len(texts), FEATURES))
+    for k in range(FOLDS):
+        own, other = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
+        if len(own) and len(other):
+            x[own] = train([texts[i] for i in other], labels[other]).features([texts[i] for i in own])
     n1, n0 = labels.sum(), len(labels) - labels.sum()
-    marked = _marked(texts, labels)
-    rng = np.random.default_rng(seed)
-    plain_windows, toxic_words = [], []
-    for t, v in zip(texts, labels, strict=True):
-        if v:
-            held = (_held(w, marked) for w in t.decode("utf-8", "replace").split())
-            toxic_words += [b" " + x.encode() for x in held if x]
-        else:
-            at, size = windows(t)
-            plain_windows += [t[i : i + n] for i, n in zip(at.tolist(), size.tolist(), strict=True)]
-    rng.shuffle(plain_windows)
-    model = Model(_train_dictionary(ORDINARY_BYTES, plain_windows[:40_000]), b"")
-    often = Counter(toxic_words)
-    whole = b"".join(sorted(often, key=lambda w: (often[w], w)))  # each of them once, the most frequent where a match costs least
-    rest, trained = toxic_words, b""
-    for _ in range(ROUNDS):  # until every toxic sample is shortened
-        if not rest:
-            break
-        trained = _train_dictionary(ROUND_BYTES, rest) + trained
-        size = np.array([len(w) for w in rest])
-        saved = Model(model.ordinary, trained).margins(b"".join(rest), np.cumsum(size) - size, size)
-        left = [w for w, s in zip(rest, saved, strict=True) if s < 2]
-        if len(left) == len(rest):  # training passed them over
-            break
-        rest = left
-    model = Model(model.ordinary, trained + whole, (), marked)
-    x = model.features(texts)
     share = n1 / len(labels) if share is None else share
-    return Model(model.ordinary, model.toxic, weights=_logistic(x, labels, np.where(labels == 1, share / n1, (1 - share) / n0) * len(labels)), stems=marked)
+    weight = np.where(labels == 1, share / n1, (1 - share) / n0) * len(labels)
+    w = _logistic(x, labels, weight)
+    w[0] -= _best_cut(x @ w[1:] + w[0], labels, weight)
+    whole = train(texts, labels)
+    return Model(whole.ordinary, whole.toxic, tuple(map(float, w)))
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Model:
@@ -230,7 +224,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int
     rate = F.lit(0.0)
     for v, n in counts.items():
         rate = F.when(F.col("toxic") == v, F.lit(min(1.0, sample / n))).otherwise(rate)
-    chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 20)) < rate * (1 << 20))
+    chosen = known.where(sampled(rate, "doc_id", "toxicity"))
     texts = docs.select("doc_id", "text").where(F.length("text") <= longest)
     rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic", "doc_id").collect()  # bounded by ``sample`` a class
     return fit([(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))], counts.get(1, 0) / max(1, sum(counts.values())))

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, and its defined results for nulls, empty and long texts, ties and repeated rows."""
 
 import hashlib
+import os
 import random
 import re
 import time
@@ -371,6 +372,38 @@ def test_toxicity_rows_keep_their_number(spark, rows):
     model = toxicity.fit([(prose(i, 30) + (" grumblefuss" * 3 if i % 2 else ""), i % 2) for i in range(60)])
     out = read(toxicity.score(rows([(1, None), (1, None), (None, "x"), (2, prose(1, 5000))]), model), "doc_id", "score")
     assert len(out) == 4 and all(0 <= s <= 1 for _, s in out)
+    assert toxicity.score(rows([]), model).count() == 0
+    empty = toxicity.learn(rows([]), spark.createDataFrame([], "doc_id long, toxic int"))
+    assert all(s < 0.5 for _, s in read(toxicity.score(rows([(1, "a b"), (2, None)]), empty), "doc_id", "score"))
+
+
+def test_toxicity_model_is_two_dictionaries():
+    """Spans of toxic text by contrast; a window of ordinary words is as long under both; zero margins without the toxic dictionary."""
+    texts = [toxicity.plain(prose(i, 120) + (" grumblefuss here and grumblefuss there" if i % 3 == 0 else "")) for i in range(300)]
+    labels = np.array([i % 3 == 0 for i in range(300)], float)
+    m = toxicity.train(texts, labels)
+    assert b"grumblefuss" in m.toxic and b"grumblefuss" not in m.ordinary
+    margin = lambda t: int(m.margins(t, np.array([0]), np.array([len(t)]))[0])
+    assert margin(toxicity.plain(prose(6, 4) + " grumblefuss here and " + prose(7, 4))) >= 4 and abs(margin(toxicity.plain(prose(5, 8)))) <= 1
+    assert toxicity.Model(m.ordinary, b"").features(texts)[:, 0].max() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="driver tables are missing")
+def test_toxicity_of_the_held_out_fold():
+    """Over all labels of sf0.1's fold: area under the curve, and recall of texts in other languages than English at a tenth of false positives."""
+    import duckdb
+
+    data = duckdb.sql("select doc_id, text, lang, toxic from '/root/testdata/sf0.1/documents.parquet' join '/root/testdata/sf0.1/labels.parquet' using (doc_id) where text is not null order by doc_id").fetchall()
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    known = [(t, v) for i, t, _, v in data if not held(i) and len(t) <= toxicity.LONGEST]
+    bad, good = [x for x in known if x[1]], [x for x in known if not x[1]]
+    model = toxicity.fit(bad + good[: toxicity.SAMPLE], len(bad) / len(known))
+    rows = [(t, lang, v) for i, t, lang, v in data if held(i)]
+    s = model.scores(model.features([toxicity.plain(t) for t, _, _ in rows]))
+    y, lang = np.array([v for _, _, v in rows]), np.array([x for _, x, _ in rows])
+    auc = np.mean((s[y == 1][:, None] > s[y == 0]) + 0.5 * (s[y == 1][:, None] == s[y == 0]))
+    cut = np.quantile(s[y == 0], 0.9)
+    assert auc >= 0.9 and (s[(y == 1) & (lang != "en")] > cut).mean() >= 0.7
 
 
 def test_patterns_equal_their_plain_forms_and_are_linear():
