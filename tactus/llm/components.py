@@ -8,18 +8,28 @@ from pyspark.sql import functions as F
 from tactus.llm.common import discard, materialize
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def _ends(step: DataFrame) -> DataFrame:
+    """Follows (u, to), where every ``to`` is some row's u and not above its own, to the last: each round doubles the way, so a chain of n takes log n."""
+    while True:
+        far = step.select(F.col("u").alias("to"), F.col("to").alias("far"))
+        jumped = materialize(step.join(far, "to").select("u", F.col("far").alias("to"), (F.col("far") < F.col("to")).alias("moved")), "jump")
+        discard(step)
+        step = jumped.drop("moved")
+        if jumped.where("moved").isEmpty():
+            return step
+
+
+def components(edges: DataFrame) -> DataFrame:
     """node, root for every node of ``edges`` (u, v): root is the least node of its component.
 
-    Each round maps a node to the least of itself and its neighbours and contracts the edges along that map, which shortens
-    a path by a constant factor at least; it ends when no edge is left. Grouped minima combine before the shuffle."""
+    Each round points a node to the least of itself and its neighbours, follows these pointers to their ends, and contracts the edges to
+    those. At most half of the nodes are ends, so the rounds are logarithmic in the number of nodes, as are the steps of one. It ends when no
+    edge is left. Grouped minima combine before the shuffle."""
     left = materialize(edges.where("u <> v").select("u", "v").distinct(), "edges")
     roots = materialize(left.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("root", F.col("node")), "roots")
-    for _ in range(rounds):
-        if left.isEmpty():
-            break
+    while not left.isEmpty():
         both = left.unionByName(left.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        step = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("to")), "step")
+        step = _ends(materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("to")), "step"))
         to = step.withColumnRenamed("u", "root")
         new_roots = materialize(roots.join(to, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "roots")
         a, b = step.select("u", F.col("to").alias("a")), step.select(F.col("u").alias("v"), F.col("to").alias("b"))
@@ -27,6 +37,4 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         for old in (left, roots, step):
             discard(old)
         left, roots = new_left, new_roots
-    else:
-        raise RuntimeError("the components did not settle")
     return roots

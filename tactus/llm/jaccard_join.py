@@ -4,10 +4,10 @@ A text's set holds the 64-bit hashes of its runs of ``SHINGLE`` lower-case words
 sets form a class first; only its least document takes part further, with the class's size as weight.
 
 *Chosen paths.* In each of several runs a set chooses its tokens whose hash under the run is below 1 / (similarity * size), about
-1 / similarity of them; sets that choose a token meet in its bucket. Buckets of more than ``LIMIT`` sets are split again: below a path, a
-set chooses further tokens by hashes that depend on the path, to a depth of ``DEPTH``. Two sets at the threshold share a chosen token
-of a run with probability 1 - 1/e at least, so runs are repeated until the share of missed pairs is below 1 - ``RECALL``. A deeper path is shared
-less surely, so there are as many runs as the last depth needs; those beyond what the first needs serve its large buckets alone.
+1 / similarity of them; sets that choose a token meet in its bucket. Two sets at the threshold share a chosen token
+of a run with probability 1 - 1/e at least, so runs are repeated until the share of missed pairs is below 1 - ``RECALL``.
+Buckets of more than ``LIMIT`` sets are split again: their sets, alone, are read once more and choose further tokens by hashes that depend on the
+path so far, to a depth of ``DEPTH``. A deeper path is shared less surely, so those sets choose in as many runs as the last depth needs.
 Buckets are compared whole, in sketch form (one-permutation minima of ``BINS`` bins, a byte each); one that is
 still large at the last depth is compared in pairs of blocks. Pairs whose sketches agree far enough that the sets may reach the threshold
 connect them; a bucket gives a spanning forest, not its pairs.
@@ -17,7 +17,7 @@ intersection sizes, large ones in pairs of blocks, each set shipped once a block
 forest of the true links, whose components are the classes. Links between sets of one component that no bucket showed are found too.
 
 Null texts, texts without words and rows without an id have no links; a text without words is a class of its own. Rows of one
-id share a class; repeated rows count as copies. Words are parted by ASCII white space.
+id with different texts belong each to its own text's class; repeated rows count as copies. Words are parted by ASCII white space.
 """
 
 from __future__ import annotations
@@ -34,11 +34,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tactus.llm.common import discard, materialize
+from tactus.llm.common import materialize
 from tactus.llm.components import components
 from tactus.llm.tokens import slices
 
-SHINGLE, SIMILARITY, RECALL, DEPTH, LIMIT, BLOCK, BINS = 5, 0.8, 0.99999, 3, 4096, 256, 64
+SHINGLE, SIMILARITY, RECALL, DEPTH, LIMIT, BLOCK, BINS = 5, 0.8, 0.99999, 3, 2048, 1024, 64
 #: Sketches of sets at the threshold agree at least so far less than it but for a share of about 1e-6.
 SLACK = 0.25
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -116,28 +116,42 @@ def chosen_paths(z: np.ndarray, runs: int, similarity: float, depth: int = DEPTH
     return out
 
 
-_PROFILE = "doc_id long, sig binary, size int, sketch binary, " + ", ".join(f"p{d} array<long>, at{d} array<int>" for d in range(1, DEPTH + 1))
+_PROFILE = "doc_id long, text_key long, sig binary, size int, sketch binary, paths array<long>"
+_DEEP = "rep long, " + ", ".join(f"p{d} array<long>, at{d} array<int>" for d in range(1, DEPTH + 1))
 
 
 def _profiles(runs: int, similarity: float, shingle: int) -> Callable:
+    """Digest, size, sketch and the chosen tokens of the first level."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 2048, 8 << 20):
                 rows = []
                 for z in shingle_sets(part["text"], shingle):
-                    if not len(z):
-                        rows.append((None, 0, None, *[None] * (2 * DEPTH)))
-                        continue
-                    levels = [x for p, at in chosen_paths(z, runs, similarity) for x in (p.view(np.int64), at.astype(np.int32))]
-                    rows.append((hashlib.blake2b(z.tobytes(), digest_size=16).digest(), len(z), sketch(z).tobytes(), *levels))
-                sig, size, marks, *levels = zip(*rows, strict=True)
-                columns = [part["doc_id"], pa.array(sig, pa.binary()), pa.array(size, pa.int32()), pa.array(marks, pa.binary())]
-                columns += [_lists(x, pa.int32() if k % 2 else pa.int64()) for k, x in enumerate(levels)]
+                    if len(z):
+                        rows.append((hashlib.blake2b(z.tobytes(), digest_size=16).digest(), len(z), sketch(z).tobytes(), chosen_paths(z, runs, similarity, 1)[0][0].view(np.int64)))
+                    else:
+                        rows.append((None, 0, None, None))
+                sig, size, marks, paths = zip(*rows, strict=True)
+                columns = [part["doc_id"], part["text_key"], pa.array(sig, pa.binary()), pa.array(size, pa.int32()), pa.array(marks, pa.binary()), _lists(paths, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _PROFILE.split(", ")])
 
     return run
 
 
+def _deep_paths(runs: int, similarity: float, shingle: int) -> Callable:
+    """Rows (rep, text) to the chosen paths of all levels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 2048, 8 << 20):
+                levels = [[x for p, at in chosen_paths(z, runs, similarity) for x in (p.view(np.int64), at.astype(np.int32))] for z in shingle_sets(part["text"], shingle)]
+                columns = [part["rep"], *(_lists(x, pa.int32() if k % 2 else pa.int64()) for k, x in enumerate(zip(*levels, strict=True)))]
+                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _DEEP.split(", ")])
+
+    return run
+
+
 def _lists(rows: tuple, kind: pa.DataType) -> pa.Array:
     size = np.array([0 if x is None else len(x) for x in rows])
     flat = [x for x in rows if x is not None and len(x)]
@@ -160,6 +174,14 @@ def _forest(near: np.ndarray) -> np.ndarray:
     return root
 
 
+def _across(block: np.ndarray) -> np.ndarray:
+    """The symmetric matrix of two sides that are linked by ``block``."""
+    n, m = block.shape
+    out = np.zeros((n + m, n + m), block.dtype)
+    out[:n, n:], out[n:, :n] = block, block.T
+    return out
+
+
 def _agree(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
     """Whether the estimated similarity of each row of x to each of y is at least so much."""
     same = np.zeros((len(x), len(y)), np.uint8)
@@ -202,10 +224,18 @@ def _step(before: Column, at: Column, path: Column) -> Column:
 def _candidates(least: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         us, vs = [], []
-        for _, (_, rep, marks) in _groups(batches, 3):
+        for (_, i, j), (side, rep, marks) in _groups(batches, 3):
             if len(rep) > 1:
                 x = np.frombuffer(b"".join(marks), np.uint8).reshape(len(rep), BINS)
-                if len(rep) == 2:
+                if i != j:  # two blocks: each by itself is compared elsewhere
+                    order = np.lexsort((rep, side))
+                    rep, x, n = rep[order], x[order], int((side == 0).sum())
+                    if 0 < n < len(rep):
+                        root = _forest(_across(_agree(x[:n], x[n:], least)))
+                        own = root != np.arange(len(rep))
+                        us.append(rep[own])
+                        vs.append(rep[root[own]])
+                elif len(rep) == 2:
                     if _agree(x[:1], x[1:], least)[0, 0]:
                         us.append(rep[:1])
                         vs.append(rep[1:])
@@ -233,8 +263,8 @@ def _blocked(rows: DataFrame, key: str, size: str, block: int) -> DataFrame:
     return rows.withColumns({"_n": n}).withColumn("_own", own).withColumn("_p", F.explode(pairs)).select("*", "_p.i", "_p.j", "_p.side").drop("_n", "_own", "_p")
 
 
-def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Exact intersection sizes of all pairs of sets."""
+def _overlaps(sets: list[np.ndarray], cut: int | None = None) -> np.ndarray:
+    """Exact intersection sizes of all pairs of sets, or of the first ``cut`` with the others."""
     n = len(sets)
     owner = np.repeat(np.arange(n), [len(z) for z in sets])
     token, place, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -244,12 +274,13 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     place, owner = new[place[keep]], owner[keep]
     order = np.argsort(place, kind="stable")
     place, owner = place[order], owner[order]
-    out, width, total = np.zeros((n, n), np.float32), max(256, (4 << 20) // max(1, n)), int(shared.sum())
-    for a in range(0, total, width):
-        lo, hi = np.searchsorted(place, [a, a + width])
-        x = np.zeros((n, min(width, total - a)), np.float32)
-        x[owner[lo:hi], place[lo:hi] - a] = 1
-        out += x @ x.T
+    a, b = (0, n) if cut is None else (cut, cut)
+    out, width, total = np.zeros((b, n - a), np.float32), max(256, (4 << 20) // max(1, n)), int(shared.sum())
+    for k in range(0, total, width):
+        lo, hi = np.searchsorted(place, [k, k + width])
+        x = np.zeros((n, min(width, total - k)), np.float32)
+        x[owner[lo:hi], place[lo:hi] - k] = 1
+        out += x[:b] @ x[a:].T
     return out
 
 
@@ -259,17 +290,19 @@ def _verify(similarity: float, shingle: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[list] = [[], [], []]
         for (_, i, j), (side, rep, weight, texts) in _groups(batches, 3):
-            if len(rep) < 2:
+            n = int((side == 0).sum()) if i != j else None  # two blocks: only across
+            if len(rep) < 2 or n in (0, len(rep)):
                 continue
-            order = np.argsort(rep, kind="stable")
-            side, rep, weight = side[order], rep[order], weight[order]
+            order = np.lexsort((rep, side))
+            rep, weight = rep[order], weight[order]
             sets = shingle_sets(pa.array([texts[k] for k in order], pa.string()), shingle)
             size = np.array([len(z) for z in sets], np.float64)
-            both = _overlaps(sets).astype(np.float64)
-            linked = both >= similarity * (size[:, None] + size[None, :] - both) - 1e-9
-            np.fill_diagonal(linked, False)
-            if i != j:
-                linked &= side[:, None] != side[None, :]
+            both = _overlaps(sets, n).astype(np.float64)
+            linked = both >= similarity * (size[:n, None] + size[None, n or 0 :] - both) - 1e-9
+            if n is None:
+                np.fill_diagonal(linked, False)
+            else:
+                linked = _across(linked)
             any_ = linked.any(1)
             root = _forest(linked)
             out[0].append(rep[any_])
@@ -284,53 +317,68 @@ def _verify(similarity: float, shingle: int) -> Callable:
     return run
 
 
-def similarity_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, shingle: int = SHINGLE, limit: int = LIMIT, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per row of ``docs``: doc_id, class_id (the least id of its class), n_links (other documents similar enough), n_shingles."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    base = materialize(slim.mapInArrow(_profiles(runs_for(recall, DEPTH), similarity, shingle), _PROFILE), "profiles")
-    classes = base.where("sig is not null and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"))
-    classes = materialize(classes, "classes")
-    leaders = classes.select("rep", F.col("sig").alias("_sig"))
-    reps = materialize(base.join(leaders, (base.doc_id == leaders.rep) & (base.sig == leaders["_sig"])).drop("doc_id", "sig", "_sig").dropDuplicates(["rep"]), "representatives")
-
-    buckets, large = [], None
+def _bucket_pairs(first: DataFrame, texts: Callable[[DataFrame], DataFrame], recall: float, similarity: float, shingle: int, limit: int) -> DataFrame:
+    """path, n, rep: the members of all buckets to be compared. ``first``: rep, path of the first level; ``texts`` adds the text to rows of rep."""
+    sizes = materialize(first.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    met, large = first.join(sizes.where(F.col("n") <= limit), "path"), sizes.where(F.col("n") > limit)
+    if large.isEmpty():
+        return met
+    crowded = first.join(large.select("path"), "path", "left_semi").select("rep").distinct()
+    deep = materialize(texts(crowded).mapInArrow(_deep_paths(runs_for(recall, DEPTH), similarity, shingle), _DEEP), "deep")
     for d in range(1, DEPTH + 1):
         if d == 1:
-            rows = reps.select("rep", F.inline(F.arrays_zip(F.col("p1").alias("path"), F.col("at1").alias("run"))))
+            rows = deep.select("rep", F.explode("p1").alias("path"))
         else:
             chosen = F.zip_with(f"at{d}", f"p{d}", partial(_step, F.col(f"p{d - 1}")))
-            rows = reps.select("rep", F.inline(chosen)).join(large.select(F.col("path").alias("parent")), "parent", "left_semi").select("rep", "path")
+            rows = deep.select("rep", F.inline(chosen)).join(large.select(F.col("path").alias("parent")), "parent", "left_semi").select("rep", "path")
         sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         if d < DEPTH:
             sizes = materialize(sizes, "buckets")
-            large = sizes.where(F.col("n") > limit)
-            sizes = sizes.where(F.col("n") <= limit)
-        # the runs beyond what depth 1 needs are for what its large buckets hold
-        compared = rows.where(F.col("run") < runs_for(recall)).drop("run") if d == 1 else rows
-        buckets.append(compared.join(sizes, "path"))
+            large, sizes = sizes.where(F.col("n") > limit), sizes.where(F.col("n") <= limit)
+        met = met.unionByName(rows.join(sizes, "path"))
         if d < DEPTH and large.isEmpty():
             break
-    met = buckets[0]
-    for more in buckets[1:]:
-        met = met.unionByName(more)
-    met = _blocked(met.join(reps.select("rep", "sketch"), "rep"), "path", "n", limit)
+    return met
+
+
+def _classified(docs: DataFrame, similarity: float, recall: float, shingle: int, limit: int, block: int, id_col: str, text_col: str) -> DataFrame:
+    """``similarity_classes`` with text_key, the hash of a row's text."""
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("text_key", F.xxhash64("text"))
+    base = materialize(slim.mapInArrow(_profiles(runs_for(recall), similarity, shingle), _PROFILE), "profiles")
+    least = F.min(F.struct("doc_id", "text_key"))
+    classes = base.where("sig is not null and doc_id is not null").groupBy("sig").agg(least.alias("first"), F.count(F.lit(1)).alias("weight"), F.first("sketch").alias("sketch"), F.first("paths").alias("paths"))
+    # a class has a number of its own, as several may begin with texts of one id
+    classes = materialize(classes.select(F.monotonically_increasing_id().alias("rep"), "sig", "first.*", "weight", "sketch", "paths"), "classes")
+
+    def texts(reps: DataFrame) -> DataFrame:
+        """rep, the other columns and the text of each row of ``reps``; of repeated rows one."""
+        wanted = reps.join(classes.select("rep", "doc_id", "text_key"), "rep")
+        rows = slim.where("doc_id is not null and text is not null").join(wanted, ["doc_id", "text_key"])
+        return rows.groupBy(*reps.columns).agg(F.min("text").alias("text"))
+
+    met = _bucket_pairs(classes.select("rep", F.explode("paths").alias("path")), texts, recall, similarity, shingle, limit)
+    met = _blocked(met.join(classes.select("rep", "sketch"), "rep"), "path", "n", limit)
     dealt = met.select("path", "i", "j", "side", "rep", "sketch").repartition(parts, "path", "i", "j").sortWithinPartitions("path", "i", "j")
     joined = components(dealt.mapInArrow(_candidates(similarity - SLACK), "u long, v long"))
-    discard(reps)
 
     sizes = joined.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    members = joined.join(sizes, "root").withColumnRenamed("node", "rep").join(classes.select("rep", "weight", F.col("sig").alias("_sig")).dropDuplicates(["rep"]), "rep").drop("_sig")
-    texts = slim.where("doc_id is not null and text is not null").withColumnRenamed("doc_id", "rep").join(members, "rep").groupBy("rep", "root", "n", "weight").agg(F.min("text").alias("text"))
-    dealt = _blocked(texts, "root", "n", block).select("root", "i", "j", "side", "rep", "weight", "text").repartition(parts, "root", "i", "j").sortWithinPartitions("root", "i", "j")
+    members = joined.join(sizes, "root").withColumnRenamed("node", "rep").join(classes.select("rep", "weight"), "rep")
+    dealt = _blocked(texts(members), "root", "n", block).select("root", "i", "j", "side", "rep", "weight", "text").repartition(parts, "root", "i", "j").sortWithinPartitions("root", "i", "j")
     links = materialize(dealt.mapInArrow(_verify(similarity, shingle), "rep long, n_links long, root long"), "links")
     counts = links.groupBy("rep").agg(F.sum("n_links").alias("n_links"))
-    roots = components(links.select(F.col("rep").alias("u"), F.col("root").alias("v")))
-    known = classes.join(counts, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    known = known.select("sig", F.coalesce("root", "rep").alias("class_id"), (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
-    out = base.select("doc_id", "sig", F.col("size").cast("long").alias("n_shingles")).join(known, "sig", "left")
-    return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"), F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"), "n_shingles")
+    roots = components(links.select(F.col("rep").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "rep")
+    first = roots.join(classes.select("rep", "doc_id"), "rep").groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    known = classes.join(counts, "rep", "left").join(roots.join(first, "root").drop("root"), "rep", "left")
+    known = known.select("sig", F.coalesce("class_id", "doc_id").alias("class_id"), (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    out = base.select("doc_id", "text_key", "sig", F.col("size").cast("long").alias("n_shingles")).join(known, "sig", "left")
+    return out.select("doc_id", "text_key", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"), F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"), "n_shingles")
+
+
+def similarity_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, shingle: int = SHINGLE, limit: int = LIMIT, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row per row of ``docs``: doc_id, class_id (the least id of its class), n_links (other documents similar enough), n_shingles."""
+    return _classified(docs, similarity, recall, shingle, limit, block, id_col, text_col).drop("text_key")
 
 
 def op1_jaccard_join(spark, sf_dir: str) -> DataFrame:
@@ -339,5 +387,6 @@ def op1_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 def stage_jaccard_join(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class, the one with the least id; rows without an id stay."""
-    gone = similarity_classes(docs).where("class_id < doc_id").select("doc_id").distinct()
-    return docs.join(gone.withColumnRenamed("doc_id", "_doc"), F.col("doc_id").cast("long") == F.col("_doc"), "left_anti")
+    found = _classified(docs, SIMILARITY, RECALL, SHINGLE, LIMIT, BLOCK, "doc_id", "text")
+    gone = found.where("class_id < doc_id").select("doc_id", "text_key").distinct().alias("gone")
+    return docs.alias("docs").join(gone, (F.col("docs.doc_id").cast("long") == F.col("gone.doc_id")) & (F.xxhash64("docs.text") == F.col("gone.text_key")), "left_anti")

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tactus.llm import decontamination, fingerprints, jaccard_join, language_id, line_dedup, packing, pii, substring_dedup, token_files, tokens, toxicity
+from tactus.llm import components, decontamination, fingerprints, jaccard_join, language_id, line_dedup, packing, pii, substring_dedup, token_files, tokens, toxicity
 
 WORDS = [f"{a}{b}" for a in ("ka", "mo", "ti", "re", "su", "na", "lo", "vi") for b in ("", "n", "la", "ro", "me", "st")]
 EDGE = [None, "", " ", "\n", "a", "Zz", "é́ o", "line one\nline two\nline three"]
@@ -82,6 +82,45 @@ def test_similarity_of_no_rows_and_null_ids(spark, rows):
     assert sorted(out, key=str) == [(3, 3, 1), (3, 3, 1), (None, None, 0)]
 
 
+def test_similarity_of_several_texts_of_one_id(spark, rows):
+    """Two texts of one id belong to different classes, each with its own links."""
+    a, b = prose(1, 60).replace("\n", " "), prose(2, 60).replace("\n", " ")
+    near = lambda t: " ".join([*t.split()[:-1], "changed"])
+    pairs = [(1, a), (1, b), (2, near(a)), (3, near(b)), (4, a), (1, a)]
+    out = read(jaccard_join.similarity_classes(rows(pairs)), "doc_id", "class_id", "n_links")
+    assert sorted(out) == [(1, 1, 1), (1, 1, 3), (1, 1, 3), (2, 1, 3), (3, 1, 1), (4, 1, 3)]
+    pairs = [(5, a), (5, b), (3, near(a))]
+    assert sorted((r["doc_id"], r["text"]) for r in jaccard_join.stage_jaccard_join(spark, rows(pairs), "").collect()) == [(3, near(a)), (5, b)]
+
+
+def test_similarity_of_a_long_chain(spark, rows):
+    """Each version of a page is like the one before; ids ascend along the chain."""
+    words = [f"w{k}" for k in range(360)]
+    pairs = [(i, " ".join(words[i : i + 60])) for i in range(300)]
+    assert {c for _, c in read(jaccard_join.similarity_classes(rows(pairs), block=64), "doc_id", "class_id")} == {0}
+    assert [r["doc_id"] for r in jaccard_join.stage_jaccard_join(spark, rows(pairs), "").collect()] == [0]
+
+
+def test_large_group_of_near_copies(spark, rows):
+    """Every text of the group differs in one word; buckets of more than the limit are split, links are counted whole."""
+    words = prose(4, 100).split()
+    pairs = [(i, " ".join([*words[: 7 + i % 80], f"own{i}", *words[8 + i % 80 :]])) for i in range(700)]
+    out = read(jaccard_join.similarity_classes(rows(pairs), limit=64, block=128), "doc_id", "class_id", "n_links")
+    assert {i: (c, n) for i, c, n in out} == brute_links(pairs)
+
+
+@pytest.mark.parametrize("order", ["ascending", "descending", "shuffled"])
+def test_components_of_long_paths(spark, monkeypatch, order):
+    n, steps = 5000, []
+    ids = {"ascending": list(range(n)), "descending": list(range(n))[::-1], "shuffled": random.Random(1).sample(range(n), n)}[order]
+    real = components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, name: steps.append(name) or real(df, name))
+    edges = spark.createDataFrame(list(zip(ids[:-1], ids[1:])) + [(9001, 9002), (9003, 9003)], "u long, v long")
+    found = dict(read(components.components(edges), "node", "root"))
+    assert {found[i] for i in ids} == {0} and found[9002] == 9001 and 9003 not in found
+    assert steps.count("step") < 20
+
+
 def test_stage_keeps_one_of_each_class(spark, rows):
     pairs = list(enumerate(corpus(2)))
     kept = {r["doc_id"] for r in jaccard_join.stage_jaccard_join(spark, rows(pairs), "").collect()}
