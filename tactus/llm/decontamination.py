@@ -7,21 +7,22 @@ and if the slots agree: equal values stand for equal values, both ways, over all
 lie on one alignment with the item. A sentence's first word may be a name: windows that match but for such words count too, with these words as
 slots, if they agree with the alignment's other windows. A document is contaminated by an item if such windows cover at least ``SHARE`` of the
 item's windows with enough words (``n_windows`` is the number of all), so that a question with other numbers and names is caught as well as a verbatim copy.
+An item of fewer than ``WINDOW`` tokens is one window of its own length; with fewer than ``LITERALS`` words it matches nothing.
 
-The benchmark's windows are broadcast if there are at most ``BROADCAST`` of them, and shuffled otherwise. Null texts match nothing,
-items of fewer than ``WINDOW`` tokens match nothing, equal items each match. Rows of one id are told apart by their texts;
-equal rows count as one document. Items with a null id are left out.
+One scan makes the hashes of all windows, and only those that the benchmark has are kept; the documents of these are read once more for
+their tokens, which settle whether templates are equal and slots agree. The benchmark's hashes, and the ids of the documents that have some, are
+broadcast up to ``BROADCAST`` rows of a few numbers each, and shuffled otherwise. Null texts match nothing, equal items each match. Rows of one id are
+told apart by their texts; equal rows count as one document. Items with a null id are left out.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tactus.llm.common import is_small
+from tactus.llm.common import is_small, materialize
 
 WINDOW, LITERALS, SHARE, BROADCAST = 8, 5, 0.5, 200_000
 #: Units that belong to the number before them.
@@ -29,18 +30,21 @@ UNITS = ("km", "cm", "mm", "m", "kg", "mg", "g", "lb", "oz", "l", "ml", "h", "ho
 #: A number with its signs and unit, or a word with the sentence end before it.
 TOKEN = r"(?:[$€£] ?)?[0-9]+(?:[.,][0-9]+)*(?: ?(?:%|°|(?:" + "|".join(UNITS) + r")\b))?|(?:[.!?:\n]\s*)?\p{L}[\p{L}\p{M}]*"
 _ENDS = ".!?: \n\r\t"
-#: Between a window's tokens, which never hold it: one string a window takes far less memory than an array of them.
-_BETWEEN = "\x01"
+#: Before a sentence's first word in a template.
+_FIRST = "\x02"
+
+
+def tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.concat(F.lit("\n"), text), F.lit(TOKEN), F.lit(0))
 
 
 def canonical(x: Column) -> Column:
-    """A token's place in the template. Plain words, by far the most tokens, are settled by the first test."""
+    """A token's place in the template, with ``_FIRST`` before a sentence's first word. Plain words, by far the most tokens, are settled by the first test."""
     c = F.substring(x, 1, 1)
     numeric = ((c >= "0") & (c <= "9")) | c.isin("$", "€", "£")
     bare = F.translate(x, "0123456789.,", "") == ""
-    ended = c.isin(".", "!", "?", ":", "\n")
     word = F.when((c >= "a") & (c <= "z"), F.lower(x))
-    return word.when(numeric, F.when(bare, "<num>").otherwise("<qty>")).when(ended, F.lower(F.ltrim(x, F.lit(_ENDS)))).when(F.lower(c) != c, "<name>").otherwise(F.lower(x))
+    return word.when(numeric, F.when(bare, "<num>").otherwise("<qty>")).when(initial(x), F.concat(F.lit(_FIRST), value(x))).when(F.lower(c) != c, "<name>").otherwise(F.lower(x))
 
 
 def initial(x: Column) -> Column:
@@ -48,59 +52,86 @@ def initial(x: Column) -> Column:
     return F.substring(x, 1, 1).isin(".", "!", "?", ":", "\n")
 
 
-def _spans(rows: DataFrame, text: Column, window: int) -> DataFrame:
-    """Adds n (the number of tokens) and rows per window: pos, its tokens (joined by ``_BETWEEN``), the hash of its template and whether the
-    template is loose: with ``<first>`` for sentences' first words, a second row of windows that have such.
+def value(x: Column) -> Column:
+    """A token without the sentence end before it."""
+    return F.lower(F.ltrim(x, F.lit(_ENDS)))
+
 
-    A window takes its tokens along, so that neither its row nor a shuffle carries the whole text; it gets them by element,
-    as a slice would copy the whole array for each window."""
-    raw = F.regexp_extract_all(F.concat(F.lit("\n"), text), F.lit(TOKEN), F.lit(0))
+def _keys(rows: DataFrame, window: int) -> DataFrame:
+    """The columns of ``rows`` but text; pos, h, loose of each window: the hash of its template. A window with sentences' first words has a loose row too, in
+    which these are ``<first>``.
+
+    The windows are what a lookahead captures at each token of the template, written as one string: no lambda is called a window."""
+    names = [c for c in rows.columns if c != "text"]
+    template = F.concat(F.array_join(F.transform(tokens(F.col("text")), canonical), " "), F.lit(" "))
+    form = f"(?<![^ ])(?=((?:[^ ]+ ){{{window}}}))"
+    spans = lambda t: F.regexp_extract_all(t, F.lit(form), F.lit(1))
+    both = F.arrays_zip(spans(F.translate("template", _FIRST, "")).alias("strict"), spans(F.regexp_replace("template", _FIRST + "[^ ]+", "<first>")).alias("loose"))
+    each = rows.select(*names, template.alias("template")).select(*names, F.posexplode(both).alias("pos", "span"))
+    key = lambda c, loose: F.struct(F.xxhash64(F.col(f"span.{c}")).alias("h"), F.lit(loose).alias("loose"))
+    keys = F.when(F.contains("span.loose", F.lit("<first>")), F.array(key("strict", False), key("loose", True))).otherwise(F.array(key("strict", False)))
+    return each.select(*names, "pos", F.inline(keys))
+
+
+def _slices(rows: DataFrame, window: int) -> DataFrame:
+    """The columns of ``rows`` but text; n (the number of tokens), and pos and raw of each window: of few texts."""
     names = [c for c in rows.columns if c != "text"]
-    rows = rows.withColumn("raw", raw).withColumn("n", F.size("raw")).withColumn("hashes", F.transform("raw", lambda x: F.xxhash64(canonical(x))))
-    rows = rows.withColumn("firsts", F.transform("raw", initial)).withColumn("masked", F.zip_with("hashes", "firsts", lambda h, first: F.when(first, F.xxhash64(F.lit("<first>"))).otherwise(h)))
-    starts = F.when(F.col("n") >= window, F.sequence(F.lit(0), F.col("n") - window))
-    each = lambda array, i: [F.get(array, i + k) for k in range(window)]
-    both = lambda i: F.array(F.struct(F.xxhash64(*each("hashes", i)).alias("h"), F.lit(False).alias("loose")), F.when(reduce(or_, each("firsts", i)), F.struct(F.xxhash64(*each("masked", i)).alias("h"), F.lit(True).alias("loose"))))
-    spans = F.transform(starts, lambda i: F.struct(F.array_compact(both(i)).alias("keys"), F.concat_ws(_BETWEEN, *each("raw", i)).alias("tokens")))
-    return rows.select(*names, "n", F.posexplode(spans).alias("pos", "span")).select(*names, "n", "pos", "span.tokens", F.inline("span.keys"))
+    rows = rows.select(*names, tokens(F.col("text")).alias("raw")).withColumn("n", F.size("raw"))
+    # the transform of one element makes a text's tokens once
+    spans = F.get(F.transform(F.array("raw"), lambda r: F.transform(F.sequence(F.lit(0), F.size(r) - window), lambda i: F.slice(r, i + 1, window))), F.lit(0))
+    return rows.where(F.col("n") >= window).select(*names, "n", F.posexplode(spans).alias("pos", "raw"))
+
+
+def _items(known: DataFrame, window: int, literals: int) -> DataFrame:
+    """item_id, item_key, n_windows, n_usable, item_pos, h, loose, item_raw, item_template of the items' windows with enough words."""
+    spans = _slices(known, window).select("item_id", "item_key", (F.col("n") - (window - 1)).cast("long").alias("n_windows"), F.col("pos").alias("item_pos"), F.col("raw").alias("item_raw"))
+    keys = _keys(known, window).withColumnRenamed("pos", "item_pos")
+    spans = spans.join(keys, ["item_id", "item_key", "item_pos"])
+    spans = spans.withColumn("item_template", F.transform("item_raw", lambda x: F.when(F.col("loose") & initial(x), "<first>").otherwise(F.translate(canonical(x), _FIRST, ""))))
+    spans = spans.where(F.size(F.filter("item_template", lambda x: ~x.startswith("<"))) >= literals)
+    # of an item's windows only those with so many words can match
+    return spans.withColumn("n_usable", F.count(F.when(~F.col("loose"), 1)).over(Window.partitionBy("item_id", "item_key")))
 
 
-def _slots(raw: Column, template: Column) -> Column:
-    """(place, value) of a window's slots."""
-    pairs = F.transform(raw, lambda x, i: F.struct(i.alias("i"), F.lower(F.ltrim(x, F.lit(_ENDS))).alias("value")))
-    return F.filter(pairs, lambda p: F.get(template, p["i"]).startswith("<"))
+def _small(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if is_small(rows, BROADCAST) else rows
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literals: int = LITERALS, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_key, item_id, n_matched, n_windows of each document and item that share enough windows."""
-    known = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text").distinct()
-    items = _spans(known.withColumn("item_key", F.xxhash64("text")), F.col("text"), window)
-    spans = items.select("item_id", "item_key", (F.col("n") - (window - 1)).cast("long").alias("n_windows"), F.col("pos").alias("item_pos"), "h", "loose", F.split("tokens", _BETWEEN).alias("item_raw"))
-    spans = spans.withColumn("item_template", F.transform("item_raw", lambda x: F.when(F.col("loose") & initial(x), "<first>").otherwise(canonical(x))))
-    spans = spans.where(F.size(F.filter("item_template", lambda x: ~x.startswith("<"))) >= literals)
-    # of an item's windows only those with so many words can match
-    spans = spans.withColumn("n_usable", F.count(F.when(~F.col("loose"), 1)).over(Window.partitionBy("item_id", "item_key")))
-    if is_small(spans, BROADCAST):
-        spans = F.broadcast(spans)
-    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
-    hits = _spans(texts, F.col("text"), window).join(spans, ["h", "loose"])
-    hits = hits.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "n_usable", "loose", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_raw", "item_template", F.split("tokens", _BETWEEN).alias("doc_raw"))
-    # element by element: as an equality of arrays it would become a join key, made for every window
-    hits = hits.where(F.forall(F.zip_with("doc_raw", "item_template", lambda x, t: F.when(t == "<first>", initial(x)).otherwise(canonical(x) == t)), lambda same: same))
-    value = lambda side: F.transform(_slots(F.col(f"{side}_raw"), F.col("item_template")), lambda p: p["value"])
-    pairs = F.zip_with(value("item"), value("doc"), lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
+def _found(texts: DataFrame, known: DataFrame, window: int, literals: int, share: float) -> DataFrame:
+    """``contamination`` by items that have windows of this size."""
+    spans = materialize(_items(known, window, literals), "templates")
+    hits = materialize(_keys(texts, window).join(_small(spans.select("h", "loose").distinct()), ["h", "loose"]), "hits")
+    own = hits.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("pos", "h", "loose")).alias("own"))
+    rows = texts.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "text")
+    rows = rows.join(_small(own), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))).dropDuplicates(["id", "key"])
+    cut = F.get(F.transform(F.array(tokens(F.col("text"))), lambda r: F.transform("own", lambda x: F.struct(x["pos"].alias("pos"), x["h"].alias("h"), x["loose"].alias("loose"), F.slice(r, x["pos"] + 1, window).alias("doc_raw")))), F.lit(0))
+    hits = rows.select("doc_id", "text_key", F.inline(cut)).join(_small(spans), ["h", "loose"])
+    hits = hits.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "n_usable", "loose", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_raw", "item_template", "doc_raw")
+    same = F.zip_with("doc_raw", "item_template", lambda x, t: F.when(t == "<first>", initial(x)).otherwise(F.translate(canonical(x), _FIRST, "") == t))
     # a loose match with the same first words is a strict one too
-    hits = hits.withColumn("pairs", pairs).where(~F.col("loose") | F.exists(F.zip_with(F.zip_with("item_raw", "item_template", lambda x, t: F.when(t == "<first>", F.lower(F.ltrim(x, F.lit(_ENDS))))), "doc_raw", lambda a, b: a != F.lower(F.ltrim(b, F.lit(_ENDS)))), lambda other: F.coalesce(other, F.lit(False))))
+    other = F.zip_with(F.zip_with("item_raw", "item_template", lambda x, t: F.when(t == "<first>", value(x))), "doc_raw", lambda a, b: a != value(b))
+    hits = hits.where(F.forall(same, lambda x: x) & (~F.col("loose") | F.exists(other, lambda x: F.coalesce(x, F.lit(False)))))
+    slots = F.filter(F.zip_with(F.zip_with("item_raw", "doc_raw", lambda a, b: F.struct(value(a).alias("item"), value(b).alias("doc"))), "item_template", lambda p, t: F.when(t.startswith("<"), p)), lambda p: p.isNotNull())
     # a line of strict matches stands by itself; with the loose ones it stands if those agree as well
-    hits = hits.withColumn("with_loose", F.explode(F.when(F.col("loose"), F.array(F.lit(True))).otherwise(F.array(F.lit(False), F.lit(True)))))
+    hits = hits.withColumn("pairs", slots).withColumn("with_loose", F.explode(F.when(F.col("loose"), F.array(F.lit(True))).otherwise(F.array(F.lit(False), F.lit(True)))))
     # one alignment of a document with an item has at most the item's windows
-    lines = hits.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "n_usable", "item_pos", "shift", "with_loose", "pairs").groupBy("doc_id", "text_key", "item_id", "item_key", "n_windows", "n_usable", "shift", "with_loose").agg(F.collect_set("item_pos").alias("found"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    keys = ["doc_id", "text_key", "item_id", "item_key", "n_windows", "n_usable"]
+    lines = hits.groupBy(*keys, "shift", "with_loose").agg(F.collect_set("item_pos").alias("found"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     ways = lambda k: F.size(F.array_distinct(F.transform("pairs", lambda p: p[k])))
     agreed = lines.where((F.size("pairs") == ways("item")) & (F.size("pairs") == ways("doc")))
-    found = agreed.groupBy("doc_id", "text_key", "item_id", "item_key", "n_windows", "n_usable").agg(F.size(F.array_distinct(F.flatten(F.collect_set("found")))).cast("long").alias("n_matched"))
+    found = agreed.groupBy(*keys).agg(F.size(F.array_distinct(F.flatten(F.collect_set("found")))).cast("long").alias("n_matched"))
     return found.where(F.col("n_matched") >= share * F.col("n_usable")).select("doc_id", "text_key", "item_id", "n_matched", "n_windows")
 
 
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literals: int = LITERALS, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_key, item_id, n_matched, n_windows of each document and item that share enough windows."""
+    known = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", F.xxhash64("text").alias("item_key"), "text").distinct()
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    sized = known.withColumn("size", F.least(F.size(tokens(F.col("text"))), F.lit(window)))
+    short = [r["size"] for r in sized.where(F.col("size").between(literals, window - 1)).select("size").distinct().orderBy("size").collect()]  # at most window - literals numbers
+    return reduce(DataFrame.unionByName, [_found(texts, sized.where(F.col("size") == k).drop("size"), k, literals, share) for k in [window, *short]])
+
+
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:
     found = contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select("doc_id", "item_id", "n_matched", "n_windows")
@@ -113,33 +144,47 @@ with tokens as (
   union all
   select 'b', item_id, regexp_extract_all(chr(10) || text, '{_SQL_TOKEN}') from benchmark where text is not null and item_id is not null
 ), templates as (
-  select side, id, raw, list_transform(raw, lambda x: case
+  select side, id, raw, list_transform(raw, lambda x: lower(regexp_replace(x, '^[.!?: \\n\\r\\t]+', ''))) as v,
+    list_transform(raw, lambda x: regexp_matches(x, '^[.!?:\\n]')) as f, list_transform(raw, lambda x: case
       when regexp_matches(x, '^[0-9$€£]') then case when regexp_matches(x, '^[0-9.,]+$') then '<num>' else '<qty>' end
       when regexp_matches(x, '^[.!?:\\n]') then lower(regexp_replace(x, '^[.!?: \\n\\r\\t]+', ''))
       when lower(x[1]) <> x[1] then '<name>' else lower(x) end) as t
   from tokens
+), sizes as (
+  select distinct least(len(t), {WINDOW}) as w from templates where side = 'b' and len(t) >= {LITERALS}
+), strict as (
+  select side, id, w, p, v[p:p + w - 1] as v, f[p:p + w - 1] as f, t[p:p + w - 1] as t, n from (
+    select side, id, v, f, t, w, len(t) - w + 1 as n, unnest(range(1, len(t) - w + 2)) as p
+    from templates join sizes on len(t) >= w and (side = 'd' or w = least(len(t), {WINDOW})))
 ), spans as (
-  select side, id, p, raw[p:p + {WINDOW - 1}] as r, t[p:p + {WINDOW - 1}] as t, len(t) - {WINDOW - 1} as n
-  from (select side, id, raw, t, unnest(range(1, len(t) - {WINDOW - 2})) as p from templates where len(t) >= {WINDOW})
+  select side, id, w, p, v, t, n, false as loose from strict
+  union all
+  select side, id, w, p, v, list_transform(list_zip(t, f), lambda x: case when x[2] then '<first>' else x[1] end), n, true from strict where list_contains(f, true)
+), items as (
+  select *, count(*) filter (where not loose) over (partition by id) as usable from spans
+  where side = 'b' and len(list_filter(t, lambda x: not starts_with(x, '<'))) >= {LITERALS}
 ), hits as (
-  select d.id as doc_id, b.id as item_id, b.n as n_windows, b.p as item_pos, d.p - b.p as shift, b.r as br, d.r as dr, b.t as t
-  from spans d join spans b on d.t = b.t
-  where d.side = 'd' and b.side = 'b' and len(list_filter(b.t, lambda x: not starts_with(x, '<'))) >= {LITERALS}
+  select d.id as doc_id, b.id as item_id, b.n as n_windows, b.usable, b.p as item_pos, d.p - b.p as shift, b.v as bv, d.v as dv, b.t as t, b.w, b.loose
+  from spans d join items b on d.t = b.t and d.w = b.w and d.loose = b.loose
+  where d.side = 'd' and (not b.loose or len(list_filter(range(1, b.w + 1), lambda k: b.t[k] = '<first>' and b.v[k] <> d.v[k])) > 0)
+), lines as (
+  select *, true as with_loose from hits union all select *, false from hits where not loose
 ), slots as (
-  select doc_id, item_id, shift, lower(br[k]) as a, lower(dr[k]) as b
-  from (select *, unnest(range(1, {WINDOW + 1})) as k from hits) where starts_with(t[k], '<')
+  select distinct doc_id, item_id, shift, with_loose, bv[k] as a, dv[k] as b
+  from (select *, unnest(range(1, w + 1)) as k from lines) where starts_with(t[k], '<')
 ), broken as (
-  select doc_id, item_id, shift from slots group by 1, 2, 3, a having count(distinct b) > 1
+  select doc_id, item_id, shift, with_loose from slots group by 1, 2, 3, 4, a having count(distinct b) > 1
   union
-  select doc_id, item_id, shift from slots group by 1, 2, 3, b having count(distinct a) > 1
+  select doc_id, item_id, shift, with_loose from slots group by 1, 2, 3, 4, b having count(distinct a) > 1
 )
 select doc_id, item_id, count(distinct item_pos) as n_matched, n_windows
-from hits h where not exists (select 1 from broken x where x.doc_id = h.doc_id and x.item_id = h.item_id and x.shift = h.shift)
-group by doc_id, item_id, n_windows having count(distinct item_pos) >= {SHARE} * n_windows
+from lines h where not exists (select 1 from broken x where x.doc_id = h.doc_id and x.item_id = h.item_id and x.shift = h.shift and x.with_loose = h.with_loose)
+group by doc_id, item_id, n_windows, usable having count(distinct item_pos) >= {SHARE} * usable
 """
 
 
 def stage_decontamination(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that no benchmark item contaminates, with their columns."""
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).distinct()
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_key")), "left_anti")
+    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id", "text_key").distinct()
+    found = _small(materialize(found, "contaminated")).alias("found")
+    return docs.alias("docs").join(found, F.col("docs.doc_id").cast("long").eqNullSafe(F.col("found.doc_id")) & (F.xxhash64("docs.text") == F.col("found.text_key")), "left_anti")

@@ -248,6 +248,19 @@ def test_contamination_of_rewritten_sentences(spark, rows):
     assert (3, 0) not in found and not {i for i, _ in found} & {6}
 
 
+def test_contamination_finds_every_copied_item(spark, rows):
+    """Items copied whole into a document: of each length from the least number of words on, and of mostly names and numbers."""
+    r = random.Random(11)
+    word = lambda: r.choice(WORDS)
+    items = [" ".join(word() for _ in range(n)) for n in (5, 6, 7, 8, 9, 20)]
+    items.append("Anna Bob Carl Dora " + " ".join(word() for _ in range(9)) + " 1 2 3 4 5 6 7 8 9 10 11 12 Eva Finn Gina Hans Ida Jan Karl Lea")
+    items += ["too short it is", "12 13 14 15 16 17 18 19 20"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    pairs = [(k, f"{prose(k, 40)} {t} {prose(k + 50, 40)}") for k, t in enumerate(items)]
+    found = {(i, k) for i, k in read(decontamination.contamination(rows(pairs), bench), "doc_id", "item_id")}
+    assert found == {(k, k) for k in range(7)}
+
+
 # --- tokens, files, packing
 
 
