@@ -18,9 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
+    """The folder that all executors share: ``spark.checkpoint.dir``; where it is unset, a local one if the master is local (tests), else an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="tactus-")
         spark.sparkContext.setCheckpointDir(found)
     return found

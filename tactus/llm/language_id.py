@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tactus.llm.common import held_out
+from tactus.llm.common import held_out, sampled
 from tactus.llm.tokens import slices
 
 TOP, SAMPLE = 400, 4000
@@ -88,7 +88,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))  # a row per language
     rate = F.least(F.lit(1.0), F.lit(float(sample)) / F.col("n"))
-    chosen = known.join(F.broadcast(counts), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 20)) < rate * (1 << 20)).select("lang", "text")
+    chosen = known.join(F.broadcast(counts), "lang").where(sampled(rate, "doc_id", "language")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, list] = {}

@@ -7,7 +7,7 @@ can't hold one). Windows overlap; where they disagree, a position's emission sco
 centrally, and one Viterbi pass over each run of windows with the CRF's transitions gives spans for the whole text.
 A model's span must hold as many digits as its kind needs (a card must pass Luhn's check) and overlap no pattern's span.
 
-The training sample is at most ``TRAINED`` windows of about ``SAMPLE`` documents with a digit or at-sign outside the held-out fold, chosen by a
+The training sample is at most ``TRAINED`` windows of about ``SAMPLE`` documents with a digit or at-sign and at most ``LONGEST`` characters outside the held-out fold, chosen by a
 hash of the id; a part of the labelled spans is rewritten into other written forms (no country code, dots, dashes, "at"). Null and empty texts have no spans. Offsets
 count code points, ends are exclusive. Rows keep their multiplicity.
 """
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tactus.llm.common import held_out
+from tactus.llm.common import held_out, sampled
 from tactus.llm.tokens import slices
 
 KINDS = ("email", "ip", "card", "phone")
@@ -40,7 +40,7 @@ _DIGIT = re.compile("[0-9]")
 _WRITTEN = r"[ (\[]at[ )\]]"
 _ANCHOR = re.compile("[0-9@]|" + _WRITTEN)
 
-WIDTH, STEP, SAMPLE, TRAINED = 64, 32, 800, 5000
+WIDTH, STEP, SAMPLE, LONGEST, TRAINED = 64, 32, 800, 50_000, 5000
 HIDDEN, EMBED, EPOCHS, BATCH = 20, 12, 6, 32
 #: B and I tags of each kind after O.
 TAGS = 1 + 2 * len(KINDS)
@@ -60,11 +60,17 @@ def digits_of(text: str) -> str:
     return "".join(_DIGIT.findall(text))
 
 
+def _octet(digits: str) -> bool:
+    """Whether a number is at most 255; leading zeros count for nothing, and one of any length is settled by its digits."""
+    own = digits.lstrip("0")
+    return len(own) <= 3 and int(own or 0) <= 255
+
+
 def _valid(kind: str, text: str) -> bool:
     if kind == "email":
         return True
     if kind == "ip":
-        return all(int(x) <= 255 for x in text.split("."))
+        return all(map(_octet, text.split(".")))
     digits = digits_of(text)
     return 12 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 9 <= len(digits) <= 15
 
@@ -295,7 +301,7 @@ def _plausible(kind: str, span: str) -> bool:
         return ("@" in span or re.search(_WRITTEN, span) is not None) and "." in span + span.replace(" dot ", ".")
     if kind == "ip":
         parts = re.findall("[0-9]+", span)
-        return len(parts) == 4 and all(int(x) <= 255 for x in parts)
+        return len(parts) == 4 and all(map(_octet, parts))
     if re.search(r"[^\x20().0-9+-]" if kind == "card" else r"[^\x20()./0-9+-]", span):
         return False
     return _valid(kind, span) if kind == "card" else 9 <= len(digits_of(span)) <= 15 and re.search(r"[()./\x20-]", span) is not None
@@ -342,12 +348,12 @@ def fit(texts: list[str], seed: int = 11) -> Tagger:
     return tagger
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE, longest: int = 50_000) -> Tagger:
+def learn(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Tagger:
     """Fit on a hashed sample of the texts with a digit or at-sign outside the held-out fold."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & (F.length("text") <= longest) & F.col("text").rlike("[0-9@]"))
     n = texts.count()
     rate = min(1.0, sample / max(1, n))
-    rows = texts.where(F.pmod(F.xxhash64("doc_id", F.lit("pii")), F.lit(1 << 20)) < rate * (1 << 20)).collect()  # bounded by ``sample``
+    rows = texts.where(sampled(rate, "doc_id", "pii")).collect()  # bounded by ``sample``
     return fit([r["text"] for r in sorted(rows)])
 
 
