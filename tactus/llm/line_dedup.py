@@ -35,17 +35,19 @@ def covered_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` with ``text_col`` cleaned, and n_lines, n_removed (long) beside it."""
-    covered = covered_lines(docs, id_col, text_col, window).withColumnsRenamed({"doc_id": "_doc", "text_key": "_key"})
-    lines = F.split(text_col, "\n", -1)
-    rows = docs.join(covered, F.col(id_col).cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text_col) == F.col("_key")), "left")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "covered")
+    """The rows of ``docs`` with ``text_col`` cleaned, and n_lines, n_removed (long) beside it, in place of columns of these names."""
+    found = covered_lines(docs, id_col, text_col, window).alias("found")
+    own = lambda c: F.col(f"docs.`{c}`")
+    whole, covered = own(text_col), F.col("found.covered")
+    lines = F.split(whole, "\n", -1)
+    rows = docs.alias("docs").join(found, own(id_col).cast("long").eqNullSafe(F.col("found.doc_id")) & (F.xxhash64(whole) == F.col("found.text_key")), "left")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
     # the transform of one element splits a text once; named in the inner function itself, the split would be made anew for each line
     left = F.transform(F.array(lines), lambda x: F.array_join(F.transform(kept, lambda i: F.get(x, i)), "\n"))
-    text = F.when(F.col("covered").isNull(), F.col(text_col)).otherwise(F.get(left, F.lit(0)))
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long")
-    counts = [n_lines.alias("n_lines"), F.coalesce(F.size("covered"), F.lit(0)).cast("long").alias("n_removed")]
-    return rows.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")), *counts)
+    text = F.when(covered.isNull(), whole).otherwise(F.get(left, F.lit(0)))
+    n_lines = F.when(whole.isNull(), 0).otherwise(F.size(lines)).cast("long")
+    counts = [n_lines.alias("n_lines"), F.coalesce(F.size(covered), F.lit(0)).cast("long").alias("n_removed")]
+    return rows.select(*(text.alias(c) if c == text_col else own(c) for c in docs.columns if c not in ("n_lines", "n_removed")), *counts)
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
@@ -78,8 +80,10 @@ from documents d left join kept using (doc_id)
 
 
 def stage_line_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of three-line windows. One that has no line left goes; ``n_chars`` follows the text."""
-    done = dedup_lines(docs).where("n_removed = 0 or n_removed < n_lines")
+    """Documents without later copies of three-line windows. One that has no line left goes; ``n_chars`` follows the text. Columns named as the
+    operator's own counts stay as they are."""
+    held = {c: f"kept_{c}" for c in ("n_lines", "n_removed") if c in docs.columns}
+    done = dedup_lines(docs.withColumnsRenamed(held)).where("n_removed = 0 or n_removed < n_lines")
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return done.select(*docs.columns)
+    return done.select(*(F.col(held[c]).alias(c) if c in held else F.col(c) for c in docs.columns))
