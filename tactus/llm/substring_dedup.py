@@ -7,8 +7,8 @@ The reference of a document is the whole corpus, so its automata can't all be se
 documents are routed to shards where they can meet: a window belongs to its minimizer, the least of the hashes of its runs
 of ``RUN`` words, and equal windows have equal minimizers. (1) Documents with equal words are one; later ones go whole.
 (2) Minimizers in one document only are put aside by counting. (3) The pieces of text around the others (consecutive windows of
-one minimizer) are sent to the minimizer's shard, each distinct piece once with its least document. Pieces of a minimizer in more
-than ``HOT`` documents go window by window to shards of their own, so no shard grows with a frequent passage.
+one minimizer) are sent to the minimizer's shard, each distinct piece once with its least document. Pieces of a minimizer that has more
+than ``HOT`` of them go window by window to shards of their own, so no shard grows with a frequent passage or a repetitive document.
 (4) A shard builds the suffix automaton of its pieces, with the least document of every state, and streams the pieces through it: the state of
 the last ``WINDOW`` words gives the least document that holds a window. (5) Each document's repeats are merged into
 maximal spans and cut out.
@@ -136,8 +136,8 @@ def minimizers(word: np.ndarray, window: int, run: int) -> tuple[np.ndarray, np.
     return place, value
 
 
-_BASE = "doc_id long, tag int, sig binary, n_words long, kept_sha256 string, mins array<long>"
-_PIECE = "doc_id long, tag int, start int, shard long, piece long, words binary"
+_BASE = "doc_id long, tag long, sig binary, n_words long, kept_sha256 string, mins array<long>, times array<int>"
+_PIECE = "doc_id long, tag long, start int, shard long, piece long, words binary"
 
 
 def _profile(window: int, run: int):
@@ -147,20 +147,23 @@ def _profile(window: int, run: int):
                 word, ends = word_hashes(part["text"])
                 place, value = minimizers(word, window, run)  # of all texts at once; windows across two texts are passed over
                 new = np.concatenate([[True], place[1:] != place[:-1]])
-                sig, sha, size, mins = [], [], [0], []
+                sig, sha, size, mins, times = [], [], [0], [], []
                 for a, b, words in zip(ends[:-1].tolist(), ends[1:].tolist(), _words(part["text"]), strict=True):
                     sig.append(hashlib.blake2b(word[a:b].tobytes(), digest_size=16).digest())
                     sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
                     if b - a >= window:
                         new[a] = True
                         own = slice(a, b - window + 1)
-                        found = np.unique(value[own][new[own]])
+                        found, often = np.unique(value[own][new[own]], return_counts=True)
                         mins.append(found)
+                        times.append(often)
                         size.append(size[-1] + len(found))
                     else:
                         size.append(size[-1])
-                lists = pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.array(np.concatenate(mins).view(np.int64) if mins else np.zeros(0, np.int64)))
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["tag"], pa.array(sig, pa.binary()), pa.array(np.diff(ends)), pa.array(sha, pa.string()), lists], [c.split()[0] for c in _BASE.split(", ")])
+                cuts = pa.array(size, pa.int32())
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(x).view(np.int64) if x else np.zeros(0, np.int64))) for x in (mins, times)]
+                lists[1] = lists[1].cast(pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["tag"], pa.array(sig, pa.binary()), pa.array(np.diff(ends)), pa.array(sha, pa.string()), *lists], [c.split()[0] for c in _BASE.split(", ")])
 
     return go
 
@@ -207,7 +210,7 @@ def _pieces(window: int, run: int):
                         sent.add(piece ^ shard)
                 if len(sent) > 400_000:
                     sent = set()
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], [c.split()[0] for c in _PIECE.split(", ")])
 
     return go
@@ -280,16 +283,16 @@ def dedup_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN, hot: int
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    tagged = slim.withColumn("tag", F.hash("text"))
+    tagged = slim.withColumn("tag", F.xxhash64("text"))
     base = materialize(tagged.mapInArrow(_profile(window, run), _BASE), "profiles")
     firsts = materialize(base.where(f"doc_id is not null and n_words >= {window}").groupBy("sig").agg(F.min("doc_id").alias("first")), "firsts")
     leaders = base.join(firsts, "sig").where("doc_id = first")
 
-    each = leaders.select("doc_id", F.explode("mins").alias("h"))
-    often = each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = each.join(often, "h").groupBy("doc_id").agg(F.collect_list(F.struct("h", (F.col("n") > hot).alias("hot"))).alias("r"))
+    each = leaders.select("doc_id", F.inline(F.arrays_zip(F.col("mins").alias("h"), F.col("times").alias("times"))))
+    often = each.groupBy("h").agg(F.count(F.lit(1)).alias("docs"), F.sum("times").alias("n")).where("docs > 1").drop("docs")
+    repeated = each.drop("times").join(often, "h").groupBy("doc_id").agg(F.collect_list(F.struct("h", (F.col("n") > hot).alias("hot"))).alias("r"))
     wanted = materialize(repeated.select(F.col("doc_id").alias("_doc"), F.col("r.h").alias("mins"), F.col("r.hot").alias("hot")), "wanted")
-    slim_base = materialize(base.drop("mins"), "rows")
+    slim_base = materialize(base.drop("mins", "times"), "rows")
     discard(base)
     hits = materialize(tagged.join(wanted, tagged.doc_id == wanted["_doc"]).drop("_doc").dropDuplicates(["doc_id", "tag"]), "hits")
     discard(wanted)
@@ -301,7 +304,7 @@ def dedup_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN, hot: int
     starts = materialize(repeats.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("starts")).alias("starts")), "starts")
     discard(pieces)
     discard(least)
-    cut = hits.select("doc_id", "tag", "text").join(starts, ["doc_id", "tag"]).mapInArrow(_cut(window), "doc_id long, tag int, n_cut long, kept string")
+    cut = hits.select("doc_id", "tag", "text").join(starts, ["doc_id", "tag"]).mapInArrow(_cut(window), "doc_id long, tag long, n_cut long, kept string")
     rows = slim_base.join(firsts, "sig", "left")
     rows = rows.join(cut.withColumnsRenamed({"doc_id": "_doc", "tag": "_tag"}), (F.col("doc_id") == F.col("_doc")) & (F.col("tag") == F.col("_tag")), "left")
     copy = F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False))
