@@ -4,28 +4,29 @@ A text's code points c_0..c_{n-1} give, for two 31-bit primes p, the modular pre
 S[i] = sum over j < i of (c_j + 1) * B^j mod p. The span [i, j) has the value (S[j] - S[i]) * B^(M - i) mod p for a
 common M >= n, so any two spans are compared in constant time, and the longest common extension of two positions is
 found by binary search. A fingerprint holds the text's length, its whole-text value and the smallest values of its
-fixed-length spans (a bottom-k sketch), so equal texts have equal fingerprints and the share of common spans of two
+spans of ``SPAN`` code points (a bottom-k sketch), so equal texts have equal fingerprints and the share of common spans of two
 texts can be estimated from their fingerprints alone.
 
 Null texts count as empty. An empty text has no spans; two empty texts have likeness 1. Texts of fewer than
-``SPAN`` code points are one span each; those of fewer than ``SHORT`` add their spans of ``SMALL`` code points.
+``SPAN`` code points are one span each.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PRIMES = (2147483647, 2147483629)
 BASES = (1000003, 69069 * 613 + 2)
-SPAN, SMALL, SHORT, SKETCH = 12, 3, 48, 64
+SPAN, SKETCH = 12, 64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -124,8 +125,6 @@ def fingerprint(points: np.ndarray) -> tuple[str, np.ndarray]:
     if not n:
         return "0:0:", np.zeros(0, np.uint32)
     found = _mixed(_all_spans(points, min(n, SPAN)))
-    if SMALL < n < SHORT:
-        found = np.concatenate([found, _mixed(_all_spans(points, SMALL))])
     if len(found) > 8 * SKETCH:  # the smallest values with repeats, then without
         for keep in (4 * SKETCH, len(found)):
             sketch = np.unique(np.partition(found, keep - 1)[:keep] if keep < len(found) else found)
@@ -199,6 +198,17 @@ def _stream(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=_NAMES).astype({"doc_id": "Int64"})
 
 
+def _place(borders: list[int], key: Column) -> Column:
+    """How many of the ascending borders are at most ``key``: among runs of borders first, then in one run."""
+    if not borders:
+        return F.lit(0)
+    size = math.isqrt(len(borders) - 1) + 1
+    runs = [borders[i : i + size] for i in range(0, len(borders), size)]
+    before = F.array_size(F.filter(F.lit([r[0] for r in runs]).cast("array<long>"), lambda x: x <= key)) - 1
+    inside = F.get(F.lit(runs).cast("array<array<long>>"), before)
+    return F.when(before < 0, 0).otherwise(before * size + F.array_size(F.filter(inside, lambda x: x <= key)))
+
+
 def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprint every text and its edited text, in ascending id order (null ids first; rows of one id by text).
 
@@ -211,7 +221,7 @@ def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     shares = [(k + 1) / (4 * parts) for k in range(4 * parts - 1)]
     borders = sorted({int(x) for x in slim.approxQuantile("doc_id", shares, 0.1 / parts)})
     key = F.coalesce("doc_id", F.lit(-(2**63)))
-    block = F.array_size(F.filter(F.lit(borders).cast("array<long>"), lambda x: x <= key)) if borders else F.lit(0)
+    block = _place(borders, key)
     least = slim.select(block.alias("block"), key.alias("key")).groupBy("block").agg(F.min("key").alias("key")).orderBy("block").collect()
     if not least:
         return spark.createDataFrame([], _OUT)
