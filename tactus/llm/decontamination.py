@@ -11,7 +11,7 @@ An item of fewer than ``WINDOW`` tokens is one window of its own length; with fe
 
 One scan makes the hashes of all windows, and only those that the benchmark has are kept; the documents of these are read once more for
 their tokens, which settle whether templates are equal and slots agree. The benchmark's hashes, and the ids of the documents that have some, are
-broadcast up to ``BROADCAST`` rows of a few numbers each, and shuffled otherwise. Null texts match nothing, equal items each match. Rows of one id are
+broadcast up to ``BROADCAST`` rows of two numbers each, and shuffled otherwise. Null texts match nothing, equal items each match. Rows of one id are
 told apart by their texts; equal rows count as one document. Items with a null id are left out.
 """
 
@@ -57,19 +57,28 @@ def value(x: Column) -> Column:
     return F.lower(F.ltrim(x, F.lit(_ENDS)))
 
 
+def _rolled(rows: DataFrame, column: str, window: int) -> DataFrame:
+    """Replaces an array of hashes by those of its windows: of two, of four and so on, two windows of the last power of two at the end.
+    The last places, where no whole window begins, are to be left out."""
+    width = 1
+    while width < window:
+        step = min(width, window - width)
+        rows = rows.withColumn(column, F.zip_with(column, F.slice(column, step + 1, F.greatest(F.size(column), F.lit(1))), lambda a, b: F.xxhash64(a, b)))
+        width += step
+    return rows
+
+
 def _keys(rows: DataFrame, window: int) -> DataFrame:
     """The columns of ``rows`` but text; pos, h, loose of each window: the hash of its template. A window with sentences' first words has a loose row too, in
-    which these are ``<first>``.
-
-    The windows are what a lookahead captures at each token of the template, written as one string: no lambda is called a window."""
+    which these are ``<first>``. Columns are added one after another, so that each is made once."""
     names = [c for c in rows.columns if c != "text"]
-    template = F.concat(F.array_join(F.transform(tokens(F.col("text")), canonical), " "), F.lit(" "))
-    form = f"(?<![^ ])(?=((?:[^ ]+ ){{{window}}}))"
-    spans = lambda t: F.regexp_extract_all(t, F.lit(form), F.lit(1))
-    both = F.arrays_zip(spans(F.translate("template", _FIRST, "")).alias("strict"), spans(F.regexp_replace("template", _FIRST + "[^ ]+", "<first>")).alias("loose"))
-    each = rows.select(*names, template.alias("template")).select(*names, F.posexplode(both).alias("pos", "span"))
-    key = lambda c, loose: F.struct(F.xxhash64(F.col(f"span.{c}")).alias("h"), F.lit(loose).alias("loose"))
-    keys = F.when(F.contains("span.loose", F.lit("<first>")), F.array(key("strict", False), key("loose", True))).otherwise(F.array(key("strict", False)))
+    rows = rows.withColumn("marked", F.transform(tokens(F.col("text")), canonical))
+    rows = rows.select(*names, F.size("marked").alias("n"), F.transform("marked", lambda x: F.xxhash64(F.ltrim(x, F.lit(_FIRST)))).alias("strict"), F.transform("marked", lambda x: F.when(x.startswith(_FIRST), F.lit(0).cast("long")).otherwise(F.xxhash64(x))).alias("masked"))
+    rows = _rolled(_rolled(rows.where(F.col("n") >= window), "strict", window), "masked", window)
+    whole = lambda c: F.slice(c, F.lit(1), F.greatest(F.col("n") - (window - 1), F.lit(0)))
+    each = rows.select(*names, F.posexplode(F.arrays_zip(whole("strict").alias("strict"), whole("masked").alias("masked"))).alias("pos", "span"))
+    key = lambda c, loose: F.struct(F.col(f"span.{c}").alias("h"), F.lit(loose).alias("loose"))
+    keys = F.when(F.col("span.strict") != F.col("span.masked"), F.array(key("strict", False), key("masked", True))).otherwise(F.array(key("strict", False)))
     return each.select(*names, "pos", F.inline(keys))
 
 
@@ -102,10 +111,12 @@ def _found(texts: DataFrame, known: DataFrame, window: int, literals: int, share
     spans = materialize(_items(known, window, literals), "templates")
     hits = materialize(_keys(texts, window).join(_small(spans.select("h", "loose").distinct()), ["h", "loose"]), "hits")
     own = hits.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("pos", "h", "loose")).alias("own"))
-    rows = texts.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "text")
-    rows = rows.join(_small(own), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))).dropDuplicates(["id", "key"])
+    ids = hits.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).distinct()
+    rows = texts.join(_small(ids), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left_semi")
+    rows = rows.groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).agg(F.min("text").alias("text"))
+    rows = rows.join(own, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")))
     cut = F.get(F.transform(F.array(tokens(F.col("text"))), lambda r: F.transform("own", lambda x: F.struct(x["pos"].alias("pos"), x["h"].alias("h"), x["loose"].alias("loose"), F.slice(r, x["pos"] + 1, window).alias("doc_raw")))), F.lit(0))
-    hits = rows.select("doc_id", "text_key", F.inline(cut)).join(_small(spans), ["h", "loose"])
+    hits = rows.select("doc_id", "text_key", F.inline(cut)).join(spans, ["h", "loose"])
     hits = hits.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "n_usable", "loose", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_raw", "item_template", "doc_raw")
     same = F.zip_with("doc_raw", "item_template", lambda x, t: F.when(t == "<first>", initial(x)).otherwise(F.translate(canonical(x), _FIRST, "") == t))
     # a loose match with the same first words is a strict one too
