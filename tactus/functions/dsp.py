@@ -71,6 +71,13 @@ def zero_crossings(x: np.ndarray, size: int, hop: int) -> np.ndarray:
     return (f[:, 1:] != f[:, :-1]).sum(1) / size
 
 
+def frame_features(x: np.ndarray, sr: int, size: int = N_FFT, hop: int = HOP) -> tuple[np.ndarray, ...]:
+    """Centroid, bandwidth, rolloff, zero-crossing rate, MFCC and chroma of every frame of a signal."""
+    s = spectrum(x, size, hop)
+    c, b, r = centroid_bandwidth_rolloff(s, sr)
+    return c, b, r, zero_crossings(x, size, hop), mfcc(s, sr), chroma(s, sr)
+
+
 def features(x: np.ndarray, sr: int) -> dict:
     """One record of a signal's features; an empty one gives zeros."""
     x = np.asarray(x, float)
@@ -85,16 +92,19 @@ def features(x: np.ndarray, sr: int) -> dict:
     return dict(zip(names, map(float, values), strict=True)) | {"mfcc_mean": m.mean(0).tolist(), "mfcc_std": m.std(0).tolist(), "chroma_mean": chroma(s, sr).mean(0).tolist()}
 
 
-def resample(x: np.ndarray, sr: int, to: int, taps: int = 32) -> np.ndarray:
-    """Windowed-sinc resampling."""
+def resample(x: np.ndarray, sr: int, to: int, taps: int = 32, block: int = 1 << 16) -> np.ndarray:
+    """Windowed-sinc resampling, in blocks: the arrays of one hold 2 * taps values a sample."""
     if sr == to or not len(x):
         return np.asarray(x, float)
     n, cut = int(round(len(x) * to / sr)), min(1.0, to / sr)
-    at = np.arange(n) * sr / to
-    near = np.floor(at).astype(int)[:, None] + np.arange(-taps + 1, taps + 1)
-    t = at[:, None] - near
-    kernel = cut * np.sinc(cut * t) * (0.5 + 0.5 * np.cos(np.pi * np.clip(t / taps, -1, 1)))
-    return (np.asarray(x, float)[np.clip(near, 0, len(x) - 1)] * ((near >= 0) & (near < len(x))) * kernel).sum(1)
+    x, out = np.asarray(x, float), np.empty(n)
+    for k in range(0, n, block):
+        at = np.arange(k, min(k + block, n)) * sr / to
+        near = np.floor(at).astype(int)[:, None] + np.arange(-taps + 1, taps + 1)
+        t = at[:, None] - near
+        kernel = cut * np.sinc(cut * t) * (0.5 + 0.5 * np.cos(np.pi * np.clip(t / taps, -1, 1)))
+        out[k : k + len(at)] = (x[np.clip(near, 0, len(x) - 1)] * ((near >= 0) & (near < len(x))) * kernel).sum(1)
+    return out
 
 
 def trim(x: np.ndarray, sr: int, threshold_db: float = -40.0, keep_ms: int = 80, window_ms: int = 100, step_ms: int = 10) -> tuple[np.ndarray, float]:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tactus.functions import signals
+
 
 def _leaves(schema: T.StructType, path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], T.DataType]]:
     for f in schema:
@@ -52,3 +54,15 @@ def expand_lists(df: DataFrame, sizes: dict[str, int]) -> DataFrame:
     """Scalar columns, and ``key_00..`` for the listed array columns; other columns that aren't numbers or booleans go."""
     kept = [F.col(f.name) for f in df.schema if isinstance(f.dataType, (T.NumericType, T.BooleanType))]
     return df.select(*kept, *(F.get(c, F.lit(i)).alias(f"{c}_{i:02d}") for c, n in sizes.items() for i in range(n)))
+
+
+def scalars(df: DataFrame, prefix: str = "") -> DataFrame:
+    """Numbers and booleans under ``prefix`` and their name; mean and deviation of lists of numbers; other columns go."""
+    out = []
+    for f in df.schema:
+        if isinstance(f.dataType, (T.NumericType, T.BooleanType)):
+            out.append(F.col(f"`{f.name}`").alias(prefix + f.name))
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.NumericType):
+            x = F.col(f"`{f.name}`")
+            out += [signals.mean(x).alias(f"{prefix}{f.name}_mean"), signals.std(x).alias(f"{prefix}{f.name}_std")]
+    return df.select(*out)

@@ -61,3 +61,26 @@ def slug(name: Column) -> Column:
 def safe_fft_size(n: Column, most: int = 2048) -> Column:
     """The largest power of two not above n, from 2 to ``most``."""
     return F.greatest(F.lit(2), F.least(F.lit(most), F.pow(F.lit(2.0), F.length(F.bin(F.greatest(n, F.lit(1)))) - 1).cast("int")))
+
+
+def inferred_duration(beat_times: Column, tempo_bpm: Column) -> Column:
+    """The last beat and one more; 0 without beats."""
+    return F.coalesce(F.array_max(beat_times) + 60.0 / F.when(tempo_bpm > 0, tempo_bpm).otherwise(120.0), F.lit(0.0))
+
+
+def first_known(columns: list[str], *names: str, spare: Column | None = None) -> Column:
+    """The first of the named columns that is there and not null, else ``spare``."""
+    return F.coalesce(*(F.col(n) for n in names if n in columns), F.lit(0.0) if spare is None else spare)
+
+
+def register(spark) -> list[str]:
+    """Registers SQL functions of the same names over columns, and returns the names."""
+    forms = {
+        "pitch_name": ("pitch INT", "STRING", "concat(element_at(array(" + ", ".join(f"'{n}'" for n in PITCH_CLASSES) + "), cast(pmod(pitch, 12) as int) + 1), cast(cast(floor(pitch / 12) as int) - 1 as string))"),
+        "beats_per_bar": ("num DOUBLE, den DOUBLE", "DOUBLE", "if(num > 0 and den > 0, num * 4 / den, 4D)"),
+        "signal_rms": ("x ARRAY<DOUBLE>", "DOUBLE", "if(size(x) > 0, sqrt(aggregate(x, 0D, (a, v) -> a + v * v) / size(x)), 0D)"),
+        "signal_zcr": ("x ARRAY<DOUBLE>", "DOUBLE", "if(size(x) > 1, size(filter(sequence(1, size(x) - 1), i -> (x[i] < 0) <> (x[i - 1] < 0))) / size(x), 0D)"),
+    }
+    for name, (args, kind, body) in forms.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({args}) RETURNS {kind} RETURN {body}")
+    return list(forms)

@@ -28,6 +28,11 @@ def std(x: Column) -> Column:
     return F.when(F.size(x) > 0, F.sqrt(_fold(F.transform(x, lambda v: F.pow(v.cast("double") - m, 2.0)), lambda a, v: a + v) / F.size(x)))
 
 
+def row_stats(matrix: Column) -> tuple[Column, Column]:
+    """Mean and population deviation of each row of an array of arrays."""
+    return F.transform(matrix, mean), F.transform(matrix, std)
+
+
 def zero_crossing_rate(x: Column) -> Column:
     """Share of neighbours whose signs differ, zero counting as positive."""
     rest = F.slice(x, 2, F.greatest(F.size(x) - 1, F.lit(1)))

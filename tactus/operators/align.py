@@ -1,7 +1,8 @@
 """Notes on a beat grid: as-of and overlap joins.
 
 Both are joins on the song and a time bucket with a condition on times. An interval is dealt to the buckets it touches, a note's time has one
-bucket, so a song's notes spread over many keys and no task compares a song's notes with all of its beats.
+bucket, so a song's notes spread over many keys and no task compares a song's notes with all of its beats. A bucket is at least some
+mean intervals of its song wide, so that the rows dealt grow with the intervals and not with the time between them.
 """
 
 from __future__ import annotations
@@ -11,23 +12,33 @@ from pyspark.sql import functions as F
 
 from tactus.functions.music import beats_per_bar
 
-BUCKET_S = 8.0
+#: Least width of a bucket in seconds; intervals of mean length in one.
+BUCKET_S, PER_BUCKET = 8.0, 4
 
 
-def _bucket(t: Column, width: float) -> Column:
+def _bucket(t: Column, width: float | Column) -> Column:
     return F.floor(t / width).cast("long")
 
 
+def widths(spans: DataFrame, start: str, end: str, least: float = BUCKET_S) -> DataFrame:
+    """song_id, width of its buckets, from the intervals of each song."""
+    mean = (F.max(end) - F.min(start)) / F.count(F.lit(1))
+    return spans.groupBy("song_id").agg(F.greatest(F.lit(least), F.coalesce(mean * PER_BUCKET, F.lit(least))).alias("width"))
+
+
 def beat_position(times: DataFrame, grid: DataFrame, time_col: str, out: str, compat: str = "a", width: float = BUCKET_S) -> DataFrame:
     """Adds ``out``, the fractional beat, and ``out_index`` of each row's time.
 
     a: the beat at or before, the first for earlier times (which then have negative beats); none after the last but its number.
     b: the beat strictly before; 0 before the first, the number of beats after the last."""
-    w = Window.partitionBy("song_id").orderBy("time_s", "beat_index")
-    steps = grid.select("song_id", "beat_index", "time_s", F.lead("time_s").over(w).alias("next_s"), F.min("time_s").over(w).alias("first_s"))
-    ends = grid.groupBy("song_id").agg(F.min("time_s").alias("first_s"), F.max("time_s").alias("last_s"), F.count(F.lit(1)).alias("n_beats"))
-    rows = times.join(ends, "song_id", "left").withColumn("_b", _bucket(F.least(F.greatest(F.col(time_col), F.col("first_s")), F.col("last_s")), width))
-    spans = steps.where("next_s is not null and next_s > time_s").select("song_id", "beat_index", "time_s", "next_s", F.explode(F.sequence(_bucket(F.col("time_s"), width), _bucket(F.col("next_s"), width))).alias("_b"))
+    w, place = Window.partitionBy("song_id").orderBy("time_s", "beat_index"), Window.partitionBy("song_id").orderBy("time_s", "beat_index").rowsBetween(Window.unboundedPreceding, 0)
+    # a song's last beat knows its ends and its number, and so every beat's width follows from the song's table
+    steps = grid.select("song_id", "beat_index", "time_s", F.lead("time_s").over(w).alias("next_s"), F.first("time_s").over(place).alias("first_s"), F.count(F.lit(1)).over(place).alias("n_beats"))
+    mean = (F.col("time_s") - F.col("first_s")) / F.greatest(F.col("n_beats") - 1, F.lit(1))
+    ends = steps.where("next_s is null").select("song_id", "first_s", F.col("time_s").alias("last_s"), "n_beats", F.greatest(F.lit(width), mean * PER_BUCKET).alias("width"))
+    rows = times.join(ends, "song_id", "left").withColumn("_b", _bucket(F.least(F.greatest(F.col(time_col), F.col("first_s")), F.col("last_s")), F.col("width")))
+    spans = steps.where("next_s is not null and next_s > time_s").select("song_id", "beat_index", "time_s", "next_s").join(ends.select("song_id", "width"), "song_id")
+    spans = spans.select("song_id", "beat_index", "time_s", "next_s", F.explode(F.sequence(_bucket(F.col("time_s"), F.col("width")), _bucket(F.col("next_s"), F.col("width")))).alias("_b"))
     t = F.greatest(F.col(time_col), F.col("first_s")) if compat == "a" else F.col(time_col)
     within = (t >= F.col("time_s")) & (t < F.col("next_s")) if compat == "a" else (t > F.col("time_s")) & (t <= F.col("next_s"))
     spans, rows = spans.alias("s"), rows.alias("r")

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import random
+import re
+import shlex
 import subprocess
+import threading
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -68,16 +71,38 @@ class CircuitBreaker:
         return out
 
 
-def pending(files: DataFrame, done: DataFrame | None, key: str = "song_id") -> DataFrame:
-    """Files without a finished result."""
-    return files if done is None else files.join(done.select(key).distinct(), key, "left_anti")
+class Steps:
+    """Named steps of a run on the driver: each is tried again after faults, ended at a time limit, and timed; the last time of a name counts."""
+
+    def __init__(self, spark: SparkSession, retries: int = 0, timeout_s: float | None = None):
+        self.spark, self.retries, self.timeout_s = spark, retries, timeout_s
+        self.seconds: dict[str, float] = {}
+
+    def run(self, name: str, work: Callable):
+        key, began = re.sub("[^a-z0-9]+", "_", name.lower()).strip("_"), time.monotonic()
+        context = self.spark.sparkContext
+        context.setJobGroup(f"tactus-{key}", name, True)
+        timer = threading.Timer(self.timeout_s, context.cancelJobGroup, [f"tactus-{key}"]) if self.timeout_s else None
+        try:
+            if timer:
+                timer.start()
+            return retry(work, self.retries, base=0.5)
+        finally:
+            if timer:
+                timer.cancel()
+            self.seconds[key] = round(time.monotonic() - began, 3)
+
+
+def shown(args: list[str]) -> str:
+    """A command as it would be typed."""
+    return shlex.join(args)
 
 
 def run_command(args: list[str], timeout_s: float | None = None) -> str:
     """Standard output of a command; a fault carries both outputs whole."""
     done = subprocess.run(args, capture_output=True, text=True, timeout=timeout_s)
     if done.returncode:
-        raise RuntimeError(f"{args[0]} ended with {done.returncode}\n{done.stdout}\n{done.stderr}")
+        raise RuntimeError(f"{shown(args)} ended with {done.returncode}\n{done.stdout}\n{done.stderr}")
     return done.stdout
 
 

@@ -21,9 +21,12 @@ _RECORD = "rms double, zcr double, energy double, spectral_centroid_mean double,
 
 def bar_slices(signals: DataFrame, bars: DataFrame, rounding: str = "round") -> DataFrame:
     """The samples of each bar and stem: signals x the song's bars, slices without samples left out."""
-    at = lambda c: F.least(F.greatest(time_to_sample(F.col(c), F.col("sample_rate"), rounding), F.lit(0)), F.size("samples"))
-    joined = signals.join(bars, "song_id").withColumns({"a": at("start_s"), "b": at("end_s")}).where("b > a")
-    return joined.select("song_id", "stem", "sample_rate", "bar_index", "start_s", "end_s", F.slice("samples", F.col("a").cast("int") + 1, (F.col("b") - F.col("a")).cast("int")).alias("samples"))
+    at = lambda t: F.least(F.greatest(time_to_sample(t, F.col("sample_rate"), rounding), F.lit(0)), F.size("samples"))
+    # a song's bars go to its row, and slices come out of it: a join on the song would copy all samples for each bar
+    listed = bars.groupBy("song_id").agg(F.collect_list(F.struct("bar_index", "start_s", "end_s")).alias("_bars"))
+    cut = F.transform("_bars", lambda k: F.struct(k["bar_index"].alias("bar_index"), k["start_s"].alias("start_s"), k["end_s"].alias("end_s"), at(k["start_s"]).alias("a"), at(k["end_s"]).alias("b")))
+    own = F.transform(F.filter(cut, lambda k: k["b"] > k["a"]), lambda k: F.struct(k["bar_index"].alias("bar_index"), k["start_s"].alias("start_s"), k["end_s"].alias("end_s"), F.slice("samples", k["a"].cast("int") + 1, (k["b"] - k["a"]).cast("int")).alias("samples")))
+    return signals.join(listed, "song_id").select("song_id", "stem", "sample_rate", F.inline(own))
 
 
 def slice_features(slices: DataFrame) -> DataFrame:
@@ -39,11 +42,14 @@ def slice_features(slices: DataFrame) -> DataFrame:
     return slices.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in kept) + ", " + _RECORD)
 
 
-def bar_features(signals: DataFrame, bars: DataFrame, tempo: DataFrame) -> DataFrame:
-    """The bar_features table; ``tempo``: song_id, tempo_bpm. Chunks aren't written here, so chunk_path is empty."""
-    out = slice_features(bar_slices(signals, bars)).join(tempo, "song_id", "left")
+def bar_features(signals: DataFrame, bars: DataFrame, tempo: DataFrame, chunks: str | None = None) -> DataFrame:
+    """The bar_features table; ``tempo``: song_id, tempo_bpm. ``chunks``: a folder to write the bars' samples to, else chunk_path is empty."""
+    from tactus.sinks.chunks import chunks_with_features
+
+    found = chunks_with_features(signals, bars, chunks) if chunks else slice_features(bar_slices(signals, bars)).withColumn("chunk_path", F.lit(""))
+    out = found.join(tempo, "song_id", "left")
     names = [c.split()[0] for c in _RECORD.split(", ")]
-    return out.select("song_id", "stem", "bar_index", "start_s", "end_s", (F.col("end_s") - F.col("start_s")).alias("duration_s"), F.coalesce("tempo_bpm", F.lit(0.0)).alias("tempo_bpm"), *names, F.lit("").alias("chunk_path"), F.when(F.col("stem") == "full_mix", "analysis_fallback").otherwise("stem").alias("audio_source"))
+    return out.select("song_id", "stem", "bar_index", "start_s", "end_s", (F.col("end_s") - F.col("start_s")).alias("duration_s"), F.coalesce("tempo_bpm", F.lit(0.0)).alias("tempo_bpm"), *names, "chunk_path", F.when(F.col("stem") == "full_mix", "analysis_fallback").otherwise("stem").alias("audio_source"))
 
 
 def analyse(signals: DataFrame) -> DataFrame:

@@ -20,6 +20,37 @@ def resolve(calls: DataFrame, functions: DataFrame, methods: DataFrame) -> DataF
     return calls.join(f, ["module", "name"], "left").join(m, ["module", "klass", "name"], "left").select("caller", F.coalesce("_f", "_m", F.concat(F.lit("ref:"), "name")).alias("target"))
 
 
+def resolve_bases(bases: DataFrame, classes: DataFrame) -> DataFrame:
+    """klass, target of base classes (klass, module, name): the module's own class, else ``ref:`` and the name."""
+    c = classes.select("module", "name", F.col("id").alias("_c"))
+    return bases.join(c, ["module", "name"], "left").select("klass", F.coalesce("_c", F.concat(F.lit("ref:"), "name")).alias("target"))
+
+
+def between(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The edges whose both ends are nodes (id)."""
+    ids = nodes.select("id").distinct()
+    return edges.join(ids.withColumnRenamed("id", "source"), "source", "left_semi").join(ids.withColumnRenamed("id", "target"), "target", "left_semi")
+
+
+def build(rows: DataFrame, dependencies: DataFrame | None = None, project: str = "project") -> tuple[DataFrame, DataFrame]:
+    """Nodes (one per id) and distinct edges of scanned sources (see ``sources.code.scan``), with calls and base classes resolved; ``dependencies`` (name) hang on the project."""
+    found = rows.where("kind = 'node'").select(F.col("source").alias("id"), "type", "name", "file", "lineno", F.col("detail").alias("doc"))
+    module = lambda c: F.regexp_extract(c, r"^[a-z]+:([^.]*)", 1)
+    known = found.withColumn("module", module("id"))
+    methods = known.where("type = 'method'").withColumn("klass", F.regexp_extract("id", r"^method:[^.]*\.(.*)\.[^.]*$", 1))
+    edges = rows.where("kind = 'edge'")
+    calls = edges.where("type = 'CALLS'").select(F.col("source").alias("caller"), module("source").alias("module"), F.col("detail").alias("klass"), "name")
+    bases = edges.where("type = 'INHERITS'").select(F.col("source").alias("klass"), module("source").alias("module"), F.regexp_replace("target", "^ref:", "").alias("name"))
+    edge = lambda df, source, kind: df.select(F.col(source).alias("source"), "target", F.lit(kind).alias("type"))
+    out = edges.where("type in ('CONTAINS', 'IMPORTS')").select("source", "target", "type").unionByName(edge(resolve(calls, known.where("type = 'function'"), methods), "caller", "CALLS")).unionByName(edge(resolve_bases(bases, known.where("type = 'class'")), "klass", "INHERITS"))
+    nodes = found
+    if dependencies is not None:
+        own = dependencies.select(F.concat(F.lit("package:"), "name").alias("id"), F.lit("package").alias("type"), "name", F.lit("").alias("file"), F.lit(0).alias("lineno"), F.lit("").alias("doc"))
+        nodes = nodes.unionByName(own)
+        out = out.unionByName(own.select(F.lit(f"project:{project}").alias("source"), F.col("id").alias("target"), F.lit("DEPENDS_ON").alias("type")))
+    return first_by_id(nodes, ["file", "lineno", "type"]), out.distinct()
+
+
 def coupling(edges: DataFrame, k: int = 12) -> DataFrame:
     """The k nodes with most neighbours: out and in counts of distinct edges, by total, out, in and name, descending."""
     e = edges.where("source <> target").select("source", "target").distinct()
@@ -50,6 +81,19 @@ def cycles(edges: DataFrame, depth: int = 20) -> DataFrame:
 
 
 def mermaid(edges: DataFrame) -> DataFrame:
-    """text: one Mermaid graph of the distinct edges, in order."""
-    lines = F.array_sort(F.collect_set(F.concat(F.lit("  "), "source", F.lit(" --> "), "target")))
-    return edges.agg(F.concat(F.lit("graph LR\n"), F.array_join(lines, "\n")).alias("text"))
+    """value: the lines of a Mermaid graph, its head and the distinct edges in order; a table of lines, so that no row holds all edges."""
+    lines = edges.select(F.lit(1).alias("k"), F.concat(F.lit("  "), "source", F.lit(" --> "), "target").alias("value")).distinct()
+    head = edges.sparkSession.createDataFrame([(0, "graph LR")], "k int, value string")
+    return head.unionByName(lines).orderBy("k", "value").select("value")
+
+
+def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
+    """Nodes and edges as JSON lines in order, their numbers and the time of writing beside them, and the edges as Mermaid lines."""
+    nodes.orderBy("id").write.mode("overwrite").json(f"{path}/nodes")
+    edges.orderBy("source", "target", "type").write.mode("overwrite").json(f"{path}/edges")
+    counts = nodes.agg(F.count(F.lit(1)).alias("nodes")).crossJoin(edges.agg(F.count(F.lit(1)).alias("edges"))).withColumn("at", F.current_timestamp())
+    counts.write.mode("overwrite").json(f"{path}/summary")
+    mermaid(edges).write.mode("overwrite").text(f"{path}/mermaid")
+    node = F.struct(F.col("id").alias("_id"), F.array(*(F.struct(F.lit(c).alias("_key"), F.col(c).alias("_VALUE")) for c in ("type", "name"))).alias("data"))
+    nodes.select(node.alias("n")).select("n.*").write.mode("overwrite").option("rootTag", "nodes").option("rowTag", "node").format("xml").save(f"{path}/graphml/nodes")
+    edges.select(F.col("source").alias("_source"), F.col("target").alias("_target"), F.struct(F.lit("type").alias("_key"), F.col("type").alias("_VALUE")).alias("data")).write.mode("overwrite").option("rootTag", "edges").option("rowTag", "edge").format("xml").save(f"{path}/graphml/edges")

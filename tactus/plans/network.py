@@ -18,12 +18,12 @@ EXCERPT = 2000
 
 
 def supply_edges(spark, d: str) -> DataFrame:
-    """Suppliers and the customers' nations as a graph: supplier -> part group."""
+    """Order lines as a graph from suppliers to parts; a supplier and a part of one key are one node."""
     l = table(spark, d, "lineitem")
-    return l.select(F.concat(F.lit("s"), (F.col("l_suppkey") % 40).cast("string")).alias("source"), F.concat(F.lit("s"), (F.col("l_partkey") % 40).cast("string")).alias("target"))
+    return l.select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("source"), F.concat(F.lit("s"), F.col("l_partkey").cast("string")).alias("target"))
 
 
-_EDGES = "edges as (select 's' || (l_suppkey % 40)::varchar as source, 's' || (l_partkey % 40)::varchar as target from lineitem)"
+_EDGES = "edges as (select 's' || l_suppkey::varchar as source, 's' || l_partkey::varchar as target from lineitem)"
 
 
 def nation_edges(spark, d: str) -> DataFrame:
@@ -42,6 +42,21 @@ def symbol_resolution(spark, d: str) -> DataFrame:
     return graph.resolve(calls, functions, methods)
 
 
+def base_resolution(spark, d: str) -> DataFrame:
+    """Suppliers as classes whose base is a nation's name: one of the own region resolves, others stay references."""
+    n = table(spark, d, "nation")
+    classes = n.select(F.col("n_regionkey").cast("int").alias("module"), F.col("n_name").alias("name"), F.concat(F.lit("class:"), "n_name").alias("id"))
+    bases = table(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("klass"), (F.col("s_suppkey") % 5).cast("int").alias("module"), F.col("n_name").alias("name"))
+    return graph.resolve_bases(bases, classes)
+
+
+def edge_semijoin(spark, d: str) -> DataFrame:
+    """Order lines as edges between suppliers and parts of which the tables hold those with even keys."""
+    edges = table(spark, d, "lineitem").select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("source"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("target"))
+    ids = table(spark, d, "supplier").where("s_suppkey % 2 = 0").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("id")).unionByName(table(spark, d, "part").where("p_partkey % 2 = 0").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id")))
+    return graph.between(edges, ids).groupBy("source", "target").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _signals(spark, d: str) -> DataFrame:
     """Blocks strung together per bar label as a song at 8 kHz, scaled into [-1, 1]; an excerpt for each ``EXCERPT`` ids bounds a row's length."""
     rows = F.array_sort(F.collect_list(F.struct("vec_id", "samples")))
@@ -74,6 +89,8 @@ QUERIES = {
     "top_packages": lambda s, d: graph.top_targets(supply_edges(s, d)),
     "edge_dedup": lambda s, d: supply_edges(s, d).distinct(),
     "symbol_resolution": symbol_resolution,
+    "base_resolution": base_resolution,
+    "edge_semijoin": edge_semijoin,
     "graph_cycles": lambda s, d: graph.cycles(nation_edges(s, d)).select(F.col("length").cast("long").alias("length"), F.array_join(F.transform("path", lambda x: x.cast("string")), ",").alias("path")),
     "spectral_features": spectral_features,
     "beat_track": lambda s, d: features.analyse(_signals(s, d)),
@@ -89,6 +106,8 @@ ORACLE_SQL = {
     "top_packages": f"with {_EDGES} select target, count(*) as n from edges group by 1 order by n desc, target limit 15",
     "edge_dedup": f"with {_EDGES} select distinct source, target from edges",
     "symbol_resolution": "select 'c' || c_custkey as caller, case when n_nationkey is null then 'ref:' || name when c_custkey % 3 = 0 then 'method:n' || c_nationkey else 'function:n' || c_nationkey end as target from (select *, case when c_custkey % 3 = 0 then 'self.n' else 'n' end || c_nationkey as name from customer) left join nation on n_nationkey = c_nationkey and n_regionkey = c_custkey % 5",
+    "base_resolution": "select 's' || s_suppkey as klass, case when n_regionkey = s_suppkey % 5 then 'class:' || n_name else 'ref:' || n_name end as target from supplier join nation on s_nationkey = n_nationkey",
+    "edge_semijoin": "select 's' || l_suppkey as source, 'p' || l_partkey as target, count(*) as n from lineitem where l_suppkey in (select s_suppkey from supplier where s_suppkey % 2 = 0) and l_partkey in (select p_partkey from part where p_partkey % 2 = 0) group by 1, 2",
     "graph_cycles": f"{_P} select length, path from (select 1::bigint as length, a::varchar as path from e where a = b union all select len(path)::bigint, array_to_string(path, ',') from walk join e on a = last where b = path[1] and len(path) <= 20)",
     "wav_roundtrip": "select vec_id, 8000 as sample_rate, count(*) as n, sum(trunc(greatest(-1.0::double, least(1.0::double, v::double)) * 32767))::bigint as total from (select vec_id, unnest(embedding) as v from embeddings) group by vec_id",
     "midi_roundtrip": "select 'song_' || (user_id % 8)::varchar as song_id, event_type as stem, count(*) as num_notes, sum(36 + event_id % 61)::bigint as pitch_sum, sum(1 + event_id % 127)::bigint as velocity_sum, round(min(event_id) * 0.5::double, 3) as start_s from events group by 1, 2",

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tactus.functions import flatten as fl
+from tactus.functions import music
 from tactus.functions import signals as sg
+from tactus.operators import frames as fr
 from tactus.plans.timeline import _round
 from tactus.plans.views import table
+from tactus.sinks import reports
 
 
 def blocks(spark, d: str) -> DataFrame:
@@ -79,14 +83,74 @@ def audio_validity(spark, d: str) -> DataFrame:
     return blocks(spark, d).select("vec_id", sg.valid(x, F.when(k == 4, 0).otherwise(22050)).alias("valid"))
 
 
+def _tracks(spark, d: str) -> DataFrame:
+    """The vectors as frames of four tracks."""
+    x = blocks(spark, d)
+    part = lambda a, n: F.transform(F.slice("samples", a, n), lambda v: v.cast("double"))
+    at = lambda i: F.get("samples", F.lit(i)).cast("double")
+    return x.select(F.concat(F.lit("track_"), (F.col("vec_id") % 4).cast("string")).alias("song_id"), F.lit("full_mix").alias("stem"), F.floor(F.col("vec_id") / 4).alias("frame"), at(0).alias("centroid"), at(1).alias("bandwidth"), at(2).alias("rolloff"), at(3).alias("zcr"), part(5, 13).alias("mfcc"), part(18, 12).alias("chroma"))
+
+
+def _track_ranges(spark, d: str) -> DataFrame:
+    """Bars of a quarter of a second at 22,050 samples a second over the tracks."""
+    songs = _tracks(spark, d).groupBy("song_id", "stem").agg((F.max("frame") + 1).alias("n_frames")).withColumn("sample_rate", F.lit(22050))
+    k = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n_frames") * 512 / 22050 / 0.25) - 1))
+    bars = songs.select("song_id", k.alias("bar_index")).withColumns({"start_s": F.col("bar_index") * F.lit(0.25), "end_s": (F.col("bar_index") + 1) * F.lit(0.25)})
+    return fr.bar_frame_ranges(bars, songs)
+
+
+def frame_range_join(spark, d: str) -> DataFrame:
+    """The frames of each bar; neighbouring bars may share one."""
+    return fr.frames_in_bars(_tracks(spark, d).select("song_id", "stem", "frame"), _track_ranges(spark, d)).select("song_id", "bar_index", "frame")
+
+
+def precomputed_frames(spark, d: str) -> DataFrame:
+    out = fr.aggregate_frames(fr.frames_in_bars(_tracks(spark, d), _track_ranges(spark, d)))
+    return _round(reports.wide_features(out).drop("stem"))
+
+
+def list_stats(spark, d: str) -> DataFrame:
+    return _round(fl.scalars(blocks(spark, d), "x_"))
+
+
+def matrix_stats(spark, d: str) -> DataFrame:
+    """Rows of sixteen samples of each block as a matrix."""
+    rows = F.transform(F.sequence(F.lit(0), F.floor(F.size("samples") / 16).cast("int") - 1), lambda k: F.slice("samples", k * 16 + 1, 16))
+    m, s = sg.row_stats(F.col("m"))
+    each = F.posexplode(F.arrays_zip(m.alias("mean"), s.alias("std"))).alias("row", "r")
+    return _round(blocks(spark, d).select("vec_id", rows.alias("m")).select("vec_id", each).select("vec_id", "row", "r.mean", "r.std"))
+
+
+def inferred_duration(spark, d: str) -> DataFrame:
+    t = F.transform("samples", lambda v: F.abs(v.cast("double")))
+    return _round(blocks(spark, d).select("vec_id", music.inferred_duration(F.when(F.col("vec_id") % 5 > 0, t), F.col("vec_id") % 3 * 40.0).alias("duration_s")))
+
+
 _X = "with x as (select vec_id, label as bar_index, embedding as samples from embeddings), e as (select vec_id, bar_index, len(samples) as n, unnest(range(0, len(samples))) as ix, unnest(samples)::double as v from x)"
 _ZCR = "select vec_id, bar_index, sqrt(sum(v * v) / max(n)) as rms, sum(v * v) as energy, sum(flip)::double / max(n) as zcr from (select *, ((v < 0) <> (lag(v) over (partition by vec_id order by ix) < 0))::int as flip from e) group by 1, 2"
 
 QUERIES = {
     "frame_stats": frame_stats, "rms_energy_zcr": rms_energy, "prefix_energy": prefix_energy, "frames_to_bars": frames_to_bars, "evolving_segments": evolving_segments, "list_expand": list_expand,
+    "frame_range_join": frame_range_join, "precomputed_frames": precomputed_frames, "list_stats": list_stats, "matrix_stats": matrix_stats, "inferred_duration": inferred_duration,
     "mono_downmix": mono_downmix, "peak_normalize": peak_normalize, "int16_roundtrip": int16_roundtrip, "decimate": decimate, "audio_validity": audio_validity,
 }
+_FRAMES = """with frames as (select 'track_' || (vec_id % 4)::varchar as song_id, vec_id // 4 as frame, embedding as e from embeddings
+), songs as (select song_id, max(frame) + 1 as n from frames group by 1
+), bars as (select song_id, n, unnest(range(0, ceil(n * 512 / 22050.0::double / 0.25::double)::bigint)) as bar_index from songs
+), ranges as (select song_id, bar_index, greatest(0, floor((trunc(bar_index * 0.25::double * 22050) - 1024) / 512.0::double)::bigint) as a,
+  least(n, floor((trunc((bar_index + 1) * 0.25::double * 22050) - 1024) / 512.0::double)::bigint + 1) as b from bars
+), met as (select r.song_id, bar_index, frame, e from ranges r join frames f on f.song_id = r.song_id and f.frame >= a and f.frame < b)"""
+_FRAME_COLUMNS = ", ".join(
+    [f"round({f}(e[{i}]::double), 6) + 0.0 as {n}" for n, f, i in (("spectral_centroid_mean", "avg", 1), ("spectral_centroid_std", "stddev_pop", 1), ("spectral_rolloff_mean", "avg", 3), ("spectral_rolloff_std", "stddev_pop", 3), ("spectral_bandwidth_mean", "avg", 2), ("zcr", "avg", 4))]
+    + [f"round(avg(e[{i + 18}]::double), 6) + 0.0 as chroma_mean_{i:02d}" for i in range(12)]
+    + [f"round({f}(e[{i + 5}]::double), 6) + 0.0 as mfcc_{i:02d}_{s}" for s, f in (("mean", "avg"), ("std", "stddev_pop")) for i in range(13)]
+)
 ORACLE_SQL = {
+    "frame_range_join": f"{_FRAMES} select song_id, bar_index, frame from met",
+    "precomputed_frames": f"{_FRAMES} select song_id, bar_index, count(*) as frames, {_FRAME_COLUMNS} from met group by 1, 2",
+    "list_stats": f"{_X} select vec_id as x_vec_id, any_value(bar_index) as x_bar_index, round(avg(v), 6) + 0.0 as x_samples_mean, round(stddev_pop(v), 6) + 0.0 as x_samples_std from e group by vec_id",
+    "matrix_stats": f"{_X} select vec_id, (ix // 16)::integer as row, round(avg(v), 6) + 0.0 as mean, round(stddev_pop(v), 6) + 0.0 as std from e where ix < n // 16 * 16 group by 1, 2",
+    "inferred_duration": f"{_X} select vec_id, case when vec_id % 5 > 0 then round(max(abs(v)) + 60.0::double / case when vec_id % 3 > 0 then vec_id % 3 * 40.0::double else 120.0::double end, 6) else 0.0 end::double as duration_s from e group by vec_id",
     "frame_stats": f"{_X} select vec_id, round(avg(v), 6) + 0.0 as mean, round(stddev_pop(v), 6) + 0.0 as std, round(min(v), 6) + 0.0 as min, round(max(v), 6) + 0.0 as max from e group by vec_id",
     "rms_energy_zcr": f"{_X} select vec_id, round(rms, 6) as rms, round(energy, 6) as energy, round(zcr, 6) as zcr from ({_ZCR})",
     "prefix_energy": f"{_X} select vec_id, ix::integer as ix, round(sum(v * v) over (partition by vec_id order by ix rows unbounded preceding), 6) as energy from e",

@@ -7,20 +7,31 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tactus import schemas
 from tactus.config import Config
-from tactus.operators import align, bars, features, grid
+from tactus.operators import align, bars, batch, features, grid
 from tactus.sinks import reports
 from tactus.sources import audio, midi
 
+#: Whole songs in one Arrow batch.
+SONGS_AT_ONCE = 4
 
-def tables(signals: DataFrame, notes: DataFrame, config: Config) -> dict[str, DataFrame]:
-    """The tables of all songs. The song's grid comes from its full mix, or its first stem by name.
 
-    ``signals``: as read; rows with an error are left to the batch's report. ``notes``: with note_ix."""
+def analysis_of(signals: DataFrame, config: Config) -> tuple[DataFrame, DataFrame]:
+    """The signal that a song's grid comes from, its full mix or its first stem by name, and its tempo and beats."""
     good = signals.where("samples is not null")
     main = good.groupBy("song_id").agg(F.min(F.when(F.col("stem") == "full_mix", F.lit("")).otherwise(F.col("stem"))).alias("s"))
     mix = good.join(main.select("song_id", F.when(F.col("s") == "", "full_mix").otherwise(F.col("s")).alias("stem")), ["song_id", "stem"])
-    analysis = features.analyse(features.preprocess(mix, config) if config.preprocess else mix).persist()
+    return mix, features.analyse(features.preprocess(mix, config) if config.preprocess else mix)
+
+
+def tables(signals: DataFrame, notes: DataFrame, config: Config, analysis: tuple[DataFrame, DataFrame] | None = None, chunks: str | None = None) -> dict[str, DataFrame]:
+    """The tables of all songs.
+
+    ``signals``: as read; rows with an error are left to the batch's report. ``notes``: with note_ix. ``analysis``: of ``analysis_of``, where it is kept
+    for all tables. ``chunks``: a folder for the bars' samples."""
+    good = signals.where("samples is not null")
+    mix, analysis = analysis or analysis_of(signals, config)
     own = analysis.select("song_id", "duration_s", "tempo_bpm")
     beats = features.beats_of(analysis)
     if config.preprocess:  # bars end with the whole signal
@@ -35,27 +46,58 @@ def tables(signals: DataFrame, notes: DataFrame, config: Config) -> dict[str, Da
         "bar_grid": bar_grid,
         "events": events,
         "bars": bars.bars(events),
-        "bar_features": features.bar_features(good, bar_grid, own.select("song_id", "tempo_bpm")),
+        "bar_features": features.bar_features(good, bar_grid, own.select("song_id", "tempo_bpm"), chunks),
         "song_summary": summary,
     }
 
 
 def run(spark: SparkSession, wav_path: str, midi_path: str | None, out: str, config: Config = Config()) -> dict[str, str]:
-    """Read a folder of songs (a folder each), write the tables and reports under ``out``; returns their paths."""
-    signals = audio.signals_of(audio.read_files(spark, wav_path))
-    if midi_path:
-        notes = midi.notes_of(audio.read_files(spark, midi_path, "*.mid*"))
-    else:
-        from tactus import schemas
-
-        notes = spark.createDataFrame([], schemas.NOTES + ", note_ix bigint")
-    made, paths = tables(signals, notes, config), {}
-    for name, df in made.items():
-        paths[name] = f"{out}/{name}"
-        reports.write_dataset(df, paths[name])
-    reports.write_text(reports.markdown(made["events"]), f"{out}/reports/notes")
-    reports.write_text(reports.summary(made["song_summary"]), f"{out}/reports/summary")
-    reports.write_text(reports.abc(made["events"]), f"{out}/reports/abc")
-    reports.write_json(made["song_summary"].withColumn("config", F.lit(str(asdict(config)))), f"{out}/analysis")
-    reports.write_json(signals.where("error is not null").select("song_id", "stem", "error"), f"{out}/errors")
-    return paths
+    """Read a folder of songs (a folder each), write the tables and reports under ``out``; returns their paths.
+
+    Songs that the manifest under ``out`` lists as done are left out if the configuration says so. Files that can't be read give error rows; they end the run if it
+    says so, else they are left out. Each step is tried again after faults, within its time limit. ``results`` has a row per song."""
+    batch_rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch_rows)
+    spark.conf.set(batch_rows, str(SONGS_AT_ONCE))  # whole songs are rows
+    analysis = None
+    try:
+        steps, manifest = batch.Steps(spark, config.max_retries, config.step_timeout_s), batch.Manifest(spark, f"{out}/manifest")
+        files = audio.read_files(spark, wav_path, compat=config.compat)
+        songs = files.select("song_id").distinct()
+        skipped = songs.join(manifest.rows().where("step = 'tables'"), "song_id", "left_semi") if config.skip_existing else songs.limit(0)
+        skipped = spark.createDataFrame(skipped.collect(), "song_id string")  # one row a song
+        signals = audio.signals_of(files.join(skipped, "song_id", "left_anti"))
+        if midi_path:
+            scores = audio.read_files(spark, midi_path, "*.mid*", compat=config.compat).join(skipped, "song_id", "left_anti")
+            notes, faults = midi.notes_of(scores, config.compat), midi.errors_of(scores)
+        else:
+            notes, faults = spark.createDataFrame([], schemas.NOTES + ", note_ix bigint"), spark.createDataFrame([], "song_id string, stem string, error string")
+        faults = signals.where("error is not null").select("song_id", "stem", "error").unionByName(faults)
+        steps.run("errors", lambda: reports.write_json(faults, f"{out}/errors"))
+        failed = spark.read.schema("song_id string, stem string, error string").json(f"{out}/errors")
+        if config.stop_on_error and not failed.isEmpty():
+            raise RuntimeError(f"some files can't be read, see {out}/errors")
+        mix, found = analysis_of(signals, config)
+        analysis = found.persist()
+        made, paths = tables(signals, notes, config, (mix, analysis), f"{out}/chunks" if config.write_chunks else None), {}
+        for name, df in made.items():
+            paths[name] = f"{out}/{name}"
+            steps.run(name, lambda df=df, name=name: reports.write_dataset(df, paths[name]))
+        events = spark.read.parquet(paths["events"]) if not made["events"].isEmpty() else made["events"]
+        texts = {"notes": reports.markdown(events), "summary": reports.summary(made["song_summary"]), "abc": reports.abc(events)}
+        for name, rows in texts.items():
+            steps.run(f"report {name}", lambda rows=rows, name=name: reports.write_text(rows, f"{out}/reports/{name}"))
+        if config.compat == "b":
+            steps.run("report lines", lambda: reports.write_lines(reports.markdown_lines(events), f"{out}/reports/lines"))
+        done = songs.join(failed.select("song_id").distinct(), "song_id", "left_anti").join(skipped, "song_id", "left_anti")
+        manifest.record(done, "tables")
+        status = F.when(F.col("error").isNotNull(), "failed").when(F.col("skipped"), "skipped").otherwise("success")
+        results = songs.join(failed.groupBy("song_id").agg(F.min("error").alias("error")), "song_id", "left").join(skipped.withColumn("skipped", F.lit(True)), "song_id", "left")
+        reports.write_json(results.select("song_id", status.alias("status"), "error", F.lit(sum(steps.seconds.values())).alias("seconds")), f"{out}/results")
+        timings = F.create_map(*(F.lit(x) for pair in steps.seconds.items() for x in pair))
+        reports.write_json(made["song_summary"].withColumns({"config": F.lit(str(asdict(config))), "step_seconds": timings}), f"{out}/analysis")
+        return paths
+    finally:
+        spark.conf.set(batch_rows, before)
+        if analysis is not None:
+            analysis.unpersist()

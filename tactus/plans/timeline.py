@@ -10,6 +10,7 @@ from tactus.operators import align as al
 from tactus.operators import bars as ba
 from tactus.operators import grid as gr
 from tactus.plans import views as v
+from tactus.sinks import reports
 
 
 def _round(df: DataFrame) -> DataFrame:
@@ -74,9 +75,7 @@ _CELLS_SQL = f"""cells as (
 
 def markdown_rows(spark, d: str) -> DataFrame:
     """The report's row of each note, in bar order."""
-    from tactus.sinks.reports import note_row
-
-    return aligned(spark, d).select("song_id", "stem", "bar_index", "note_ix", note_row().alias("row"))
+    return aligned(spark, d).select("song_id", "stem", "bar_index", "note_ix", reports.note_row().alias("row"))
 
 
 def piano_roll(spark, d: str) -> DataFrame:
@@ -86,6 +85,23 @@ def piano_roll(spark, d: str) -> DataFrame:
     return n.select("song_id", "pitch", "velocity", step.alias("time_ix")).groupBy("song_id", "pitch", "time_ix").agg(F.sum("velocity").alias("velocity"))
 
 
+def piano_roll_cutoff(spark, d: str) -> DataFrame:
+    """Notes of each song's first hours, by steps of ten minutes."""
+    return ba.piano_roll(v.notes(spark, d), 600.0, 36_000.0)
+
+
+def fallback_times(spark, d: str) -> DataFrame:
+    """Notes under the names of other tables, with gaps by number."""
+    n, k = v.notes(spark, d), F.col("note_ix") % 4
+    rows = n.select("note_ix", F.when(k > 1, F.col("start_s")).alias("start_s"), F.when(k > 0, F.col("start_s") + 1).alias("start"), F.when(k < 3, F.col("end_s")).alias("end"))
+    return _round(ba.with_times(rows).select("note_ix", "start_s", "end_s"))
+
+
+def variant_rows(spark, d: str) -> DataFrame:
+    """The other form of report's lines of notes."""
+    return reports.markdown_lines(aligned(spark, d, "b")).where("place.part = 2").select("song_id", F.col("place.stem").alias("stem"), F.col("place.bar").alias("bar_index"), F.col("place.k").alias("note_ix"), "value")
+
+
 def bar_time_join(spark, d: str) -> DataFrame:
     n, g = v.notes(spark, d), gr.bar_grid(v.beats(spark, d), v.durations(spark, d), 7, 8)
     return ba.bars_of_times(n, g).groupBy("song_id", "time_bar").agg(F.count(F.lit(1)).alias("num_notes"))
@@ -127,6 +143,9 @@ QUERIES = {
     "notes_per_stem": lambda s, d: ba.notes_per_stem(v.notes(s, d)),
     "num_bars": lambda s, d: aligned(s, d).groupBy("song_id").agg((F.max("bar_index") + 1).alias("num_bars"), F.count_distinct("bar_index").alias("bars_with_notes")),
     "bar_time_join": bar_time_join,
+    "variant_rows": variant_rows,
+    "piano_roll_cutoff": piano_roll_cutoff,
+    "fallback_times": fallback_times,
     "every_nth_beat": lambda s, d: _round(gr.every_nth(v.beats(s, d), 4)),
     "markdown_rows": markdown_rows,
     "piano_roll": piano_roll,
@@ -155,6 +174,10 @@ ORACLE_SQL = {
     "notes_per_stem": f"{_B} select stem, count(*) as num_notes from notes group by stem",
     "num_bars": f"with {v.aligned_sql('a')} select song_id, max(bar_index) + 1 as num_bars, count(distinct bar_index) as bars_with_notes from aligned group by 1",
     "bar_time_join": f"with {v.bars_sql(7, 8)} select n.song_id, bar_index as time_bar, count(*) as num_notes from notes n join bar_grid b on b.song_id = n.song_id and n.start_s >= b.start_s and n.start_s < b.end_s group by 1, 2",
+    "variant_rows": f"""with {v.aligned_sql('b')} select song_id, stem, bar_index, note_ix, printf('| %.2f | %d | %s | %d | %.3f | %.3f |', round(beat_in_bar, 2), pitch,
+        (['C','C#','D','D#','E','F','F#','G','G#','A','A#','B'])[pitch % 12 + 1] || (pitch // 12 - 1)::varchar, velocity, round(start_s, 3), round(dur_s, 3)) as value from aligned""",
+    "piano_roll_cutoff": f"{_B} select song_id, pitch, t as time_ix, sum(velocity)::bigint as velocity from (select song_id, pitch, velocity, unnest(range(floor(start_s / 600)::bigint, floor(end_s / 600)::bigint + 1)) as t from notes where dur_s > 0 and start_s <= 36000) group by 1, 2, 3",
+    "fallback_times": f"{_B} select note_ix, round(case note_ix % 4 when 0 then 0 when 1 then start_s + 1 else start_s end, 6)::double as start_s, round(case note_ix % 4 when 3 then start_s else end_s end, 6) as end_s from notes",
     "every_nth_beat": f"{_B} select song_id, beat_index, round(time_s, 6) as time_s from beats where beat_index % 4 = 0",
     "markdown_rows": f"""with {v.aligned_sql('a')} select song_id, stem, bar_index, note_ix, printf('| %.3f | %d | %s | %d | %.3f |', round(start_s, 3), pitch,
         (['C','C#','D','D#','E','F','F#','G','G#','A','A#','B'])[pitch % 12 + 1] || (pitch // 12 - 1)::varchar, velocity, round(end_s - start_s, 3)) as row from aligned""",

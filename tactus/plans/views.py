@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from tactus.operators.grid import number_beats
 
 
+#: Songs that the events are dealt to; so many rows at most have a song's first time, which are broadcast.
+SONGS = 8
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    e = e.withColumns({"song_id": F.concat(F.lit("song_"), (F.col("user_id") % 8).cast("string")), "us": F.unix_micros(F.col("ts").cast("timestamp"))})
+    e = e.withColumns({"song_id": F.concat(F.lit("song_"), (F.col("user_id") % SONGS).cast("string")), "us": F.unix_micros(F.col("ts").cast("timestamp"))})
     first = e.groupBy("song_id").agg(F.min("us").alias("first_us"))
-    return e.join(F.broadcast(first) if first.limit(10_001).count() <= 10_000 else first, "song_id").withColumn("start_s", (F.col("us") - F.col("first_us")) / 1e6)
+    return e.join(F.broadcast(first), "song_id").withColumn("start_s", (F.col("us") - F.col("first_us")) / 1e6)
 
 
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tactus.functions.music import pitch_name
 
+#: The heads of the reports' tables.
+HEAD_B = "| Beat | Pitch | Note | Velocity | Start (s) | Duration (s) |\n|------|-------|------|----------|-----------|---------------|"
 HEAD = "| Time (s) | Pitch | Note | Velocity | Duration (s) |\n|----------|-------|------|----------|---------------|"
 
 
@@ -15,6 +17,36 @@ def note_row() -> Column:
     return F.format_string("| %.3f | %d | %s | %d | %.3f |", c("start_s"), c("pitch"), pitch_name(c("pitch")), c("velocity"), c("end_s") - c("start_s"))
 
 
+def note_row_b() -> Column:
+    c = F.col
+    return F.format_string("| %.2f | %d | %s | %d | %.3f | %.3f |", c("beat_in_bar"), c("pitch"), pitch_name(c("pitch")), c("velocity"), c("start_s"), c("dur_s"))
+
+
+def markdown_lines(events: DataFrame, order: str = "note_ix") -> DataFrame:
+    """song_id, place, value: the lines of each song's other form of report, by stem and bar, to be written in the order of place. A row a note, so no row holds a song."""
+    at = lambda stem, bar, part, k: F.struct(stem.alias("stem"), bar.cast("long").alias("bar"), F.lit(part).alias("part"), k.cast("long").alias("k"))
+    c, none = F.col, F.lit(-1)
+    notes = events.select("song_id", at(c("stem"), c("bar_index"), 2, c(order)).alias("place"), note_row_b().alias("value"))
+    heads = events.select("song_id", "stem", "bar_index").distinct().select("song_id", at(c("stem"), c("bar_index"), 1, none).alias("place"), F.concat(F.lit("\n### Bar "), c("bar_index").cast("string"), F.lit("\n\n" + HEAD_B)).alias("value"))
+    stems = events.select("song_id", "stem").distinct().select("song_id", at(c("stem"), F.lit(-(2**62)), 0, none).alias("place"), F.concat(F.lit("\n## Stem: "), "stem").alias("value"))
+    songs = events.select("song_id").distinct().select("song_id", at(F.lit(""), F.lit(-(2**62)), -1, none).alias("place"), F.concat(F.lit("# MIDI Analysis Report: "), "song_id").alias("value"))
+    return notes.unionByName(heads).unionByName(stems).unionByName(songs)
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Lines in order, in as many files a song as its size asks for: parts of a range sort, in the order of their names."""
+    lines.repartitionByRange("song_id", "place").sortWithinPartitions("song_id", "place").select("song_id", "value").write.mode("overwrite").partitionBy("song_id").text(path)
+
+
+def wide_features(features: DataFrame) -> DataFrame:
+    """Bar features as scalar columns: chroma_mean_00.., mfcc_00_mean.., spectral columns, and zcr."""
+    has = set(features.columns)
+    single = [c for c in features.columns if not dict(features.dtypes)[c].startswith("array")]
+    lists = [F.get("chroma_mean", F.lit(i)).alias(f"chroma_mean_{i:02d}") for i in range(12)] if "chroma_mean" in has else []
+    lists += [F.get(f"mfcc_{s}", F.lit(i)).alias(f"mfcc_{i:02d}_{s}") for s in ("mean", "std") if f"mfcc_{s}" in has for i in range(13)]
+    return features.select(*single, *lists)
+
+
 def _ordered(text: Column, *order: str) -> Column:
     rows = F.array_sort(F.collect_list(F.struct(*order, text.alias("_t"))))
     return F.array_join(F.transform(rows, lambda r: r["_t"]), "\n")

@@ -12,10 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tactus import schemas
+from tactus.functions import dsp
+
+NATIVE = "song_id string, stem string, sample_rate int, samples array<float>, native_rate int, channels array<array<float>>, error string"
 
 
 def decode(content: bytes) -> tuple[int, np.ndarray]:
     """Rate and mono samples in [-1, 1) of PCM with one to four bytes a sample."""
+    rate, x = decode_channels(content)
+    return rate, x.mean(0)
+
+
+def decode_channels(content: bytes) -> tuple[int, np.ndarray]:
+    """Rate and samples (channel, time) as they lie in the file."""
     with wave.open(io.BytesIO(content)) as w:
         width, channels, rate, raw = w.getsampwidth(), w.getnchannels(), w.getframerate(), w.readframes(w.getnframes())
     if width == 1:
@@ -25,17 +34,18 @@ def decode(content: bytes) -> tuple[int, np.ndarray]:
         x = ((b[:, 0] << 8 | b[:, 1] << 16 | b[:, 2] << 24) >> 8) / float(1 << 23)
     else:
         x = np.frombuffer(raw, f"<i{width}") / float(1 << (8 * width - 1))
-    return rate, x.reshape(-1, channels).mean(1)
+    return rate, x.reshape(-1, channels).T
 
 
 def encode(samples: np.ndarray, rate: int) -> bytes:
-    """16-bit mono PCM."""
+    """16-bit PCM of mono samples, or of channels as rows."""
+    x = np.stack([np.asarray(c, float) for c in samples]) if len(samples) and np.ndim(samples[0]) else np.asarray(samples, float)[None]
     out = io.BytesIO()
     with wave.open(out, "wb") as w:
-        w.setnchannels(1)
+        w.setnchannels(len(x))
         w.setsampwidth(2)
         w.setframerate(int(rate))
-        w.writeframes((np.clip(np.asarray(samples, float), -1, 1) * 32767).astype("<i2").tobytes())
+        w.writeframes((np.clip(x.T, -1, 1) * 32767).astype("<i2").tobytes())
     return out.getvalue()
 
 
@@ -56,6 +66,22 @@ def signals_of(files: DataFrame) -> DataFrame:
     return files.select("song_id", "stem", "content").mapInPandas(run, schemas.SIGNAL)
 
 
+def native_signals_of(files: DataFrame, analysis_sr: int) -> DataFrame:
+    """Signals of rows (song_id, stem, content) twice over: samples are mono at the analysis rate, channels as in the file at native_rate."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            for song, stem, content in zip(pdf["song_id"], pdf["stem"], pdf["content"], strict=True):
+                try:
+                    rate, x = decode_channels(content)
+                    row = (song, stem, analysis_sr, dsp.resample(x.mean(0), rate, analysis_sr).astype(np.float32), rate, list(x.astype(np.float32)), None)
+                except Exception as e:  # any fault of the file is data here
+                    row = (song, stem, None, None, None, None, f"{type(e).__name__}: {e}")
+                yield pd.DataFrame([row], columns=[c.split()[0] for c in NATIVE.split(", ")]).astype({"sample_rate": "Int32", "native_rate": "Int32"})
+
+    return files.select("song_id", "stem", "content").mapInPandas(run, NATIVE)
+
+
 def read_files(spark: SparkSession, path: str, pattern: str = "*.wav", compat: str = "a") -> DataFrame:
     """song_id, stem, path, content: the folder is the song, the file name its stem in lower case (a: no_vocals is called accompaniment); the
     newest of files that share both stays."""

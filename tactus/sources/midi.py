@@ -44,11 +44,20 @@ def _events(data: bytes) -> Iterator[tuple[int, int, bytes]]:
             at += size
 
 
+def named(notes: list[dict], compat: str) -> list[dict]:
+    """a: an instrument without a name is called by its number. b: names stay as they are, and there is no duration."""
+    if compat == "a":
+        return [n | {"instrument_name": n["instrument_name"] or f"Instrument_{n['instrument_index']}"} for n in notes]
+    return [n | {"dur_s": None} for n in notes]
+
+
 def parse(content: bytes) -> tuple[list[dict], list[tuple[float, float]]]:
     """Notes in order of track and time, and the tempo map as (time_s, bpm). A note-on of velocity 0 ends a note."""
     if content[:4] != b"MThd":
         raise ValueError("not a MIDI file")
     size, _, _, division = struct.unpack(">IHHh", content[4:14])
+    # a negative division counts frames a second and ticks a frame, and tempo events don't apply
+    ticks_a_second = -(division >> 8) * (division & 0xFF) if division < 0 else None
     at, tracks = 8 + size, []
     while at + 8 <= len(content):
         kind, n = content[at : at + 4], struct.unpack(">I", content[at + 4 : at + 8])[0]
@@ -57,11 +66,13 @@ def parse(content: bytes) -> tuple[list[dict], list[tuple[float, float]]]:
         at += 8 + n
     changes = sorted((t, int.from_bytes(d[1:4], "big")) for track in tracks for t, s, d in track if s == 0xFF and d[0] == 0x51)
     marks = [(0, 0.0, 500_000)]
-    for t, us in changes:
+    for t, us in changes if division > 0 else ():
         t0, s0, us0 = marks[-1]
         marks.append((t, s0 + (t - t0) * us0 / 1e6 / division, us))
 
     def seconds(tick: int) -> float:
+        if ticks_a_second:
+            return tick / ticks_a_second
         t0, s0, us0 = next(m for m in reversed(marks) if m[0] <= tick)
         return s0 + (tick - t0) * us0 / 1e6 / division
 
@@ -84,7 +95,7 @@ def parse(content: bytes) -> tuple[list[dict], list[tuple[float, float]]]:
                     own[key] = number
                     number += 1
                 a, b = seconds(began), seconds(tick)
-                notes.append({"instrument_index": own[key], "instrument_name": name or f"Instrument_{own[key]}", "program": key[1], "is_drum": channel == 9, "pitch": d[0], "velocity": velocity, "start_s": a, "end_s": b, "dur_s": b - a})
+                notes.append({"instrument_index": own[key], "instrument_name": name, "program": key[1], "is_drum": channel == 9, "pitch": d[0], "velocity": velocity, "start_s": a, "end_s": b, "dur_s": b - a})
     tempos = [(s, 60e6 / us) for _, s, us in marks[1:]] or [(0.0, 120.0)]
     return notes, tempos
 
@@ -108,15 +119,15 @@ def build(notes: list[tuple[int, int, float, float]], tempo_bpm: float = 120.0,
     return b"MThd" + struct.pack(">IHHh", 6, 0, 1, division) + b"MTrk" + struct.pack(">I", len(out)) + out
 
 
-def notes_of(files: DataFrame) -> DataFrame:
-    """Notes of rows (song_id, stem, content), numbered in order as note_ix; a file that can't be parsed has none (see ``errors_of``)."""
+def notes_of(files: DataFrame, compat: str = "a") -> DataFrame:
+    """Notes of rows (song_id, stem, content), numbered in order as note_ix; a file that can't be parsed has none and a row in ``errors_of``."""
     names = [c.split()[0] for c in schemas.NOTES.split(", ")]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             for song, stem, content in zip(pdf["song_id"], pdf["stem"], pdf["content"], strict=True):
                 try:
-                    found, _ = parse(content)
+                    found = named(parse(content)[0], compat)
                 except (ValueError, IndexError, struct.error):
                     continue
                 yield pd.DataFrame([{"song_id": song, "stem": stem, **n} for n in found], columns=names).assign(note_ix=range(len(found)))
@@ -140,6 +151,11 @@ def tempo_map_of(files: DataFrame) -> DataFrame:
     return files.select("song_id", "stem", "content").mapInPandas(run, "song_id string, stem string, tempo_map array<struct<time_s:double,tempo_bpm:double>>, error string")
 
 
+def errors_of(files: DataFrame) -> DataFrame:
+    """song_id, stem, error of the files that can't be parsed."""
+    return tempo_map_of(files).where("error is not null").select("song_id", "stem", "error")
+
+
 def with_midi(notes: DataFrame, tempo_bpm: float = 120.0) -> DataFrame:
     """song_id, stem, content: a MIDI file for each stem's notes. A stem is one file, so its notes meet in one task."""
 
