@@ -305,6 +305,39 @@ def test_token_files_round_trip(spark, rows, tmp_path, encoding):
     assert _crc(ids) == want[0][3]
 
 
+@pytest.mark.parametrize("encoding", ["dictionary", "delta"])
+def test_token_files_allow_reads_in_part(spark, rows, tmp_path, encoding):
+    """Page indexes, pages of few rows and encodings as asked for; metadata are read without ids, and a filter on ids reaches the scan."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path, tokenizer = str(tmp_path / "t"), tokens.tokenizer_path("word_bpe_49k.json")
+    token_files.write_token_files(rows([(i, prose(i, 60)) for i in range(600)]), path, tokenizer, encoding=encoding, row_group_bytes=1 << 12, page_rows=50)
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(path + "/*.parquet")]
+    assert sum(m.num_rows for m in files) == 600 and max(m.num_row_groups for m in files) > 1
+    for m in files:
+        columns = {m.row_group(0).column(k).path_in_schema: m.row_group(0).column(k) for k in range(m.num_columns)}
+        ids = next(c for name, c in columns.items() if name.startswith("ids"))
+        assert ("RLE_DICTIONARY" in ids.encodings or "PLAIN_DICTIONARY" in ids.encodings) == (encoding == "dictionary") and ("DELTA_BINARY_PACKED" in ids.encodings) == (encoding == "delta")
+        assert columns["doc_id"].has_offset_index and columns["doc_id"].has_column_index
+    known = token_files.read_token_files(spark, path)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "ids:array" not in plan(known.select("doc_id", "n_tokens"))
+    some = plan(known.where("doc_id = 77").select("doc_id", "ids"))
+    assert "EqualTo(doc_id,77)" in some and known.where("doc_id = 77").count() == 1
+
+
+def test_tokens_of_null_and_repeated_ids(spark, rows, tmp_path):
+    tokenizer = tokens.tokenizer_path("word_bpe_49k.json")
+    pairs = [(3, "b b"), (None, "a"), (3, "a"), (3, "a"), (9, None)]
+    token_files.write_token_files(rows(pairs), str(tmp_path / "t"), tokenizer)
+    got = sorted(read(token_files.read_token_files(spark, str(tmp_path / "t")), "start", "doc_id", "n_tokens"))
+    assert [i for _, i, _ in got] == [None, 3, 3, 3, 9] and [s for s, _, _ in got] == np.cumsum([0, *(n for _, _, n in got)])[:-1].tolist()
+    pieces = packing.pack(rows(pairs), tokens.tokenizer_path("byte_bpe_50k.json"), size=8).collect()
+    assert sorted((p["doc_id"] is None, p["doc_id"] or 0) for p in pieces if p["start"] == 0) == [(False, 3), (False, 3), (False, 3), (False, 9), (True, 0)]
+
+
 def test_token_files_of_no_rows(spark, rows, tmp_path):
     token_files.write_token_files(rows([]), str(tmp_path / "e"), tokens.tokenizer_path("word_bpe_49k.json"))
     assert token_files.read_token_files(spark, str(tmp_path / "e")).count() == 0
