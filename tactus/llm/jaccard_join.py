@@ -38,7 +38,9 @@ from tactus.llm.common import materialize
 from tactus.llm.components import components
 from tactus.llm.tokens import slices
 
-SHINGLE, SIMILARITY, RECALL, DEPTH, LIMIT, BLOCK, BINS = 5, 0.8, 0.99999, 3, 2048, 1024, 64
+SHINGLE, SIMILARITY, RECALL, DEPTH, LIMIT, BLOCK, BINS = 5, 0.8, 0.99999, 3, 2048, 512, 64
+#: Rows of a matrix of pairs that are worked on at a time.
+ROWS = 256
 #: Sketches of sets at the threshold agree at least so far less than it but for a share of about 1e-6.
 SLACK = 0.25
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -165,11 +167,14 @@ def _forest(near: np.ndarray) -> np.ndarray:
     root = np.full(n, -1)
     for i in range(n):
         if root[i] < 0:
-            seen, edge = np.zeros(n, bool), np.zeros(n, bool)
-            seen[i] = edge[i] = True
-            while edge.any():
-                edge = near[edge].any(0) & ~seen
-                seen |= edge
+            seen = np.zeros(n, bool)
+            seen[i], edge = True, np.array([i])
+            while len(edge):
+                more = np.zeros(n, bool)
+                for k in range(0, len(edge), ROWS):
+                    more |= near[edge[k : k + ROWS]].any(0)
+                edge = np.flatnonzero(more & ~seen)
+                seen[edge] = True
             root[seen] = i
     return root
 
@@ -184,13 +189,16 @@ def _across(block: np.ndarray) -> np.ndarray:
 
 def _agree(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
     """Whether the estimated similarity of each row of x to each of y is at least so much."""
-    same = np.zeros((len(x), len(y)), np.uint8)
-    a, b = np.where(x > 0, x, -1).astype(np.int16).T.copy(), np.where(y > 0, y, -2).astype(np.int16).T.copy()
-    for k in range(BINS):
-        same += a[k][:, None] == b[k]
-    full, other = (x > 0).astype(np.float32), (y > 0).astype(np.float32)
-    filled = full.sum(1)[:, None] + other.sum(1) - full @ other.T
-    return same >= np.float32(least) * np.maximum(1, filled)
+    out, b = np.zeros((len(x), len(y)), bool), np.where(y > 0, y, -2).astype(np.int16).T.copy()
+    other = (y > 0).astype(np.float32)
+    for k in range(0, len(x), ROWS):
+        part = x[k : k + ROWS]
+        a, full, same = np.where(part > 0, part, -1).astype(np.int16).T.copy(), (part > 0).astype(np.float32), np.zeros((len(part), len(y)), np.uint8)
+        for i in range(BINS):
+            same += a[i][:, None] == b[i]
+        filled = full.sum(1)[:, None] + other.sum(1) - full @ other.T
+        out[k : k + ROWS] = same >= np.float32(least) * np.maximum(1, filled)
+    return out
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list]]:
@@ -275,7 +283,7 @@ def _overlaps(sets: list[np.ndarray], cut: int | None = None) -> np.ndarray:
     order = np.argsort(place, kind="stable")
     place, owner = place[order], owner[order]
     a, b = (0, n) if cut is None else (cut, cut)
-    out, width, total = np.zeros((b, n - a), np.float32), max(256, (4 << 20) // max(1, n)), int(shared.sum())
+    out, width, total = np.zeros((b, n - a), np.float32), max(256, (1 << 20) // max(1, n)), int(shared.sum())
     for k in range(0, total, width):
         lo, hi = np.searchsorted(place, [k, k + width])
         x = np.zeros((n, min(width, total - k)), np.float32)
@@ -296,9 +304,12 @@ def _verify(similarity: float, shingle: int) -> Callable:
             order = np.lexsort((rep, side))
             rep, weight = rep[order], weight[order]
             sets = shingle_sets(pa.array([texts[k] for k in order], pa.string()), shingle)
-            size = np.array([len(z) for z in sets], np.float64)
-            both = _overlaps(sets, n).astype(np.float64)
-            linked = both >= similarity * (size[:n, None] + size[None, n or 0 :] - both) - 1e-9
+            size, counts = np.array([len(z) for z in sets], np.float64), _overlaps(sets, n)
+            linked = np.zeros(counts.shape, bool)
+            for k in range(0, len(counts), ROWS):
+                both = counts[k : k + ROWS].astype(np.float64)
+                linked[k : k + ROWS] = both >= similarity * (size[:n][k : k + ROWS, None] + size[None, n or 0 :] - both) - 1e-9
+            del counts
             if n is None:
                 np.fill_diagonal(linked, False)
             else:
@@ -306,7 +317,7 @@ def _verify(similarity: float, shingle: int) -> Callable:
             any_ = linked.any(1)
             root = _forest(linked)
             out[0].append(rep[any_])
-            out[1].append((linked @ weight)[any_].astype(np.int64))
+            out[1].append(np.concatenate([linked[k : k + ROWS] @ weight for k in range(0, len(linked), ROWS)])[any_].astype(np.int64))
             out[2].append(rep[root][any_])
             if len(out[0]) > 200:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names)
