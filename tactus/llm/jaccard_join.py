@@ -38,7 +38,7 @@ from tactus.llm.common import materialize
 from tactus.llm.components import components
 from tactus.llm.tokens import slices
 
-SHINGLE, SIMILARITY, RECALL, DEPTH, LIMIT, BLOCK, BINS = 5, 0.8, 0.99999, 3, 2048, 512, 64
+SHINGLE, SIMILARITY, RECALL, DEPTH, LIMIT, BLOCK, BINS = 5, 0.8, 0.99999, 3, 4096, 512, 64
 #: Rows of a matrix of pairs that are worked on at a time.
 ROWS = 256
 #: Sketches of sets at the threshold agree at least so far less than it but for a share of about 1e-6.
