@@ -34,11 +34,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tactus.llm.common import materialize
+from tactus.llm.common import is_small, materialize
 from tactus.llm.components import components
 from tactus.llm.tokens import slices
 
 SHINGLE, SIMILARITY, RECALL, DEPTH, LIMIT, BLOCK, BINS = 5, 0.8, 0.99999, 3, 4096, 512, 64
+#: Tables of ids and hashes (some 50 bytes a row) are broadcast up to so many rows; beyond that, texts are shuffled to them.
+SMALL = 200_000
 #: Rows of a matrix of pairs that are worked on at a time.
 ROWS = 256
 #: Sketches of sets at the threshold agree at least so far less than it but for a share of about 1e-6.
@@ -365,7 +367,8 @@ def _classified(docs: DataFrame, similarity: float, recall: float, shingle: int,
 
     def texts(reps: DataFrame) -> DataFrame:
         """rep, the other columns and the text of each row of ``reps``; of repeated rows one."""
-        wanted = reps.join(classes.select("rep", "doc_id", "text_key"), "rep")
+        wanted = materialize(reps.join(classes.select("rep", "doc_id", "text_key"), "rep"), "wanted")
+        wanted = F.broadcast(wanted) if is_small(wanted, SMALL) else wanted
         rows = slim.where("doc_id is not null and text is not null").join(wanted, ["doc_id", "text_key"])
         return rows.groupBy(*reps.columns).agg(F.min("text").alias("text"))
 
@@ -399,5 +402,6 @@ def op1_jaccard_join(spark, sf_dir: str) -> DataFrame:
 def stage_jaccard_join(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class, the one with the least id; rows without an id stay."""
     found = _classified(docs, SIMILARITY, RECALL, SHINGLE, LIMIT, BLOCK, "doc_id", "text")
-    gone = found.where("class_id < doc_id").select("doc_id", "text_key").distinct().alias("gone")
+    gone = materialize(found.where("class_id < doc_id").select("doc_id", "text_key").distinct(), "gone")
+    gone = (F.broadcast(gone) if is_small(gone, SMALL) else gone).alias("gone")
     return docs.alias("docs").join(gone, (F.col("docs.doc_id").cast("long") == F.col("gone.doc_id")) & (F.xxhash64("docs.text") == F.col("gone.text_key")), "left_anti")

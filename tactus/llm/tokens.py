@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 #: White-space pairs, or characters whose white space or lower case the libraries may see differently.
 _WHOLE_SPACED = r"[\s\x0b\x1c-\x1f][\s\x0b\x1c-\x1f]|[\x0b\x0c\x0d\x09\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _PLAIN = r"^[\x00-\x08\x0a\x0e-\x1b\x20-\x{84}\x{86}-\x{9f}\x{a1}-\x{12f}]*$"
-CACHE = 1_000_000  # pieces that a worker process remembers
+CACHE = 400_000  # pieces that a worker process remembers
 
 
 def tokenizer_path(name: str) -> str:
@@ -177,7 +177,7 @@ def encoder(path: str, spaced: bool) -> Encoder:
     return _ENCODERS[path, spaced]
 
 
-def slices(batch: pa.RecordBatch, rows: int = 4096, text_bytes: int = 8 << 20, column: str = "text"):
+def slices(batch: pa.RecordBatch, rows: int = 4096, text_bytes: int = 4 << 20, column: str = "text"):
     """Parts of a batch of at most so many rows and about so many bytes of text; one long text is a part of its own."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
