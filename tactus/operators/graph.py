@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tactus.operators.storage import saved
+
 
 def first_by_id(nodes: DataFrame, order: list) -> DataFrame:
     """One node per id, the first in order."""
@@ -62,22 +66,67 @@ def top_targets(edges: DataFrame, k: int = 15) -> DataFrame:
     return edges.groupBy("target").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "target").limit(k)
 
 
+def strong_components(edges: DataFrame) -> DataFrame:
+    """node, root of the nodes that lie on a cycle of at least two nodes: root is the greatest node of its strongly connected component.
+
+    Nodes without edges in or out are trimmed first. Then each node takes the greatest label that reaches it; a node that keeps its own is a root, and the
+    nodes of its label that reach it back are its component. These leave, and so do edges between labels; what is left goes round again. Every round is
+    stored, and there are as many as the longest of the shortest ways in the graph."""
+    a_b = edges.where("source <> target").select(F.col("source").alias("a"), F.col("target").alias("b")).distinct()
+    e, found = _trimmed(saved(a_b)), []
+    while not e.isEmpty():
+        label = saved(e.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.col("node")))
+        while True:
+            sent = e.join(label, F.col("a") == F.col("node")).select(F.col("b").alias("node"), "label")
+            new = saved(sent.unionByName(label).groupBy("node").agg(F.max("label").alias("label")))
+            if new.join(label.withColumnRenamed("label", "old"), "node").where("label <> old").isEmpty():
+                break
+            label = new
+        own = lambda c: label.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
+        inside = saved(e.join(own("a"), "a").join(own("b"), "b").where("label_a = label_b").select("a", "b", F.col("label_a").alias("label")))
+        members = saved(label.where("node = label"))
+        front = members
+        while not front.isEmpty():
+            back = inside.join(front.select(F.col("node").alias("b"), "label"), ["b", "label"]).select(F.col("a").alias("node"), "label").distinct()
+            front = saved(back.join(members, "node", "left_anti"))
+            members = saved(members.unionByName(front))
+        found.append(members.select("node", F.col("label").alias("root")))
+        gone = members.select("node")
+        e = _trimmed(saved(inside.join(gone.withColumnRenamed("node", "a"), "a", "left_anti").join(gone.withColumnRenamed("node", "b"), "b", "left_anti").select("a", "b")))
+    if not found:
+        return a_b.select(F.col("a").alias("node"), F.col("a").alias("root")).limit(0)
+    every = reduce(DataFrame.unionByName, found)
+    return every.join(every.groupBy("root").count().where("count > 1").select("root"), "root", "left_semi").select("node", "root")
+
+
+def _trimmed(e: DataFrame) -> DataFrame:
+    """The edges (a, b) left when nodes without an edge in or out are taken away, again and again."""
+    n = e.count()
+    while n:
+        kept = saved(e.join(e.select(F.col("b").alias("a")).distinct(), "a", "left_semi").join(e.select(F.col("a").alias("b")).distinct(), "b", "left_semi"))
+        if (now := kept.count()) == n:
+            break
+        e, n = kept, now
+    return e
+
+
 def cycles(edges: DataFrame, depth: int = 20) -> DataFrame:
-    """Simple cycles of at most ``depth`` nodes, each once, from its least node. Paths grow by one join a round; only paths whose nodes all exceed
-    their first are kept, so a cycle is found from one start. For code graphs: the number of paths grows with cycles."""
-    e = edges.where("source <> target").select(F.col("source").alias("a"), F.col("target").alias("b")).distinct()
+    """Simple cycles of at most ``depth`` nodes, each once, from its least node. Only edges inside strongly connected components are walked. Paths grow by one join
+    a round and are stored; only paths whose nodes all exceed their first are kept, so a cycle is found from one start. The number of paths
+    grows with that of cycles."""
     loops = edges.where("source = target").select(F.array("source").alias("path")).distinct()
+    root = saved(strong_components(edges))
+    own = lambda c: root.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    e = edges.where("source <> target").select(F.col("source").alias("a"), F.col("target").alias("b")).distinct()
+    e = saved(e.join(own("a"), "a").join(own("b"), "b").where("root_a = root_b").select("a", "b"))
     paths, found = e.where("b > a").select(F.array("a", "b").alias("path")), [loops]
     for _ in range(depth - 1):
-        if paths.isEmpty():
+        step = saved(paths.join(e, F.element_at("path", -1) == F.col("a")).where((F.col("b") == F.col("path")[0]) | ((F.col("b") > F.col("path")[0]) & ~F.array_contains("path", F.col("b")))).select("path", "b"))
+        if step.isEmpty():
             break
-        step = paths.join(e, F.element_at("path", -1) == F.col("a"))
         found.append(step.where(F.col("b") == F.col("path")[0]).select("path"))
-        paths = step.where((F.col("b") > F.col("path")[0]) & ~F.array_contains("path", F.col("b"))).select(F.concat("path", F.array("b")).alias("path"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.select(F.size("path").alias("length"), "path").orderBy("length", "path")
+        paths = step.where(F.col("b") != F.col("path")[0]).select(F.concat("path", F.array("b")).alias("path"))
+    return reduce(DataFrame.unionByName, found).select(F.size("path").alias("length"), "path").orderBy("length", "path")
 
 
 def mermaid(edges: DataFrame) -> DataFrame:

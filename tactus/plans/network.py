@@ -32,6 +32,17 @@ def nation_edges(spark, d: str) -> DataFrame:
     return table(spark, d, "nation").select(k.cast("long").alias("source"), ((k * 7 + 3) % 25).cast("long").alias("target"))
 
 
+def supplier_edges(spark, d: str) -> DataFrame:
+    """A digraph with two edges from each supplier, to those whose numbers are 7s + 3 and 3s + 1 by the number of suppliers."""
+    s = table(spark, d, "supplier")
+    n, k = s.count(), F.col("s_suppkey")
+    return s.select(k.cast("long").alias("source"), F.explode(F.array(((k * 7 + 3) % n + 1).cast("long"), ((k * 3 + 1) % n + 1).cast("long"))).alias("target"))
+
+
+def _cycle_rows(found: DataFrame) -> DataFrame:
+    return found.select(F.col("length").cast("long").alias("length"), F.array_join(F.transform("path", lambda x: x.cast("string")), ",").alias("path"))
+
+
 def symbol_resolution(spark, d: str) -> DataFrame:
     """Customers as callers: names of nations resolve as functions of their region, self names as methods, others stay references."""
     n = table(spark, d, "nation")
@@ -91,7 +102,9 @@ QUERIES = {
     "symbol_resolution": symbol_resolution,
     "base_resolution": base_resolution,
     "edge_semijoin": edge_semijoin,
-    "graph_cycles": lambda s, d: graph.cycles(nation_edges(s, d)).select(F.col("length").cast("long").alias("length"), F.array_join(F.transform("path", lambda x: x.cast("string")), ",").alias("path")),
+    "graph_cycles": lambda s, d: _cycle_rows(graph.cycles(nation_edges(s, d))),
+    "graph_cycles_dense": lambda s, d: _cycle_rows(graph.cycles(supplier_edges(s, d), 6)),
+    "strong_components": lambda s, d: graph.strong_components(supplier_edges(s, d)),
     "spectral_features": spectral_features,
     "beat_track": lambda s, d: features.analyse(_signals(s, d)),
     "wav_roundtrip": wav_roundtrip,
@@ -101,6 +114,7 @@ QUERIES = {
 }
 
 _P = "with recursive e as (select n_nationkey::bigint as a, ((n_nationkey * 7 + 3) % 25)::bigint as b from nation), walk(path, last) as (select [a, b], b from e where b > a union all select list_append(path, b), b from walk join e on a = last where b > path[1] and not list_contains(path, b) and len(path) < 21)"
+_S = "with recursive e as (select distinct s_suppkey::bigint as a, unnest([(s_suppkey * 7 + 3) % n + 1, (s_suppkey * 3 + 1) % n + 1])::bigint as b from (select *, count(*) over () as n from supplier))"
 ORACLE_SQL = {
     "module_coupling": f"with {_EDGES}, e as (select distinct source, target from edges where source <> target) select node, sum(o)::bigint as out_degree, sum(i)::bigint as in_degree, sum(o + i)::bigint as total from (select source as node, 1 as o, 0 as i from e union all select target, 0, 1 from e) group by node order by total desc, out_degree desc, in_degree desc, node desc limit 12",
     "top_packages": f"with {_EDGES} select target, count(*) as n from edges group by 1 order by n desc, target limit 15",
@@ -109,6 +123,8 @@ ORACLE_SQL = {
     "base_resolution": "select 's' || s_suppkey as klass, case when n_regionkey = s_suppkey % 5 then 'class:' || n_name else 'ref:' || n_name end as target from supplier join nation on s_nationkey = n_nationkey",
     "edge_semijoin": "select 's' || l_suppkey as source, 'p' || l_partkey as target, count(*) as n from lineitem where l_suppkey in (select s_suppkey from supplier where s_suppkey % 2 = 0) and l_partkey in (select p_partkey from part where p_partkey % 2 = 0) group by 1, 2",
     "graph_cycles": f"{_P} select length, path from (select 1::bigint as length, a::varchar as path from e where a = b union all select len(path)::bigint, array_to_string(path, ',') from walk join e on a = last where b = path[1] and len(path) <= 20)",
+    "graph_cycles_dense": f"{_S}, walk(path, last) as (select [a, b], b from e where b > a union all select list_append(path, b), b from walk join e on a = last where b > path[1] and not list_contains(path, b) and len(path) < 6) select length, path from (select distinct 1::bigint as length, a::varchar as path from e where a = b union all select len(path)::bigint, array_to_string(path, ',') from walk join e on a = last where b = path[1])",
+    "strong_components": f"{_S}, reach(a, b) as (select a, b from e where a <> b union select reach.a, e.b from reach join e on e.a = reach.b), mutual as (select x.a, x.b from reach x join reach y on x.a = y.b and x.b = y.a where x.a <> x.b) select a as node, greatest(a, max(b)) as root from mutual group by a",
     "wav_roundtrip": "select vec_id, 8000 as sample_rate, count(*) as n, sum(trunc(greatest(-1.0::double, least(1.0::double, v::double)) * 32767))::bigint as total from (select vec_id, unnest(embedding) as v from embeddings) group by vec_id",
     "midi_roundtrip": "select 'song_' || (user_id % 8)::varchar as song_id, event_type as stem, count(*) as num_notes, sum(36 + event_id % 61)::bigint as pitch_sum, sum(1 + event_id % 127)::bigint as velocity_sum, round(min(event_id) * 0.5::double, 3) as start_s from events group by 1, 2",
 }

@@ -71,7 +71,7 @@ QUERIES = {
     "feature_fallback_join": feature_fallback_join,
     "missing_files": lambda s, d: table(s, d, "customer").join(table(s, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey"),
     "newest_per_stem": lambda s, d: _files(s, d).groupBy("stem").agg(F.max_by("file", F.struct("mtime", "file")).alias("file")),
-    "keep_newest_n": lambda s, d: an.keep_newest(_files(s, d), 10, ["stem"], [F.desc("mtime"), F.desc("file")]).select("stem", "file"),
+    "keep_newest_n": lambda s, d: an.keep_newest(_files(s, d), 10, ["stem"], ["mtime", "file"]).select("stem", "file"),
     "batch_rollup": lambda s, d: an.batch_rollup(_files(s, d), "status", "seconds"),
     "scalar_tables": file_tables,
     "status_rollup": rollup_extension,
