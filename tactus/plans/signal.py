@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tactus.functions import flatten as fl
 from tactus.functions import music
 from tactus.functions import signals as sg
+from tactus.operators import charts
 from tactus.operators import frames as fr
+from tactus.operators import loudness as ld
 from tactus.plans.timeline import _round
 from tactus.plans.views import table
 from tactus.sinks import reports
@@ -126,12 +128,43 @@ def inferred_duration(spark, d: str) -> DataFrame:
     return _round(blocks(spark, d).select("vec_id", music.inferred_duration(F.when(F.col("vec_id") % 5 > 0, t), F.col("vec_id") % 3 * 40.0).alias("duration_s")))
 
 
+def _song_blocks(spark, d: str) -> DataFrame:
+    """The vectors as blocks of the songs that their labels name, in the order of their ids."""
+    from pyspark.sql import Window
+
+    x = blocks(spark, d)
+    nth = F.row_number().over(Window.partitionBy("bar_index").orderBy("vec_id")) - 1
+    return x.select(F.concat(F.lit("song_"), F.col("bar_index").cast("string")).alias("song_id"), F.lit("full_mix").alias("stem"), F.lit(0).alias("channel"), nth.cast("long").alias("block"), F.lit(8000).alias("sample_rate"), "samples", "vec_id")
+
+
+def waveform_pyramid(spark, d: str) -> DataFrame:
+    return _round(charts.waveform_pyramid(_song_blocks(spark, d)).drop("stem"))
+
+
+def spectrogram_db(spark, d: str) -> DataFrame:
+    """The spectrum of each vector under a Hann window, in decibels below its song's peak."""
+    x = blocks(spark, d).select(F.concat(F.lit("song_"), F.col("bar_index").cast("string")).alias("song_id"), "vec_id", F.lit(8000).alias("sample_rate"), "samples")
+    return charts.spectrogram(x, 64, 64).select("song_id", "vec_id", F.posexplode("db").alias("bin", "db")).select("song_id", "vec_id", "bin", (F.round("db", 3) + 0.0).alias("db"))
+
+
+def song_loudness(spark, d: str) -> DataFrame:
+    """Loudness of the songs at 8 kHz, K-weighted."""
+    return _round(ld.loudness(ld.weighted_segments(_song_blocks(spark, d))))
+
+
+def loudness_gating(spark, d: str) -> DataFrame:
+    """The vectors as tenths of a second whose energies are weighted already."""
+    x = F.col("samples")
+    return _round(ld.loudness(_song_blocks(spark, d).select("song_id", "stem", F.col("block").alias("segment"), sg.energy(x).alias("energy"), F.size(x).cast("long").alias("n"))))
+
+
 _X = "with x as (select vec_id, label as bar_index, embedding as samples from embeddings), e as (select vec_id, bar_index, len(samples) as n, unnest(range(0, len(samples))) as ix, unnest(samples)::double as v from x)"
 _ZCR = "select vec_id, bar_index, sqrt(sum(v * v) / max(n)) as rms, sum(v * v) as energy, sum(flip)::double / max(n) as zcr from (select *, ((v < 0) <> (lag(v) over (partition by vec_id order by ix) < 0))::int as flip from e) group by 1, 2"
 
 QUERIES = {
     "frame_stats": frame_stats, "rms_energy_zcr": rms_energy, "prefix_energy": prefix_energy, "frames_to_bars": frames_to_bars, "evolving_segments": evolving_segments, "list_expand": list_expand,
     "frame_range_join": frame_range_join, "precomputed_frames": precomputed_frames, "list_stats": list_stats, "matrix_stats": matrix_stats, "inferred_duration": inferred_duration,
+    "waveform_pyramid": waveform_pyramid, "spectrogram_db": spectrogram_db, "song_loudness": song_loudness, "loudness_gating": loudness_gating,
     "mono_downmix": mono_downmix, "peak_normalize": peak_normalize, "int16_roundtrip": int16_roundtrip, "decimate": decimate, "audio_validity": audio_validity,
 }
 _FRAMES = """with frames as (select 'track_' || (vec_id % 4)::varchar as song_id, vec_id // 4 as frame, embedding as e from embeddings
@@ -145,7 +178,21 @@ _FRAME_COLUMNS = ", ".join(
     + [f"round(avg(e[{i + 18}]::double), 6) + 0.0 as chroma_mean_{i:02d}" for i in range(12)]
     + [f"round({f}(e[{i + 5}]::double), 6) + 0.0 as mfcc_{i:02d}_{s}" for s, f in (("mean", "avg"), ("std", "stddev_pop")) for i in range(13)]
 )
+_SONGS = f"{_X}, songs as (select 'song_' || bar_index::varchar as song_id, row_number() over (partition by bar_index order by vec_id) - 1 as block, vec_id, samples from x)"
 ORACLE_SQL = {
+    "waveform_pyramid": f"{_SONGS} select song_id, level::integer as level, floor(block / pow(4.0::double, level))::bigint as bucket, round(min(list_min(samples))::double, 6) + 0.0 as lo, round(max(list_max(samples))::double, 6) + 0.0 as hi, sum(len(samples))::bigint as n from songs, range(0, 8) t(level) where len(samples) > 0 group by 1, 2, 3",
+    "spectrogram_db": """with x as (select 'song_' || label::varchar as song_id, vec_id, unnest(embedding)::double as v, unnest(range(0, len(embedding))) as i from embeddings
+), wave as (select k, i, cos(2 * pi() * k * i / 64) * (0.5 - 0.5 * cos(2 * pi() * i / 64)) as c, sin(2 * pi() * k * i / 64) * (0.5 - 0.5 * cos(2 * pi() * i / 64)) as s from range(0, 33) a(k), range(0, 64) b(i)
+), p as (select song_id, vec_id, k, pow(sum(v * c), 2) + pow(sum(v * s), 2) as p from x join wave using (i) group by 1, 2, 3)
+select song_id, vec_id, k::integer as bin, round(greatest(-80.0::double, 10 * log10(greatest(p, 1e-10) / greatest(max(p) over (partition by song_id), 1e-10))), 3) + 0.0 as db from p""",
+    "loudness_gating": f"""{_SONGS}, seg as (select song_id, block, sum(v * v) as e, count(*) as n from (select song_id, block, unnest(samples)::double as v from songs) group by 1, 2
+), win as (select song_id, case when count(*) over m = 4 then sum(e) over m / sum(n) over m end as m, case when count(*) over s = 30 then sum(e) over s / sum(n) over s end as s from seg
+  window m as (partition by song_id order by block rows between current row and 3 following), s as (partition by song_id order by block rows between current row and 29 following)
+), lev as (select song_id, m, s, -0.691 + 10 * log10(m) as lm, -0.691 + 10 * log10(s) as ls from win
+), gates as (select song_id, -0.691 + 10 * log10(avg(m) filter (where lm > -70)) - 10 as gm, -0.691 + 10 * log10(avg(s) filter (where ls > -70)) - 20 as gs from lev group by 1
+) select song_id, 'full_mix' as stem, case when count(m) > 0 then round(coalesce(-0.691 + 10 * log10(avg(m) filter (where lm > -70 and lm > gm)), -70.0), 6) end as integrated,
+  round(quantile_cont(ls, 0.95) filter (where ls > -70 and ls > gs) - quantile_cont(ls, 0.1) filter (where ls > -70 and ls > gs), 6) + 0.0 as range_lu, round(max(lm), 6) as momentary_max, round(max(ls), 6) as short_term_max, count(m) as num_blocks, count(m) > 0 as available
+from lev join gates using (song_id) group by song_id""",
     "frame_range_join": f"{_FRAMES} select song_id, bar_index, frame from met",
     "precomputed_frames": f"{_FRAMES} select song_id, bar_index, count(*) as frames, {_FRAME_COLUMNS} from met group by 1, 2",
     "list_stats": f"{_X} select vec_id as x_vec_id, any_value(bar_index) as x_bar_index, round(avg(v), 6) + 0.0 as x_samples_mean, round(stddev_pop(v), 6) + 0.0 as x_samples_std from e group by vec_id",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tactus.functions import music
 from tactus.operators import align as al
 from tactus.operators import bars as ba
+from tactus.operators import charts
 from tactus.operators import grid as gr
 from tactus.plans import views as v
 from tactus.sinks import reports
@@ -149,6 +150,7 @@ QUERIES = {
     "every_nth_beat": lambda s, d: _round(gr.every_nth(v.beats(s, d), 4)),
     "markdown_rows": markdown_rows,
     "piano_roll": piano_roll,
+    "piano_runs": lambda s, d: charts.piano_runs(v.notes(s, d)),
     "phrase_sessions": phrase_sessions,
 }
 
@@ -182,6 +184,10 @@ ORACLE_SQL = {
     "markdown_rows": f"""with {v.aligned_sql('a')} select song_id, stem, bar_index, note_ix, printf('| %.3f | %d | %s | %d | %.3f |', round(start_s, 3), pitch,
         (['C','C#','D','D#','E','F','F#','G','G#','A','A#','B'])[pitch % 12 + 1] || (pitch // 12 - 1)::varchar, velocity, round(end_s - start_s, 3)) as row from aligned""",
     "piano_roll": f"{_B} select song_id, pitch, t as time_ix, sum(velocity)::bigint as velocity from (select song_id, pitch, velocity, unnest(range(floor(start_s / {CELL_S})::bigint, floor(end_s / {CELL_S})::bigint + 1)) as t from notes where dur_s > 0) group by 1, 2, 3",
+    "piano_runs": f"""{_B}, e as (select song_id, pitch, trunc(start_s * 100)::bigint as a, trunc(end_s * 100)::bigint as b, velocity from notes where trunc(end_s * 100) > trunc(start_s * 100)
+), d as (select song_id, pitch, ix, sum(v) as v from (select song_id, pitch, a as ix, velocity as v from e union all select song_id, pitch, b, -velocity from e) group by 1, 2, 3 having sum(v) <> 0
+), r as (select song_id, pitch, ix as from_ix, lead(ix) over w as until_ix, (sum(v) over (partition by song_id, pitch order by ix rows unbounded preceding))::bigint as velocity from d window w as (partition by song_id, pitch order by ix)
+) select * from r where velocity <> 0""",
     "phrase_sessions": f"""{_B} select song_id, stem, phrase, count(*) as num_notes, round(min(start_s), 6) as start_s from (
         select *, sum(fresh) over (partition by song_id, stem order by start_s, note_ix rows unbounded preceding)::bigint as phrase from (
         select *, (coalesce(start_s - lag(start_s) over (partition by song_id, stem order by start_s, note_ix), 1e9) > 600)::int as fresh from notes)) group by 1, 2, 3""",
