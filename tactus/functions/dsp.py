@@ -122,19 +122,26 @@ def trim(x: np.ndarray, sr: int, threshold_db: float = -40.0, keep_ms: int = 80,
     return x[a:b], a / sr
 
 
-def onset_strength(x: np.ndarray, sr: int) -> tuple[np.ndarray, float]:
-    """Mean rise of log mel energy per frame, and frames per second."""
-    s = spectrum(x, N_FFT, HOP)
-    db = 10 * np.log10(np.maximum(s**2 @ mel_filters(sr, N_FFT).T, 1e-10))
+def mel_db(s: np.ndarray, sr: int, n_fft: int = N_FFT) -> np.ndarray:
+    """Decibels of mel energies (frame, band) of magnitudes (frame, bin)."""
+    return 10 * np.log10(np.maximum(s**2 @ mel_filters(sr, n_fft).T, 1e-10))
+
+
+def onset_strength(db: np.ndarray) -> np.ndarray:
+    """Mean rise of mel decibels per frame, those more than 80 below the greatest cut off."""
     db = np.maximum(db, db.max() - 80)
-    return np.concatenate([[0], np.maximum(0, np.diff(db, axis=0)).mean(1)]), sr / HOP
+    return np.concatenate([[0], np.maximum(0, np.diff(db, axis=0)).mean(1)])
 
 
 def tempo_and_beats(x: np.ndarray, sr: int, start_bpm: float = 120.0, tightness: float = 100.0) -> tuple[float, list[float]]:
-    """Tempo from the autocorrelation of onset strength under a log-normal prior, beats by dynamic programming; 0 and none without onsets."""
+    """``track`` of a whole signal."""
     if len(x) < N_FFT:
         return 0.0, []
-    onset, rate = onset_strength(np.asarray(x, float), sr)
+    return track(onset_strength(mel_db(spectrum(np.asarray(x, float), N_FFT, HOP), sr)), sr / HOP, start_bpm, tightness)
+
+
+def track(onset: np.ndarray, rate: float, start_bpm: float = 120.0, tightness: float = 100.0) -> tuple[float, list[float]]:
+    """Tempo from the autocorrelation of onset strength (``rate`` values a second) under a log-normal prior, beats by dynamic programming; 0 and none without onsets."""
     if onset.max() < 1e-3 or onset.std() < 0.05 * onset.max() * 0.1:
         return 0.0, []
     flat = onset - onset.mean()

@@ -5,17 +5,22 @@ a batch and not songs; whole-song kernels (tempo, trimming) take one song at a t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tactus.config import Config
 from tactus.functions import dsp
 from tactus.functions.music import time_to_sample
+from tactus.sources.wav_blocks import channels_of
 
+#: Frames around a block that its analysis needs.
+ANALYSIS_CONTEXT = dsp.N_FFT // 2
 _RECORD = "rms double, zcr double, energy double, spectral_centroid_mean double, spectral_centroid_std double, spectral_rolloff_mean double, spectral_rolloff_std double, spectral_bandwidth_mean double, mfcc_mean array<double>, mfcc_std array<double>, chroma_mean array<double>"
 
 
@@ -42,6 +47,88 @@ def slice_features(slices: DataFrame) -> DataFrame:
     return slices.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in kept) + ", " + _RECORD)
 
 
+def analyse_blocks(blocks: DataFrame) -> DataFrame:
+    """song_id, stem, duration_s, tempo_bpm, beat_times, seconds (of work) of signals in blocks with ``ANALYSIS_CONTEXT`` frames around (see ``sources.wav_blocks``).
+
+    Spectra, by far the most work, are made block by block; a song's mel bands, some thirty kilobytes a second of sound, meet in one task for the
+    beats' path, so no row or task holds a song's samples. The result is that of the whole signal."""
+
+    def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], []]
+            for sr, n_channels, total, first, lead, n, raw in zip(*(batch[c].to_pylist() for c in ("sample_rate", "num_channels", "num_frames", "first_frame", "lead", "n", "samples")), strict=True):
+                began, half = time.perf_counter(), dsp.N_FFT // 2
+                x = channels_of(raw, n_channels).mean(0, dtype=float)
+                a, end = first - lead, first + n
+                # frames whose centres lie in the block, the last block's also at the signal's end; zeros beyond both ends of the signal
+                centres = np.arange(-(-first // dsp.HOP), (total // dsp.HOP if end == total else (end - 1) // dsp.HOP) + 1) * dsp.HOP
+                db = np.zeros((0, dsp.N_MELS))
+                if len(centres) and total >= dsp.N_FFT:
+                    x = np.pad(x, (max(0, a - (centres[0] - half)), max(0, centres[-1] + half - (a + len(x)))))
+                    at = max(0, (centres[0] - half) - a)
+                    rows = np.lib.stride_tricks.sliding_window_view(x[at:], dsp.N_FFT)[:: dsp.HOP][: len(centres)]
+                    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(dsp.N_FFT) / dsp.N_FFT)
+                    db = np.concatenate([dsp.mel_db(np.abs(np.fft.rfft(rows[k : k + 1024] * window, axis=1)), sr) for k in range(0, len(rows), 1024)])
+                out[0].append(db.astype("<f8").tobytes())
+                out[1].append(time.perf_counter() - began)
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("song_id", "stem", "sample_rate", "num_frames", "block")), pa.array(out[0], pa.binary()), pa.array(out[1])], ["song_id", "stem", "sample_rate", "num_frames", "block", "bands", "seconds"])
+
+    def path(pdf: pd.DataFrame) -> pd.DataFrame:
+        began, sr = time.perf_counter(), int(pdf["sample_rate"].iloc[0])
+        db = np.frombuffer(b"".join(pdf.sort_values("block")["bands"]), "<f8").reshape(-1, dsp.N_MELS)
+        tempo, beats = dsp.track(dsp.onset_strength(db), sr / dsp.HOP) if len(db) and np.isfinite(db).all() else (0.0, [])
+        row = (pdf["song_id"].iloc[0], pdf["stem"].iloc[0], pdf["num_frames"].iloc[0] / sr, float(tempo), beats, float(pdf["seconds"].sum()) + time.perf_counter() - began)
+        return pd.DataFrame([row], columns=["song_id", "stem", "duration_s", "tempo_bpm", "beat_times", "seconds"])
+
+    rows = blocks.where("error is null").select("song_id", "stem", "sample_rate", "num_channels", "num_frames", "block", "first_frame", "lead", "n", "samples")
+    made = rows.mapInArrow(bands, "song_id string, stem string, sample_rate int, num_frames long, block long, bands binary, seconds double")
+    return made.groupBy("song_id", "stem").applyInPandas(path, "song_id string, stem string, duration_s double, tempo_bpm double, beat_times array<double>, seconds double")
+
+
+def bar_sounds(blocks: DataFrame, bars: DataFrame) -> DataFrame:
+    """song_id, stem, bar_index, start_s, end_s, sample_rate, num_channels, samples: the frames of each bar and stem at the native rate, with all channels, from blocks
+    without context. A song's bars go to its blocks' rows, each block gives its pieces of them, and a bar's pieces, two as a rule, are put together again."""
+    listed = bars.groupBy("song_id").agg(F.sort_array(F.collect_list(F.struct("start_s", "end_s", "bar_index"))).alias("bars"))
+    rows = blocks.where("error is null and n > 0").select("song_id", "stem", "sample_rate", "num_channels", "num_frames", "first_frame", "n", "samples").join(listed, "song_id")
+    names = ("song_id", "stem", "bar_index", "start_s", "end_s", "sample_rate", "num_channels", "first", "samples")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                song, stem, sr, n_channels, total, first, n, raw = (batch[c][i].as_py() for c in ("song_id", "stem", "sample_rate", "num_channels", "num_frames", "first_frame", "n", "samples"))
+                spans, raw = batch["bars"][i].values, memoryview(raw)
+                start, end, index = (spans.field(c).to_numpy() for c in ("start_s", "end_s", "bar_index"))
+                a, b = (np.clip(np.rint(t * sr), 0, total).astype(int) for t in (start, end))
+                a, b = np.maximum(a, first), np.minimum(b, first + n)
+                met = np.flatnonzero(b > a)
+                pieces = [bytes(raw[4 * n_channels * (a[k] - first) : 4 * n_channels * (b[k] - first)]) for k in met]
+                m = len(met)
+                columns = [pa.array([song] * m, pa.string()), pa.array([stem] * m, pa.string()), pa.array(index[met], pa.int64()), pa.array(start[met]), pa.array(end[met]), pa.array([sr] * m, pa.int32()), pa.array([n_channels] * m, pa.int32()), pa.array(a[met], pa.int64()), pa.array(pieces, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    pieces = rows.mapInArrow(cut, "song_id string, stem string, bar_index long, start_s double, end_s double, sample_rate int, num_channels int, first long, samples binary")
+    keys = [c for c in names if c not in ("first", "samples")]
+    whole = F.aggregate(F.sort_array(F.collect_list(F.struct("first", "samples"))), F.lit(b""), lambda acc, x: F.concat(acc, x["samples"]))
+    return pieces.groupBy(*keys).agg(whole.alias("samples"))
+
+
+def sound_features(sounds: DataFrame, extractor: Callable[[np.ndarray, int], dict] = dsp.features, record: str = _RECORD) -> DataFrame:
+    """The columns of ``sounds`` but samples and num_channels, the features of the mean of their channels, and seconds (of work). ``extractor``: samples and rate to the fields of ``record``."""
+    kept = [c for c in sounds.columns if c not in ("samples", "num_channels")]
+    kinds, fields = dict(sounds.dtypes), [c.split()[0] for c in record.split(", ")]
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            rows = []
+            for raw, n_channels, sr in zip(pdf["samples"], pdf["num_channels"], pdf["sample_rate"], strict=True):
+                began = time.perf_counter()
+                found = extractor(channels_of(raw, n_channels).mean(0, dtype=float), int(sr))
+                rows.append([*(found[c] for c in fields), time.perf_counter() - began])
+            yield pd.concat([pdf[kept].reset_index(drop=True), pd.DataFrame(rows, columns=[*fields, "seconds"])], axis=1)
+
+    return sounds.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in kept) + f", {record}, seconds double")
+
+
 def bar_features(signals: DataFrame, bars: DataFrame, tempo: DataFrame, chunks: str | None = None) -> DataFrame:
     """The bar_features table; ``tempo``: song_id, tempo_bpm. ``chunks``: a folder to write the bars' samples to, else chunk_path is empty."""
     from tactus.sinks.chunks import chunks_with_features
