@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_LIBC = ctypes.CDLL(None)
 #: Spark's switch for removing an execution's shuffle files at its end.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -62,6 +65,13 @@ def discard(df: DataFrame) -> None:
             at.getFileSystem(conf).delete(at, True)
 
 
+def release() -> None:
+    """Gives memory that a worker process has freed back to the system: workers outlive their tasks, and their executor's limit holds for all of them."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):  # glibc
+        _LIBC.malloc_trim(0)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fold that no model learns from: crc32 of the id's text divisible by five; a null id is in no fold and counts as held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))

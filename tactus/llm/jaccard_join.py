@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tactus.llm.common import is_small, materialize
+from tactus.llm.common import is_small, materialize, release
 from tactus.llm.components import components
 from tactus.llm.tokens import slices
 
@@ -139,6 +139,7 @@ def _profiles(runs: int, similarity: float, shingle: int) -> Callable:
                 sig, size, marks, paths = zip(*rows, strict=True)
                 columns = [part["doc_id"], part["text_key"], pa.array(sig, pa.binary()), pa.array(size, pa.int32()), pa.array(marks, pa.binary()), _lists(paths, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _PROFILE.split(", ")])
+            release()
 
     return run
 
@@ -326,6 +327,7 @@ def _verify(similarity: float, shingle: int) -> Callable:
                 out = [[], [], []]
         if out[0]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names)
+        release()
 
     return run
 

@@ -20,9 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tactus.llm.common import materialize
+from tactus.llm.common import materialize, release
 from tactus.llm.tokens import encoder, slices, tokenizer_path
 
+#: Ids that a task cuts at a time.
+PART = 1 << 20
 _TOKENS = "doc_id long, n long, start_in_part long, part long, ids binary"
 _FIELDS = {"doc_id": "long", "start": "long", "length": "long", "ids_crc32": "long", "doc_tokens": "long", "sequence_id": "long", "offset": "long"}
 
@@ -42,6 +44,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, spa
                 at += int(ends[-1])
                 packed = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((np.concatenate([[0], ends]) * use.kind.itemsize).astype(np.int32)), pa.py_buffer(out)])
                 yield pa.RecordBatch.from_arrays([rows["doc_id"], pa.array(n), pa.array(starts), rows["part"], packed], ["doc_id", "n", "start_in_part", "part", "ids"])
+            release()
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.spark_partition_id().cast("long").alias("part"))
     tokens = materialize(slim.mapInArrow(encode, _TOKENS), "packing")
@@ -52,24 +55,29 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, spa
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = encoder(tokenizer, spaced).kind
         for batch in batches:
-            n, at = batch["n"].to_numpy(), batch["at"].to_numpy()
-            k = (at + n - 1) // size - at // size + 1  # pieces of each document
-            doc = np.repeat(np.arange(len(n)), k)
-            nth = np.arange(len(doc)) - np.repeat(np.cumsum(k) - k, k)
-            window = (at // size)[doc] + nth
-            begin = np.maximum(window * size, at[doc])
-            end = np.minimum((window + 1) * size, (at + n)[doc])
-            start, length = begin - at[doc], end - begin
-            texts = batch["ids"]
-            base = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts)].astype(np.int64) // kind.itemsize
-            wide = np.frombuffer(texts.buffers()[2], kind).astype("<u4")
-            raw, lo = memoryview(wide).cast("B"), base[doc] + start
-            crc = [zlib.crc32(raw[4 * i : 4 * j]) for i, j in zip(lo.tolist(), (lo + length).tolist(), strict=True)]
-            columns = [batch["doc_id"].take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(n[doc]), pa.array(window), pa.array(begin % size)]
-            if with_ids:
-                order = np.repeat(lo - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-                columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(wide[order].astype(np.int32))))
-            yield pa.RecordBatch.from_arrays(columns, [*_FIELDS, *["ids"] * with_ids])
+            for part in slices(batch, 4096, PART * kind.itemsize, "ids"):
+                yield pieces(part, kind)
+            release()
+
+    def pieces(batch: pa.RecordBatch, kind: np.dtype) -> pa.RecordBatch:
+        n, at = batch["n"].to_numpy(), batch["at"].to_numpy()
+        k = (at + n - 1) // size - at // size + 1  # pieces of each document
+        doc = np.repeat(np.arange(len(n)), k)
+        nth = np.arange(len(doc)) - np.repeat(np.cumsum(k) - k, k)
+        window = (at // size)[doc] + nth
+        begin = np.maximum(window * size, at[doc])
+        end = np.minimum((window + 1) * size, (at + n)[doc])
+        start, length = begin - at[doc], end - begin
+        texts = batch["ids"]
+        base = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) // kind.itemsize
+        # a document's pieces lie one after another, and so do documents: all ids are in place
+        wide = np.frombuffer(texts.buffers()[2], kind)[base[0] : base[-1]].astype("<u4")
+        raw, lo = memoryview(wide).cast("B"), (base[:-1] - base[0])[doc] + start
+        crc = [zlib.crc32(raw[4 * i : 4 * j]) for i, j in zip(lo.tolist(), (lo + length).tolist(), strict=True)]
+        columns = [batch["doc_id"].take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(n[doc]), pa.array(window), pa.array(begin % size)]
+        if with_ids:
+            columns.append(pa.ListArray.from_arrays(pa.array(np.append(lo, len(wide)).astype(np.int32)), pa.array(wide.view("<i4"))))
+        return pa.RecordBatch.from_arrays(columns, [*_FIELDS, *["ids"] * with_ids])
 
     return placed.mapInArrow(cut, ", ".join(f"`{c}` {t}" for c, t in (_FIELDS | ({"ids": "array<int>"} if with_ids else {})).items()))
 

@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tactus.llm.common import release
 from tactus.llm.tokens import _gather, slices, tokenizer_path
 
 MARK = "▁"
@@ -311,6 +312,7 @@ def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
             for part in slices(batch, 4096, 4 << 20):
                 ids, cuts = use.encode(part["text"])
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids.astype(np.int32)))], ["doc_id", "ids"])
+            release()
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return slim.mapInArrow(run, "doc_id long, ids array<int>")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tactus.llm.common import new_path
+from tactus.llm.common import new_path, release
 from tactus.llm.tokens import encoder, slices, tokenizer_path
 
 SCHEMA = "doc_id long, n_tokens long, start_in_file long, shard long, ids array<int>"
@@ -41,6 +41,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                 start += int(ends[-1])
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(out))
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(n), pa.array(starts), part["shard"], lists], ["doc_id", "n_tokens", "start_in_file", "shard", "ids"])
+            release()
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     key = F.col("doc_id").asc_nulls_first()
