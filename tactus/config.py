@@ -19,6 +19,7 @@ class Config:
     keep_silence_ms: int = 80
     normalize: bool = True
     write_chunks: bool = False
+    native_chunks: bool = False
     preprocess: bool = False
     compat: str = "a"
     step_timeout_s: float | None = None

@@ -46,9 +46,13 @@ def mel_filters(sr: int, size: int, n_mels: int = N_MELS) -> np.ndarray:
 
 def mfcc(s: np.ndarray, sr: int, n: int = N_MFCC) -> np.ndarray:
     """Cosine transform of log mel energies (frame, n)."""
-    power = s**2 @ mel_filters(sr, 2 * (s.shape[1] - 1)).T
-    db = 10 * np.log10(np.maximum(power, 1e-10))
-    db = np.maximum(db, db.max() - 80)
+    db = mel_db(s, sr, 2 * (s.shape[1] - 1))
+    return mfcc_of(db, db.max(), n)
+
+
+def mfcc_of(db: np.ndarray, top: float, n: int = N_MFCC) -> np.ndarray:
+    """Cosine transform of mel decibels, those more than 80 below ``top`` cut off."""
+    db = np.maximum(db, top - 80)
     k = np.arange(db.shape[1])
     basis = np.cos(np.pi / db.shape[1] * (k[:, None] + 0.5) * np.arange(n)) * np.sqrt(2 / db.shape[1])
     basis[:, 0] /= np.sqrt(2)
@@ -92,6 +96,25 @@ def features(x: np.ndarray, sr: int) -> dict:
     return dict(zip(names, map(float, values), strict=True)) | {"mfcc_mean": m.mean(0).tolist(), "mfcc_std": m.std(0).tolist(), "chroma_mean": chroma(s, sr).mean(0).tolist()}
 
 
+VARIANT_FIELDS = (
+    "tempo_bpm", *(f"chroma_mean_{k:02d}" for k in range(12)), *(f"mfcc_{k:02d}_{s}" for k in range(N_MFCC) for s in ("mean", "std")),
+    *(f"{c}_{s}" for c in ("spectral_centroid", "spectral_bandwidth", "spectral_rolloff", "zcr") for s in ("mean", "std", "min", "max")),
+)
+
+
+def variant_features(x: np.ndarray, sr: int) -> dict:
+    """The other variant's record of a signal: its own tempo, and mean, deviation, least and greatest value of each feature; an empty one gives zeros."""
+    x = np.asarray(x, float)
+    if not len(x):
+        return dict.fromkeys(VARIANT_FIELDS, 0.0)
+    size, hop = fft_size(len(x))
+    s = spectrum(x, size, hop)
+    m, h = mfcc(s, sr), chroma(s, sr).mean(0)
+    rows = (*centroid_bandwidth_rolloff(s, sr), zero_crossings(x, size, hop))
+    values = [tempo_and_beats(x, sr)[0], *h, *(v for k in range(N_MFCC) for v in (m[:, k].mean(), m[:, k].std())), *(f(r) for r in rows for f in (np.mean, np.std, np.min, np.max))]
+    return dict(zip(VARIANT_FIELDS, map(float, values), strict=True))
+
+
 def resample(x: np.ndarray, sr: int, to: int, taps: int = 32, block: int = 1 << 16) -> np.ndarray:
     """Windowed-sinc resampling, in blocks: the arrays of one hold 2 * taps values a sample."""
     if sr == to or not len(x):

@@ -1,4 +1,4 @@
-"""Batches of files: what is left to do, retries, error rows and a manifest of finished steps."""
+"""Batches of songs: what is left to do, retries, time limits, and a ledger of attempts."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import shlex
 import subprocess
 import threading
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -26,11 +27,11 @@ def delay(attempt: int, base: float = 1.0, factor: float = 2.0, most: float = 60
 
 
 def retry(work: Callable, retries: int = 3, base: float = 1.0, factor: float = 2.0, most: float = 60.0, faults: tuple = (Exception,), sleep: Callable = time.sleep):
-    """The result of ``work()``, tried ``retries`` + 1 times; a missing file isn't tried again."""
+    """The result of ``work()``, tried ``retries`` + 1 times; a missing file isn't tried again, nor is what took too long."""
     for attempt in range(retries + 1):
         try:
             return work()
-        except FileNotFoundError:
+        except (FileNotFoundError, TimeoutError):
             raise
         except faults as e:
             if attempt == retries:
@@ -72,25 +73,76 @@ class CircuitBreaker:
 
 
 class Steps:
-    """Named steps of a run on the driver: each is tried again after faults, ended at a time limit, and timed; the last time of a name counts."""
+    """Named steps of a run on the driver: each is tried again after faults, each attempt is ended at a time limit, and the last attempt is timed. What can't
+    get better isn't tried again: missing files and paths, and what the caller names in ``final``."""
 
     def __init__(self, spark: SparkSession, retries: int = 0, timeout_s: float | None = None):
         self.spark, self.retries, self.timeout_s = spark, retries, timeout_s
         self.seconds: dict[str, float] = {}
+        self.attempts: dict[str, int] = {}
 
     def run(self, name: str, work: Callable):
-        key, began = re.sub("[^a-z0-9]+", "_", name.lower()).strip("_"), time.monotonic()
-        context = self.spark.sparkContext
-        context.setJobGroup(f"tactus-{key}", name, True)
-        timer = threading.Timer(self.timeout_s, context.cancelJobGroup, [f"tactus-{key}"]) if self.timeout_s else None
+        key, context = re.sub("[^a-z0-9]+", "_", name.lower()).strip("_"), self.spark.sparkContext
+        self.attempts[key] = 0
+
+        def attempt():
+            self.attempts[key] += 1
+            began, late, group = time.monotonic(), threading.Event(), f"tactus-{key}-{uuid.uuid4().hex}"
+
+            def stop():
+                late.set()
+                context.cancelJobGroup(group)
+
+            timer = threading.Timer(self.timeout_s, stop) if self.timeout_s else None
+            context.setJobGroup(group, name, True)
+            try:
+                if timer:
+                    timer.start()
+                return work()
+            except Exception as e:
+                if late.is_set():
+                    raise TimeoutError(f"{name} took more than {self.timeout_s} s") from e
+                if "PATH_NOT_FOUND" in str(e):
+                    raise FileNotFoundError(str(e).splitlines()[0]) from e
+                raise
+            finally:
+                if timer:
+                    timer.cancel()
+                for p in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+                    context.setLocalProperty(p, None)
+                self.seconds[key] = round(time.monotonic() - began, 3)
+
+        return retry(attempt, self.retries, base=0.5)
+
+
+class Ledger:
+    """What has been tried of each song and step, as a table that only grows: song_id, step, state (success, failed), attempt, seconds, error, at. The latest row
+    of a song and step counts; a run is planned from what it shows to be left."""
+
+    SCHEMA = "song_id string, step string, state string, attempt int, seconds double, error string, at timestamp"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def rows(self) -> DataFrame:
         try:
-            if timer:
-                timer.start()
-            return retry(work, self.retries, base=0.5)
-        finally:
-            if timer:
-                timer.cancel()
-            self.seconds[key] = round(time.monotonic() - began, 3)
+            return self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        except Exception as e:
+            if "PATH_NOT_FOUND" in str(e):
+                return self.spark.createDataFrame([], self.SCHEMA)
+            raise
+
+    def record(self, tried: DataFrame, step: str) -> None:
+        """``tried``: song_id, state, attempt, seconds, error."""
+        tried.select("song_id", F.lit(step).alias("step"), "state", F.col("attempt").cast("int").alias("attempt"), F.col("seconds").cast("double").alias("seconds"), "error", F.current_timestamp().alias("at")).write.mode("append").parquet(self.path)
+
+    def latest(self, step: str) -> DataFrame:
+        """A row per song: its last attempt at the step."""
+        last = self.rows().where(F.col("step") == step).groupBy("song_id").agg(F.max_by(F.struct("state", "attempt", "seconds", "error", "at"), F.struct("at", "attempt")).alias("r"))
+        return last.select("song_id", "r.*")
+
+    def left(self, songs: DataFrame, step: str) -> DataFrame:
+        return songs.join(self.latest(step).where("state = 'success'").select("song_id"), "song_id", "left_anti")
 
 
 def shown(args: list[str]) -> str:
@@ -106,28 +158,6 @@ def run_command(args: list[str], timeout_s: float | None = None) -> str:
     return done.stdout
 
 
-class Manifest:
-    """Finished steps of songs, as a table beside the results; a step counts once its table is written."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    def rows(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], "song_id string, step string, at timestamp")
-        try:
-            return self.spark.read.schema(empty.schema).parquet(self.path)
-        except Exception as e:
-            if "PATH_NOT_FOUND" in str(e):
-                return empty
-            raise
-
-    def record(self, songs: DataFrame, step: str) -> None:
-        songs.select("song_id", F.lit(step).alias("step"), F.current_timestamp().alias("at")).write.mode("append").parquet(self.path)
-
-    def left(self, songs: DataFrame, step: str) -> DataFrame:
-        return songs.join(self.rows().where(F.col("step") == step).select("song_id").distinct(), "song_id", "left_anti")
-
-
 def health(spark: SparkSession, tools: tuple[str, ...] = ("ffmpeg", "demucs", "basic-pitch")) -> DataFrame:
     """tool, available, path of the optional programs on the driver."""
     import shutil

@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from tactus.config import Config
 from tactus.functions import dsp
 from tactus.functions.music import time_to_sample
-from tactus.sources.wav_blocks import channels_of
+from tactus.sources.wav_blocks import SCHEMA, channels_of
 
 #: Frames around a block that its analysis needs.
 ANALYSIS_CONTEXT = dsp.N_FFT // 2
-_RECORD = "rms double, zcr double, energy double, spectral_centroid_mean double, spectral_centroid_std double, spectral_rolloff_mean double, spectral_rolloff_std double, spectral_bandwidth_mean double, mfcc_mean array<double>, mfcc_std array<double>, chroma_mean array<double>"
+#: What ``dsp.variant_features`` gives.
+VARIANT_RECORD = ", ".join(f"{c} double" for c in dsp.VARIANT_FIELDS)
+RECORD = "rms double, zcr double, energy double, spectral_centroid_mean double, spectral_centroid_std double, spectral_rolloff_mean double, spectral_rolloff_std double, spectral_bandwidth_mean double, mfcc_mean array<double>, mfcc_std array<double>, chroma_mean array<double>"
 
 
 def bar_slices(signals: DataFrame, bars: DataFrame, rounding: str = "round") -> DataFrame:
@@ -34,17 +36,29 @@ def bar_slices(signals: DataFrame, bars: DataFrame, rounding: str = "round") ->
     return signals.join(listed, "song_id").select("song_id", "stem", "sample_rate", F.inline(own))
 
 
-def slice_features(slices: DataFrame) -> DataFrame:
-    """The columns of ``slices`` but its samples, and its features."""
+def slice_features(slices: DataFrame, extractor: Callable[[np.ndarray, int], dict] = dsp.features, record: str = RECORD) -> DataFrame:
+    """The columns of ``slices`` but its samples, and its features. ``extractor``: samples and rate to the fields of ``record``."""
     kept = [c for c in slices.columns if c != "samples"]
     kinds = dict(slices.dtypes)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            found = pd.DataFrame([dsp.features(x, r) for x, r in zip(pdf["samples"], pdf["sample_rate"], strict=True)], columns=[c.split()[0] for c in _RECORD.split(", ")])
+            found = pd.DataFrame([extractor(x, r) for x, r in zip(pdf["samples"], pdf["sample_rate"], strict=True)], columns=[c.split()[0] for c in record.split(", ")])
             yield pd.concat([pdf[kept].reset_index(drop=True), found], axis=1)
 
-    return slices.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in kept) + ", " + _RECORD)
+    return slices.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in kept) + ", " + record)
+
+
+def centred(x: np.ndarray, total: int, first: int, lead: int, n: int, size: int, hop: int) -> tuple[np.ndarray, np.ndarray]:
+    """The frames of a signal of ``total`` samples whose centres lie in a block, the last block's also at the signal's end, and their numbers. ``x``: the block's n
+    samples from ``first`` with ``lead`` and as many as there are up to half a frame after them; beyond both ends of the signal are zeros."""
+    start, end = first - lead, first + n
+    frame = np.arange(-(-first // hop), (total // hop if end >= total else (end - 1) // hop) + 1)
+    if not len(frame):
+        return np.zeros((0, size)), frame
+    a, b = frame[0] * hop - size // 2, frame[-1] * hop + size // 2
+    x = np.pad(x, (max(0, start - a), max(0, b - (start + len(x)))))
+    return np.lib.stride_tricks.sliding_window_view(x[max(0, a - start) :], size)[::hop][: len(frame)], frame
 
 
 def analyse_blocks(blocks: DataFrame) -> DataFrame:
@@ -54,21 +68,14 @@ def analyse_blocks(blocks: DataFrame) -> DataFrame:
     beats' path, so no row or task holds a song's samples. The result is that of the whole signal."""
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(dsp.N_FFT) / dsp.N_FFT)
         for batch in batches:
             out: list[list] = [[], []]
             for sr, n_channels, total, first, lead, n, raw in zip(*(batch[c].to_pylist() for c in ("sample_rate", "num_channels", "num_frames", "first_frame", "lead", "n", "samples")), strict=True):
-                began, half = time.perf_counter(), dsp.N_FFT // 2
-                x = channels_of(raw, n_channels).mean(0, dtype=float)
-                a, end = first - lead, first + n
-                # frames whose centres lie in the block, the last block's also at the signal's end; zeros beyond both ends of the signal
-                centres = np.arange(-(-first // dsp.HOP), (total // dsp.HOP if end == total else (end - 1) // dsp.HOP) + 1) * dsp.HOP
-                db = np.zeros((0, dsp.N_MELS))
-                if len(centres) and total >= dsp.N_FFT:
-                    x = np.pad(x, (max(0, a - (centres[0] - half)), max(0, centres[-1] + half - (a + len(x)))))
-                    at = max(0, (centres[0] - half) - a)
-                    rows = np.lib.stride_tricks.sliding_window_view(x[at:], dsp.N_FFT)[:: dsp.HOP][: len(centres)]
-                    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(dsp.N_FFT) / dsp.N_FFT)
-                    db = np.concatenate([dsp.mel_db(np.abs(np.fft.rfft(rows[k : k + 1024] * window, axis=1)), sr) for k in range(0, len(rows), 1024)])
+                began, db = time.perf_counter(), np.zeros((0, dsp.N_MELS))
+                if total >= dsp.N_FFT:
+                    rows, _ = centred(channels_of(raw, n_channels).mean(0, dtype=float), total, first, lead, n, dsp.N_FFT, dsp.HOP)
+                    db = np.concatenate([db, *(dsp.mel_db(np.abs(np.fft.rfft(rows[k : k + 1024] * window, axis=1)), sr) for k in range(0, len(rows), 1024))])
                 out[0].append(db.astype("<f8").tobytes())
                 out[1].append(time.perf_counter() - began)
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("song_id", "stem", "sample_rate", "num_frames", "block")), pa.array(out[0], pa.binary()), pa.array(out[1])], ["song_id", "stem", "sample_rate", "num_frames", "block", "bands", "seconds"])
@@ -85,6 +92,20 @@ def analyse_blocks(blocks: DataFrame) -> DataFrame:
     return made.groupBy("song_id", "stem").applyInPandas(path, "song_id string, stem string, duration_s double, tempo_bpm double, beat_times array<double>, seconds double")
 
 
+def as_blocks(signals: DataFrame, context: int = 0, block_frames: int = 1 << 16) -> DataFrame:
+    """Whole signals (song_id, stem, sample_rate, samples) as the blocks of ``sources.wav_blocks``."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            for song, stem, sr, x in zip(pdf["song_id"], pdf["stem"], pdf["sample_rate"], pdf["samples"], strict=True):
+                for a in range(0, max(1, len(x)), block_frames):
+                    b, lead = min(len(x), a + block_frames), min(a, context)
+                    row = (song, stem, None, int(sr), 1, len(x), a // block_frames, a, lead, b - a, np.asarray(x[a - lead : b + context], "<f4").tobytes(), None)
+                    yield pd.DataFrame([row], columns=[c.split()[0] for c in SCHEMA.split(", ")])
+
+    return signals.select("song_id", "stem", "sample_rate", "samples").mapInPandas(run, SCHEMA)
+
+
 def bar_sounds(blocks: DataFrame, bars: DataFrame) -> DataFrame:
     """song_id, stem, bar_index, start_s, end_s, sample_rate, num_channels, samples: the frames of each bar and stem at the native rate, with all channels, from blocks
     without context. A song's bars go to its blocks' rows, each block gives its pieces of them, and a bar's pieces, two as a rule, are put together again."""
@@ -112,7 +133,7 @@ def bar_sounds(blocks: DataFrame, bars: DataFrame) -> DataFrame:
     return pieces.groupBy(*keys).agg(whole.alias("samples"))
 
 
-def sound_features(sounds: DataFrame, extractor: Callable[[np.ndarray, int], dict] = dsp.features, record: str = _RECORD) -> DataFrame:
+def sound_features(sounds: DataFrame, extractor: Callable[[np.ndarray, int], dict] = dsp.features, record: str = RECORD) -> DataFrame:
     """The columns of ``sounds`` but samples and num_channels, the features of the mean of their channels, and seconds (of work). ``extractor``: samples and rate to the fields of ``record``."""
     kept = [c for c in sounds.columns if c not in ("samples", "num_channels")]
     kinds, fields = dict(sounds.dtypes), [c.split()[0] for c in record.split(", ")]
@@ -129,16 +150,6 @@ def sound_features(sounds: DataFrame, extractor: Callable[[np.ndarray, int], dic
     return sounds.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in kept) + f", {record}, seconds double")
 
 
-def bar_features(signals: DataFrame, bars: DataFrame, tempo: DataFrame, chunks: str | None = None) -> DataFrame:
-    """The bar_features table; ``tempo``: song_id, tempo_bpm. ``chunks``: a folder to write the bars' samples to, else chunk_path is empty."""
-    from tactus.sinks.chunks import chunks_with_features
-
-    found = chunks_with_features(signals, bars, chunks) if chunks else slice_features(bar_slices(signals, bars)).withColumn("chunk_path", F.lit(""))
-    out = found.join(tempo, "song_id", "left")
-    names = [c.split()[0] for c in _RECORD.split(", ")]
-    return out.select("song_id", "stem", "bar_index", "start_s", "end_s", (F.col("end_s") - F.col("start_s")).alias("duration_s"), F.coalesce("tempo_bpm", F.lit(0.0)).alias("tempo_bpm"), *names, "chunk_path", F.when(F.col("stem") == "full_mix", "analysis_fallback").otherwise("stem").alias("audio_source"))
-
-
 def analyse(signals: DataFrame) -> DataFrame:
     """song_id, stem, duration_s, tempo_bpm, beat_times of each signal."""
 

@@ -6,6 +6,7 @@ with frames (and the few that neighbouring bars share), and no task compares all
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,25 +16,41 @@ from pyspark.sql import functions as F
 
 from tactus.config import Config
 from tactus.functions import dsp
+from tactus.operators.features import centred
+from tactus.operators.storage import saved
+from tactus.sources.wav_blocks import channels_of
 
-_FRAME = "centroid double, bandwidth double, rolloff double, zcr double, mfcc array<double>, chroma array<double>"
 
-
-def frames_of(signals: DataFrame, size: int = dsp.N_FFT, hop: int = dsp.HOP) -> DataFrame:
-    """song_id, stem, sample_rate, n_frames, frame and the features of each frame. Signals go one at a time, their frames in parts."""
+def frames_of(blocks: DataFrame, size: int = dsp.N_FFT, hop: int = dsp.HOP) -> DataFrame:
+    """song_id, stem, sample_rate, n_frames, frame and the features of each centred frame, from blocks whose context holds half a frame at least (see
+    ``sources.wav_blocks``). Cepstra are cut off relative to their signal's greatest mel band, which a grouped pass finds; no task holds a signal."""
+    head = "song_id string, stem string, sample_rate int, n_frames bigint, frame bigint, centroid double, bandwidth double, rolloff double, zcr double, seconds double, "
+    kept = ["song_id", "stem", "sample_rate", "n_frames", "frame", "centroid", "bandwidth", "rolloff", "zcr", "seconds"]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(size) / size)
+        for pdf in parts:
+            for song, stem, sr, n_channels, total, first, lead, n, raw in pdf.itertuples(index=False, name=None):
+                rows, frame = centred(channels_of(raw, int(n_channels)).mean(0, dtype=float), int(total), int(first), int(lead), int(n), size, hop)
+                for k in range(0, len(rows), 1024):
+                    began, x = time.perf_counter(), rows[k : k + 1024]
+                    s = np.abs(np.fft.rfft(x * window, axis=1))
+                    c, b, r = dsp.centroid_bandwidth_rolloff(s, int(sr))
+                    flips = x < 0
+                    own = {"song_id": song, "stem": stem, "sample_rate": int(sr), "n_frames": 1 + int(total) // hop, "frame": frame[k : k + 1024]}
+                    mel, pitch = dsp.mel_db(s, int(sr), size), dsp.chroma(s, int(sr))
+                    own["seconds"] = (time.perf_counter() - began) / len(x)
+                    yield pd.DataFrame(own | {"centroid": c, "bandwidth": b, "rolloff": r, "zcr": (flips[:, 1:] != flips[:, :-1]).sum(1) / size, "mel": list(mel), "chroma": list(pitch)})[[c.split()[0] for c in head.split(", ") if c] + ["mel", "chroma"]]
+
+    def cepstra(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            for song, stem, sr, x in zip(pdf["song_id"], pdf["stem"], pdf["sample_rate"], pdf["samples"], strict=True):
-                if x is None or not len(x) or not sr:
-                    continue
-                c, b, r, z, m, h = dsp.frame_features(np.asarray(x, float), int(sr), size, hop)
-                for k in range(0, len(c), 4096):
-                    at = slice(k, k + 4096)
-                    own = {"song_id": song, "stem": stem, "sample_rate": int(sr), "n_frames": len(c), "frame": np.arange(k, min(k + 4096, len(c)))}
-                    yield pd.DataFrame(own | {"centroid": c[at], "bandwidth": b[at], "rolloff": r[at], "zcr": z[at], "mfcc": list(m[at]), "chroma": list(h[at])})
+            found = dsp.mfcc_of(np.vstack(pdf["mel"]), pdf["top"].to_numpy()[:, None]) if len(pdf) else []
+            yield pdf[kept].assign(mfcc=list(found), chroma=pdf["chroma"])
 
-    return signals.select("song_id", "stem", "sample_rate", "samples").mapInPandas(run, "song_id string, stem string, sample_rate int, n_frames bigint, frame bigint, " + _FRAME)
+    rows = blocks.where("error is null and n > 0").select("song_id", "stem", "sample_rate", "num_channels", "num_frames", "first_frame", "lead", "n", "samples")
+    made = saved(rows.mapInPandas(run, head + "mel array<double>, chroma array<double>"))
+    top = made.groupBy("song_id", "stem").agg(F.max(F.array_max("mel")).alias("top"))
+    return made.join(top, ["song_id", "stem"]).mapInPandas(cepstra, head + "mfcc array<double>, chroma array<double>")
 
 
 def frame_at(seconds: Column, rate: Column, hop: int = dsp.HOP, n_fft: int = dsp.N_FFT) -> Column:
@@ -55,34 +72,31 @@ def frames_in_bars(frames: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def aggregate_frames(rows: DataFrame, n_mfcc: int = dsp.N_MFCC, n_chroma: int = 12) -> DataFrame:
-    """Means and deviations per bar, in one pass with partial aggregation."""
+    """Means and deviations per bar, in one pass with partial aggregation; a column seconds (of work) is summed."""
     part = lambda c, n, f: F.array(*(f(F.get(c, F.lit(i))) for i in range(n)))
     aggs = [F.avg("centroid").alias("spectral_centroid_mean"), F.stddev_pop("centroid").alias("spectral_centroid_std"), F.avg("rolloff").alias("spectral_rolloff_mean"), F.stddev_pop("rolloff").alias("spectral_rolloff_std"), F.avg("bandwidth").alias("spectral_bandwidth_mean"), F.avg("zcr").alias("zcr")]
     aggs += [part("mfcc", n_mfcc, F.avg).alias("mfcc_mean"), part("mfcc", n_mfcc, F.stddev_pop).alias("mfcc_std"), part("chroma", n_chroma, F.avg).alias("chroma_mean"), F.count(F.lit(1)).alias("frames")]
+    aggs += [F.sum("seconds").alias("seconds")] if "seconds" in rows.columns else []
     return rows.groupBy("song_id", "stem", "bar_index").agg(*aggs)
 
 
-def bar_energies(signals: DataFrame, bars: DataFrame) -> DataFrame:
-    """song_id, stem, bar_index, rms, energy by differences of a prefix sum: a song's bars go to its row, so samples aren't copied for each."""
-    listed = bars.groupBy("song_id").agg(F.collect_list(F.struct("bar_index", "start_s", "end_s")).alias("bars"))
-    rows = signals.select("song_id", "stem", "sample_rate", "samples").join(listed, "song_id")
+def sound_energies(sounds: DataFrame) -> DataFrame:
+    """The columns of ``sounds`` but samples and num_channels, rms and energy of the mean of the channels."""
+    kept = [c for c in sounds.columns if c not in ("samples", "num_channels")]
+    kinds = dict(sounds.dtypes)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            for song, stem, sr, x, own in zip(pdf["song_id"], pdf["stem"], pdf["sample_rate"], pdf["samples"], pdf["bars"], strict=True):
-                x = np.zeros(0) if x is None else np.asarray(x, float)
-                total = np.concatenate([[0], np.cumsum(x * x)])
-                a, b = (np.clip(np.rint(np.array([k[t] for k in own]) * (sr or 0)).astype(int), 0, len(x)) for t in ("start_s", "end_s"))
-                keep = b > a
-                energy = (total[b] - total[a])[keep]
-                yield pd.DataFrame({"song_id": song, "stem": stem, "bar_index": np.array([k["bar_index"] for k in own])[keep], "rms": np.sqrt(energy / (b - a)[keep]), "energy": energy})
+            found = [channels_of(raw, n).mean(0, dtype=float) for raw, n in zip(pdf["samples"], pdf["num_channels"], strict=True)]
+            energy = np.array([float(x @ x) for x in found])
+            yield pdf[kept].assign(rms=np.sqrt(energy / np.array([max(1, len(x)) for x in found])), energy=energy)
 
-    return rows.mapInPandas(run, "song_id string, stem string, bar_index bigint, rms double, energy double")
+    return sounds.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in kept) + ", rms double, energy double")
 
 
-def precomputed_bar_features(signals: DataFrame, bars: DataFrame, config: Config = Config()) -> DataFrame:
-    """Features of every bar and stem from frames made once for each signal."""
+def precomputed_bar_features(blocks: DataFrame, sounds: DataFrame, bars: DataFrame, config: Config = Config()) -> DataFrame:
+    """Features of every bar and stem from frames that are made once. ``sounds``: of ``features.bar_sounds``; ``blocks``: with half a frame of context."""
     size, hop = config.frame_length, config.hop_length
-    frames = frames_of(signals, size, hop)
-    songs = signals.where("samples is not null and sample_rate > 0").select("song_id", "stem", "sample_rate", (F.floor((F.size("samples") + size // 2 * 2 - size) / hop) + 1).alias("n_frames"))
-    return aggregate_frames(frames_in_bars(frames, bar_frame_ranges(bars, songs, hop, size))).join(bar_energies(signals, bars), ["song_id", "stem", "bar_index"])
+    songs = blocks.where("error is null and first_frame = 0").select("song_id", "stem", "sample_rate", (F.floor(F.col("num_frames") / hop) + 1).alias("n_frames"))
+    found = aggregate_frames(frames_in_bars(frames_of(blocks, size, hop), bar_frame_ranges(bars, songs, hop, size)))
+    return found.join(sound_energies(sounds), ["song_id", "stem", "bar_index"])

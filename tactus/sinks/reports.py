@@ -35,7 +35,7 @@ def markdown_lines(events: DataFrame, order: str = "note_ix") -> DataFrame:
 
 def write_lines(lines: DataFrame, path: str) -> None:
     """Lines in order, in as many files a song as its size asks for: parts of a range sort, in the order of their names."""
-    lines.repartitionByRange("song_id", "place").sortWithinPartitions("song_id", "place").select("song_id", "value").write.mode("overwrite").partitionBy("song_id").text(path)
+    lines.repartitionByRange("song_id", "place").sortWithinPartitions("song_id", "place").select("song_id", "value").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("song_id").text(path)
 
 
 def wide_features(features: DataFrame) -> DataFrame:
@@ -73,20 +73,27 @@ def abc(events: DataFrame, tempo_bpm: float = 120.0, ts_num: int = 4, ts_den: in
     return per_bar.groupBy("song_id", "stem").agg(body.alias("body")).select("song_id", "stem", F.concat(F.lit("X:1\nT:"), "song_id", F.lit(" "), "stem", F.lit(head), "body").alias("text"))
 
 
-def summary(songs: DataFrame) -> DataFrame:
-    """song_id, text: a Markdown summary; columns that are missing or null read N/A."""
-    def shown(c: str, form: str) -> Column:
-        return F.coalesce(F.format_string(form, F.col(c)) if c in songs.columns else F.lit(None), F.lit("N/A"))
+#: Fields of a song's summary: title, column, form.
+FIELDS = (("Duration (s)", "duration_s", "%.2f"), ("Tempo (BPM)", "tempo_bpm", "%.2f"), ("Beats", "num_beats", "%d"), ("Bars", "num_bars", "%d"), ("Notes", "num_notes", "%d"), ("Stems", "num_stems", "%d"), ("Status", "status", "%s"), ("Attempts", "attempts", "%d"), ("Work (s)", "seconds", "%.3f"))
+
 
-    fields = (("Duration (s)", "duration_s", "%.2f"), ("Tempo (BPM)", "tempo_bpm", "%.2f"), ("Beats", "num_beats", "%d"), ("Bars", "num_bars", "%d"), ("Notes", "num_notes", "%d"))
-    lines = [F.concat(F.lit(f"- {title}: "), F.when(F.col(c).isNull(), "N/A").otherwise(shown(c, form)) if c in songs.columns else F.lit("N/A")) for title, c, form in fields]
-    return songs.select("song_id", F.concat_ws("\n", F.concat(F.lit("# Song: "), "song_id"), F.lit(""), *lines).alias("text"))
+def summary(songs: DataFrame) -> DataFrame:
+    """song_id, text: a Markdown summary; columns that are missing or null read N/A. A column stems (of stem, num_notes, num_bars, rms_mean) gives a table of them."""
+    kinds = dict(songs.dtypes)
+    shown = lambda c, form: F.when(F.col(c).isNull(), "N/A").otherwise(F.coalesce(F.format_string(form, F.col(c)), F.lit("N/A"))) if c in kinds else F.lit("N/A")
+    lines = [F.concat(F.lit(f"- {title}: "), shown(c, form)) for title, c, form in FIELDS]
+    table = []
+    if "stems" in kinds:
+        cell = lambda c, form: F.when(c.isNull(), "N/A").otherwise(F.format_string(form, c))
+        row = lambda s: F.concat(F.lit("| "), s["stem"], F.lit(" | "), cell(s["num_notes"], "%d"), F.lit(" | "), cell(s["num_bars"], "%d"), F.lit(" | "), cell(s["rms_mean"], "%.4f"), F.lit(" |"))
+        body = F.array_join(F.transform(F.array_sort("stems"), row), "\n")
+        table = [F.lit(""), F.lit("## Stems"), F.lit(""), F.lit("| Stem | Notes | Bars | Mean RMS |\n|------|-------|------|----------|"), F.coalesce(body, F.lit(""))]
+    return songs.select("song_id", F.concat_ws("\n", F.concat(F.lit("# Song: "), "song_id"), F.lit(""), *lines, *table).alias("text"))
 
 
-def write_text(rows: DataFrame, path: str) -> None:
-    """One text file set per song and stem."""
-    keys = [c for c in ("song_id", "stem") if c in rows.columns]
-    rows.select(*keys, "text").write.mode("overwrite").partitionBy(*keys).text(path)
+def write_songs(rows: DataFrame, path: str, form: str = "json") -> None:
+    """Rows by song as JSON or Parquet; writing a song again replaces that song's partition only, and an empty table replaces nothing."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("song_id").format(form).save(path)
 
 
 def write_json(rows: DataFrame, path: str) -> None:
@@ -100,5 +107,4 @@ def write_csv(rows: DataFrame, path: str) -> None:
 
 
 def write_dataset(rows: DataFrame, path: str) -> None:
-    """Parquet by song; writing a song again replaces that song's partition only."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("song_id").parquet(path)
+    write_songs(rows, path, "parquet")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import wave
 from collections.abc import Iterator
 
@@ -12,9 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tactus import schemas
-from tactus.functions import dsp
-
-NATIVE = "song_id string, stem string, sample_rate int, samples array<float>, native_rate int, channels array<array<float>>, error string"
 
 
 def decode(content: bytes) -> tuple[int, np.ndarray]:
@@ -66,31 +64,25 @@ def signals_of(files: DataFrame) -> DataFrame:
     return files.select("song_id", "stem", "content").mapInPandas(run, schemas.SIGNAL)
 
 
-def native_signals_of(files: DataFrame, analysis_sr: int) -> DataFrame:
-    """Signals of rows (song_id, stem, content) twice over: samples are mono at the analysis rate, channels as in the file at native_rate."""
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            for song, stem, content in zip(pdf["song_id"], pdf["stem"], pdf["content"], strict=True):
-                try:
-                    rate, x = decode_channels(content)
-                    row = (song, stem, analysis_sr, dsp.resample(x.mean(0), rate, analysis_sr).astype(np.float32), rate, list(x.astype(np.float32)), None)
-                except Exception as e:  # any fault of the file is data here
-                    row = (song, stem, None, None, None, None, f"{type(e).__name__}: {e}")
-                yield pd.DataFrame([row], columns=[c.split()[0] for c in NATIVE.split(", ")]).astype({"sample_rate": "Int32", "native_rate": "Int32"})
-
-    return files.select("song_id", "stem", "content").mapInPandas(run, NATIVE)
-
-
-def read_files(spark: SparkSession, path: str, pattern: str = "*.wav", compat: str = "a") -> DataFrame:
-    """song_id, stem, path, content: the folder is the song, the file name its stem in lower case (a: no_vocals is called accompaniment); the
-    newest of files that share both stays."""
+def list_files(spark: SparkSession, path: str, pattern: str = "*.wav", compat: str = "a", ids: str = "folder") -> DataFrame:
+    """song_id, stem, path: the folder is the song, the file name its stem in lower case (a: no_vocals is called accompaniment); the newest of files that
+    share both stays. ``ids`` relative: the song is the path below ``path`` without its suffix, parts joined by ``_``. Contents aren't read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
     name = F.lower(F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1))
     stem = F.when(name == "no_vocals", "accompaniment").otherwise(name) if compat == "a" else name
-    rows = files.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("song_id"), stem.alias("stem"), "path", "modificationTime")
-    kept = rows.groupBy("song_id", "stem").agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
-    return kept.join(files.select("path", "content"), "path")
+    song = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
+    if ids == "relative":
+        root = re.sub("^file:/*", "/", path).rstrip("/") + "/"
+        below = F.substring_index(F.concat(F.lit("/"), F.col("path")), root, -1)
+        song, stem = F.translate(F.regexp_replace(below, r"\.[^./]+$", ""), "/", "_"), F.lit("full_mix")
+    rows = files.select(song.alias("song_id"), stem.alias("stem"), "path", "modificationTime")
+    return rows.groupBy("song_id", "stem").agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
+
+
+def read_files(spark: SparkSession, path: str, pattern: str = "*.wav", compat: str = "a", ids: str = "folder") -> DataFrame:
+    """``list_files`` with content."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    return list_files(spark, path, pattern, compat, ids).join(files.select("path", "content"), "path")
 
 
 def with_wav(signals: DataFrame) -> DataFrame:

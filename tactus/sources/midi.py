@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import time
 from collections.abc import Iterator
 
 import pandas as pd
@@ -120,7 +121,7 @@ def build(notes: list[tuple[int, int, float, float]], tempo_bpm: float = 120.0,
 
 
 def notes_of(files: DataFrame, compat: str = "a") -> DataFrame:
-    """Notes of rows (song_id, stem, content), numbered in order as note_ix; a file that can't be parsed has none and a row in ``errors_of``."""
+    """Notes of rows (song_id, stem, content), numbered in order as note_ix; a file that can't be parsed has none; ``read_scores`` gives its error."""
     names = [c.split()[0] for c in schemas.NOTES.split(", ")]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,6 +136,26 @@ def notes_of(files: DataFrame, compat: str = "a") -> DataFrame:
     return files.select("song_id", "stem", "content").mapInPandas(run, schemas.NOTES + ", note_ix bigint")
 
 
+def read_scores(files: DataFrame, compat: str = "a") -> DataFrame:
+    """A row per file (song_id, stem, content): its notes, an array with note_ix, or the error of a file that can't be parsed, and seconds (of work). Each file is parsed once."""
+    names = [c.split()[0] for c in schemas.NOTES.split(", ")[2:]]
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            rows = []
+            for song, stem, content in zip(pdf["song_id"], pdf["stem"], pdf["content"], strict=True):
+                began = time.perf_counter()
+                try:
+                    notes, error = [{c: n.get(c) for c in names} | {"note_ix": k} for k, n in enumerate(named(parse(content)[0], compat))], None
+                except (ValueError, IndexError, struct.error) as e:
+                    notes, error = [], f"{type(e).__name__}: {e}"
+                rows.append((song, stem, notes, error, time.perf_counter() - began))
+            yield pd.DataFrame(rows, columns=["song_id", "stem", "notes", "error", "seconds"])
+
+    fields = ", ".join(f"{c.split()[0]}: {c.split()[1]}" for c in schemas.NOTES.split(", ")[2:])
+    return files.select("song_id", "stem", "content").mapInPandas(run, f"song_id string, stem string, notes array<struct<{fields}, note_ix: bigint>>, error string, seconds double")
+
+
 def tempo_map_of(files: DataFrame) -> DataFrame:
     """song_id, stem, tempo_map (of time_s, tempo_bpm), error."""
 
@@ -151,11 +172,6 @@ def tempo_map_of(files: DataFrame) -> DataFrame:
     return files.select("song_id", "stem", "content").mapInPandas(run, "song_id string, stem string, tempo_map array<struct<time_s:double,tempo_bpm:double>>, error string")
 
 
-def errors_of(files: DataFrame) -> DataFrame:
-    """song_id, stem, error of the files that can't be parsed."""
-    return tempo_map_of(files).where("error is not null").select("song_id", "stem", "error")
-
-
 def with_midi(notes: DataFrame, tempo_bpm: float = 120.0) -> DataFrame:
     """song_id, stem, content: a MIDI file for each stem's notes. A stem is one file, so its notes meet in one task."""
 

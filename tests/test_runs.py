@@ -1,5 +1,10 @@
 """Song runs with chunks, faults and repeats; frames, graphs, tables read back, steps."""
 
+import os
+import shutil
+import struct
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +14,8 @@ from tactus.config import Config
 from tactus.functions import dsp, flatten, music
 from tactus.operators import batch, bars, features, frames, graph
 from tactus.plans import song
-from tactus.sinks import chunks, reports
-from tactus.sources import audio, code, midi, tables
+from tactus.sinks import chunks, files, reports
+from tactus.sources import audio, code, midi, tables, wav_blocks
 from tests.test_sources_and_features import clicks
 
 
@@ -27,33 +32,167 @@ def songs(tmp_path_factory):
     return str(root)
 
 
+def listing(root):
+    return {os.path.relpath(os.path.join(d, f), root): os.path.getmtime(os.path.join(d, f)) for d, _, names in os.walk(root) for f in names if "/." not in d and not f.startswith((".", "_"))}
+
+
 def test_run_with_chunks_faults_and_repeats(spark, songs, tmp_path):
-    out, config = str(tmp_path / "out"), Config(write_chunks=True, skip_existing=True)
+    """A second run over the same songs leaves what the first one wrote of them; only the failed song is tried again."""
+    out, config = str(tmp_path / "out"), Config(write_chunks=True, skip_existing=True, max_retries=1)
     paths = song.run(spark, songs, songs, out, config)
     made = spark.read.parquet(paths["bar_features"]).collect()
-    assert made and all(r["chunk_path"].endswith(f"/{r['song_id']}/full_mix/bar_{r['bar_index']:04d}.wav") for r in made)
+    assert made and all(r["chunk_path"] == f"{out}/chunks/{r['song_id']}/full_mix/bar_{r['bar_index']:04d}.wav" for r in made)
     for r in made:
         rate, x = audio.decode(open(r["chunk_path"], "rb").read())
         assert rate == 22050 and abs(len(x) / rate - (r["end_s"] - r["start_s"])) < 1e-3 and np.sqrt(np.mean(x * x)) == pytest.approx(r["rms"], abs=1e-3)
-    assert {(r["song_id"], r["error"].split(":")[0]) for r in tables.read_json(spark, f"{out}/errors").collect()} == {("bad", "Error"), ("bad", "ValueError")} or spark.read.json(f"{out}/errors").count() == 2
-    status = lambda: {r["song_id"]: r["status"] for r in spark.read.json(f"{out}/results").collect()}
-    assert status() == {"one": "success", "two": "success", "bad": "failed"}
-    steps = spark.read.json(f"{out}/analysis").first()["step_seconds"].asDict()
-    assert {"beats", "bar_features", "report_notes"} <= set(steps)
+    assert {(r["song_id"], r["error"].split(":")[0]) for r in tables.read_json(spark, f"{out}/errors").collect()} == {("bad", "ValueError")}
+    results = lambda: {r["song_id"]: r for r in spark.read.json(f"{out}/results").collect()}
+    first = results()
+    assert {k: (r["status"], r["attempts"]) for k, r in first.items()} == {"one": ("success", 1), "two": ("success", 1), "bad": ("failed", 2)}
+    assert first["one"]["seconds"] > 0 and first["one"]["num_bars"] >= 2 and first["one"]["input_path"].endswith("one/full_mix.wav") and "not a MIDI file" in first["bad"]["error"]
+    analysis = spark.read.json(f"{out}/analysis").where("song_id = 'one'").first()
+    assert {"beats", "bar_features", "report_notes"} <= set(analysis["step_seconds"].asDict()) and analysis["environment"]["spark"] == spark.version and "bar_grid" in " ".join(analysis["tables"])
+    text = open(f"{out}/reports/songs/one/summary.md").read()
+    assert "- Attempts: 1" in text and "| full_mix | 10 |" in text and "### Bar 0" in open(f"{out}/reports/stems/one/full_mix/notes.md").read() and open(f"{out}/reports/stems/one/full_mix/tune.abc").read().startswith("X:1")
+    before = listing(out)
     song.run(spark, songs, songs, out, config)
-    assert status() == {"one": "skipped", "two": "skipped", "bad": "failed"}
+    after = listing(out)
+    own = lambda files: {k: v for k, v in files.items() if k.split("/")[0] not in ("results", "errors", "ledger")}
+    assert own(before) == own(after) and any("reports/songs/one" in k for k in after) and any("analysis/song_id=one" in k for k in after)
+    assert {k: r["status"] for k, r in results().items()} == {"one": "skipped", "two": "skipped", "bad": "failed"}
     stats = tables.output_stats(spark, f"{out}/chunks").first()
     assert stats["files"] == len(made) and stats["bytes"] > 0
     read = tables.read_songs(spark, paths["events"])
     assert {r["song_id"] for r in read.select("song_id").distinct().collect()} == {"one", "two"}
     with pytest.raises(RuntimeError, match="errors"):
-        song.run(spark, songs, songs, str(tmp_path / "stop"), Config(stop_on_error=True))
+        song.run(spark, songs, songs, str(tmp_path / "stop"), Config(stop_on_error=True, max_retries=0))
+
+
+def test_run_with_a_flaky_song(spark, songs, tmp_path, monkeypatch):
+    """One song's file is whole only from the second attempt on: the others are read once."""
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    shutil.copytree(songs, root)
+    shutil.copy(root / "one" / "full_mix.mid", root / "bad" / "full_mix.mid")
+    real = batch.Ledger.record
+
+    def record(self, tried, step):
+        real(self, tried, step)
+        shutil.copy(root / "one" / "full_mix.wav", root / "bad" / "full_mix.wav")
+
+    monkeypatch.setattr(batch.Ledger, "record", record)
+    paths = song.run(spark, str(root), str(root), out, Config(max_retries=2))
+    ledger = batch.Ledger(spark, f"{out}/ledger").rows().where("step = 'read'").collect()
+    assert sorted((r["song_id"], r["attempt"], r["state"]) for r in ledger) == [("bad", 1, "failed"), ("bad", 2, "success"), ("one", 1, "success"), ("two", 1, "success")]
+    assert {r["song_id"] for r in spark.read.parquet(paths["bars"]).select("song_id").distinct().collect()} == {"one", "two", "bad"}
+    assert {r["status"] for r in spark.read.json(f"{out}/results").collect()} == {"success"}
 
 
 def test_run_of_the_other_variant(spark, songs, tmp_path):
-    song.run(spark, songs, songs, str(tmp_path / "b"), Config(compat="b"))
+    paths = song.run(spark, songs, songs, str(tmp_path / "b"), Config(compat="b", max_retries=0))
     lines = [r["value"] for r in spark.read.text(str(tmp_path / "b" / "reports" / "lines")).where("song_id = 'one'").collect()]
     assert lines[0].startswith("# MIDI Analysis Report: one") and sum(x.startswith("| ") and x[2].isdigit() for x in lines) == 10
+    wide = spark.read.parquet(paths["wide_features"]).first()
+    assert wide["zcr_min"] <= wide["zcr_mean"] <= wide["zcr_max"] and wide["tempo_bpm"] >= 0 and wide["spectral_centroid_max"] > 0 and "mfcc_12_std" in wide.asDict() and "chroma_mean_11" in wide.asDict()
+
+
+def test_run_with_preprocessing_and_native_chunks(spark, tmp_path):
+    """Silence is cut and the peak is 1; without preprocessing, chunks keep rate and channels."""
+    (tmp_path / "in" / "s").mkdir(parents=True)
+    x = clicks(6.0, sr=44100) * 0.5
+    (tmp_path / "in" / "s" / "full_mix.wav").write_bytes(audio.encode([np.concatenate([np.zeros(44100), x]), np.concatenate([np.zeros(44100), -0.25 * x])], 44100))
+    for k, config in enumerate((Config(write_chunks=True, preprocess=True), Config(write_chunks=True, native_chunks=True))):
+        out = str(tmp_path / f"out{k}")
+        paths = song.run(spark, str(tmp_path / "in"), None, out, config)
+        row = spark.read.parquet(paths["bar_features"]).where("bar_index = 1").first()
+        rate, got = audio.decode_channels(open(row["chunk_path"], "rb").read())
+        assert (rate, len(got)) == ((22050, 1) if k == 0 else (44100, 2))
+        assert abs(got.shape[1] / rate - row["duration_s"]) < 1e-3
+        duration = spark.read.parquet(paths["song_summary"]).first()["duration_s"]
+        assert (5.0 < duration < 6.5) if k == 0 else duration == 7.0
+        if k:
+            assert np.allclose(got[1], -0.25 * got[0], atol=1e-4)
+
+
+def test_precomputed_path_is_the_runs_own_choice(spark, tmp_path):
+    """A song of over three minutes takes its features from frames made once, a short one bar by bar."""
+    from tactus.operators import features as f
+
+    for name, seconds in (("long", 185.0), ("short", 5.0)):
+        (tmp_path / "in" / name).mkdir(parents=True)
+        (tmp_path / "in" / name / "full_mix.wav").write_bytes(audio.encode(clicks(seconds, sr=8000), 8000))
+    paths = song.run(spark, str(tmp_path / "in"), None, str(tmp_path / "out"), Config())
+    rows = spark.read.parquet(paths["bar_features"])
+    grid = spark.read.parquet(paths["bar_grid"])
+    blocks = wav_blocks.read_blocks(spark, str(tmp_path / "in"), context=f.ANALYSIS_CONTEXT)
+    direct = {(r["song_id"], r["bar_index"]): r["spectral_centroid_mean"] for r in f.sound_features(f.bar_sounds(wav_blocks.read_blocks(spark, str(tmp_path / "in")), grid)).collect()}
+    pre = {(r["song_id"], r["bar_index"]): r["spectral_centroid_mean"] for r in frames.precomputed_bar_features(blocks, f.bar_sounds(wav_blocks.read_blocks(spark, str(tmp_path / "in")), grid), grid).collect()}
+    got = {(r["song_id"], r["bar_index"]): r["spectral_centroid_mean"] for r in rows.collect()}
+    assert len(got) == rows.count() == grid.count()
+    for (name, k), value in got.items():
+        assert value == pytest.approx((pre.get((name, k)) or direct[name, k]) if name == "long" else direct[name, k])
+    assert any(pre[k] != pytest.approx(direct[k]) for k in pre if k[0] == "long")
+
+
+def test_blocks_are_byte_ranges(spark, tmp_path):
+    """Each partition reads the header and its own blocks only; formats, odd chunks, empty and broken files."""
+    x = np.random.default_rng(0).uniform(-0.9, 0.9, (2, 200_000))
+    for name in "abcdef":
+        (tmp_path / "in" / name).mkdir(parents=True)
+    put = lambda name, content: (tmp_path / "in" / name / "Full_Mix.wav").write_bytes(content)
+    put("a", audio.encode(x, 48000))
+    body = x[0].astype("<f4").tobytes()
+    put("b", b"RIFF" + struct.pack("<I", 0) + b"WAVEJUNK" + struct.pack("<I", 3) + b"abc\0fmt " + struct.pack("<IHHIIHH", 16, 3, 1, 8000, 32000, 4, 32) + b"data" + struct.pack("<I", len(body)) + body)
+    put("c", audio.encode(np.zeros(0), 8000))
+    put("d", b"RIFF0000WAVE")
+    put("e", audio.encode(x[0], 8000)[:1001])
+    raw = np.array([0, 1, -1, (1 << 23) - 1, -(1 << 23)], np.int64)
+    put("f", b"RIFF" + struct.pack("<I", 0) + b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, 1, 8000, 24000, 3, 24) + b"data" + struct.pack("<I", 15) + b"".join(int(v & 0xFFFFFF).to_bytes(3, "little") for v in raw))
+    reader = wav_blocks.WavReader({"path": str(tmp_path / "in"), "block_frames": "4096", "split_bytes": "50000", "context": "100"})
+    parts = reader.partitions()
+    assert len(parts) > 20 and all(sum(e - s for _, _, s, e in p.ranges) <= 50_000 for p in parts)
+    rows = [r for p in parts for b in reader.read(p) for r in b.to_pylist()]
+    read = max(sum(len(r["samples"] or b"") // 2 for b in reader.read(p) for r in b.to_pylist()) for p in parts if len(p.ranges) == 1)
+    assert read < 50_000 + 4 * 4096 + 4 * 800  # of 800,000 bytes: the range, what its last block reaches over, context of four blocks
+    for name, want, rate in (("a", np.trunc(x * 32767) / 32768, 48000), ("b", x[:1], 8000), ("f", raw[None] / (1 << 23), 8000)):
+        own = sorted((r for r in rows if r["song_id"] == name), key=lambda r: r["block"])
+        assert [r["first_frame"] for r in own] == [4096 * k for k in range(len(own))] and {r["sample_rate"] for r in own} == {rate} and own[0]["stem"] == "full_mix"
+        whole = np.concatenate([wav_blocks.channels_of(r["samples"], r["num_channels"])[:, r["lead"] : r["lead"] + r["n"]] for r in own], 1)
+        assert np.allclose(whole, want, atol=1e-6)
+        assert all(np.allclose(wav_blocks.channels_of(r["samples"], r["num_channels"]), want[:, r["first_frame"] - r["lead"] : r["first_frame"] + r["n"] + 100], atol=1e-6) for r in own)
+    rest = {r["song_id"]: r for r in rows if r["song_id"] in "cde"}
+    assert (rest["c"]["n"], rest["c"]["error"]) == (0, None) and "no samples" in rest["d"]["error"] and rest["e"]["num_frames"] == 478
+    assert wav_blocks.read_blocks(spark, str(tmp_path / "in"), block_frames=4096, split_bytes=50000).count() == len(rows)
+    (tmp_path / "none").mkdir()
+    assert wav_blocks.read_blocks(spark, str(tmp_path / "none")).count() == 0
+    assert {r["song_id"] for r in wav_blocks.read_blocks(spark, str(tmp_path), ids="relative").select("song_id").collect()} == {f"in_{k}_Full_Mix" for k in "abcdef"}
+    assert {r["song_id"] for r in audio.list_files(spark, str(tmp_path), ids="relative").collect()} == {f"in_{k}_Full_Mix" for k in "abcdef"}
+
+
+@pytest.mark.parametrize("seconds", [0.05, 3.0, 20.0])
+def test_beats_of_blocks_equal_the_whole(spark, tmp_path, seconds):
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s" / "x.wav").write_bytes(audio.encode(clicks(seconds), 22050))
+    whole = audio.decode((tmp_path / "s" / "x.wav").read_bytes())[1].astype(np.float32).astype(float)
+    tempo, beats = dsp.tempo_and_beats(whole, 22050)
+    for size in (2048, 1 << 16):
+        r = features.analyse_blocks(wav_blocks.read_blocks(spark, str(tmp_path), context=features.ANALYSIS_CONTEXT, block_frames=size)).first()
+        assert r["tempo_bpm"] == pytest.approx(tempo, rel=1e-9) and r["beat_times"] == pytest.approx(beats) and r["duration_s"] == len(whole) / 22050
+
+
+def test_files_appear_whole_or_not_at_all(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = lambda texts: spark.createDataFrame([(s, "v", n, t) for s, n, t in texts], "song_id string, stem string, name string, content string")
+    files.write_files(rows([("a", "1", "x"), ("a", "2", "y"), ("b", "1", "z"), ("../c", "../n", None)]), out)
+    assert {k: open(f"{out}/{k}").read() for k in listing(out)} == {"a/v/1": "x", "a/v/2": "y", "b/v/1": "z"} and open(f"{out}/_c/v/_n").read() == ""
+    bad = rows([("a", "1", "new"), ("b", "1", "new")]).withColumn("content", F.when(F.col("song_id") == "b", F.raise_error(F.lit("no"))).otherwise(F.col("content")))
+    with pytest.raises(Exception, match="no"):
+        files.write_files(bad, out)
+    assert open(f"{out}/a/v/1").read() == "x" and not os.path.exists(f"{out}/.pending")
+    files.write_files(rows([("a", "3", "w")]), out)
+    assert {k: open(f"{out}/{k}").read() for k in listing(out)} == {"a/v/3": "w", "b/v/1": "z"}
+    assert rows([("a/b", "n", "")]).select(files.place_of("/r/", F.col("song_id"), F.col("name"))).first()[0] == "/r/a_b/n"
+    files.write_files(midi.with_midi(spark.createDataFrame([("s", "v", 60, 90, 0.0, 1.0)], "song_id string, stem string, pitch int, velocity int, start_s double, end_s double")).withColumn("name", F.lit("v.mid")), out)
+    assert midi.parse(open(f"{out}/s/v/v.mid", "rb").read())[0][0]["pitch"] == 60
 
 
 def test_chunks_of_intervals(spark, tmp_path):
@@ -67,15 +206,7 @@ def test_chunks_of_intervals(spark, tmp_path):
     assert [(r["bar_index"], r["start_s"], r["end_s"]) for r in chunks.intervals_of_times(times).orderBy("start_s").collect()] == [(0, 0.0, 1.5), (2, 1.5, 2.0)]
 
 
-def test_native_channels_and_resampling(spark):
-    left, right = np.sin(np.arange(4410) / 5), np.zeros(4410)
-    content = audio.encode([left, right], 44100)
-    rate, x = audio.decode_channels(content)
-    assert rate == 44100 and x.shape == (2, 4410) and np.allclose(x[0], left, atol=1e-4) and not x[1].any()
-    rows = spark.createDataFrame([("a", "x", bytearray(content)), ("b", "x", bytearray(b"no"))], "song_id string, stem string, content binary")
-    got = {r["song_id"]: r for r in audio.native_signals_of(rows, 22050).collect()}
-    assert (got["a"]["native_rate"], got["a"]["sample_rate"], len(got["a"]["samples"]), len(got["a"]["channels"])) == (44100, 22050, 2205, 2)
-    assert got["b"]["error"] and got["b"]["samples"] is None
+def test_resampling_in_blocks():
     x = np.random.default_rng(1).normal(size=5000)
     assert np.allclose(dsp.resample(x, 48000, 22050, block=100), dsp.resample(x, 48000, 22050))
 
@@ -84,13 +215,14 @@ def test_frames_made_once_agree_with_slices(spark):
     x = clicks(4.0).astype(np.float32)
     signals = spark.createDataFrame([("s", "v", 22050, x.tolist())], "song_id string, stem string, sample_rate int, samples array<float>")
     spans = spark.createDataFrame([("s", k, float(k), k + 1.0) for k in range(4)] + [("s", 9, 8.0, 9.0)], "song_id string, bar_index long, start_s double, end_s double")
-    got = {r["bar_index"]: r for r in frames.precomputed_bar_features(signals, spans).collect()}
+    blocks = features.as_blocks(signals, features.ANALYSIS_CONTEXT, 5000)
+    got = {r["bar_index"]: r for r in frames.precomputed_bar_features(blocks, features.bar_sounds(features.as_blocks(signals), spans), spans).collect()}
     assert set(got) == {0, 1, 2, 3}
     c, b, r, z, m, h = dsp.frame_features(x.astype(float), 22050)
     for k, row in got.items():
         lo, hi = max(0, (k * 22050 - 1024) // 512), min(len(c), ((k + 1) * 22050 - 1024) // 512 + 1)
         assert row["spectral_centroid_mean"] == pytest.approx(c[lo:hi].mean()) and row["spectral_rolloff_std"] == pytest.approx(r[lo:hi].std()) and row["frames"] == hi - lo
-        assert np.allclose(row["mfcc_std"], m[lo:hi].std(0)) and np.allclose(row["chroma_mean"], h[lo:hi].mean(0))
+        assert np.allclose(row["mfcc_std"], m[lo:hi].std(0)) and np.allclose(row["chroma_mean"], h[lo:hi].mean(0)) and row["zcr"] == pytest.approx(z[lo:hi].mean())
         own = x[k * 22050 : (k + 1) * 22050].astype(float)
         assert row["energy"] == pytest.approx((own**2).sum()) and row["rms"] == pytest.approx(np.sqrt((own**2).mean()))
 
@@ -135,8 +267,12 @@ def test_steps_health_and_commands(spark):
         return 7
 
     assert steps.run("Some Step", work) == 7 and "some_step" in steps.seconds
-    with pytest.raises(batch.RetryError):
-        batch.Steps(spark, 0, 1.0).run("slow", lambda: spark.range(0, 10**13, 1, 4).selectExpr("sum(id * id % 7)").collect())
+    began, slow = time.monotonic(), batch.Steps(spark, 2, 1.0)
+    with pytest.raises(TimeoutError, match="more than"):
+        slow.run("slow", lambda: spark.range(0, 10**13, 1, 4).selectExpr("sum(hash(id) % 7)").collect())
+    assert time.monotonic() - began < 30 and slow.attempts == {"slow": 1} and not spark.sparkContext.getLocalProperty("spark.jobGroup.id")
+    with pytest.raises(FileNotFoundError):
+        batch.Steps(spark, 2).run("gone", lambda: spark.read.parquet("/no/such/path").count())
     assert batch.run_command(["echo", "a b"]).strip() == "a b" and batch.shown(["x", "a b"]) == "x 'a b'"
     with pytest.raises(RuntimeError, match="ended with"):
         batch.run_command(["false"])
@@ -145,8 +281,6 @@ def test_steps_health_and_commands(spark):
 
 
 def test_midi_variants_and_frames_a_second():
-    import struct
-
     content = midi.build([(60, 100, 0.0, 1.0)])
     found, _ = midi.parse(content)
     assert found[0]["instrument_name"] == "" and midi.named(found, "a")[0]["instrument_name"] == "Instrument_0" and midi.named(found, "b")[0]["dur_s"] is None

@@ -71,7 +71,7 @@ def test_song_run(spark, tmp_path):
     assert {r["stem"] for r in read["bar_features"].select("stem").distinct().collect()} == {"full_mix", "accompaniment"}
     assert read["bar_features"].where("rms > 0 and not isnan(spectral_centroid_mean)").count() == read["bar_features"].count()
     assert spark.read.json(str(tmp_path / "out" / "errors")).count() == 1
-    assert any(r["value"] == "### Bar 0" for r in spark.read.text(str(tmp_path / "out" / "reports" / "notes")).collect())
+    assert "### Bar 0" in (tmp_path / "out" / "reports" / "stems" / "one" / "full_mix" / "notes.md").read_text()
 
 
 def test_names_and_scalars(spark):
@@ -135,9 +135,13 @@ def test_retries_breaker_and_manifest(spark, tmp_path):
     now[0] = 11
     assert b.call(lambda: 1) == 1 and b.state == "CLOSED"
     songs = spark.createDataFrame([("a",), ("b",)], "song_id string")
-    m = batch.Manifest(spark, str(tmp_path / "m"))
-    m.record(songs.where("song_id = 'a'"), "beats")
+    m = batch.Ledger(spark, str(tmp_path / "m"))
+    tried = songs.selectExpr("song_id", "if(song_id = 'a', 'success', 'failed') as state", "1 as attempt", "0.5 as seconds", "cast(null as string) as error")
+    assert m.left(songs, "beats").count() == 2
+    m.record(tried, "beats")
     assert [r["song_id"] for r in m.left(songs, "beats").collect()] == ["b"] and m.left(songs, "bars").count() == 2
+    m.record(tried.where("song_id = 'b'").selectExpr("song_id", "'success' as state", "2 as attempt", "seconds", "error"), "beats")
+    assert m.left(songs, "beats").count() == 0 and m.rows().count() == 3 and m.latest("beats").where("song_id = 'b'").first()["attempt"] == 2
 
 
 def test_reports(spark, tmp_path):
