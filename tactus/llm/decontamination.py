@@ -7,7 +7,8 @@ and if the slots agree: equal values stand for equal values, both ways, over all
 lie on one alignment with the item. A sentence's first word may be a name: windows that match but for such words count too, with these words as
 slots, if they agree with the alignment's other windows. A document is contaminated by an item if such windows cover at least ``SHARE`` of the
 item's windows with enough words (``n_windows`` is the number of all), so that a question with other numbers and names is caught as well as a verbatim copy.
-An item of fewer than ``WINDOW`` tokens is one window of its own length; with fewer than ``LITERALS`` words it matches nothing.
+An item of fewer than ``WINDOW`` tokens is one window of its own length. An item of which no window has enough words is found word for word: anywhere in a document, or,
+if it has fewer than ``LITERALS`` tokens, as the whole of one; all of its windows count as matched then.
 
 One scan makes the hashes of all windows, and only those that the benchmark has are kept; the documents of these are read once more for
 their tokens, which settle whether templates are equal and slots agree. The benchmark's hashes, and the ids of the documents that have some, are
@@ -17,7 +18,7 @@ told apart by their texts; equal rows count as one document. Items with a null i
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,29 +58,41 @@ def value(x: Column) -> Column:
     return F.lower(F.ltrim(x, F.lit(_ENDS)))
 
 
-def _rolled(rows: DataFrame, column: str, window: int) -> DataFrame:
-    """Replaces an array of hashes by those of its windows: of two, of four and so on, two windows of the last power of two at the end.
-    The last places, where no whole window begins, are to be left out."""
-    width = 1
-    while width < window:
-        step = min(width, window - width)
-        rows = rows.withColumn(column, F.zip_with(column, F.slice(column, step + 1, F.greatest(F.size(column), F.lit(1))), lambda a, b: F.xxhash64(a, b)))
-        width += step
+def _widened(rows: DataFrame, column: str, widths: tuple[int, ...]) -> DataFrame:
+    """Adds ``column``_w for each width w, the hashes of windows of w places from an array of hashes: of two, of four and so on, two windows of the last power of
+    two at the end. The last places, where no whole window begins, are to be left out."""
+    made, step = {1: column}, 1
+    joined = lambda a, b, k: F.zip_with(a, F.slice(b, k + 1, F.greatest(F.size(b), F.lit(1))), lambda x, y: F.xxhash64(x, y))
+    while 2 * step <= max(widths):
+        rows, made[2 * step] = rows.withColumn(f"{column}_p{2 * step}", joined(made[step], made[step], step)), f"{column}_p{2 * step}"
+        step *= 2
+    for w in widths:
+        power = 1 << w.bit_length() - 1
+        rows = rows.withColumn(f"{column}_{w}", F.col(made[power]) if power == w else joined(made[power], made[power], w - power))
     return rows
 
 
-def _keys(rows: DataFrame, window: int) -> DataFrame:
-    """The columns of ``rows`` but text; pos, h, loose of each window: the hash of its template. A window with sentences' first words has a loose row too, in
-    which these are ``<first>``. Columns are added one after another, so that each is made once."""
+def _keys(rows: DataFrame, widths: tuple[int, ...]) -> DataFrame:
+    """The columns of ``rows`` but text; w, pos, h, loose of each window of each width: the hash of its template. A window with sentences' first words has a loose row too, in
+    which these are ``<first>``. A text's tokens are made once for all widths."""
     names = [c for c in rows.columns if c != "text"]
     rows = rows.withColumn("marked", F.transform(tokens(F.col("text")), canonical))
     rows = rows.select(*names, F.size("marked").alias("n"), F.transform("marked", lambda x: F.xxhash64(F.ltrim(x, F.lit(_FIRST)))).alias("strict"), F.transform("marked", lambda x: F.when(x.startswith(_FIRST), F.lit(0).cast("long")).otherwise(F.xxhash64(x))).alias("masked"))
-    rows = _rolled(_rolled(rows.where(F.col("n") >= window), "strict", window), "masked", window)
-    whole = lambda c: F.slice(c, F.lit(1), F.greatest(F.col("n") - (window - 1), F.lit(0)))
-    each = rows.select(*names, F.posexplode(F.arrays_zip(whole("strict").alias("strict"), whole("masked").alias("masked"))).alias("pos", "span"))
+    rows = _widened(_widened(rows.where(F.col("n") >= min(widths)), "strict", widths), "masked", widths)
+    whole = lambda c, w: F.slice(f"{c}_{w}", F.lit(1), F.greatest(F.col("n") - (w - 1), F.lit(0))).alias(c)
+    zipped = {w: F.arrays_zip(whole("strict", w), whole("masked", w)) for w in widths}
+    if len(widths) == 1:
+        each = rows.select(*names, F.lit(widths[0]).alias("w"), F.posexplode(zipped[widths[0]]).alias("pos", "span"))
+    else:
+        placed = [F.transform(z, partial(_placed, w)) for w, z in zipped.items()]
+        each = rows.select(*names, F.inline(F.concat(*placed)))
     key = lambda c, loose: F.struct(F.col(f"span.{c}").alias("h"), F.lit(loose).alias("loose"))
     keys = F.when(F.col("span.strict") != F.col("span.masked"), F.array(key("strict", False), key("masked", True))).otherwise(F.array(key("strict", False)))
-    return each.select(*names, "pos", F.inline(keys))
+    return each.select(*names, "w", "pos", F.inline(keys))
+
+
+def _placed(width: int, span: Column, pos: Column) -> Column:
+    return F.struct(F.lit(width).alias("w"), pos.alias("pos"), span.alias("span"))
 
 
 def _slices(rows: DataFrame, window: int) -> DataFrame:
@@ -92,9 +105,9 @@ def _slices(rows: DataFrame, window: int) -> DataFrame:
 
 
 def _items(known: DataFrame, window: int, literals: int) -> DataFrame:
-    """item_id, item_key, n_windows, n_usable, item_pos, h, loose, item_raw, item_template of the items' windows with enough words."""
+    """item_id, item_key, w, n_windows, n_usable, item_pos, h, loose, item_raw, item_template of the items' windows with enough words."""
     spans = _slices(known, window).select("item_id", "item_key", (F.col("n") - (window - 1)).cast("long").alias("n_windows"), F.col("pos").alias("item_pos"), F.col("raw").alias("item_raw"))
-    keys = _keys(known, window).withColumnRenamed("pos", "item_pos")
+    keys = _keys(known, (window,)).withColumnRenamed("pos", "item_pos")
     spans = spans.join(keys, ["item_id", "item_key", "item_pos"])
     spans = spans.withColumn("item_template", F.transform("item_raw", lambda x: F.when(F.col("loose") & initial(x), "<first>").otherwise(F.translate(canonical(x), _FIRST, ""))))
     spans = spans.where(F.size(F.filter("item_template", lambda x: ~x.startswith("<"))) >= literals)
@@ -106,17 +119,16 @@ def _small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if is_small(rows, BROADCAST) else rows
 
 
-def _found(texts: DataFrame, known: DataFrame, window: int, literals: int, share: float) -> DataFrame:
-    """``contamination`` by items that have windows of this size."""
-    spans = materialize(_items(known, window, literals), "templates")
-    hits = materialize(_keys(texts, window).join(_small(spans.select("h", "loose").distinct()), ["h", "loose"]), "hits")
-    own = hits.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("pos", "h", "loose")).alias("own"))
+def _found(texts: DataFrame, spans: DataFrame, widths: tuple[int, ...], share: float) -> DataFrame:
+    """``contamination`` by the windows of ``_items``, of all widths at once."""
+    hits = materialize(_keys(texts, widths).join(_small(spans.select("w", "h", "loose").distinct()), ["w", "h", "loose"]), "hits")
+    own = hits.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("pos", "w", "h", "loose")).alias("own"))
     ids = hits.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).distinct()
     rows = texts.join(_small(ids), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left_semi")
     rows = rows.groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).agg(F.min("text").alias("text"))
     rows = rows.join(own, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")))
-    cut = F.get(F.transform(F.array(tokens(F.col("text"))), lambda r: F.transform("own", lambda x: F.struct(x["pos"].alias("pos"), x["h"].alias("h"), x["loose"].alias("loose"), F.slice(r, x["pos"] + 1, window).alias("doc_raw")))), F.lit(0))
-    hits = rows.select("doc_id", "text_key", F.inline(cut)).join(spans, ["h", "loose"])
+    cut = F.get(F.transform(F.array(tokens(F.col("text"))), lambda r: F.transform("own", lambda x: F.struct(x["pos"].alias("pos"), x["w"].alias("w"), x["h"].alias("h"), x["loose"].alias("loose"), F.slice(r, x["pos"] + 1, x["w"]).alias("doc_raw")))), F.lit(0))
+    hits = rows.select("doc_id", "text_key", F.inline(cut)).join(spans, ["w", "h", "loose"])
     hits = hits.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "n_usable", "loose", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_raw", "item_template", "doc_raw")
     same = F.zip_with("doc_raw", "item_template", lambda x, t: F.when(t == "<first>", initial(x)).otherwise(F.translate(canonical(x), _FIRST, "") == t))
     # a loose match with the same first words is a strict one too
@@ -134,13 +146,34 @@ def _found(texts: DataFrame, known: DataFrame, window: int, literals: int, share
     return found.where(F.col("n_matched") >= share * F.col("n_usable")).select("doc_id", "text_key", "item_id", "n_matched", "n_windows")
 
 
+def _verbatim(texts: DataFrame, bare: DataFrame, window: int, literals: int) -> DataFrame:
+    """``contamination`` by items without a usable window, word for word: one of ``literals`` tokens or more anywhere in a document, a shorter one as all of it.
+    Documents and items meet by the hash of as many values as the shorter of window and item has, a shorter item by that of all, and then are compared whole."""
+    values = lambda c: F.transform(tokens(c), value)
+    items = bare.select("item_id", values(F.col("text")).alias("item")).withColumn("size", F.size("item")).where("size > 0")
+    items = items.withColumn("w", F.when(F.col("size") >= literals, F.least("size", F.lit(window))).otherwise(0))
+    items = materialize(items.withColumn("h", F.when(F.col("w") > 0, F.hash(F.slice("item", F.lit(1), F.greatest("w", F.lit(1))))).otherwise(F.hash("item"))), "bare-items")
+    widths = [r["w"] for r in items.where("w > 0").select("w").distinct().orderBy("w").collect()]  # at most window - literals + 1 numbers
+    rows = texts.select("doc_id", "text_key", values(F.col("text")).alias("doc"))
+    spans = lambda w: F.transform(F.filter(F.sequence(F.lit(1), F.greatest(F.size("doc"), F.lit(1))), lambda i: i + (w - 1) <= F.size("doc")), lambda i: F.struct(F.lit(w).alias("w"), i.alias("pos"), F.hash(F.slice("doc", i, w)).alias("h")))
+    each = F.concat(F.array(F.struct(F.lit(0).alias("w"), F.lit(1).alias("pos"), F.hash("doc").alias("h"))), *(spans(w) for w in widths))
+    keyed = rows.select("doc_id", "text_key", "doc", F.inline(F.filter(each, lambda x: x["h"].isNotNull())))
+    met = keyed.join(F.broadcast(items) if is_small(items, BROADCAST) else items, ["w", "h"])
+    same = F.when(F.col("w") == 0, F.col("doc") == F.col("item")).otherwise(F.slice("doc", F.col("pos"), F.col("size")) == F.col("item"))
+    n = F.greatest(F.col("size") - (window - 1), F.lit(1)).cast("long")
+    return met.where(same).select("doc_id", "text_key", "item_id", n.alias("n_matched"), n.alias("n_windows")).distinct()
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literals: int = LITERALS, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key, item_id, n_matched, n_windows of each document and item that share enough windows."""
     known = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", F.xxhash64("text").alias("item_key"), "text").distinct()
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
-    sized = known.withColumn("size", F.least(F.size(tokens(F.col("text"))), F.lit(window)))
-    short = [r["size"] for r in sized.where(F.col("size").between(literals, window - 1)).select("size").distinct().orderBy("size").collect()]  # at most window - literals numbers
-    return reduce(DataFrame.unionByName, [_found(texts, sized.where(F.col("size") == k).drop("size"), k, literals, share) for k in [window, *short]])
+    sized = materialize(known.withColumn("size", F.least(F.size(tokens(F.col("text"))), F.lit(window))), "items")
+    widths = tuple(r["size"] for r in sized.where(F.col("size") >= literals).select("size").distinct().orderBy("size").collect()) or (window,)  # at most window - literals + 1 numbers
+    spans = materialize(reduce(DataFrame.unionByName, [_items(sized.where(F.col("size") == k).drop("size"), k, literals) for k in widths]), "templates")
+    found = _found(texts, spans, widths, share)
+    bare = sized.join(spans.select("item_id", "item_key").distinct(), ["item_id", "item_key"], "left_anti")
+    return found if bare.isEmpty() else found.unionByName(_verbatim(texts, bare, window, literals))
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:
@@ -191,6 +224,11 @@ with tokens as (
 select doc_id, item_id, count(distinct item_pos) as n_matched, n_windows
 from lines h where not exists (select 1 from broken x where x.doc_id = h.doc_id and x.item_id = h.item_id and x.shift = h.shift and x.with_loose = h.with_loose)
 group by doc_id, item_id, n_windows, usable having count(distinct item_pos) >= {SHARE} * usable
+union
+select d.id, b.id, greatest(len(b.v) - {WINDOW - 1}, 1), greatest(len(b.v) - {WINDOW - 1}, 1)
+from templates d join (select * from templates where side = 'b' and len(v) > 0 and id not in (select id from items)) b
+  on d.side = 'd' and case when len(b.v) < {LITERALS} then d.v = b.v
+    else len(list_filter(range(1, len(d.v) - len(b.v) + 2), lambda p: d.v[p:p + len(b.v) - 1] = b.v)) > 0 end
 """
 
 
