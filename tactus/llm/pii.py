@@ -14,7 +14,8 @@ count code points, ends are exclusive. Rows keep their multiplicity.
 
 from __future__ import annotations
 
-import hashlib
+import bisect
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -41,6 +42,8 @@ _WRITTEN = r"[ (\[]at[ )\]]"
 _ANCHOR = re.compile("[0-9@]|" + _WRITTEN)
 
 WIDTH, STEP, SAMPLE, LONGEST, TRAINED = 64, 32, 800, 50_000, 5000
+#: Windows that are scored at a time.
+WINDOWS = 512
 HIDDEN, EMBED, EPOCHS, BATCH = 20, 12, 6, 32
 #: B and I tags of each kind after O.
 TAGS = 1 + 2 * len(KINDS)
@@ -104,7 +107,7 @@ def _symbols(text: str) -> np.ndarray:
             table[c] = len(_OWN) + 2
     for k, c in enumerate(_OWN):
         table[ord(c)] = k
-    return np.where(points < 128, table[np.minimum(points, 127)], len(_OWN)).astype(np.int64)
+    return np.where(points < 128, table[np.minimum(points, 127)], len(_OWN)).astype(np.int8)
 
 
 SYMBOLS = len(_OWN) + 4
@@ -125,8 +128,8 @@ class Tagger:
             w[f"{d}x"], w[f"{d}h"], w[f"{d}b"] = make(EMBED, 4 * HIDDEN), make(HIDDEN, 4 * HIDDEN), np.concatenate([np.zeros(HIDDEN), np.ones(HIDDEN), np.zeros(2 * HIDDEN)])
         return cls(w)
 
-    def _lstm(self, x: np.ndarray, d: str) -> tuple[np.ndarray, list]:
-        """States of each step of (time, batch, input); gates in order input, forget, output, candidate."""
+    def _lstm(self, x: np.ndarray, d: str, keep: bool = True) -> tuple[np.ndarray, list]:
+        """States of each step of (time, batch, input), and what the way back needs if ``keep``; gates in order input, forget, output, candidate."""
         w, steps = self.w, range(len(x))
         h, c = np.zeros((x.shape[1], HIDDEN)), np.zeros((x.shape[1], HIDDEN))
         out, kept = np.zeros((*x.shape[:2], HIDDEN)), [None] * len(x)
@@ -136,7 +139,7 @@ class Tagger:
             g = 1 / (1 + np.exp(-a[:, : 3 * HIDDEN]))
             i, f, o, n = g[:, :HIDDEN], g[:, HIDDEN : 2 * HIDDEN], g[:, 2 * HIDDEN :], np.tanh(a[:, 3 * HIDDEN :])
             before, c = c, f * c + i * n
-            kept[t] = (h, before, c, i, f, o, n)
+            kept[t] = (h, before, c, i, f, o, n) if keep else None
             h = o * np.tanh(c)
             out[t] = h
         return out, kept
@@ -154,14 +157,14 @@ class Tagger:
             dz[t] = a
             g[f"{d}h"] += h.T @ a
             dh, dc = a @ w[f"{d}h"].T, dc * f
-        g[f"{d}x"] += np.einsum("tbi,tbj->ij", x, dz)
+        g[f"{d}x"] += x.reshape(-1, x.shape[2]).T @ dz.reshape(-1, 4 * HIDDEN)
         g[f"{d}b"] += dz.sum((0, 1))
         return dz @ w[f"{d}x"].T
 
     def emissions(self, symbols: np.ndarray) -> np.ndarray:
         """Scores (time, batch, tag) of windows (time, batch)."""
         x = self.w["e"][symbols]
-        return np.concatenate([self._lstm(x, "f")[0], self._lstm(x, "b")[0]], 2) @ self.w["o"] + self.w["ob"]
+        return np.concatenate([self._lstm(x, "f", False)[0], self._lstm(x, "b", False)[0]], 2) @ self.w["o"] + self.w["ob"]
 
     def loss(self, symbols: np.ndarray, tags: np.ndarray) -> tuple[float, dict]:
         """Mean negative log likelihood of tag sequences, and its gradients."""
@@ -189,7 +192,7 @@ class Tagger:
             np.subtract.at(g["t"], (tags[t - 1], tags[t]), 1)
         de /= n
         g["t"] /= n
-        g["o"], g["ob"] = np.einsum("tbi,tbj->ij", h, de), de.sum((0, 1))
+        g["o"], g["ob"] = h.reshape(-1, 2 * HIDDEN).T @ de.reshape(-1, TAGS), de.sum((0, 1))
         dh = de @ w["o"].T
         dx = self._lstm_back(x, "f", kf, dh[:, :, :HIDDEN], g) + self._lstm_back(x, "b", kb, dh[:, :, HIDDEN:], g)
         np.add.at(g["e"], symbols, dx)
@@ -214,75 +217,112 @@ class Tagger:
             losses.append(lost / max(1, len(order)))
         return losses
 
-    def viterbi(self, e: np.ndarray) -> np.ndarray:
-        """The best tags of one sequence of emissions."""
-        best, back = e[0], np.zeros((len(e), TAGS), np.int64)
-        for t in range(1, len(e)):
-            s = best[:, None] + self.w["t"]
-            back[t] = s.argmax(0)
-            best = s.max(0) + e[t]
-        out = np.zeros(len(e), np.int64)
-        out[-1] = best.argmax()
-        for t in range(len(e) - 1, 0, -1):
-            out[t - 1] = back[t, out[t]]
-        return out
+    def advance(self, best: np.ndarray | None, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The scores of the best ways to each tag after further emissions, and each step's best tag before."""
+        back, t = np.zeros((len(e), TAGS), np.int8), self.w["t"]
+        for k in range(len(e)):
+            if best is None:
+                best = e[k]
+            else:
+                s = best[:, None] + t
+                back[k] = s.argmax(0)
+                best = s.max(0) + e[k]
+        return best, back
 
     def spans(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
-        """The model's valid spans of each text, before they are held against the patterns'."""
-        jobs = [(i, s) for i, t in enumerate(texts) for s in _starts(t)]
-        if not jobs:
-            return [[] for _ in texts]
-        padded = [np.concatenate([_symbols(t), np.full(WIDTH, SYMBOLS, np.int64)]) if _ANCHOR.search(t) else None for t in texts]
+        """The model's valid spans of each text, before they are held against the patterns'. Windows are scored some hundreds at a time; a position's scores are used up as soon
+        as no further window holds it, so what stays of a run of windows, of any length, is a byte for each tag of a position."""
         out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-        centre = np.minimum(np.arange(WIDTH), np.arange(WIDTH)[::-1])
-        scores: dict[int, list] = {}
-        for k in range(0, len(jobs), 2048):
-            part = jobs[k : k + 2048]
-            e = self.emissions(np.stack([padded[i][s : s + WIDTH] for i, s in part], 1))
-            for j, (i, s) in enumerate(part):
-                scores.setdefault(i, []).append((s, e[:, j]))
-        for i, found in scores.items():
-            for run in _runs(found):
-                first, last = run[0][0], min(run[-1][0] + WIDTH, len(texts[i]))
-                e, depth = np.zeros((last - first, TAGS)), np.full(last - first, -1)
-                for s, x in run:
-                    n = min(WIDTH, last - s)
-                    at = slice(s - first, s - first + n)
-                    over = centre[:n] > depth[at]
-                    e[at][over], depth[at] = x[:n][over], np.maximum(depth[at], centre[:n])
-                out[i] += _decoded(self.viterbi(e), first, texts[i])
+        run, at = None, -1
+        for part in _batched(texts):
+            e = self.emissions(np.concatenate([symbols for _, _, symbols in part]).T)
+            for k, (i, s) in enumerate((i, s) for i, starts, _ in part for s in starts.tolist()):
+                if run is not None and (i != at or s > run.last + STEP):
+                    out[at] += run.ended(texts[at])
+                    run = None
+                run, at = run or _Run(self, s), i
+                run.window(s, e[:, k])
+        if run is not None:
+            out[at] += run.ended(texts[at])
         return out
 
+    def viterbi(self, e: np.ndarray) -> np.ndarray:
+        """The best tags of one sequence of emissions."""
+        return _traced(*self.advance(None, e))
+
+
+def _traced(best: np.ndarray, back: np.ndarray) -> np.ndarray:
+    tags = np.zeros(len(back), np.int8)
+    tags[-1] = best.argmax()
+    for t in range(len(back) - 1, 0, -1):
+        tags[t - 1] = back[t, tags[t]]
+    return tags
+
+
+def _batched(texts: list[str]) -> Iterator[list[tuple[int, np.ndarray, np.ndarray]]]:
+    """Windows of the texts in order, some hundreds at a time: text, starts, symbols (window, character)."""
+    held, n = [], 0
+    for i, text in enumerate(texts):
+        starts = _starts(text)
+        if len(starts):
+            padded = np.concatenate([_symbols(text), np.full(WIDTH, SYMBOLS, np.int8)])
+            for k in range(0, len(starts), WINDOWS):
+                part = starts[k : k + WINDOWS]
+                held.append((i, part, padded[part[:, None] + np.arange(WIDTH)]))
+                n += len(part)
+                if n >= WINDOWS:
+                    yield held
+                    held, n = [], 0
+    if held:
+        yield held
+
+
+class _Run:
+    """Overlapping windows of one text, read in order: a position takes the scores of the window in which it lies most centrally."""
+
+    CENTRE = np.minimum(np.arange(WIDTH), np.arange(WIDTH)[::-1])
+
+    def __init__(self, tagger: Tagger, first: int):
+        self.tagger, self.first, self.last = tagger, first, first
+        self.scores, self.depth = np.zeros((0, TAGS)), np.zeros(0, np.int64)  # of positions from ``last`` on
+        self.best, self.back = None, []
+
+    def _use(self, scores: np.ndarray) -> None:
+        self.best, back = self.tagger.advance(self.best, scores)
+        self.back.append(back)
+
+    def window(self, s: int, e: np.ndarray) -> None:
+        done = s - self.last
+        self._use(self.scores[:done])
+        held, depth = self.scores[done:], self.depth[done:]
+        scores, self.depth = e.copy(), self.CENTRE.copy()
+        keep = np.flatnonzero(depth >= self.depth[: len(depth)])
+        scores[keep], self.depth[keep] = held[keep], depth[keep]
+        self.scores, self.last = scores, s
+
+    def ended(self, text: str) -> list[tuple[int, int, int]]:
+        self._use(self.scores[: len(text) - self.last])
+        tags = _traced(self.best, np.concatenate(self.back))
+        return _decoded(tags, self.first, text)
+
 
 def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis, keepdims=True)
     return np.log(np.exp(x - top).sum(axis)) + top.squeeze(axis)
 
 
-def _starts(text: str) -> list[int]:
+def _starts(text: str) -> np.ndarray:
     """Starts of the windows that hold a digit, at-sign or written "at", on a grid of ``STEP``."""
-    out = set()
-    for m in _ANCHOR.finditer(text):
-        last = m.start() // STEP
-        out.update(range(max(0, last - WIDTH // STEP + 1), last + 1))
-    return [s * STEP for s in sorted(out)]
-
-
-def _runs(found: list[tuple[int, np.ndarray]]) -> Iterator[list]:
-    run: list = []
-    for s, x in found:
-        if run and s > run[-1][0] + STEP:
-            yield run
-            run = []
-        run.append((s, x))
-    yield run
+    cells = np.unique(np.fromiter((m.start() // STEP for m in _ANCHOR.finditer(text)), np.int64))
+    starts = np.unique((cells[:, None] - np.arange(WIDTH // STEP)).ravel())
+    return starts[starts >= 0] * STEP
 
 
 def _decoded(tags: np.ndarray, first: int, text: str) -> list[tuple[int, int, int]]:
     """Spans of B and I tags; kept if they begin and end between words and hold what their kind needs."""
-    out, t = [], 0
-    while t < len(tags):
-        if tags[t] % 2 == 1:
+    out, end = [], 0
+    for t in np.flatnonzero(tags % 2 == 1).tolist():
+        if t >= end:
             kind, end = (tags[t] - 1) // 2, t + 1
             while end < len(tags) and tags[end] == tags[t] + 1:
                 end += 1
@@ -290,9 +330,6 @@ def _decoded(tags: np.ndarray, first: int, text: str) -> list[tuple[int, int, in
             before, after = text[first + t - 1 : first + t] if first + t else "", text[first + end : first + end + 1]
             if not before.isalnum() and not after.isalnum() and _plausible(KINDS[kind], span):
                 out.append((first + t, int(kind), first + end))
-            t = end
-        else:
-            t += 1
     return out
 
 
@@ -326,8 +363,9 @@ def fit(texts: list[str], seed: int = 11) -> Tagger:
     """Train on the patterns' spans of ``texts``, half of them in other written forms."""
     rng, rows = np.random.default_rng(seed), []
     for text in texts:
-        spans = [s for s in base_spans(text)]
-        spans = [s for k, s in enumerate(spans) if not k or s[0] >= max(e for _, _, e in spans[:k])]
+        every = base_spans(text)
+        ends = [0, *itertools.accumulate((e for _, _, e in every), max)]
+        spans = [s for s, end in zip(every, ends) if s[0] >= end]
         for rewrite in (False, True):
             out, tags, at = [], [], 0
             for s, kind, e in spans:
@@ -338,7 +376,7 @@ def fit(texts: list[str], seed: int = 11) -> Tagger:
             out.append(text[at:])
             tags.append(np.zeros(len(text) - at, np.int64))
             whole = "".join(out)
-            symbols = np.concatenate([_symbols(whole), np.full(WIDTH, SYMBOLS, np.int64)])
+            symbols = np.concatenate([_symbols(whole), np.full(WIDTH, SYMBOLS, np.int8)])
             marks = np.concatenate([*tags, np.zeros(WIDTH, np.int64)])
             rows += [(symbols[i : i + WIDTH], marks[i : i + WIDTH]) for i in _starts(whole)]
     tagger = Tagger.new()
@@ -357,6 +395,12 @@ def learn(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Tagg
     return fit([r["text"] for r in sorted(rows)])
 
 
+def apart(more: list[tuple[int, int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The spans of ``more`` that overlap none of ``base``, which is sorted: of those that begin before a span's end, the greatest end tells."""
+    starts, ends = [s for s, _, _ in base], [0, *itertools.accumulate((e for _, _, e in base), max)]
+    return [s for s in more if ends[bisect.bisect_left(starts, s[2])] <= s[0]]
+
+
 def find(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per row of ``docs``: doc_id, base and spans as arrays of (kind, start, end)."""
     span = "array<struct<kind:string,start:int,end:int>>"
@@ -369,7 +413,7 @@ def find(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str
                 texts = [t or "" for t in part["text"].to_pylist()]
                 base = [base_spans(t) for t in texts]
                 more = tagger.spans(texts)
-                every = [sorted([*b, *(s for s in m if all(s[2] <= x[0] or s[0] >= x[2] for x in b))]) for b, m in zip(base, more, strict=True)]
+                every = [sorted([*b, *apart(m, b)]) for b, m in zip(base, more, strict=True)]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(map(shown, base), kind), pa.array(map(shown, every), kind)], ["doc_id", "base", "spans"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id long, base {span}, spans {span}")

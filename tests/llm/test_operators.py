@@ -261,16 +261,33 @@ def test_contamination_of_rewritten_sentences(spark, rows):
 
 
 def test_contamination_finds_every_copied_item(spark, rows):
-    """Items copied whole into a document: of each length from the least number of words on, and of mostly names and numbers."""
+    """Items copied whole into a document: of each length, of mostly names and numbers, of numbers alone; shorter ones as whole documents."""
     r = random.Random(11)
     word = lambda: r.choice(WORDS)
     items = [" ".join(word() for _ in range(n)) for n in (5, 6, 7, 8, 9, 20)]
     items.append("Anna Bob Carl Dora " + " ".join(word() for _ in range(9)) + " 1 2 3 4 5 6 7 8 9 10 11 12 Eva Finn Gina Hans Ida Jan Karl Lea")
-    items += ["too short it is", "12 13 14 15 16 17 18 19 20"]
-    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    items += ["too short it is", "12 13 14 15 16 17 18 19 20", "What is 12 times 17?", "Yes."]
+    bench = spark.createDataFrame([*enumerate(items), (99, ""), (98, "?!")], "item_id long, text string")
     pairs = [(k, f"{prose(k, 40)} {t} {prose(k + 50, 40)}") for k, t in enumerate(items)]
+    pairs += [(20, "Too short, it is!"), (21, "too short it is not"), (22, "12 13 14 15 16 17 18 19 21"), (23, "what is 12 times 18?"), (24, "yes"), (25, ""), (26, None), (27, f"{'long ' * 30_000} what is 12 times 17")]
     found = {(i, k) for i, k in read(decontamination.contamination(rows(pairs), bench), "doc_id", "item_id")}
-    assert found == {(k, k) for k in range(7)}
+    assert found == {(k, k) for k in (*range(7), 8, 9)} | {(20, 7), (24, 10), (27, 9)}
+
+
+def test_contamination_equals_its_sql(spark, rows, tmp_path):
+    """Items with and without usable windows, of several lengths, by the query's SQL."""
+    import duckdb
+
+    r = random.Random(12)
+    items = [" ".join(r.choice(WORDS) for _ in range(n)) for n in (5, 6, 8, 20)] + ["What is 12 times 17?", "Anna has 3 kg of rice and Bob has 4 kg of it today", "no", "1 2 3 4 5 6 7 8 9 10 11"]
+    texts = [f"{prose(k, 20)} {t} {prose(k + 50, 20)}" for k, t in enumerate(items)] + ["No!", "Zoe has 3 kg of rice and Tom has 4 kg of it today", *(prose(k, 60) for k in range(5))]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    db = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        db.sql(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    got = sorted(read(decontamination.op7_decontamination(spark, str(tmp_path)), "doc_id", "item_id", "n_matched", "n_windows"))
+    assert got == sorted(db.sql(decontamination.OP7_SQL).fetchall()) and {(k, k) for k in (0, 1, 2, 3, 4, 7)} | {(8, 6), (9, 5)} <= {x[:2] for x in got}
 
 
 # --- tokens, files, packing
@@ -579,6 +596,64 @@ def test_overlapping_windows_decode_as_one():
     assert spans == [pii._decoded(t.viterbi(whole), first, text)]
 
 
+def plain_valid(kind, text):
+    digits = [int(c) for c in text if c in "0123456789"]
+    if kind == "phone":
+        return 9 <= len(digits) <= 15
+    doubled = [d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(digits[::-1])]
+    return 12 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+
+
+def test_cards_and_phones_equal_brute_force():
+    """Leftmost longest matches, no second try inside one that fails."""
+    plain = {"card": re.compile(r"[0-9]([ -]?[0-9])+"), "phone": re.compile(r"\+[0-9][ ().0-9-]+[0-9]")}
+    r = random.Random(4)
+    for _ in range(3000):
+        text = "".join(r.choice(["4111", "1111", "55", "0", "7", " ", "-", "  ", "+", "(", ")", ".", "a"]) for _ in range(r.randint(0, 16)))
+        got = [(k, s, e) for s, k, e in pii.base_spans(text) if pii.KINDS[k] in plain]
+        want = [(pii.KINDS.index(k), m.start(), m.end()) for k, p in plain.items() for m in p.finditer(text) if plain_valid(k, m[0])]
+        assert sorted(got) == sorted(want)
+
+
+def test_model_spans_apart_from_the_patterns():
+    r = random.Random(5)
+    for _ in range(500):
+        span = lambda: (a := r.randrange(60), r.randrange(4), a + r.randint(1, 12))
+        base, more = sorted(span() for _ in range(r.randrange(6))), [span() for _ in range(8)]
+        assert pii.apart(more, base) == [s for s in more if all(s[2] <= x[0] or s[0] >= x[2] for x in base)]
+    n = 200_000
+    began = time.time()
+    assert len(pii.apart([(3 * k, 0, 3 * k + 1) for k in range(n)], [(3 * k + 1, 0, 3 * k + 2) for k in range(n)])) == n and time.time() - began < 5
+
+
+def test_long_digit_rich_text_takes_bounded_memory():
+    """Memory for a text of windows without end is a few bytes a character."""
+    import tracemalloc
+
+    t = pii.Tagger.new()
+    text = "1 23 a" * 50_000
+    tracemalloc.start()
+    t.spans([text[:3000], text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6 + 30 * len(text)  # 4.6 KB for each 32 characters before
+
+
+def test_op9_query_columns(spark, tmp_path):
+    """The registered query: counts, digest and spans of its own texts."""
+    import hashlib as h
+
+    texts = {i: f"{prose(i, 20)} a{i}.b@c{i}.example.org and 10.0.0.{i % 256} or +1 (403) 555-93{i % 90 + 10}, 4111 1111 1111 1111" for i in range(30)} | {50: None, 51: "", 52: "1.2.3"}
+    spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = {r["doc_id"]: r for r in pii.op9_pii(spark, str(tmp_path)).collect()}
+    assert set(out) == set(texts) and set(out[0].asDict()) >= {"n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"}
+    for i, r in out.items():
+        base = pii.base_spans(texts[i] or "")
+        joined = [f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in base]
+        assert r["base_sha256"] == h.sha256(",".join(joined).encode()).hexdigest() and set(joined) <= set(r["spans"].split(",") if r["spans"] else [])
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(pii.KINDS[x] == k for _, x, _ in base) for k in pii.KINDS]
+
+
 def test_base_spans():
     text = "a.b@c-d.example.org, 10.0.0.300 10.0.0.1 +1 (403) 555-9312 4111 1111 1111 1111 4111111111111112"
     shown = [(pii.KINDS[k], text[s:e]) for s, k, e in pii.base_spans(text)]
