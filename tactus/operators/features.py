@@ -17,13 +17,11 @@ from pyspark.sql import functions as F
 from tactus.config import Config
 from tactus.functions import dsp
 from tactus.functions.music import time_to_sample
+from tactus.functions.tables import RECORD
 from tactus.sources.wav_blocks import SCHEMA, channels_of
 
 #: Frames around a block that its analysis needs.
 ANALYSIS_CONTEXT = dsp.N_FFT // 2
-#: What ``dsp.variant_features`` gives.
-VARIANT_RECORD = ", ".join(f"{c} double" for c in dsp.VARIANT_FIELDS)
-RECORD = "rms double, zcr double, energy double, spectral_centroid_mean double, spectral_centroid_std double, spectral_rolloff_mean double, spectral_rolloff_std double, spectral_bandwidth_mean double, mfcc_mean array<double>, mfcc_std array<double>, chroma_mean array<double>"
 
 
 def bar_slices(signals: DataFrame, bars: DataFrame, rounding: str = "round") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tactus.operators.storage import saved
@@ -12,8 +12,6 @@ from tactus.operators.storage import saved
 
 def first_by_id(nodes: DataFrame, order: list) -> DataFrame:
     """One node per id, the first in order."""
-    from pyspark.sql import Window
-
     return nodes.withColumn("_k", F.row_number().over(Window.partitionBy("id").orderBy(*order))).where(F.col("_k") == 1).drop("_k")
 
 
@@ -136,13 +134,83 @@ def mermaid(edges: DataFrame) -> DataFrame:
     return head.unionByName(lines).orderBy("k", "value").select("value")
 
 
+def resolve_imports(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """source, target of the imports of modules: the module of that name among ``nodes``, else ``package:`` and the name's first part; edges of other types are left out."""
+    named = edges.where("type = 'IMPORTS' and source like 'module:%'").select("source", F.regexp_replace("target", "^import:", "").alias("name"))
+    modules = nodes.where("type = 'module'").select("name", F.col("id").alias("module")).groupBy("name").agg(F.min("module").alias("module"))
+    # a module is known by the last part of its dotted name
+    found = named.withColumn("last", F.substring_index("name", ".", -1)).join(modules.withColumnRenamed("name", "last"), "last", "left")
+    return found.select("source", F.coalesce("module", F.concat(F.lit("package:"), F.substring_index("name", ".", 1))).alias("target"))
+
+
+def within(edges: DataFrame, prefix: str) -> DataFrame:
+    """The edges between different nodes whose names, after the kind, both begin with ``prefix``."""
+    own = lambda c: F.substring_index(c, ":", -1).startswith(prefix)
+    return edges.where(own("source") & own("target") & (F.col("source") != F.col("target")))
+
+
+def _lines(rows: DataFrame, part: int, value: Column, *order: Column) -> DataFrame:
+    """place, value: lines of a part of a text, in order."""
+    w = Window.orderBy(*order)
+    return rows.select(F.struct(F.lit(part).alias("part"), F.row_number().over(w).alias("k")).alias("place"), value.alias("value"))
+
+
+def _text(spark: SparkSession, part: int, *lines: str) -> DataFrame:
+    return spark.createDataFrame([((part, k), x) for k, x in enumerate(lines)], "place struct<part: int, k: int>, value string")
+
+
+def dependency_report(imports: DataFrame, prefixes: tuple[str, ...] = ("",), k: int = 12, packages: int = 15, depth: int = 20) -> DataFrame:
+    """place, value: the lines of a Markdown report on imports (source, target): for each prefix the modules most coupled and the cycles, then the packages most used. Only the k first rows of
+    each table, and cycles, become lines."""
+    spark, name, parts = imports.sparkSession, lambda c: F.substring_index(c, ":", -1), []
+    parts.append(_text(spark, 0, "# Dependency Maps & Coupling Report"))
+    for n, prefix in enumerate(prefixes):
+        own, at = within(imports.where("target like 'module:%'"), prefix), 10 * n + 1
+        parts.append(_text(spark, at, "", f"## {prefix or 'all modules'}: coupling", "", "| Module | Imports (out) | Imported by (in) | Total |", "|---|---:|---:|---:|"))
+        row = F.format_string("| `%s` | %d | %d | %d |", name("node"), F.col("out_degree"), F.col("in_degree"), F.col("total"))
+        parts.append(_lines(coupling(own, k), at + 1, row, F.desc("total"), F.desc("in_degree"), F.desc("out_degree"), F.desc("node")))
+        found = cycles(own, depth)
+        parts.append(_text(spark, at + 2, "", f"## {prefix or 'all modules'}: cycles", "", *(["- none"] if found.isEmpty() else [])))
+        shown = F.concat(F.lit("- "), F.array_join(F.transform("path", lambda x: F.concat(F.lit("`"), name(x), F.lit("`"))), " -> "))
+        parts.append(_lines(found, at + 3, shown, F.col("length"), F.col("path")))
+    last = 10 * len(prefixes) + 1
+    parts.append(_text(spark, last, "", "## Packages", "", "| Package | Import references |", "|---|---:|"))
+    used = top_targets(imports.where("target like 'package:%'"), packages)
+    parts.append(_lines(used, last + 1, F.format_string("| `%s` | %d |", name("target"), F.col("n")), F.desc("n"), F.col("target")))
+    return reduce(DataFrame.unionByName, parts).orderBy("place")
+
+
+def _escaped(c: str) -> Column:
+    out = F.coalesce(F.col(c).cast("string"), F.lit(""))
+    for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        out = F.replace(out, F.lit(mark), F.lit(name))
+    return out
+
+
+#: The first lines of a GraphML document with the keys that follow.
+_GRAPHML = '<?xml version="1.0" encoding="UTF-8"?>\n<graphml xmlns="http://graphml.graphdrawing.org/xmlns">'
+
+
+def graphml(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """place, value: the lines of one GraphML document, a row a node or edge, so that no row holds the graph."""
+    fields = [c for c in ("type", "name", "file", "lineno") if c in nodes.columns]
+    place = lambda part, key: F.struct(F.lit(part).alias("part"), key.alias("key"))
+    data = lambda c, key: F.concat(F.lit(f'<data key="{key}">'), _escaped(c), F.lit("</data>"))
+    n = nodes.select(place(1, F.col("id")).alias("place"), F.concat(F.lit('<node id="'), _escaped("id"), F.lit('">'), *(data(c, c) for c in fields), F.lit("</node>")).alias("value"))
+    key = F.concat_ws("\x00", "source", "target", "type")
+    e = edges.select(place(2, key).alias("place"), F.concat(F.lit('<edge source="'), _escaped("source"), F.lit('" target="'), _escaped("target"), F.lit('">'), data("type", "kind"), F.lit("</edge>")).alias("value"))
+    keys = "".join(f'\n<key id="{c}" for="node" attr.name="{c}" attr.type="{"int" if c == "lineno" else "string"}"/>' for c in fields)
+    head = f'{_GRAPHML}{keys}\n<key id="kind" for="edge" attr.name="type" attr.type="string"/>\n<graph edgedefault="directed">'
+    ends = nodes.sparkSession.createDataFrame([((0, ""), head), ((3, ""), "</graph>\n</graphml>")], "place struct<part: int, key: string>, value string")
+    return ends.unionByName(n).unionByName(e)
+
+
 def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
-    """Nodes and edges as JSON lines in order, their numbers and the time of writing beside them, and the edges as Mermaid lines."""
+    """Nodes and edges as JSON lines in order, their numbers and the time of writing beside them, the edges as Mermaid lines, and a GraphML document in parts of a range
+    sort, to be read in the order of their names."""
     nodes.orderBy("id").write.mode("overwrite").json(f"{path}/nodes")
     edges.orderBy("source", "target", "type").write.mode("overwrite").json(f"{path}/edges")
     counts = nodes.agg(F.count(F.lit(1)).alias("nodes")).crossJoin(edges.agg(F.count(F.lit(1)).alias("edges"))).withColumn("at", F.current_timestamp())
     counts.write.mode("overwrite").json(f"{path}/summary")
     mermaid(edges).write.mode("overwrite").text(f"{path}/mermaid")
-    node = F.struct(F.col("id").alias("_id"), F.array(*(F.struct(F.lit(c).alias("_key"), F.col(c).alias("_VALUE")) for c in ("type", "name"))).alias("data"))
-    nodes.select(node.alias("n")).select("n.*").write.mode("overwrite").option("rootTag", "nodes").option("rowTag", "node").format("xml").save(f"{path}/graphml/nodes")
-    edges.select(F.col("source").alias("_source"), F.col("target").alias("_target"), F.struct(F.lit("type").alias("_key"), F.col("type").alias("_VALUE")).alias("data")).write.mode("overwrite").option("rootTag", "edges").option("rowTag", "edge").format("xml").save(f"{path}/graphml/edges")
+    graphml(nodes, edges).orderBy("place").select("value").write.mode("overwrite").text(f"{path}/graphml")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tactus import schemas
 from tactus.config import Config
-from tactus.functions import dsp
+from tactus.functions import dsp, tables
 from tactus.functions.music import many_bars
 from tactus.operators import align, bars, batch, features, frames, grid
 from tactus.operators.storage import saved
@@ -162,7 +162,7 @@ def _bar_features(spark: SparkSession, wav_path: str, out: str, config: Config,
     try:
         counts = bar_grid.groupBy("song_id").agg(F.count(F.lit(1)).alias("k"))
         many = saved(own.join(counts, "song_id").where(many_bars(F.col("k"), F.col("duration_s"))).select("song_id"))
-        names = [c.split()[0] for c in features.RECORD.split(", ")]
+        names = [c.split()[0] for c in tables.RECORD.split(", ")]
         keys, facts = ["song_id", "stem", "bar_index"], ["start_s", "end_s"]
         direct, made = sounds, None
         if not many.isEmpty():
@@ -178,7 +178,7 @@ def _bar_features(spark: SparkSession, wav_path: str, out: str, config: Config,
         columns = [c.split()[0] for c in schemas.BAR_FEATURES.split(", ")]
         steps.run("bar features", lambda: whole.select(*columns, "seconds").write.mode("overwrite").parquet(f"{work}/features"))
         if config.compat == "b":
-            wide = features.sound_features(sounds, dsp.variant_features, features.VARIANT_RECORD).withColumns({"duration_s": F.col("end_s") - F.col("start_s"), "chunk_path": path})
+            wide = features.sound_features(sounds, dsp.variant_features, tables.VARIANT_RECORD).withColumns({"duration_s": F.col("end_s") - F.col("start_s"), "chunk_path": path})
             steps.run("wide features", lambda: reports.write_dataset(wide.select(*keys, *facts, "duration_s", *dsp.VARIANT_FIELDS, "chunk_path"), f"{out}/wide_features"))
         if config.write_chunks:
             steps.run("chunks", lambda: files.write_files(chunks.chunk_files(sounds, config.native_chunks), f"{out}/chunks"))

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tactus.functions import dsp
+from tactus.functions import dsp, tables
 from tactus.operators import features
 from tactus.sinks import files
 from tactus.sources import audio
@@ -56,7 +56,7 @@ def chunk_signals(signals: DataFrame, intervals: DataFrame, folder: str, roundin
     return write_chunks(features.bar_slices(signals, intervals, rounding), folder)
 
 
-def chunks_with_features(signals: DataFrame, intervals: DataFrame, folder: str, rounding: str = "round", extractor=dsp.features, record: str = features.RECORD) -> DataFrame:
+def chunks_with_features(signals: DataFrame, intervals: DataFrame, folder: str, rounding: str = "round", extractor=dsp.features, record: str = tables.RECORD) -> DataFrame:
     """Files and features of the same slices: the columns of ``write_chunks``, chunk_index (a stem's chunks counted by their start), and the record of ``extractor``."""
     slices = features.bar_slices(signals, intervals, rounding).persist()
     written = write_chunks(slices, folder)

@@ -140,3 +140,24 @@ def test_newest_files_of_a_large_key(spark):
         want = {x for k in ("hot", "rare") for x in sorted((f for f in files if f[0] == k), key=lambda f: (f[1], f[2]), reverse=True)[n:]}
         assert {tuple(x) for x in analytics.keep_newest(df, n, ["stem"], ["mtime", "file"]).collect()} == want
     assert df.columns == analytics.keep_newest(df, 3, ["stem"], ["mtime", "file"]).columns
+
+
+def test_extractors_in_sql(spark, tmp_path):
+    """A second extractor runs in SQL and over chunks without a change to either."""
+    from tactus.functions import tables
+    from tactus.sinks import chunks
+
+    peak = lambda x, sr: {"peak": float(np.abs(x).max(initial=0)), "length_s": len(x) / sr}
+    record = "peak double, length_s double"
+    assert "peaks" in tables.register(spark, peaks=(peak, record))
+    x = np.sin(np.arange(4000) / 7)
+    spark.createDataFrame([(1, x.tolist(), 8000), (2, None, 8000), (3, [], None), (4, [0.5, None], 8000)], "id int, samples array<double>, sample_rate int").createOrReplaceTempView("sounds")
+    got = {r["id"]: r for r in spark.sql("select id, p.*, f.rms, f.mfcc_mean from sounds, lateral peaks(samples, sample_rate) p, lateral signal_features(samples, sample_rate) f").collect()}
+    assert set(got) == {1, 2, 4} and got[1]["peak"] == pytest.approx(np.abs(x).max()) and got[1]["length_s"] == 0.5 and got[2]["rms"] == 0 and got[4]["peak"] == 0.5
+    want = dsp.features(x, 8000)
+    assert got[1]["rms"] == pytest.approx(want["rms"]) and np.allclose(got[1]["mfcc_mean"], want["mfcc_mean"])
+    assert spark.sql("select v.zcr_max from sounds, lateral variant_features(samples, sample_rate) v where id = 1").first()[0] == pytest.approx(dsp.variant_features(x, 8000)["zcr_max"])
+    signals = spark.createDataFrame([("s", "v", 8000, x.tolist())], "song_id string, stem string, sample_rate int, samples array<double>")
+    spans = spark.createDataFrame([("s", 0, 0.0, 0.25), ("s", 1, 0.25, 0.5)], "song_id string, bar_index long, start_s double, end_s double")
+    rows = {r["chunk_index"]: r for r in chunks.chunks_with_features(signals, spans, str(tmp_path / "c"), extractor=peak, record=record).collect()}
+    assert set(rows) == {0, 1} and rows[1]["length_s"] == 0.25 and rows[0]["peak"] == pytest.approx(np.abs(x[:2000]).max()) and (tmp_path / "c" / "s" / "v" / "bar_0001.wav").exists()

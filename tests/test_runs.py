@@ -4,6 +4,7 @@ import os
 import shutil
 import struct
 import time
+from xml.etree import ElementTree
 
 import numpy as np
 import pytest
@@ -242,7 +243,24 @@ def test_graph_of_sources(spark, tmp_path):
     s = tables.read_json(spark, str(tmp_path / "g" / "summary")).first()
     assert (s["nodes"], s["edges"]) == (nodes.count(), len(found))
     assert spark.read.text(str(tmp_path / "g" / "mermaid")).first()["value"] == "graph LR"
-    assert spark.read.format("xml").option("rowTag", "node").load(str(tmp_path / "g" / "graphml" / "nodes")).count() == s["nodes"]
+    parts = sorted((tmp_path / "g" / "graphml").glob("part-*"))
+    tree = ElementTree.fromstring("".join(p.read_text() for p in parts))
+    tag = lambda x: "{http://graphml.graphdrawing.org/xmlns}" + x
+    assert len(tree.findall(f".//{tag('node')}")) == s["nodes"] and len(tree.findall(f".//{tag('edge')}")) == s["edges"] and len(tree.findall(tag("key"))) == 5
+
+
+def test_dependency_report(spark):
+    nodes = spark.createDataFrame([(f"module:{m}", "module", m) for m in ("pa", "pb", "pc", "q")], "id string, type string, name string")
+    edges = spark.createDataFrame([("module:pa", "import:x.pb", "IMPORTS"), ("module:pb", "import:pc", "IMPORTS"), ("module:pc", "import:pa", "IMPORTS"), ("module:q", "import:pa", "IMPORTS"), ("module:q", "import:numpy.linalg", "IMPORTS"), ("module:pa", "import:numpy", "IMPORTS"), ("module:pa", "f", "CALLS")], "source string, target string, type string")
+    imports = graph.resolve_imports(edges, nodes)
+    assert {(r["source"], r["target"]) for r in imports.collect()} == {("module:pa", "module:pb"), ("module:pb", "module:pc"), ("module:pc", "module:pa"), ("module:q", "module:pa"), ("module:q", "package:numpy"), ("module:pa", "package:numpy")}
+    assert graph.within(imports, "p").count() == 3
+    lines = [r["value"] for r in graph.dependency_report(imports, ("p", "q")).collect()]
+    assert lines[0].startswith("# ") and "- `pa` -> `pb` -> `pc`" in lines and "| `numpy` | 2 |" in lines and "| `pa` | 1 | 1 | 2 |" in lines and lines.count("- none") == 1
+    assert graph.first_by_id(nodes.withColumn("id", F.lit("<&\">")), ["name"]).count() == 1
+    one = nodes.limit(1).withColumn("id", F.lit('<&">'))
+    text = "\n".join(r["value"] for r in graph.graphml(one, edges.limit(0)).orderBy("place").collect())
+    assert ElementTree.fromstring(text)[-1][0].get("id") == '<&">'
 
 
 def test_sql_functions_and_records(spark):
