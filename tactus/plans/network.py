@@ -126,5 +126,5 @@ ORACLE_SQL = {
     "graph_cycles_dense": f"{_S}, walk(path, last) as (select [a, b], b from e where b > a union all select list_append(path, b), b from walk join e on a = last where b > path[1] and not list_contains(path, b) and len(path) < 6) select length, path from (select distinct 1::bigint as length, a::varchar as path from e where a = b union all select len(path)::bigint, array_to_string(path, ',') from walk join e on a = last where b = path[1])",
     "strong_components": f"{_S}, reach(a, b) as (select a, b from e where a <> b union select reach.a, e.b from reach join e on e.a = reach.b), mutual as (select x.a, x.b from reach x join reach y on x.a = y.b and x.b = y.a where x.a <> x.b) select a as node, greatest(a, max(b)) as root from mutual group by a",
     "wav_roundtrip": "select vec_id, 8000 as sample_rate, count(*) as n, sum(trunc(greatest(-1.0::double, least(1.0::double, v::double)) * 32767))::bigint as total from (select vec_id, unnest(embedding) as v from embeddings) group by vec_id",
-    "midi_roundtrip": "select 'song_' || (user_id % 8)::varchar as song_id, event_type as stem, count(*) as num_notes, sum(36 + event_id % 61)::bigint as pitch_sum, sum(1 + event_id % 127)::bigint as velocity_sum, round(min(event_id) * 0.5::double, 3) as start_s from events group by 1, 2",
+    "midi_roundtrip": "select 'song_' || user_id::varchar as song_id, event_type as stem, count(*) as num_notes, sum(36 + event_id % 61)::bigint as pitch_sum, sum(1 + event_id % 127)::bigint as velocity_sum, round(min(event_id) * 0.5::double, 3) as start_s from events group by 1, 2",
 }

@@ -8,19 +8,17 @@ from pyspark.sql import functions as F
 from tactus.operators.grid import number_beats
 
 
-#: Songs that the events are dealt to; so many rows at most have a song's first time, which are broadcast.
-SONGS = 8
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the song they belong to, one a user, and the seconds since its first: songs grow in number with the data. Times are whole
+    milliseconds, so that means of two of them have no more than the six places that are compared."""
     e = table(spark, sf_dir, "events")
-    e = e.withColumns({"song_id": F.concat(F.lit("song_"), (F.col("user_id") % SONGS).cast("string")), "us": F.unix_micros(F.col("ts").cast("timestamp"))})
+    e = e.withColumns({"song_id": F.concat(F.lit("song_"), F.col("user_id").cast("string")), "us": F.unix_millis(F.col("ts").cast("timestamp")) * 1000})
     first = e.groupBy("song_id").agg(F.min("us").alias("first_us"))
-    return e.join(F.broadcast(first), "song_id").withColumn("start_s", (F.col("us") - F.col("first_us")) / 1e6)
+    return e.join(first, "song_id").withColumn("start_s", (F.col("us") - F.col("first_us")) / 1e6)
 
 
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +46,7 @@ def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NOTES_SQL = """timed as (
   select *, (us - min(us) over (partition by song_id)) / 1e6 as start_s
-  from (select *, 'song_' || (user_id % 8)::varchar as song_id, epoch_us(ts) as us from events)
+  from (select *, 'song_' || user_id::varchar as song_id, epoch_us(ts) // 1000 * 1000 as us from events)
 ), notes as (
   select song_id, event_type as stem, event_id as note_ix, (36 + event_id % 61)::integer as pitch, (1 + event_id % 127)::integer as velocity,
          start_s, start_s + value / 10 as end_s, value / 10 as dur_s from timed
