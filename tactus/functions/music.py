@@ -50,10 +50,6 @@ def time_to_sample(seconds: Column, rate: Column, rounding: str = "round") -> Co
     return (F.rint(seconds * rate) if rounding == "round" else seconds * rate).cast("long")
 
 
-def quarter_notes(dur_s: Column, tempo_bpm: Column) -> Column:
-    return dur_s * tempo_bpm / 60.0
-
-
 def slug(name: Column) -> Column:
     return F.regexp_replace(F.lower(name), "[^a-z0-9]+", "_")
 
@@ -78,6 +74,7 @@ def register(spark) -> list[str]:
     forms = {
         "pitch_name": ("pitch INT", "STRING", "concat(element_at(array(" + ", ".join(f"'{n}'" for n in PITCH_CLASSES) + "), cast(pmod(pitch, 12) as int) + 1), cast(cast(floor(pitch / 12) as int) - 1 as string))"),
         "beats_per_bar": ("num DOUBLE, den DOUBLE", "DOUBLE", "if(num > 0 and den > 0, num * 4 / den, 4D)"),
+        "quarter_notes": ("dur_s DOUBLE, tempo_bpm DOUBLE", "DOUBLE", "dur_s * tempo_bpm / 60"),
         "signal_rms": ("x ARRAY<DOUBLE>", "DOUBLE", "if(size(x) > 0, sqrt(aggregate(x, 0D, (a, v) -> a + v * v) / size(x)), 0D)"),
         "signal_zcr": ("x ARRAY<DOUBLE>", "DOUBLE", "if(size(x) > 1, size(filter(sequence(1, size(x) - 1), i -> (x[i] < 0) <> (x[i - 1] < 0))) / size(x), 0D)"),
     }

@@ -71,9 +71,9 @@ def order_statistics(values: DataFrame, ranks: DataFrame, bins: int = 1024, few:
     return spark.createDataFrame(done, "feature string, rank long, value double")
 
 
-def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """feature, count, null_count, mean, std, min, quartiles (interpolated, exact), max. A column without values has nulls."""
-    long = long_format(df, columns)
+def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Of the columns, or of all numeric ones: feature, count, null_count, mean, std, min, quartiles (interpolated, exact), max. A column without values has nulls."""
+    long = long_format(df, numeric_columns(df) if columns is None else columns)
     out = saved(long.groupBy("feature").agg(F.count("value").alias("count"), (F.count(F.lit(1)) - F.count("value")).alias("null_count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")))
     place = F.explode(F.array(*(F.struct(F.lit(q).alias("q"), (F.lit(q) * (F.col("count") - 1)).alias("at")) for q in (0.25, 0.5, 0.75)))).alias("p")
     asked = out.where("count > 0").select("feature", place, F.col("min").alias("lo"), F.col("max").alias("hi")).select("feature", "p.q", "p.at", "lo", "hi")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tactus.operators import features, graph
 from tactus.plans.signal import blocks
+from tactus.plans import views as v
 from tactus.plans.timeline import _round, aligned
 from tactus.plans.views import notes, table
 from tactus.sinks import reports
@@ -115,7 +116,17 @@ QUERIES = {
 
 _P = "with recursive e as (select n_nationkey::bigint as a, ((n_nationkey * 7 + 3) % 25)::bigint as b from nation), walk(path, last) as (select [a, b], b from e where b > a union all select list_append(path, b), b from walk join e on a = last where b > path[1] and not list_contains(path, b) and len(path) < 21)"
 _S = "with recursive e as (select distinct s_suppkey::bigint as a, unnest([(s_suppkey * 7 + 3) % n + 1, (s_suppkey * 3 + 1) % n + 1])::bigint as b from (select *, count(*) over () as n from supplier))"
+#: The report's head, its line break as SQL.
+_HEAD = reports.HEAD.replace("\n", "' || chr(10) || '")
+_NAMES = "['C','C#','D','D#','E','F','F#','G','G#','A','A#','B']"
 ORACLE_SQL = {
+    "markdown_report": f"""with {v.aligned_sql('a')}, rows as (select song_id, stem, bar_index, string_agg(printf('| %.3f | %d | %s | %d | %.3f |', round(start_s, 3), pitch, ({_NAMES})[pitch % 12 + 1] || (pitch // 12 - 1)::varchar, velocity, round(end_s - start_s, 3)), chr(10) order by note_ix) as r from aligned group by 1, 2, 3
+), body as (select song_id, stem, string_agg('### Bar ' || bar_index::varchar || chr(10) || chr(10) || '{_HEAD}' || chr(10) || r || chr(10), chr(10) order by bar_index) as b from rows group by 1, 2
+) select song_id, stem, '# MIDI Analysis Report: ' || song_id || chr(10) || chr(10) || '## Stem: ' || stem || chr(10) || chr(10) || b as text from body""",
+    "abc_text": f"""with {v.aligned_sql('a')}, notes_ as (select song_id, stem, bar_index, start_s, pitch, pitch // 12 - 5 as o, (['C','^C','D','^D','E','F','^F','G','^G','A','^A','B'])[pitch % 12 + 1] as name, greatest(1, round_even((end_beat_float - start_beat_float) * 4, 0)::bigint)::varchar as n from aligned
+), shown as (select *, case when o > 0 then lower(name) || repeat(chr(39), greatest(o - 1, 0)) else name || repeat(',', -o) end || n as t from notes_
+), bars_ as (select song_id, stem, bar_index, string_agg(t, ' ' order by start_s, pitch, t) as line from shown group by 1, 2, 3
+) select song_id, stem, 'X:1' || chr(10) || 'T:' || song_id || ' ' || stem || chr(10) || 'M:4/4' || chr(10) || 'L:1/16' || chr(10) || 'Q:1/4=120' || chr(10) || 'K:C' || chr(10) || string_agg(line || ' |', chr(10) order by bar_index) as text from bars_ group by 1, 2""",
     "module_coupling": f"with {_EDGES}, e as (select distinct source, target from edges where source <> target) select node, sum(o)::bigint as out_degree, sum(i)::bigint as in_degree, sum(o + i)::bigint as total from (select source as node, 1 as o, 0 as i from e union all select target, 0, 1 from e) group by node order by total desc, out_degree desc, in_degree desc, node desc limit 12",
     "top_packages": f"with {_EDGES} select target, count(*) as n from edges group by 1 order by n desc, target limit 15",
     "edge_dedup": f"with {_EDGES} select distinct source, target from edges",

@@ -55,7 +55,9 @@ def evolving_segments(spark, d: str) -> DataFrame:
 
 
 def list_expand(spark, d: str) -> DataFrame:
-    return _round(blocks(spark, d).select("vec_id", *(F.get("samples", F.lit(i)).cast("double").alias(f"mfcc_mean_{i:02d}") for i in range(13))))
+    """The first thirteen samples of each block as columns."""
+    x = blocks(spark, d).select("vec_id", F.transform("samples", lambda v: v.cast("double")).alias("mfcc_mean"))
+    return _round(fl.expand_lists(x, {"mfcc_mean": 13}))
 
 
 def mono_downmix(spark, d: str) -> DataFrame:

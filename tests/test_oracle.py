@@ -15,7 +15,7 @@ def test_entry_names():
 
 
 @pytest.mark.skipif(not os.path.isdir(DIR), reason="driver tables are missing")
-@pytest.mark.parametrize("name", ["align_a", "align_b", "bars_agg", "bar_grid_7_8", "grid_overlap", "frame_stats", "feature_describe", "positional_zip", "graph_cycles", "symbol_resolution"])
+@pytest.mark.parametrize("name", sorted(plans.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     import duckdb
 

@@ -265,8 +265,8 @@ def test_dependency_report(spark):
 
 def test_sql_functions_and_records(spark):
     music.register(spark)
-    r = spark.sql("select pitch_name(61) as n, beats_per_bar(7, 8) as b, beats_per_bar(0, 4) as d, signal_rms(array(0.5D, -0.5D)) as r, signal_zcr(array(0.5D, -0.5D, 0.5D)) as z").first()
-    assert (r["n"], r["b"], r["d"], r["r"]) == ("C#4", 3.5, 4.0, 0.5) and r["z"] == pytest.approx(2 / 3)
+    r = spark.sql("select pitch_name(61) as n, beats_per_bar(7, 8) as b, beats_per_bar(0, 4) as d, signal_rms(array(0.5D, -0.5D)) as r, signal_zcr(array(0.5D, -0.5D, 0.5D)) as z, quarter_notes(2.0D, 90.0D) as q").first()
+    assert (r["n"], r["b"], r["d"], r["r"]) == ("C#4", 3.5, 4.0, 0.5) and r["z"] == pytest.approx(2 / 3) and r["q"] == 3.0
     df = spark.createDataFrame([(1, "x", [1.0, 3.0], True)], "a int, b string, c array<double>, d boolean")
     assert flatten.scalars(df, "p_").first().asDict() == {"p_a": 1, "p_c_mean": 2.0, "p_c_std": 1.0, "p_d": True}
     rows = spark.createDataFrame([(None, 2.0, 5.0), (1.0, None, None), (None, None, None)], "start_s double, start double, end double")
