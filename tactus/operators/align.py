@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tactus.functions.music import beats_per_bar
+from tactus.operators.storage import saved
 
 #: Least width of a bucket in seconds; intervals of mean length in one.
 BUCKET_S, PER_BUCKET = 8.0, 4
@@ -26,18 +27,27 @@ def widths(spans: DataFrame, start: str, end: str, least: float = BUCKET_S) -> D
     return spans.groupBy("song_id").agg(F.greatest(F.lit(least), F.coalesce(mean * PER_BUCKET, F.lit(least))).alias("width"))
 
 
+def beat_table(grid: DataFrame, width: float = BUCKET_S) -> DataFrame:
+    """song_id, beat_index, time_s, next_s, first_s, n_beats (so far), width (of a bucket): what both as-of joins of an alignment need of a grid. A song's last beat, whose next_s is
+    null, knows its ends and its number, and so every beat's width follows from the song's table."""
+    w, place = Window.partitionBy("song_id").orderBy("time_s", "beat_index"), Window.partitionBy("song_id").orderBy("time_s", "beat_index").rowsBetween(Window.unboundedPreceding, 0)
+    steps = grid.select("song_id", "beat_index", "time_s", F.lead("time_s").over(w).alias("next_s"), F.first("time_s").over(place).alias("first_s"), F.count(F.lit(1)).over(place).alias("n_beats"), F.max("time_s").over(Window.partitionBy("song_id")).alias("last_s"), F.count(F.lit(1)).over(Window.partitionBy("song_id")).alias("n"))
+    mean = (F.col("last_s") - F.col("first_s")) / F.greatest(F.col("n") - 1, F.lit(1))
+    return steps.select("song_id", "beat_index", "time_s", "next_s", "first_s", "n_beats", F.greatest(F.lit(width), mean * PER_BUCKET).alias("width"))
+
+
 def beat_position(times: DataFrame, grid: DataFrame, time_col: str, out: str, compat: str = "a", width: float = BUCKET_S) -> DataFrame:
     """Adds ``out``, the fractional beat, and ``out_index`` of each row's time.
 
     a: the beat at or before, the first for earlier times (which then have negative beats); none after the last but its number.
     b: the beat strictly before; 0 before the first, the number of beats after the last."""
-    w, place = Window.partitionBy("song_id").orderBy("time_s", "beat_index"), Window.partitionBy("song_id").orderBy("time_s", "beat_index").rowsBetween(Window.unboundedPreceding, 0)
-    # a song's last beat knows its ends and its number, and so every beat's width follows from the song's table
-    steps = grid.select("song_id", "beat_index", "time_s", F.lead("time_s").over(w).alias("next_s"), F.first("time_s").over(place).alias("first_s"), F.count(F.lit(1)).over(place).alias("n_beats"))
-    mean = (F.col("time_s") - F.col("first_s")) / F.greatest(F.col("n_beats") - 1, F.lit(1))
-    ends = steps.where("next_s is null").select("song_id", "first_s", F.col("time_s").alias("last_s"), "n_beats", F.greatest(F.lit(width), mean * PER_BUCKET).alias("width"))
+    return _placed(times, beat_table(grid, width), time_col, out, compat)
+
+
+def _placed(times: DataFrame, table: DataFrame, time_col: str, out: str, compat: str) -> DataFrame:
+    ends = table.where("next_s is null").select("song_id", "first_s", F.col("time_s").alias("last_s"), "n_beats", "width")
     rows = times.join(ends, "song_id", "left").withColumn("_b", _bucket(F.least(F.greatest(F.col(time_col), F.col("first_s")), F.col("last_s")), F.col("width")))
-    spans = steps.where("next_s is not null and next_s > time_s").select("song_id", "beat_index", "time_s", "next_s").join(ends.select("song_id", "width"), "song_id")
+    spans = table.where("next_s is not null and next_s > time_s")
     spans = spans.select("song_id", "beat_index", "time_s", "next_s", F.explode(F.sequence(_bucket(F.col("time_s"), F.col("width")), _bucket(F.col("next_s"), F.col("width")))).alias("_b"))
     t = F.greatest(F.col(time_col), F.col("first_s")) if compat == "a" else F.col(time_col)
     within = (t >= F.col("time_s")) & (t < F.col("next_s")) if compat == "a" else (t > F.col("time_s")) & (t <= F.col("next_s"))
@@ -51,11 +61,11 @@ def beat_position(times: DataFrame, grid: DataFrame, time_col: str, out: str, co
 
 
 def align(notes: DataFrame, grid: DataFrame, ts_num: int = 4, ts_den: int = 4, compat: str = "a") -> DataFrame:
-    """Notes with beat_index, bar_index, beat_in_bar, start_beat_float and end_beat_float on a grid that reaches to their ends.
+    """Notes with beat_index, bar_index, beat_in_bar, start_beat_float and end_beat_float on a grid that reaches to their ends. The grid's table is made once, for starts and ends.
 
     The bar is cut towards zero and the beat in it is never negative, so a note just before the first beat is in bar 0."""
-    bpb = beats_per_bar(ts_num, ts_den)
-    at = beat_position(beat_position(notes, grid, "start_s", "_start", compat), grid, "end_s", "_end", compat)
+    bpb, table = beats_per_bar(ts_num, ts_den), saved(beat_table(grid))
+    at = _placed(_placed(notes, table, "start_s", "_start", compat), table, "end_s", "_end", compat)
     start = F.col("_start")
     index = F.col("_start_index") if compat == "a" else start.cast("long")
     return at.select(*notes.columns, index.alias("beat_index"), (start / bpb).cast("long").alias("bar_index"), (start - bpb * F.floor(start / bpb)).alias("beat_in_bar"), start.alias("start_beat_float"), F.col("_end").alias("end_beat_float"))
