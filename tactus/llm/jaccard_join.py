@@ -14,7 +14,8 @@ connect them; a bucket gives a spanning forest, not its pairs.
 
 *Exact check.* All sets that may be similar are now in one component of those forests. Components are compared whole by exact
 intersection sizes, large ones in pairs of blocks, each set shipped once a block. This yields every set's number of links and a spanning
-forest of the true links, whose components are the classes. Links between sets of one component that no bucket showed are found too.
+forest of the true links, whose components are the classes. Links between sets of one component that no bucket showed are found too. Where classes alone are asked for, the buckets'
+trees are checked edge by edge first, which takes time in proportion to a group, and only components that these leave in several classes are compared whole.
 
 Null texts, texts without words and rows without an id have no links; a text without words is a class of its own. Rows of one
 id with different texts belong each to its own text's class; repeated rows count as copies. Words are parted by ASCII white space.
@@ -332,6 +333,38 @@ def _verify(similarity: float, shingle: int) -> Callable:
     return run
 
 
+def _linked(similarity: float, shingle: int) -> Callable:
+    """The pairs of a text (side 0) and those that follow it that are similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, own = None, None
+        for batch in batches:
+            for part in slices(batch, 1024, 4 << 20):
+                u, salt, side, v = (part[c].to_numpy(zero_copy_only=False) for c in ("u", "salt", "side", "v"))
+                ok = np.zeros(len(u), bool)
+                for k, z in enumerate(shingle_sets(part["text"], shingle)):
+                    if side[k] == 0:
+                        key, own = (u[k], salt[k]), z
+                    elif key == (u[k], salt[k]):
+                        both = len(np.intersect1d(own, z, assume_unique=True))
+                        ok[k] = both >= similarity * (len(own) + len(z) - both) - 1e-9
+                yield pa.RecordBatch.from_arrays([pa.array(u[ok]), pa.array(v[ok])], ["u", "v"])
+            release()
+
+    return run
+
+
+def _verified(edges: DataFrame, texts: Callable[[DataFrame], DataFrame], similarity: float, shingle: int, fan: int = 1024) -> DataFrame:
+    """Those of the edges (u, v) whose sets are similar enough. A node of many edges is dealt to several keys; its text goes once to each, and each other end's once an edge."""
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = materialize(texts(edges.select(F.explode(F.array("u", "v")).alias("rep")).distinct()), "ends")
+    salts = edges.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / fan).cast("int").alias("n"))
+    salted = edges.join(salts, "u").select("u", F.pmod(F.xxhash64("u", "v"), F.col("n")).cast("int").alias("salt"), F.lit(1).alias("side"), "v")
+    ends = salted.join(known.withColumnRenamed("rep", "v"), "v").select("u", "salt", "side", "v", "text")
+    heads = salts.select("u", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"), F.lit(0).alias("side"), F.col("u").alias("v")).join(known.withColumnRenamed("rep", "u"), "u").select("u", "salt", "side", "v", "text")
+    return heads.unionByName(ends).repartition(parts, "u", "salt").sortWithinPartitions("u", "salt", "side").mapInArrow(_linked(similarity, shingle), "u long, v long")
+
+
 def _bucket_pairs(first: DataFrame, texts: Callable[[DataFrame], DataFrame], recall: float, similarity: float, shingle: int, limit: int) -> DataFrame:
     """path, n, rep: the members of all buckets to be compared. ``first``: rep, path of the first level; ``texts`` adds the text to rows of rep."""
     sizes = materialize(first.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
@@ -356,8 +389,8 @@ def _bucket_pairs(first: DataFrame, texts: Callable[[DataFrame], DataFrame], rec
     return met
 
 
-def _classified(docs: DataFrame, similarity: float, recall: float, shingle: int, limit: int, block: int, id_col: str, text_col: str) -> DataFrame:
-    """``similarity_classes`` with text_key, the hash of a row's text."""
+def _classified(docs: DataFrame, similarity: float, recall: float, shingle: int, limit: int, block: int, id_col: str, text_col: str, counted: bool = True) -> DataFrame:
+    """``similarity_classes`` with text_key, the hash of a row's text; unless ``counted``, n_links is a lower bound."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("text_key", F.xxhash64("text"))
@@ -377,12 +410,20 @@ def _classified(docs: DataFrame, similarity: float, recall: float, shingle: int,
     met = _bucket_pairs(classes.select("rep", F.explode("paths").alias("path")), texts, recall, similarity, shingle, limit)
     met = _blocked(met.join(classes.select("rep", "sketch"), "rep"), "path", "n", limit)
     dealt = met.select("path", "i", "j", "side", "rep", "sketch").repartition(parts, "path", "i", "j").sortWithinPartitions("path", "i", "j")
-    joined = components(dealt.mapInArrow(_candidates(similarity - SLACK), "u long, v long"))
-
+    edges = materialize(dealt.mapInArrow(_candidates(similarity - SLACK), "u long, v long").distinct(), "candidates")
+    joined, sure = components(edges), None
+    if not counted:
+        # where the buckets' trees alone, checked exactly, make one class of a component, no other pair of it matters
+        sure = materialize(_verified(edges, texts, similarity, shingle), "sure")
+        own = joined.join(components(sure).withColumnRenamed("root", "class"), "node", "left").select("node", "root", F.coalesce("class", "node").alias("class"))
+        open_ = own.groupBy("root").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("root")
+        joined = materialize(joined.join(open_, "root", "left_semi"), "open")
     sizes = joined.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     members = joined.join(sizes, "root").withColumnRenamed("node", "rep").join(classes.select("rep", "weight"), "rep")
     dealt = _blocked(texts(members), "root", "n", block).select("root", "i", "j", "side", "rep", "weight", "text").repartition(parts, "root", "i", "j").sortWithinPartitions("root", "i", "j")
     links = materialize(dealt.mapInArrow(_verify(similarity, shingle), "rep long, n_links long, root long"), "links")
+    if sure is not None:
+        links = links.unionByName(sure.select(F.col("u").alias("rep"), F.lit(0).cast("long").alias("n_links"), F.col("v").alias("root")))
     counts = links.groupBy("rep").agg(F.sum("n_links").alias("n_links"))
     roots = components(links.select(F.col("rep").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "rep")
     first = roots.join(classes.select("rep", "doc_id"), "rep").groupBy("root").agg(F.min("doc_id").alias("class_id"))
@@ -403,7 +444,7 @@ def op1_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 def stage_jaccard_join(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class, the one with the least id; rows without an id stay."""
-    found = _classified(docs, SIMILARITY, RECALL, SHINGLE, LIMIT, BLOCK, "doc_id", "text")
+    found = _classified(docs, SIMILARITY, RECALL, SHINGLE, LIMIT, BLOCK, "doc_id", "text", counted=False)
     gone = materialize(found.where("class_id < doc_id").select("doc_id", "text_key").distinct(), "gone")
     gone = (F.broadcast(gone) if is_small(gone, SMALL) else gone).alias("gone")
     return docs.alias("docs").join(gone, (F.col("docs.doc_id").cast("long") == F.col("gone.doc_id")) & (F.xxhash64("docs.text") == F.col("gone.text_key")), "left_anti")

@@ -110,6 +110,18 @@ def test_large_group_of_near_copies(spark, rows):
     assert {i: (c, n) for i, c, n in out} == brute_links(pairs)
 
 
+def test_classes_alone_equal_those_with_counts(spark, rows):
+    """Edge by edge first: groups that the trees settle, and a chain of different texts whose candidates are wider than its links."""
+    words = prose(4, 100).split()
+    pairs = [(i, " ".join([*words[: 7 + i % 80], f"own{i}", *words[8 + i % 80 :]])) for i in range(60)]
+    line = [f"w{k}" for k in range(300)]
+    pairs += [(100 + i, " ".join(line[6 * i : 6 * i + 60])) for i in range(40)] + [(200, None), (201, "a"), (202, "a"), (203, pairs[0][1])]
+    for limit in (4096, 16):
+        a = jaccard_join._classified(rows(pairs), 0.8, jaccard_join.RECALL, 5, limit, 32, "doc_id", "text", counted=False)
+        want = brute_links(pairs)
+        assert {i: c for i, c in read(a, "doc_id", "class_id")} == {i: c for i, (c, _) in want.items()}
+
+
 @pytest.mark.parametrize("order", ["ascending", "descending", "shuffled"])
 def test_components_of_long_paths(spark, monkeypatch, order):
     n, steps = 5000, []
