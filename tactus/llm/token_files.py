@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from tactus.llm.common import new_path, release
 from tactus.llm.tokens import encoder, slices, tokenizer_path
 
+#: Pieces that a worker remembers: the files of a task are long, and its memory holds little else.
+CACHE = 1_000_000
 SCHEMA = "doc_id long, n_tokens long, start_in_file long, shard long, ids array<int>"
 
 
@@ -30,9 +32,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     spark = docs.sparkSession
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use, start = encoder(tokenizer, spaced), 0
+        use, start = encoder(tokenizer, spaced, CACHE), 0
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, text_bytes=8 << 20):
                 ids, cuts = use.encode(part["text"])
                 n = np.diff(cuts) + 1
                 out = np.insert(ids.astype(np.int32), cuts[1:], end_id)

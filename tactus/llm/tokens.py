@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 #: White-space pairs, or characters whose white space or lower case the libraries may see differently.
 _WHOLE_SPACED = r"[\s\x0b\x1c-\x1f][\s\x0b\x1c-\x1f]|[\x0b\x0c\x0d\x09\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _PLAIN = r"^[\x00-\x08\x0a\x0e-\x1b\x20-\x{84}\x{86}-\x{9f}\x{a1}-\x{12f}]*$"
-CACHE = 400_000  # pieces that a worker process remembers
+CACHE = 400_000  # pieces that a worker process remembers, unless it is told otherwise
 
 
 def tokenizer_path(name: str) -> str:
@@ -35,13 +35,13 @@ def _gather(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray
 class Encoder:
     """Ids of texts by a tokenizer file; ``spaced``: a space belongs to the word after it (byte-level), else it is dropped."""
 
-    def __init__(self, path: str, spaced: bool):
+    def __init__(self, path: str, spaced: bool, cache: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True
-        self.spaced = spaced
+        self.spaced, self.cache = spaced, cache
         size = self.lib.get_vocab_size()
         self.kind = np.dtype("<u4" if size > 65535 else "<u2")
         vocab = self.lib.get_vocab()
@@ -69,7 +69,7 @@ class Encoder:
 
     def _slots(self, wanted: pa.Array) -> np.ndarray:
         """Where each of the distinct strings stands among ``keys``, after new ones are encoded."""
-        if len(self.keys) > CACHE:
+        if len(self.keys) > self.cache:
             self._forget()
         new = wanted.filter(pc.invert(pc.is_in(wanted, value_set=self.keys)))
         body = pc.utf8_ltrim(new, " ") if self.spaced else new
@@ -170,10 +170,10 @@ class Encoder:
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str, spaced: bool) -> Encoder:
-    """This worker process's encoder of the file."""
+def encoder(path: str, spaced: bool, cache: int = CACHE) -> Encoder:
+    """This worker process's encoder of the file, which remembers so many pieces."""
     if (path, spaced) not in _ENCODERS:
-        _ENCODERS[path, spaced] = Encoder(path, spaced)
+        _ENCODERS[path, spaced] = Encoder(path, spaced, cache)
     return _ENCODERS[path, spaced]
 
 
