@@ -87,11 +87,13 @@ class Steps:
 
         def attempt():
             self.attempts[key] += 1
-            began, late, group = time.monotonic(), threading.Event(), f"tactus-{key}-{uuid.uuid4().hex}"
+            began, late, done, group = time.monotonic(), threading.Event(), threading.Event(), f"tactus-{key}-{uuid.uuid4().hex}"
 
             def stop():
                 late.set()
-                context.cancelJobGroup(group)
+                while not done.is_set():  # a job that starts only now is ended too
+                    context.cancelJobGroup(group)
+                    done.wait(0.5)
 
             timer = threading.Timer(self.timeout_s, stop) if self.timeout_s else None
             context.setJobGroup(group, name, True)
@@ -106,6 +108,7 @@ class Steps:
                     raise FileNotFoundError(str(e).splitlines()[0]) from e
                 raise
             finally:
+                done.set()
                 if timer:
                     timer.cancel()
                 for p in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
@@ -150,12 +153,12 @@ def shown(args: list[str]) -> str:
     return shlex.join(args)
 
 
-def run_command(args: list[str], timeout_s: float | None = None) -> str:
-    """Standard output of a command; a fault carries both outputs whole."""
-    done = subprocess.run(args, capture_output=True, text=True, timeout=timeout_s)
+def run_command(args: list[str], timeout_s: float | None = None, content: bytes | None = None) -> str | bytes:
+    """Standard output of a command, as bytes if it is given ``content`` to read; a fault carries both outputs whole."""
+    done = subprocess.run(args, capture_output=True, input=content, timeout=timeout_s)
     if done.returncode:
-        raise RuntimeError(f"{shown(args)} ended with {done.returncode}\n{done.stdout}\n{done.stderr}")
-    return done.stdout
+        raise RuntimeError(f"{shown(args)} ended with {done.returncode}\n{done.stdout.decode(errors='replace')}\n{done.stderr.decode(errors='replace')}")
+    return done.stdout if content is not None else done.stdout.decode()
 
 
 def health(spark: SparkSession, tools: tuple[str, ...] = ("ffmpeg", "demucs", "basic-pitch")) -> DataFrame:

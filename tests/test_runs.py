@@ -3,6 +3,7 @@
 import os
 import shutil
 import struct
+import sys
 import time
 from xml.etree import ElementTree
 
@@ -16,7 +17,7 @@ from tactus.functions import dsp, flatten, music
 from tactus.operators import batch, bars, features, frames, graph
 from tactus.plans import song
 from tactus.sinks import chunks, files, reports
-from tactus.sources import audio, code, midi, tables, wav_blocks
+from tactus.sources import audio, code, commands, midi, tables, wav_blocks
 from tests.test_sources_and_features import clicks
 
 
@@ -298,6 +299,23 @@ def test_steps_health_and_commands(spark):
     assert parser().parse_args(["in", "out", "--write-chunks", "--step-timeout", "3"]).step_timeout == 3.0
 
 
+def test_files_through_a_program(spark, tmp_path, monkeypatch):
+    """Another container, here a WAV file backwards, becomes signals; what can't be read is an error, and a program that always fails isn't started for ever."""
+    (tmp_path / "in" / "s").mkdir(parents=True)
+    content = audio.encode(np.linspace(-0.5, 0.5, 1000), 8000)
+    (tmp_path / "in" / "s" / "full_mix.vaw").write_bytes(content[::-1])
+    (tmp_path / "in" / "s" / "other.vaw").write_bytes(b"x")
+    back = (sys.executable, "-c", "import sys; d = sys.stdin.buffer.read(); sys.exit('too short') if len(d) < 9 else sys.stdout.buffer.write(d[::-1])")
+    got = {r["stem"]: r for r in commands.read_converted(spark, str(tmp_path / "in"), "*.vaw", back).collect()}
+    assert got["full_mix"]["sample_rate"] == 8000 and np.allclose(got["full_mix"]["samples"], np.linspace(-0.5, 0.5, 1000), atol=1e-3)
+    assert got["other"]["samples"] is None and "ended with 1" in got["other"]["error"]
+    rows = spark.createDataFrame([(k, bytearray(b"x"), "y") for k in range(20)], "k int, content binary, extra string").coalesce(1)
+    out = commands.through_command(rows, (sys.executable, "-c", "raise SystemExit(3)"), retries=0).collect()
+    assert all(r["content"] is None and r["extra"] == "y" for r in out) and sum("circuit is open" in r["error"] for r in out) == 20 - commands.FAILURES
+    gone = commands.through_command(rows, ("/no/such/program",)).collect()
+    assert sum("No such file" in r["error"] for r in gone) == commands.FAILURES and all(r["error"] for r in gone)
+
+
 def test_midi_variants_and_frames_a_second():
     content = midi.build([(60, 100, 0.0, 1.0)])
     found, _ = midi.parse(content)
