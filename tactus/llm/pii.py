@@ -42,8 +42,8 @@ _WRITTEN = r"[ (\[]at[ )\]]"
 _ANCHOR = re.compile("[0-9@]|" + _WRITTEN)
 
 WIDTH, STEP, SAMPLE, LONGEST, TRAINED = 64, 32, 800, 50_000, 5000
-#: Windows that are scored at a time.
-WINDOWS = 512
+#: Windows that are scored, and short runs that are decoded, at a time; positions of a run beyond which it is decoded as it is read; positions of short runs that wait.
+WINDOWS, LONG, HELD = 512, 2048, 50_000
 HIDDEN, EMBED, EPOCHS, BATCH = 20, 12, 6, 32
 #: B and I tags of each kind after O.
 TAGS = 1 + 2 * len(KINDS)
@@ -233,17 +233,61 @@ class Tagger:
         """The model's valid spans of each text, before they are held against the patterns'. Windows are scored some hundreds at a time; a position's scores are used up as soon
         as no further window holds it, so what stays of a run of windows, of any length, is a byte for each tag of a position."""
         out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-        run, at = None, -1
+        run, at, short, held = None, -1, [], 0
+
+        def end() -> None:
+            nonlocal held
+            scores = run.ended(texts[at])
+            if scores is None:
+                out[at].extend(_decoded(run.tags(), run.first, texts[at]))
+            else:
+                short.append((at, run.first, scores))
+                held += len(scores)
+
+        def settle() -> None:
+            nonlocal held
+            for (i, first, _), tags in zip(short, self.viterbi_of([x for _, _, x in short]), strict=True):
+                out[i].extend(_decoded(tags, first, texts[i]))
+            short.clear()
+            held = 0
+
         for part in _batched(texts):
             e = self.emissions(np.concatenate([symbols for _, _, symbols in part]).T)
             for k, (i, s) in enumerate((i, s) for i, starts, _ in part for s in starts.tolist()):
                 if run is not None and (i != at or s > run.last + STEP):
-                    out[at] += run.ended(texts[at])
+                    end()
                     run = None
                 run, at = run or _Run(self, s), i
                 run.window(s, e[:, k])
+            if held > HELD:
+                settle()
         if run is not None:
-            out[at] += run.ended(texts[at])
+            end()
+        settle()
+        return [sorted(spans) for spans in out]
+
+    def viterbi_of(self, scores: list[np.ndarray]) -> list[np.ndarray]:
+        """The best tags of several sequences of emissions at once, those of like length together."""
+        out: list = [None] * len(scores)
+        order = sorted(range(len(scores)), key=lambda k: len(scores[k]))
+        for a in range(0, len(order), WINDOWS):
+            part = order[a : a + WINDOWS]
+            size = np.array([len(scores[k]) for k in part])
+            e, row = np.zeros((size[-1], len(part), TAGS)), np.arange(len(part))
+            for r, k in enumerate(part):
+                e[: size[r], r] = scores[k]
+            best, back = e[0], np.zeros(e.shape, np.int8)
+            for t in range(1, len(e)):
+                s = best[:, :, None] + self.w["t"]
+                back[t] = s.argmax(1)
+                best = np.where((t < size)[:, None], s.max(1) + e[t], best)
+            tags = np.zeros((len(e), len(part)), np.int8)
+            now = best.argmax(1)
+            for t in range(len(e) - 1, -1, -1):
+                tags[t] = now
+                now = np.where(t < size, back[t, row, now], now)
+            for r, k in enumerate(part):
+                out[k] = tags[: size[r], r]
         return out
 
     def viterbi(self, e: np.ndarray) -> np.ndarray:
@@ -285,11 +329,16 @@ class _Run:
     def __init__(self, tagger: Tagger, first: int):
         self.tagger, self.first, self.last = tagger, first, first
         self.scores, self.depth = np.zeros((0, TAGS)), np.zeros(0, np.int64)  # of positions from ``last`` on
-        self.best, self.back = None, []
+        self.best, self.back, self.short, self.size = None, [], [], 0
 
     def _use(self, scores: np.ndarray) -> None:
-        self.best, back = self.tagger.advance(self.best, scores)
-        self.back.append(back)
+        self.short.append(scores)
+        self.size += len(scores)
+        if self.size > LONG:  # from here on nothing of it is kept but a byte for each tag
+            for x in self.short:
+                self.best, back = self.tagger.advance(self.best, x)
+                self.back.append(back)
+            self.short = []
 
     def window(self, s: int, e: np.ndarray) -> None:
         done = s - self.last
@@ -300,10 +349,13 @@ class _Run:
         scores[keep], self.depth[keep] = held[keep], depth[keep]
         self.scores, self.last = scores, s
 
-    def ended(self, text: str) -> list[tuple[int, int, int]]:
+    def ended(self, text: str) -> np.ndarray | None:
+        """The scores of a short run; none of a long one, whose ``tags`` are ready."""
         self._use(self.scores[: len(text) - self.last])
-        tags = _traced(self.best, np.concatenate(self.back))
-        return _decoded(tags, self.first, text)
+        return None if self.back else np.concatenate(self.short)
+
+    def tags(self) -> np.ndarray:
+        return _traced(self.best, np.concatenate(self.back))
 
 
 def _logsum(x: np.ndarray, axis: int) -> np.ndarray:

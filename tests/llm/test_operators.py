@@ -591,13 +591,15 @@ def test_long_numbers_are_no_addresses():
     assert pii.base_spans("1.1.1." + "0" * 5000 + "255") == [(0, 1, 5009)]
 
 
-def test_overlapping_windows_decode_as_one():
+def test_overlapping_windows_decode_as_one(monkeypatch):
     """Viterbi over reconciled windows against the best of all tag sequences by brute force."""
     r, t = np.random.default_rng(2), pii.Tagger.new()
     t.w["t"] = r.normal(0, 1, t.w["t"].shape)
     e = r.normal(0, 2, (4, pii.TAGS))
     best = max(itertools.product(range(pii.TAGS), repeat=4), key=lambda y: sum(e[i, y[i]] for i in range(4)) + sum(t.w["t"][a, b] for a, b in zip(y, y[1:])))
     assert t.viterbi(e).tolist() == list(best)
+    several = [r.normal(0, 2, (n, pii.TAGS)) for n in (4, 1, 9, 4, 30, 2)] + [e]
+    assert [x.tolist() for x in t.viterbi_of(several)] == [t.viterbi(x).tolist() for x in several] and t.viterbi_of([]) == []
     text = prose(3, 40).replace("\n", " ") + " 5 " + prose(4, 40)
     spans = t.spans([text])
     starts = pii._starts(text)
@@ -606,6 +608,12 @@ def test_overlapping_windows_decode_as_one():
     first, last = starts[0], min(starts[-1] + pii.WIDTH, len(text))
     whole = np.stack([windows[max((s for s in starts if s <= i < s + pii.WIDTH), key=lambda s: (min(i - s, s + pii.WIDTH - 1 - i), -s))][i - max((s for s in starts if s <= i < s + pii.WIDTH), key=lambda s: (min(i - s, s + pii.WIDTH - 1 - i), -s))] for i in range(first, last)])
     assert spans == [pii._decoded(t.viterbi(whole), first, text)]
+    texts = [f"{prose(k, 30)} {k} at {prose(k + 9, 50)} 7" for k in range(40)] + ["", "none", "5" * 300]
+    alone = [t.spans([x])[0] for x in texts]
+    assert t.spans(texts) == alone
+    monkeypatch.setattr(pii, "LONG", 10)
+    monkeypatch.setattr(pii, "HELD", 100)
+    assert t.spans(texts) == alone
 
 
 def plain_valid(kind, text):
