@@ -1,9 +1,12 @@
 """Grids, alignment and bars on small inputs with known results."""
 
+import math
+
 import pytest
 
 from tactus.config import Config
 from tactus.operators import align, bars, grid
+from tactus.plans import timeline
 
 
 def beats(spark, times, song="s"):
@@ -70,6 +73,26 @@ def test_overlap_keeps_empty_cells_and_strict_borders(spark):
     assert [(r["start_s"], r["original_start"]) for r in q] == [(1.0, 1.2)]
 
 
+def test_overlap_with_steps_is_overlap_with_their_cells(spark):
+    n = notes(spark, [(0.1, 0.5, 60), (1.2, 1.8, 64), (2.3, 2.9, 67), (0.9, 2.1, 72), (1.0, 1.0, 50), (1.5, 1.5, 51), (1.7, 1.3, 52), (-2.0, 0.3, 53), (62.0, 200.0, 54), (0.3, 0.6, 55)])
+    n = n.unionByName(notes(spark, [(0.0, 3.0, 1)], "none")).unionByName(notes(spark, [(0.0, 3.0, 2)], "other"))
+    for step in (0.1, 1.0, 7.0):
+        d = spark.createDataFrame([("s", 130.5), ("none", 0.0), ("bare", 3.0), ("other", 61 * step)], "song_id string, duration_s double")
+        cells = spark.createDataFrame([(s, k, k * step, (k + 1) * step) for s, until in (("s", 130.5), ("bare", 3.0), ("other", 61 * step)) for k in range(math.ceil(until / step))], "song_id string, cell_ix long, cell_start_s double, cell_end_s double")
+        tidy = lambda x: sorted((tuple(r) for r in x.select("song_id", "cell_ix", "cell_start_s", "cell_end_s", "note_ix", "pitch", "start_s").collect()), key=repr)
+        assert tidy(align.overlap_steps(n, d, step)) == tidy(align.overlap(n, cells, step))
+
+
+def test_exploded_cells_are_not_broadcast_or_shuffled(spark):
+    """A song's cells are far more than its row's size tells the planner."""
+    for query in (timeline.grid_overlap, timeline.grid_overlap_quantized):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan
+    n = notes(spark, [(0.0, 1.0, 60)])
+    cells = spark.range(3).selectExpr("'s' as song_id", "id as cell_ix", "double(id) as cell_start_s", "double(id + 1) as cell_end_s")
+    assert "Broadcast" not in align.overlap(n, cells)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_bars_leave_out_null_keys(spark):
     e = spark.createDataFrame([("s", "x", 0, 60, 80, 0.0, 1.0), ("s", "x", 0, 64, 100, 0.5, 1.5), ("s", "x", None, 1, 1, 0.0, 9.0)], "song_id string, stem string, bar_index long, pitch int, velocity int, start_s double, end_s double")
     (r,) = bars.bars(e).collect()
