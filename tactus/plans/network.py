@@ -72,9 +72,10 @@ def edge_semijoin(spark, d: str) -> DataFrame:
 def _signals(spark, d: str) -> DataFrame:
     """Blocks strung together per bar label as a song at 8 kHz, scaled into [-1, 1]; an excerpt for each ``EXCERPT`` ids bounds a row's length."""
     rows = F.array_sort(F.collect_list(F.struct("vec_id", "samples")))
-    songs = blocks(spark, d).withColumn("excerpt", F.floor(F.col("vec_id") / EXCERPT)).groupBy("bar_index", "excerpt").agg(F.flatten(F.transform(rows, lambda r: r["samples"])).alias("x"))
-    peak = F.array_max(F.transform("x", F.abs))
-    return songs.select(F.concat(F.lit("song_"), F.col("bar_index").cast("string"), F.when(F.col("excerpt") == 0, "").otherwise(F.concat(F.lit("_"), F.col("excerpt").cast("string")))).alias("song_id"), F.lit("full_mix").alias("stem"), F.lit(8000).alias("sample_rate"), F.transform("x", lambda v: (v / peak).cast("float")).alias("samples"))
+    # the peak is an aggregate of the group: as an expression over the row's samples it would be worked out again for each sample
+    peak = F.max(F.array_max(F.transform("samples", F.abs)))
+    songs = blocks(spark, d).withColumn("excerpt", F.floor(F.col("vec_id") / EXCERPT)).groupBy("bar_index", "excerpt").agg(F.flatten(F.transform(rows, lambda r: r["samples"])).alias("x"), peak.alias("peak"))
+    return songs.select(F.concat(F.lit("song_"), F.col("bar_index").cast("string"), F.when(F.col("excerpt") == 0, "").otherwise(F.concat(F.lit("_"), F.col("excerpt").cast("string")))).alias("song_id"), F.lit("full_mix").alias("stem"), F.lit(8000).alias("sample_rate"), F.transform("x", lambda v: (v / F.col("peak")).cast("float")).alias("samples"))
 
 
 def spectral_features(spark, d: str) -> DataFrame:

@@ -171,3 +171,11 @@ def test_signals_keep_all_blocks(spark, tmp_path):
     found = network._signals(spark, str(tmp_path)).select("song_id", F.size("samples").alias("n")).collect()
     assert sum(r["n"] for r in found) == 2 * 43
     assert {r["song_id"] for r in found} == {f"song_{k}{e}" for k in range(3) for e in ("", "_1", "_2")}
+
+
+def test_peak_of_a_signal_is_found_once(spark):
+    """As an expression in the function over samples the peak would be worked out for each of them."""
+    from tactus.plans import network
+
+    plan = network._signals(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "max(array_max(" in plan
