@@ -179,3 +179,19 @@ def test_peak_of_a_signal_is_found_once(spark):
 
     plan = network._signals(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "max(array_max(" in plan
+
+
+def test_midi_of_many_stems_is_built_and_read_in_few_tables(spark):
+    """Each stem as a call and a table of its own took most of the time."""
+    from pyspark.sql import functions as F
+
+    notes = spark.range(30_000).select(F.concat(F.lit("s"), (F.col("id") % 2500).cast("string")).alias("song_id"), F.when(F.col("id") % 2 == 0, "v").alias("stem"), (F.col("id") % 128).cast("int").alias("pitch"), F.lit(90).alias("velocity"), (F.col("id") * 0.5).alias("start_s"), (F.col("id") * 0.5 + 0.25).alias("end_s"))
+    files = midi.with_midi(notes)
+    assert "FlatMapGroups" not in files._jdf.queryExecution().executedPlan().toString()
+    batches = files.mapInArrow(lambda parts: (p.slice(0, 1) for p in parts), files.schema).count()
+    assert batches <= 30
+    back = midi.notes_of(files)
+    assert back.mapInArrow(lambda parts: (p.slice(0, 1) for p in parts), back.schema).count() <= 30
+    got = back.groupBy("song_id", "stem").agg(F.sort_array(F.collect_list("pitch")).alias("p"), F.max("note_ix").alias("n"))
+    want = notes.groupBy("song_id", "stem").agg(F.sort_array(F.collect_list("pitch")).alias("p"), (F.count(F.lit(1)) - 1).alias("n"))
+    assert got.count() == 2500 and got.exceptAll(want).count() == 0
