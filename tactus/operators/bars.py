@@ -55,7 +55,7 @@ def bars_of_times(notes: DataFrame, grid: DataFrame) -> DataFrame:
     from tactus.operators.align import _bucket, widths
 
     spans = grid.select(F.col("song_id").alias("_song"), F.col("bar_index").alias("time_bar"), F.col("start_s").alias("bar_start"), F.col("end_s").alias("bar_end"))
-    wide = widths(grid, "start_s", "end_s")
+    wide = widths(grid, "start_s", "end_s").hint("shuffle_hash")
     spans = spans.join(wide.withColumnRenamed("song_id", "_song"), "_song").withColumn("_c", F.explode(F.sequence(_bucket(F.col("bar_start"), F.col("width")), _bucket(F.col("bar_end"), F.col("width"))))).drop("width")
     rows = notes.join(wide, "song_id").withColumn("_b", _bucket(F.col("start_s"), F.col("width"))).drop("width")
     return rows.join(spans, (F.col("song_id") == F.col("_song")) & (F.col("_b") == F.col("_c")) & (F.col("start_s") >= F.col("bar_start")) & (F.col("start_s") < F.col("bar_end"))).drop("_b", "_c", "_song")

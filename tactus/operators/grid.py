@@ -29,13 +29,14 @@ def median_interval(beats: DataFrame, tempo_bpm: float = 120.0) -> DataFrame:
     return out.select("song_id", F.when(F.col("m") > 0, F.col("m")).otherwise(spare).alias("interval_s"), "n_beats", "last_s")
 
 
-def extend(beats: DataFrame, until: DataFrame, tempo_bpm: float = 120.0, compat: str = "a") -> DataFrame:
-    """Beats with further ones at the median interval until each song's ``until_s`` (song_id, until_s); a song without beats gets a grid from 0.
+def extend(beats: DataFrame, until: DataFrame, tempo_bpm: float = 120.0, compat: str = "a", bare: bool = True) -> DataFrame:
+    """Beats with further ones at the median interval until each song's ``until_s`` (song_id, until_s); a song without beats gets a grid from 0 where ``bare``.
 
     ``compat``: a adds one beat more than b."""
     more = 1 if compat == "a" else 0
     spare = 60.0 / tempo_bpm if tempo_bpm > 0 else 0.5
-    spans = until.join(median_interval(beats, tempo_bpm), "song_id", "left").withColumns({"interval_s": F.coalesce("interval_s", F.lit(spare)), "n_beats": F.coalesce("n_beats", F.lit(0))})
+    # both sides have a row a song: hashed, they need no sort in a task that holds the windows' ones already
+    spans = until.join(median_interval(beats, tempo_bpm).hint("shuffle_hash"), "song_id", "left" if bare else "inner").withColumns({"interval_s": F.coalesce("interval_s", F.lit(spare)), "n_beats": F.coalesce("n_beats", F.lit(0))})
     after = F.when(F.col("last_s") < F.col("until_s"), F.ceil((F.col("until_s") - F.col("last_s")) / F.col("interval_s")) + more)
     fresh = F.when(F.col("last_s").isNull(), F.ceil(F.col("until_s") / F.col("interval_s")) + 1)
     count = F.coalesce(after, fresh if compat == "a" else F.lit(None), F.lit(0)).cast("int")
@@ -50,15 +51,17 @@ def bar_grid(beats: DataFrame, durations: DataFrame, ts_num: int = 4, ts_den: in
     """song_id, bar_index, start_s, end_s. Bar k spans beats int(k * bpb) to int(k * bpb + bpb), ends at the song's duration at the latest,
     and is left out, with its number, where it has no length. Songs without beats have no bars. ``durations``: song_id, duration_s."""
     bpb = beats_per_bar(ts_num, ts_den)
-    known = durations.join(beats.select("song_id").distinct(), "song_id", "left_semi")
-    grid = extend(beats, known.select("song_id", F.col("duration_s").alias("until_s")), tempo_bpm)
-    sizes = grid.groupBy("song_id").agg(F.count(F.lit(1)).alias("n"))
-    k = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("n") / bpb) - 1).cast("int")))
-    bars = sizes.select("song_id", "n", k.alias("bar_index")).withColumns({"a": (F.col("bar_index") * bpb).cast("long"), "b": F.least((F.col("bar_index") * bpb + bpb).cast("long"), F.col("n") - 1)})
-    times = grid.select("song_id", "beat_index", "time_s")
-    first, last = times.withColumnsRenamed({"beat_index": "a", "time_s": "start_s"}), times.withColumnsRenamed({"beat_index": "b", "time_s": "last_s"})
-    found = bars.join(first, ["song_id", "a"]).join(last, ["song_id", "b"]).join(durations, "song_id")
-    return found.select("song_id", F.col("bar_index").cast("long").alias("bar_index"), "start_s", F.least("last_s", "duration_s").alias("end_s")).where("end_s > start_s")
+    grid = extend(beats, durations.select("song_id", F.col("duration_s").alias("until_s")), tempo_bpm, bare=False).join(durations.hint("shuffle_hash"), "song_id")
+    n, i, k = F.col("n"), F.col("beat_index"), F.col("k")
+    places = grid.select("song_id", "beat_index", "time_s", "duration_s", F.count(F.lit(1)).over(Window.partitionBy("song_id")).alias("n"))
+    # a beat gives its time to the bars that it begins or ends, found among the numbers around it; the last one ends all later bars too. So the grid is made once
+    most = F.greatest(F.lit(0).cast("long"), F.ceil(n / bpb) - 1)
+    low = F.greatest(F.lit(0).cast("long"), F.floor((i - bpb) / bpb).cast("long") - 1)
+    high = F.least(most, F.when(i == n - 1, most).otherwise(F.ceil((i + 1) / bpb).cast("long") + 1))
+    near = places.select("*", F.explode(F.sequence(F.least(low, high), high)).alias("k"))
+    begins, ends = (k * bpb).cast("long") == i, F.least((k * bpb + bpb).cast("long"), n - 1) == i
+    bars = near.where(begins | ends).groupBy("song_id", "k").agg(F.max(F.when(begins, F.col("time_s"))).alias("start_s"), F.max(F.when(ends, F.least("time_s", "duration_s"))).alias("end_s"))
+    return bars.select("song_id", k.alias("bar_index"), "start_s", "end_s").where("end_s > start_s")
 
 
 def synthesize(spans: DataFrame, start: Column, end: Column, tempo: Column) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 
 from tactus.config import Config
 from tactus.operators import align, bars, grid
-from tactus.plans import timeline
+from tactus.plans import timeline, views
 
 
 def beats(spark, times, song="s"):
@@ -93,6 +93,14 @@ def test_exploded_cells_are_not_broadcast_or_shuffled(spark):
     assert "Broadcast" not in align.overlap(n, cells)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_bar_grid_makes_its_grid_once_and_hashes_rows_of_songs(spark):
+    d = spark.createDataFrame([("s", 4.0)], "song_id string, duration_s double")
+    plan = grid.bar_grid(beats(spark, [0.0, 0.5]), d, 1, 8)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ExistingRDD") <= 4
+    plan = views.notes(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort " not in plan and "Broadcast" not in plan
+
+
 def test_bars_leave_out_null_keys(spark):
     e = spark.createDataFrame([("s", "x", 0, 60, 80, 0.0, 1.0), ("s", "x", 0, 64, 100, 0.5, 1.5), ("s", "x", None, 1, 1, 0.0, 9.0)], "song_id string, stem string, bar_index long, pitch int, velocity int, start_s double, end_s double")
     (r,) = bars.bars(e).collect()
