@@ -29,38 +29,46 @@ def median_interval(beats: DataFrame, tempo_bpm: float = 120.0) -> DataFrame:
     return out.select("song_id", F.when(F.col("m") > 0, F.col("m")).otherwise(spare).alias("interval_s"), "n_beats", "last_s")
 
 
-def extend(beats: DataFrame, until: DataFrame, tempo_bpm: float = 120.0, compat: str = "a", bare: bool = True) -> DataFrame:
-    """Beats with further ones at the median interval until each song's ``until_s`` (song_id, until_s); a song without beats gets a grid from 0 where ``bare``.
-
-    ``compat``: a adds one beat more than b."""
+def _extended(beats: DataFrame, until: DataFrame, tempo_bpm: float, compat: str, how: str) -> DataFrame:
+    """``extend`` by the join ``how`` of beats and ends, with until_s and n, the number of beats that the song has then. Beats are read once: what a song's last beat knows of the others makes the further ones."""
     more = 1 if compat == "a" else 0
     spare = 60.0 / tempo_bpm if tempo_bpm > 0 else 0.5
-    # both sides have a row a song: hashed, they need no sort in a task that holds the windows' ones already
-    spans = until.join(median_interval(beats, tempo_bpm).hint("shuffle_hash"), "song_id", "left" if bare else "inner").withColumns({"interval_s": F.coalesce("interval_s", F.lit(spare)), "n_beats": F.coalesce("n_beats", F.lit(0))})
+    order, song = Window.partitionBy("song_id").orderBy("time_s", "beat_index"), Window.partitionBy("song_id")
+    placed = beats.select("song_id", "beat_index", "time_s", (F.col("time_s") - F.lag("time_s").over(order)).alias("gap_s"), F.lead(F.lit(True)).over(order).isNull().alias("is_last"))
+    placed = placed.select("song_id", "beat_index", "time_s", "is_last", F.median("gap_s").over(song).alias("m"), F.count(F.lit(1)).over(song).alias("n_beats"), F.max("time_s").over(song).alias("last_s"))
+    # the side with a row a song is hashed: beats need no sort for it
+    rows = placed.join(until.select("song_id", "until_s").hint("shuffle_hash"), "song_id", how).withColumn("interval_s", F.when(F.col("m") > 0, F.col("m")).otherwise(spare))
     after = F.when(F.col("last_s") < F.col("until_s"), F.ceil((F.col("until_s") - F.col("last_s")) / F.col("interval_s")) + more)
     fresh = F.when(F.col("last_s").isNull(), F.ceil(F.col("until_s") / F.col("interval_s")) + 1)
-    count = F.coalesce(after, fresh if compat == "a" else F.lit(None), F.lit(0)).cast("int")
-    steps = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
-    extra = spans.select("song_id", "n_beats", "interval_s", F.col("last_s"), F.explode(steps).alias("k"))
-    time = F.when(F.col("last_s").isNull(), (F.col("k") - 1) * F.col("interval_s")).otherwise(F.col("last_s") + F.col("k") * F.col("interval_s"))
-    added = extra.select("song_id", (F.col("n_beats") + F.col("k") - 1).cast("long").alias("beat_index"), time.alias("time_s"), F.lit(True).alias("added"))
-    return beats.select("song_id", "beat_index", "time_s", F.lit(False).alias("added")).unionByName(added)
+    rows = rows.withColumn("count", F.greatest(F.coalesce(after, fresh if compat == "a" else F.lit(None), F.lit(0)), F.lit(0)).cast("int"))
+    # step 0 is the beat itself
+    steps = F.when(F.col("n_beats").isNotNull(), F.sequence(F.lit(0), F.when(F.col("is_last"), F.col("count")).otherwise(0))).when(F.col("count") > 0, F.sequence(F.lit(1), F.col("count"))).otherwise(F.array().cast("array<int>"))
+    k, n = F.col("k"), F.coalesce("n_beats", F.lit(0))
+    time = F.when(k == 0, F.col("time_s")).when(F.col("last_s").isNull(), (k - 1) * F.col("interval_s")).otherwise(F.col("last_s") + k * F.col("interval_s"))
+    index = F.when(k == 0, F.col("beat_index")).otherwise((n + k - 1).cast("long"))
+    return rows.withColumn("k", F.explode(steps)).select("song_id", index.alias("beat_index"), time.alias("time_s"), (k > 0).alias("added"), "until_s", (n + F.col("count")).alias("n"))
+
+
+def extend(beats: DataFrame, until: DataFrame, tempo_bpm: float = 120.0, compat: str = "a", bare: bool = True) -> DataFrame:
+    """Beats with further ones at the median interval until each song's ``until_s`` (song_id, until_s); a song without beats gets a grid from 0 where ``bare``.
+
+    ``compat``: a adds one beat more than b."""
+    return _extended(beats, until, tempo_bpm, compat, "full" if bare else "left").select("song_id", "beat_index", "time_s", "added")
 
 
 def bar_grid(beats: DataFrame, durations: DataFrame, ts_num: int = 4, ts_den: int = 4, tempo_bpm: float = 120.0) -> DataFrame:
     """song_id, bar_index, start_s, end_s. Bar k spans beats int(k * bpb) to int(k * bpb + bpb), ends at the song's duration at the latest,
     and is left out, with its number, where it has no length. Songs without beats have no bars. ``durations``: song_id, duration_s."""
     bpb = beats_per_bar(ts_num, ts_den)
-    grid = extend(beats, durations.select("song_id", F.col("duration_s").alias("until_s")), tempo_bpm, bare=False).join(durations.hint("shuffle_hash"), "song_id")
+    places = _extended(beats, durations.select("song_id", F.col("duration_s").alias("until_s")), tempo_bpm, "a", "inner")
     n, i, k = F.col("n"), F.col("beat_index"), F.col("k")
-    places = grid.select("song_id", "beat_index", "time_s", "duration_s", F.count(F.lit(1)).over(Window.partitionBy("song_id")).alias("n"))
     # a beat gives its time to the bars that it begins or ends, found among the numbers around it; the last one ends all later bars too. So the grid is made once
     most = F.greatest(F.lit(0).cast("long"), F.ceil(n / bpb) - 1)
     low = F.greatest(F.lit(0).cast("long"), F.floor((i - bpb) / bpb).cast("long") - 1)
     high = F.least(most, F.when(i == n - 1, most).otherwise(F.ceil((i + 1) / bpb).cast("long") + 1))
     near = places.select("*", F.explode(F.sequence(F.least(low, high), high)).alias("k"))
     begins, ends = (k * bpb).cast("long") == i, F.least((k * bpb + bpb).cast("long"), n - 1) == i
-    bars = near.where(begins | ends).groupBy("song_id", "k").agg(F.max(F.when(begins, F.col("time_s"))).alias("start_s"), F.max(F.when(ends, F.least("time_s", "duration_s"))).alias("end_s"))
+    bars = near.where(begins | ends).groupBy("song_id", "k").agg(F.max(F.when(begins, F.col("time_s"))).alias("start_s"), F.max(F.when(ends, F.least("time_s", "until_s"))).alias("end_s"))
     return bars.select("song_id", k.alias("bar_index"), "start_s", "end_s").where("end_s > start_s")
 
 

@@ -101,6 +101,23 @@ def test_bar_grid_makes_its_grid_once_and_hashes_rows_of_songs(spark):
     assert "ShuffledHashJoin" in plan and "Sort " not in plan and "Broadcast" not in plan
 
 
+def test_grids_read_beats_and_ends_once(spark):
+    """Each reading of beats or ends brings its own joins, sorts and aggregates into the one task that holds a song's."""
+    d = spark.createDataFrame([("s", 4.0)], "song_id string, duration_s double")
+    for made in (grid.bar_grid(beats(spark, [0.0, 0.5]), d, 3, 4), grid.extend(beats(spark, [0.0, 0.5]), d.withColumnRenamed("duration_s", "until_s"))):
+        assert made._jdf.queryExecution().executedPlan().toString().count("ExistingRDD") == 2
+
+
+def test_grids_of_songs_with_unknown_ends(spark):
+    b = beats(spark, [0.0, 1.0, 2.0], "none").unionByName(beats(spark, [0.0, 1.0, 2.0], "null")).unionByName(beats(spark, [5.0, 5.0, 5.0], "flat"))
+    u = spark.createDataFrame([("null", None), ("flat", 6.0), ("bare", 0.4), ("before", -1.0)], "song_id string, until_s double")
+    known = [(s, k, float(k), False) for s in ("none", "null") for k in range(3)] + [("flat", k, 5.0, False) for k in range(3)]
+    for compat, bare, more in (("a", True, [("flat", 3, 5.5, True), ("flat", 4, 6.0, True), ("flat", 5, 6.5, True), ("bare", 0, 0.0, True), ("bare", 1, 0.5, True)]), ("b", True, [("flat", 3, 5.5, True), ("flat", 4, 6.0, True)]), ("b", False, [("flat", 3, 5.5, True), ("flat", 4, 6.0, True)])):
+        assert sorted(tuple(r) for r in grid.extend(b, u, compat=compat, bare=bare).collect()) == sorted(known + more)
+    got = sorted(tuple(r) for r in grid.bar_grid(b, u.withColumnRenamed("until_s", "duration_s"), 2, 4).collect())
+    assert got == [("flat", 1, 5.0, 6.0), ("null", 0, 0.0, 2.0)]
+
+
 def test_bars_leave_out_null_keys(spark):
     e = spark.createDataFrame([("s", "x", 0, 60, 80, 0.0, 1.0), ("s", "x", 0, 64, 100, 0.5, 1.5), ("s", "x", None, 1, 1, 0.0, 9.0)], "song_id string, stem string, bar_index long, pitch int, velocity int, start_s double, end_s double")
     (r,) = bars.bars(e).collect()
