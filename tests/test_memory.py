@@ -25,7 +25,7 @@ def most_pages(spark, name):
     return max(peaks) / context._jvm.org.apache.spark.SparkEnv.get().memoryManager().pageSizeBytes()
 
 
-@pytest.mark.parametrize("name", ["align_7_8", "bar_grid_7_8", "bars_agg", "markdown_report", "abc_text", "align_before_first", "num_bars", "align_b"])
+@pytest.mark.parametrize("name", ["align_7_8", "bar_grid_7_8", "bars_agg", "markdown_report", "abc_text", "align_before_first", "num_bars", "align_b", "markdown_rows"])
 def test_largest_task_holds_few_pages(spark, name):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as on large tables
     try:
